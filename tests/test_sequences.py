@@ -1,0 +1,96 @@
+"""Hand-made cases for login-failure and order-payment detection (limits exact)."""
+
+import datetime as dt
+
+from tests.conftest import rows
+from tidemark.operators import (
+    login_fail_burst,
+    login_fail_immediate,
+    login_fail_pattern,
+    order_pay_match,
+    order_timeout,
+)
+
+T0 = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+MS0 = int(T0.timestamp() * 1000)
+
+
+def _at(s):
+    return T0 + dt.timedelta(seconds=s)
+
+
+def logins(spark, recs):
+    return spark.createDataFrame([(i, u, t, _at(s)) for i, (u, t, s) in enumerate(recs)],
+                                 "event_id long, user_id long, event_type string, ts timestamp")
+
+
+def orders(spark, recs):
+    return spark.createDataFrame([(i, o, e, _at(s)) for i, (o, e, s) in enumerate(recs)],
+                                 "event_id long, order_id long, event string, ts timestamp")
+
+
+def test_pattern_gap_is_strict(spark):
+    df = logins(spark, [(1, "fail", 0), (1, "fail", 2),        # exactly 2 s: no match
+                        (2, "fail", 0), (2, "fail", 1.999),    # match
+                        (3, "fail", 0), (3, "success", 0.5), (3, "fail", 1),  # success between
+                        (4, "fail", 0), (4, "fail", 1), (4, "fail", 1.5)])    # overlapping pairs
+    got = rows(login_fail_pattern(df, 2), ["user_id", "first_fail_ms", "last_fail_ms"])
+    assert got == [(2, MS0, MS0 + 1999), (4, MS0, MS0 + 1000), (4, MS0 + 1000, MS0 + 1500)]
+
+
+def test_immediate_same_pairs_as_pattern(spark):
+    df = logins(spark, [(1, "fail", 0), (1, "fail", 1), (1, "fail", 5), (1, "fail", 6.5),
+                        (2, "fail", 0), (2, "success", 1), (2, "fail", 1.5)])
+    a = rows(login_fail_pattern(df, 2), ["user_id", "first_fail_ms", "last_fail_ms"])
+    b = rows(login_fail_immediate(df, 2), ["user_id", "first_fail_ms", "last_fail_ms"])
+    assert a == b == [(1, MS0, MS0 + 1000), (1, MS0 + 5000, MS0 + 6500)]
+
+
+def test_burst_rules(spark):
+    df = logins(spark, [
+        (1, "fail", 0), (1, "fail", 1), (1, "fail", 2),          # 3 fails in [0,2] -> alert
+        (1, "fail", 2.5),                                        # same run, no second alert
+        (2, "fail", 0), (2, "fail", 1), (2, "success", 2),       # success at t0+2 cancels
+        (3, "fail", 0), (3, "fail", 3),                          # second fail outside window
+        (4, "fail", 10), (4, "success", 20), (4, "fail", 30), (4, "fail", 31)])  # new run after success
+    got = rows(login_fail_burst(df, 2, 2), ["user_id", "first_fail_ms", "last_fail_ms", "fail_count"])
+    assert got == [(1, MS0, MS0 + 2000, 3), (4, MS0 + 30000, MS0 + 31000, 2)]
+
+
+def test_order_timeout(spark):
+    df = orders(spark, [(1, "create", 0), (1, "pay", 899.999),        # in time
+                        (2, "create", 0), (2, "pay", 900),            # exactly the limit: timeout
+                        (3, "create", 0), (3, "create", 10), (3, "pay", 20),  # both creates pay
+                        (4, "pay", 0), (4, "create", 5)])             # pay before create
+    got = rows(order_timeout(df, 900), ["order_id", "create_ms", "result", "result_ms"])
+    assert got == [(1, MS0, "pay", MS0 + 899999), (2, MS0, "timeout", MS0 + 900000),
+                   (3, MS0, "pay", MS0 + 20000), (3, MS0 + 10000, "pay", MS0 + 20000),
+                   (4, MS0 + 5000, "timeout", MS0 + 905000)]
+
+
+def test_order_pay_match(spark):
+    df = orders(spark, [(1, "create", 0), (1, "pay", 900),            # inclusive limit: success
+                        (2, "create", 0), (2, "pay", 901),            # late: both rows
+                        (3, "create", 0), (3, "create", 10), (3, "pay", 20),  # superseded + success
+                        (4, "pay", 0),                                # orphan
+                        (5, "create", 0),                             # never paid
+                        (6, "create", 0), (6, "pay", 1), (6, "pay", 2),  # second pay is orphan
+                        (7, "pay", 5), (7, "create", 5)])             # equal ts: create first
+    got = rows(order_pay_match(df, 900), ["order_id", "create_ms", "pay_ms", "result"])
+    assert got == [
+        (1, MS0, MS0 + 900000, "pay success"),
+        (2, MS0, None, "create but not payed"),
+        (2, None, MS0 + 901000, "payed but not found create"),
+        (3, MS0 + 10000, MS0 + 20000, "pay success"),
+        (4, None, MS0, "payed but not found create"),
+        (5, MS0, None, "create but not payed"),
+        (6, MS0, MS0 + 1000, "pay success"),
+        (6, None, MS0 + 2000, "payed but not found create"),
+        (7, MS0 + 5000, MS0 + 5000, "pay success"),
+    ]
+
+
+def test_empty_input(spark):
+    df = logins(spark, [])
+    assert login_fail_pattern(df).count() == 0
+    assert login_fail_burst(df).count() == 0

@@ -20,6 +20,12 @@ def get_session(master: str | None = None, app: str = "tidemark",
     * UI off: no server is started.
     """
     master = master or os.environ.get("TIDEMARK_MASTER", "local[*]")
+    # Python processes started by the JVM (workers, the stateful-processor
+    # runner) inherit this; on a cluster the package is installed instead.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
@@ -28,6 +34,8 @@ def get_session(master: str | None = None, app: str = "tidemark",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     )
     if shuffle_partitions is not None:
@@ -37,9 +45,29 @@ def get_session(master: str | None = None, app: str = "tidemark",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in Python workers (stateful processors run
+    there): zip the package once per session and add it with ``addPyFile``."""
+    import shutil
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tidemark-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "tidemark"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="tidemark")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

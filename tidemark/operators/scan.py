@@ -27,6 +27,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
 
 @dataclass(frozen=True)
@@ -75,12 +76,11 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
         within = within.withColumn(f"__in_{a.name}", _WINDOW_FN[a.kind](a.expr).over(w_in))
 
     # one row per (key, chunk); partial aggregation before the shuffle
-    order_struct = F.struct(*[F.col(c) for c in order])
+    order_key = _packed_order(base, order)
     summary_cols = []
     for a in aggs:
         if a.kind == "nearest":
-            pick = F.min_by if reverse else F.max_by
-            agg = pick(a.expr, F.when(a.expr.isNotNull(), order_struct))
+            agg = _nearest_summary(base, a.expr, order_key, reverse)
         else:
             agg = {"sum": F.sum, "min": F.min, "max": F.max}[a.kind](a.expr)
         summary_cols.append(agg.alias(f"__ch_{a.name}"))
@@ -114,6 +114,42 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
     return out.drop(ck, *[f"__in_{a.name}" for a in aggs], *[f"__pre_{a.name}" for a in aggs])
 
 
+_INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
+_SHIFT = "CAST(9223372036854775808 AS DECIMAL(38,0))"
+_SCALE = "CAST(100000000000000000000 AS DECIMAL(38,0))"
+
+
+def _packed_order(df: DataFrame, order: list[str]) -> Column:
+    """A single orderable value for the ``(o1[, o2])`` order.
+
+    Up to two integral columns pack into one DECIMAL(38,0)
+    (``o1 * 10^20 + o2 + 2^63``, exact while ``|o1| < 10^17``, e.g. epoch
+    microseconds), which keeps ``max_by``/``min_by`` in a hash aggregate; a
+    struct key would force a sort aggregate (a map-side sort of all rows).
+    """
+    types = [df.schema[c].dataType for c in order]
+    if 1 <= len(order) <= 2 and all(isinstance(t, _INTEGRAL) for t in types):
+        first = F.col(order[0]).cast("decimal(38,0)")
+        if len(order) == 1:
+            return first
+        second = F.col(order[1]).cast("decimal(38,0)") + F.expr(_SHIFT)
+        return (first * F.expr(_SCALE) + second).cast("decimal(38,0)")
+    return F.struct(*[F.col(c) for c in order])
+
+
+def _nearest_summary(df: DataFrame, expr: Column, key: Column, reverse: bool) -> Column:
+    """Value of ``expr`` at the first (reverse) or last row of the chunk where it
+    is not null; struct values are taken field by field at the same row so each
+    aggregate keeps a fixed-width buffer."""
+    pick = F.min_by if reverse else F.max_by
+    live = F.when(expr.isNotNull(), key)
+    dtype = df.select(expr.alias("__probe")).schema[0].dataType
+    if isinstance(dtype, StructType):
+        fields = [pick(expr[f.name], live).alias(f.name) for f in dtype.fields]
+        return F.when(F.max(live).isNotNull(), F.struct(*fields))
+    return pick(expr, live)
+
+
 def time_chunk(ts_us: Column, width_us: int) -> Column:
     """Chunk id for ``segmented_scan`` from an epoch-microsecond column."""
     from tidemark.functions.time import floor_div

@@ -30,7 +30,8 @@ def _ms(c):
 
 def _logins(logins: DataFrame, user: str, order_id: str) -> DataFrame:
     return logins.select(user, order_id, F.col("event_type").alias("__type"),
-                         F.unix_micros("ts").alias("__ts"))
+                         F.unix_micros("ts").alias("__ts"),
+                         (F.col("event_type") == "fail").alias("__fail"))
 
 
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], name: str, value,
@@ -48,9 +49,9 @@ def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id
     """
     base = _logins(logins, user, order_id)
     nxt = _neighbour(base, [user], ["__ts", order_id], "__n",
-                     F.struct(F.col("__ts").alias("ts"), F.col("__type").alias("type")),
+                     F.struct(F.col("__ts").alias("ts"), F.col("__fail").alias("fail")),
                      reverse=True, chunk_us=chunk_us)
-    hit = ((F.col("__type") == "fail") & (F.col("__n.type") == "fail")
+    hit = (F.col("__fail") & F.col("__n.fail")
            & (F.col("__n.ts") - F.col("__ts") < F.lit(seconds_to_us(gap_s))))
     return nxt.filter(hit).select(user, _ms(F.col("__ts")).alias("first_fail_ms"),
                                   _ms(F.col("__n.ts")).alias("last_fail_ms"),
@@ -64,9 +65,9 @@ def login_fail_immediate(logins: DataFrame, gap_s: float = 2, user: str = "user_
     Output: ``user_id, alert_event_id, first_fail_ms, last_fail_ms``."""
     base = _logins(logins, user, order_id)
     prv = _neighbour(base, [user], ["__ts", order_id], "__p",
-                     F.struct(F.col("__ts").alias("ts"), F.col("__type").alias("type")),
+                     F.struct(F.col("__ts").alias("ts"), F.col("__fail").alias("fail")),
                      reverse=False, chunk_us=chunk_us)
-    hit = ((F.col("__type") == "fail") & (F.col("__p.type") == "fail")
+    hit = (F.col("__fail") & F.col("__p.fail")
            & (F.col("__ts") - F.col("__p.ts") < F.lit(seconds_to_us(gap_s))))
     return prv.filter(hit).select(user, F.col(order_id).alias("alert_event_id"),
                                   _ms(F.col("__p.ts")).alias("first_fail_ms"),
@@ -105,12 +106,15 @@ def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
 
 
 def _orders(order_events: DataFrame, key: str, order_id: str) -> DataFrame:
+    """Order events with ``__ord = 2 * ts + is_pay``: time order, creates before
+    pays at equal times (one integral column, so scans pack their order key)."""
+    is_pay = F.col("event") == "pay"
     return order_events.select(key, order_id, F.col("event").alias("__event"),
-                               F.unix_micros("ts").alias("__ts"),
-                               (F.col("event") == "pay").cast("int").alias("__pay_first"))
+                               F.unix_micros("ts").alias("__ts"), is_pay.alias("__is_pay"),
+                               (F.unix_micros("ts") * 2 + is_pay.cast("bigint")).alias("__ord"))
 
 
-_ORDER = ["__ts", "__pay_first"]
+_ORDER = ["__ord"]
 
 
 def order_timeout(order_events: DataFrame, limit_s: float = 15 * 60, key: str = "order_id",
@@ -160,14 +164,14 @@ def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str
     base = _orders(order_events, key, order_id)
     order = [*_ORDER, order_id]
     chunk = time_chunk(F.col("__ts"), chunk_us)
-    nb = F.struct(F.col("__ts").alias("ts"), F.col("__event").alias("event"))
+    nb = F.struct(F.col("__ts").alias("ts"), F.col("__is_pay").alias("pay"))
     s = segmented_scan(base, [key], order, [ScanAgg("__n", "nearest", nb)], chunk, reverse=True)
     s = segmented_scan(s, [key], order, [ScanAgg("__p", "nearest", nb)], chunk, reverse=False)
     lim = F.lit(seconds_to_us(limit_s))
     is_create = F.col("__event") == "create"
     next_close = F.coalesce(F.col("__n.ts") - F.col("__ts") <= lim, F.lit(False))
-    paid = is_create & next_close & (F.col("__n.event") == "pay")
-    prev_create = F.coalesce((F.col("__p.event") == "create") & (F.col("__ts") - F.col("__p.ts") <= lim),
+    paid = is_create & next_close & F.col("__n.pay")
+    prev_create = F.coalesce(~F.col("__p.pay") & (F.col("__ts") - F.col("__p.ts") <= lim),
                              F.lit(False))
     result = (F.when(paid, F.lit(MSG_PAY_SUCCESS))
               .when(is_create & ~next_close, F.lit(MSG_NOT_PAYED))

@@ -117,3 +117,12 @@ def test_unique_visitors_stream(spark, ev):
                                               "user_id", "ts", 3600, 300))
     got = got.filter(F.col("window_end_ms") < F.unix_millis(F.lit(FAR).cast("timestamp")))
     assert rows(got) == rows(O.unique_visitors(ev, "user_id", "ts", 3600, 300))
+
+
+def test_tx_interval_join_stream(spark, ev):
+    pays, recs = T.payments(ev), T.receipts(ev)
+    out = S.stream_tx_interval_join(as_stream(spark, pays, ["tx_id"]),
+                                    as_stream(spark, recs.select("event_id", "tx_id", "ts"), ["tx_id"]),
+                                    3 * 3600, 5 * 3600)
+    got = _no_sentinel(run_stream(out), "tx_id")
+    assert rows(got) == rows(O.tx_interval_join(pays, recs, 3 * 3600, 5 * 3600))

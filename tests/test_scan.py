@@ -44,3 +44,19 @@ def test_global_scan_without_key(spark, data):
     got = rows(segmented_scan(data, [], ["t", "id"], [ScanAgg("m", "max", F.col("t"))],
                               (F.col("t") / 100).cast("long")).select("id", "m"))
     assert got == expect
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_next_prev_match_lead_lag(spark, data, reverse):
+    order = [F.col("t").desc(), F.col("id").desc()] if reverse else [F.col("t"), F.col("id")]
+    w = Window.partitionBy("k").orderBy(*order)
+    payload = F.struct(F.col("t").alias("t"), F.col("v").alias("v"))
+    expect = data.select("id", F.lead(payload).over(w).alias("n"), F.lag(payload).over(w).alias("p"),
+                         F.lead("v").over(w).alias("nv"))
+    got = segmented_scan(data, ["k"], ["t", "id"],
+                         [ScanAgg("n", "next", payload), ScanAgg("p", "prev", payload),
+                          ScanAgg("nv", "next", F.col("v"))],
+                         (F.col("t") / 500).cast("long"), reverse=reverse)
+    exp = {r["id"]: (r["n"], r["p"], r["nv"]) for r in expect.collect()}
+    for r in got.collect():
+        assert (r["n"], r["p"], r["nv"]) == exp[r["id"]], r

@@ -34,9 +34,11 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, Struct
 class ScanAgg:
     """One running aggregate.
 
-    kind: ``sum`` | ``min`` | ``max`` | ``nearest``; ``nearest`` is the value of
-    ``expr`` at the closest row in scan direction where it is not null (a
-    null-skipping ``lag``/``lead``).
+    kind: ``sum`` | ``min`` | ``max`` | ``nearest`` | ``next`` | ``prev``.
+    ``nearest`` is the value of ``expr`` at the closest row before the current
+    one in scan direction where it is not null (a null-skipping ``lag``);
+    ``next`` / ``prev`` are exactly ``lead`` / ``lag`` by one row in scan
+    direction (they ignore ``inclusive``).
     """
 
     name: str
@@ -71,9 +73,18 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
     w_in = (Window.partitionBy(*part).orderBy(*[direction(c) for c in order])
             .rowsBetween(Window.unboundedPreceding, upper))
 
+    w_row = Window.partitionBy(*part).orderBy(*[direction(c) for c in order])
     within = base
     for a in aggs:
-        within = within.withColumn(f"__in_{a.name}", _WINDOW_FN[a.kind](a.expr).over(w_in))
+        if a.kind in ("next", "prev"):
+            shift = F.lead if a.kind == "next" else F.lag
+            col = shift(a.expr).over(w_row)
+            # at the chunk edge the neighbour comes from the adjacent chunk
+            within = within.withColumn(f"__edge_{a.name}",
+                                       shift(F.lit(1)).over(w_row).isNull())
+        else:
+            col = _WINDOW_FN[a.kind](a.expr).over(w_in)
+        within = within.withColumn(f"__in_{a.name}", col)
 
     # one row per (key, chunk); partial aggregation before the shuffle
     order_key = _packed_order(base, order)
@@ -81,6 +92,10 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
     for a in aggs:
         if a.kind == "nearest":
             agg = _nearest_summary(base, a.expr, order_key, reverse)
+        elif a.kind in ("next", "prev"):
+            # first (for next) or last (for prev) row of the chunk in scan order
+            first = (a.kind == "next") != reverse
+            agg = _row_at(base, a.expr, order_key, first)
         else:
             agg = {"sum": F.sum, "min": F.min, "max": F.max}[a.kind](a.expr)
         summary_cols.append(agg.alias(f"__ch_{a.name}"))
@@ -88,11 +103,20 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
 
     w_ch = (Window.partitionBy(*keys).orderBy(direction(ck))
             .rowsBetween(Window.unboundedPreceding, -1))
+    w_ch_row = Window.partitionBy(*keys).orderBy(direction(ck))
+
+    def across(a: ScanAgg) -> Column:
+        ch = F.col(f"__ch_{a.name}")
+        if a.kind == "next":
+            return F.lead(ch).over(w_ch_row)
+        if a.kind == "prev":
+            return F.lag(ch).over(w_ch_row)
+        return _WINDOW_FN[a.kind](ch).over(w_ch)
+
     renamed = {c: f"__pk{i}" for i, c in enumerate(part)}
     prefix = summary.select(
         *[F.col(c).alias(renamed[c]) for c in part],
-        *[_WINDOW_FN[a.kind](F.col(f"__ch_{a.name}")).over(w_ch).alias(f"__pre_{a.name}")
-          for a in aggs])
+        *[across(a).alias(f"__pre_{a.name}") for a in aggs])
 
     # null-safe so that a null key still finds its own prefix
     cond = reduce(lambda x, y: x & y,
@@ -108,10 +132,16 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
             val = F.least(cur, pre)
         elif a.kind == "max":
             val = F.greatest(cur, pre)
+        elif a.kind in ("next", "prev"):
+            # the neighbour is in the chunk unless the row is at its edge
+            edge = F.col(f"__edge_{a.name}")
+            val = F.when(edge, pre).otherwise(cur)
         else:
             val = F.coalesce(cur, pre)
         out = out.withColumn(a.name, val)
-    return out.drop(ck, *[f"__in_{a.name}" for a in aggs], *[f"__pre_{a.name}" for a in aggs])
+    edges = [f"__edge_{a.name}" for a in aggs if a.kind in ("next", "prev")]
+    return out.drop(ck, *edges, *[f"__in_{a.name}" for a in aggs],
+                    *[f"__pre_{a.name}" for a in aggs])
 
 
 _INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
@@ -150,6 +180,17 @@ def _nearest_summary(df: DataFrame, expr: Column, key: Column, reverse: bool) ->
     return pick(expr, live)
 
 
+def _row_at(df: DataFrame, expr: Column, key: Column, first: bool) -> Column:
+    """Value of ``expr`` at the chunk's first (or last) row, nulls included."""
+    pick = F.min_by if first else F.max_by
+    dtype = df.select(expr.alias("__probe")).schema[0].dataType
+    if isinstance(dtype, StructType):
+        present = F.when(expr.isNotNull(), F.lit(1))
+        return F.when(pick(present, key).isNotNull(),
+                      F.struct(*[pick(expr[f.name], key).alias(f.name) for f in dtype.fields]))
+    return pick(expr, key)
+
+
 def time_chunk(ts_us: Column, width_us: int) -> Column:
     """Chunk id for ``segmented_scan`` from an epoch-microsecond column."""
     from tidemark.functions.time import floor_div

@@ -35,9 +35,10 @@ def _logins(logins: DataFrame, user: str, order_id: str) -> DataFrame:
 
 
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], name: str, value,
-               reverse: bool, chunk_us: int) -> DataFrame:
-    return segmented_scan(df, keys, order, [ScanAgg(name, "nearest", value)],
-                          time_chunk(F.col("__ts"), chunk_us), reverse=reverse)
+               kind: str, chunk_us: int) -> DataFrame:
+    """``kind`` = ``next`` / ``prev``: the key's following / preceding event."""
+    return segmented_scan(df, keys, order, [ScanAgg(name, kind, value)],
+                          time_chunk(F.col("__ts"), chunk_us))
 
 
 def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id",
@@ -50,7 +51,7 @@ def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id
     base = _logins(logins, user, order_id)
     nxt = _neighbour(base, [user], ["__ts", order_id], "__n",
                      F.struct(F.col("__ts").alias("ts"), F.col("__fail").alias("fail")),
-                     reverse=True, chunk_us=chunk_us)
+                     kind="next", chunk_us=chunk_us)
     hit = (F.col("__fail") & F.col("__n.fail")
            & (F.col("__n.ts") - F.col("__ts") < F.lit(seconds_to_us(gap_s))))
     return nxt.filter(hit).select(user, _ms(F.col("__ts")).alias("first_fail_ms"),
@@ -66,7 +67,7 @@ def login_fail_immediate(logins: DataFrame, gap_s: float = 2, user: str = "user_
     base = _logins(logins, user, order_id)
     prv = _neighbour(base, [user], ["__ts", order_id], "__p",
                      F.struct(F.col("__ts").alias("ts"), F.col("__fail").alias("fail")),
-                     reverse=False, chunk_us=chunk_us)
+                     kind="prev", chunk_us=chunk_us)
     hit = (F.col("__fail") & F.col("__p.fail")
            & (F.col("__ts") - F.col("__p.ts") < F.lit(seconds_to_us(gap_s))))
     return prv.filter(hit).select(user, F.col(order_id).alias("alert_event_id"),
@@ -165,8 +166,8 @@ def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str
     order = [*_ORDER, order_id]
     chunk = time_chunk(F.col("__ts"), chunk_us)
     nb = F.struct(F.col("__ts").alias("ts"), F.col("__is_pay").alias("pay"))
-    s = segmented_scan(base, [key], order, [ScanAgg("__n", "nearest", nb)], chunk, reverse=True)
-    s = segmented_scan(s, [key], order, [ScanAgg("__p", "nearest", nb)], chunk, reverse=False)
+    s = segmented_scan(base, [key], order, [ScanAgg("__n", "next", nb), ScanAgg("__p", "prev", nb)],
+                       chunk)
     lim = F.lit(seconds_to_us(limit_s))
     is_create = F.col("__event") == "create"
     next_close = F.coalesce(F.col("__n.ts") - F.col("__ts") <= lim, F.lit(False))

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import BITMAP_LOG2_BITS
 from tidemark.functions.hashing import bitmap_offset
-from tidemark.operators.scan import DEFAULT_CHUNK_US, ScanAgg, segmented_scan, time_chunk
+from tidemark.operators.scan import (
+    DEFAULT_CHUNK_US,
+    ScanAgg,
+    _packed_order,
+    segmented_scan,
+    time_chunk,
+)
 from tidemark.operators.windows import (
     _check,
     _finish,
@@ -96,10 +102,10 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
     """
     base = df.select(order_id, user, F.unix_micros(ts).alias("__ts"),
                      tumbling_index(ts, window_s).alias("__w"))
+    # the (ts, id) order packed into one DECIMAL key keeps this a hash aggregate
     firsts = (base.groupBy("__w", user)
-              .agg(F.min(F.struct("__ts", order_id)).alias("__first"))
-              .select(F.col("__w").alias("__fw"), F.col(f"__first.{order_id}").alias("__fid"),
-                      F.lit(1).alias("__new")))
+              .agg(F.min_by(order_id, _packed_order(base, ["__ts", order_id])).alias("__fid"))
+              .select(F.col("__w").alias("__fw"), "__fid", F.lit(1).alias("__new")))
     flagged = (base.join(firsts, (F.col("__w") == F.col("__fw")) & (F.col(order_id) == F.col("__fid")),
                          "left").drop("__fw", "__fid"))
     scanned = segmented_scan(

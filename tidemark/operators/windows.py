@@ -80,9 +80,9 @@ def _delta_runs(df: DataFrame, keys: list[str], ts: str, slide_s: float, ratio:
         .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
     chunk = floor_div(F.col("__e"), chunk_panes)
     scanned = segmented_scan(
-        deltas, keys, ["__e"], [ScanAgg("__run", "sum", F.col("__d"))], chunk, inclusive=True)
-    scanned = segmented_scan(
-        scanned, keys, ["__e"], [ScanAgg("__next", "nearest", F.col("__e"))], chunk, reverse=True)
+        deltas, keys, ["__e"],
+        [ScanAgg("__run", "sum", F.col("__d")), ScanAgg("__next", "next", F.col("__e"))],
+        chunk, inclusive=True)
     return scanned.filter(F.col("__run") > 0).select(*keys, "__e", "__next", "__run")
 
 

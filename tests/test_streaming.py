@@ -5,6 +5,7 @@ flushes every window and timer, gives the rows of its batch twin."""
 import datetime as dt
 import itertools
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,45 @@ def test_tx_interval_join_stream(spark, ev):
                                     3 * 3600, 5 * 3600)
     got = _no_sentinel(run_stream(out), "tx_id")
     assert rows(got) == rows(O.tx_interval_join(pays, recs, 3 * 3600, 5 * 3600))
+
+
+def test_split_late_stream_tags_against_batch_watermark(spark, ev):
+    """Files cut in arrival order; the watermark of batch i is the max event
+    time of files < i minus the delay (ms), so the tags can be recomputed."""
+    n_files, delay_s, lateness_s, size_s = 30, 64, 60, 3600
+    arr = T.with_arrival(ev).withColumn(
+        "__t", F.ntile(n_files).over(Window.orderBy("arrival_us", "event_id")))
+    path = tempfile.mkdtemp(prefix="tidemark-late-")
+    cols = ["event_id", "ts"]
+    for i in range(1, n_files + 1):
+        arr.filter(F.col("__t") == i).select(*cols).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("event_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    # processing-time mode keeps scheduling empty batches: poll until all rows are out
+    name = f"tidemark_t{next(_ids)}"
+    q = S.stream_split_late(stream, size_s, None, delay_s, lateness_s, buckets=4).writeStream \
+        .queryName(name).format("memory").option("checkpointLocation", tempfile.mkdtemp()).start()
+    total = ev.count()
+    try:
+        for _ in range(240):
+            if spark.table(name).count() >= total:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = spark.table(name)
+    # expected: per file, watermark from the earlier files
+    maxes = {r["__t"]: r["m"] for r in arr.groupBy("__t").agg(
+        F.max(F.floor(F.unix_micros("ts") / 1000)).alias("m")).collect()}
+    wm = {}
+    running = None
+    for i in range(1, n_files + 1):
+        wm[i] = (running - delay_s * 1000) if running is not None else None
+        running = maxes[i] if running is None else max(running, maxes[i])
+    tiles = {r["event_id"]: r["__t"] for r in arr.select("event_id", "__t").collect()}
+    n_late = 0
+    for r in got.collect():
+        w = wm[tiles[r["event_id"]]]
+        expect = w is not None and r["window_end_ms"] + lateness_s * 1000 <= w
+        assert r["is_late"] == expect, r
+        n_late += r["is_late"]
+    assert got.count() == ev.count() and n_late > 0

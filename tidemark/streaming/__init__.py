@@ -1,6 +1,7 @@
 """Structured Streaming forms: windowed aggregates, stateful processors, sinks."""
 
 from tidemark.streaming.joins import stream_tx_interval_join
+from tidemark.streaming.lateness import stream_split_late
 from tidemark.streaming.processors import (
     stream_ad_click_filter,
     stream_login_fail_burst,
@@ -23,6 +24,6 @@ __all__ = [
     "foreach_batch", "read_upserted", "start_sink", "stream_ad_click_filter",
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",
     "stream_order_pay_match", "stream_order_timeout", "stream_running_unique_visitors",
-    "stream_sliding_count", "stream_top_n", "stream_tx_interval_join", "stream_tx_match", "stream_unique_visitors",
+    "stream_sliding_count", "stream_split_late", "stream_top_n", "stream_tx_interval_join", "stream_tx_match", "stream_unique_visitors",
     "stream_unique_visitors_hll", "upsert_sink",
 ]

@@ -47,3 +47,18 @@ def test_hll_close_to_exact(spark):
         F.count(F.lit(1)).alias("n")).first()
     assert joined["n"] == est.count()
     assert joined["err"] <= 0.05
+
+
+@pytest.mark.parametrize("name", ["hot_items", "hot_items_sql", "ad_click_warnings", "order_pay_match",
+                                  "split_late", "channel_counts"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    from tests.conftest import rows
+
+    base = rows(QUERIES[name](spark, SF_SMALL))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        other = rows(QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert other == base

@@ -94,3 +94,17 @@ def test_empty_input(spark):
     df = logins(spark, [])
     assert login_fail_pattern(df).count() == 0
     assert login_fail_burst(df).count() == 0
+
+
+def test_chunk_width_from_session_does_not_change_results(spark):
+    from tidemark.operators.scan import CHUNK_CONF, chunk_width
+
+    df = logins(spark, [(1, "fail", s) for s in range(0, 40, 3)] + [(1, "success", 20)])
+    base = rows(login_fail_pattern(df, 4))
+    spark.conf.set(CHUNK_CONF, "5")
+    try:
+        assert chunk_width(df, None) == 5_000_000
+        assert rows(login_fail_pattern(df, 4)) == base
+        assert rows(login_fail_burst(df, 2, 4)) == rows(login_fail_burst(df, 2, 4, chunk_us=3_600_000_000))
+    finally:
+        spark.conf.unset(CHUNK_CONF)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import DEFAULT_CHUNK_US, ScanAgg, segmented_scan, time_chunk
+from tidemark.operators.scan import ScanAgg, chunk_width, segmented_scan, time_chunk
 
 
 def _side(df: DataFrame, key: str, order_id: str, prefix: str) -> DataFrame:
@@ -41,7 +41,7 @@ def tx_interval_join(pays: DataFrame, receipts: DataFrame, before_s: float = 3,
 
 
 def tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3, key: str = "tx_id",
-             order_id: str = "event_id", chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+             order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
     """One-to-one reconciliation of two streams sharing a key.
 
     The k-th pay of a key (in ``(ts, id)`` order) is paired with the k-th
@@ -62,7 +62,8 @@ def tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3, key: str =
         side = _side(df, key, order_id, prefix)
         ts = F.col(f"__{prefix}_ts")
         return segmented_scan(side, [key], [f"__{prefix}_ts", f"{prefix}_event_id"],
-                              [ScanAgg("__k", "sum", F.lit(1))], time_chunk(ts, chunk_us),
+                              [ScanAgg("__k", "sum", F.lit(1))],
+                              time_chunk(ts, chunk_width(side, chunk_us)),
                               inclusive=True)
 
     j = ranked(pays, "pay").join(ranked(receipts, "receipt"), [key, "__k"], "full_outer")

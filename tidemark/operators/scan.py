@@ -201,3 +201,16 @@ def time_chunk(ts_us: Column, width_us: int) -> Column:
 # Default chunk width: one hour of event time.  A (key, chunk) group then holds
 # at most one hour of one key's events, whatever the key's share of the data.
 DEFAULT_CHUNK_US = 3600 * 1_000_000
+# Scans without a key (one global order) sort one chunk of *all* rows per task,
+# so they use a finer default.
+GLOBAL_CHUNK_US = 60 * 1_000_000
+CHUNK_CONF = "tidemark.scan.chunkSeconds"
+
+
+def chunk_width(df: DataFrame, chunk_us: int | None, default_us: int = DEFAULT_CHUNK_US) -> int:
+    """Chunk width: the argument, else the session setting ``tidemark.scan.chunkSeconds``
+    (for tuning at scale without code changes), else ``default_us``."""
+    if chunk_us:
+        return int(chunk_us)
+    conf = df.sparkSession.conf.get(CHUNK_CONF, None)
+    return int(float(conf) * 1_000_000) if conf else default_us

@@ -21,7 +21,7 @@ from tidemark.constants import (
     MSG_PAY_SUCCESS,
 )
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import DEFAULT_CHUNK_US, ScanAgg, segmented_scan, time_chunk
+from tidemark.operators.scan import ScanAgg, chunk_width, segmented_scan, time_chunk
 
 
 def _ms(c):
@@ -35,14 +35,14 @@ def _logins(logins: DataFrame, user: str, order_id: str) -> DataFrame:
 
 
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], name: str, value,
-               kind: str, chunk_us: int) -> DataFrame:
+               kind: str, chunk_us: int | None) -> DataFrame:
     """``kind`` = ``next`` / ``prev``: the key's following / preceding event."""
     return segmented_scan(df, keys, order, [ScanAgg(name, kind, value)],
-                          time_chunk(F.col("__ts"), chunk_us))
+                          time_chunk(F.col("__ts"), chunk_width(df, chunk_us)))
 
 
 def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id",
-                       order_id: str = "event_id", chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+                       order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
     """Pattern ``fail`` then strictly next ``fail`` within ``gap_s`` (exclusive).
 
     Every such adjacent pair matches (overlapping pairs too).
@@ -60,7 +60,7 @@ def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id
 
 
 def login_fail_immediate(logins: DataFrame, gap_s: float = 2, user: str = "user_id",
-                         order_id: str = "event_id", chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+                         order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
     """Alert at a ``fail`` whose previous event of the user is a ``fail`` less
     than ``gap_s`` earlier; any success in between resets.
     Output: ``user_id, alert_event_id, first_fail_ms, last_fail_ms``."""
@@ -77,7 +77,7 @@ def login_fail_immediate(logins: DataFrame, gap_s: float = 2, user: str = "user_
 
 def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
                      user: str = "user_id", order_id: str = "event_id",
-                     chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+                     chunk_us: int | None = None) -> DataFrame:
     """Timer detector: the first fail of a run of fails starts a timer of
     ``window_s``; a success before it fires cancels the run; when it fires,
     alert if at least ``min_fails`` fails fell in ``[t0, t0 + window_s]``.
@@ -90,7 +90,7 @@ def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
     base = _logins(logins, user, order_id)
     isl = segmented_scan(base, [user], ["__ts", order_id],
                          [ScanAgg("__island", "sum", (F.col("__type") != "fail").cast("bigint"))],
-                         time_chunk(F.col("__ts"), chunk_us), inclusive=True)
+                         time_chunk(F.col("__ts"), chunk_width(base, chunk_us)), inclusive=True)
     fails = isl.filter(F.col("__type") == "fail").select(user, "__island", "__ts")
     runs = fails.groupBy(user, "__island").agg(F.min("__ts").alias("__t0"))
     hits = (fails.join(runs, [user, "__island"])
@@ -119,7 +119,7 @@ _ORDER = ["__ord"]
 
 
 def order_timeout(order_events: DataFrame, limit_s: float = 15 * 60, key: str = "order_id",
-                  order_id: str = "event_id", chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+                  order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
     """Pattern ``create`` followed by ``pay`` (any events between) within
     ``limit_s`` (exclusive); each create is matched with the first later pay.
     Output per create: ``order_id, create_event_id, create_ms, result,
@@ -129,7 +129,7 @@ def order_timeout(order_events: DataFrame, limit_s: float = 15 * 60, key: str =
     nxt = segmented_scan(base, [key], [*_ORDER, order_id],
                          [ScanAgg("__next_pay", "nearest",
                                   F.when(F.col("__event") == "pay", F.col("__ts")))],
-                         time_chunk(F.col("__ts"), chunk_us), reverse=True)
+                         time_chunk(F.col("__ts"), chunk_width(base, chunk_us)), reverse=True)
     in_time = (F.col("__next_pay") - F.col("__ts")) < F.lit(seconds_to_us(limit_s))
     in_time = F.coalesce(in_time, F.lit(False))
     limit_ms = F.lit(seconds_to_us(limit_s) // 1000)
@@ -150,7 +150,7 @@ def order_timeout_messages(result: DataFrame) -> DataFrame:
 
 
 def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str = "order_id",
-                    order_id: str = "event_id", chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+                    order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
     """Create/pay state machine with three outcomes, in ``(ts, create first, id)`` order:
 
     * a create whose next event is a pay at most ``limit_s`` later -> ``pay success``;
@@ -164,7 +164,7 @@ def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str
     """
     base = _orders(order_events, key, order_id)
     order = [*_ORDER, order_id]
-    chunk = time_chunk(F.col("__ts"), chunk_us)
+    chunk = time_chunk(F.col("__ts"), chunk_width(base, chunk_us))
     nb = F.struct(F.col("__ts").alias("ts"), F.col("__is_pay").alias("pay"))
     s = segmented_scan(base, [key], order, [ScanAgg("__n", "next", nb), ScanAgg("__p", "prev", nb)],
                        chunk)

@@ -9,7 +9,9 @@ from tidemark.constants import BITMAP_LOG2_BITS
 from tidemark.functions.hashing import bitmap_offset
 from tidemark.operators.scan import (
     DEFAULT_CHUNK_US,
+    GLOBAL_CHUNK_US,
     ScanAgg,
+    chunk_width,
     _packed_order,
     segmented_scan,
     time_chunk,
@@ -90,7 +92,7 @@ def unique_visitors_sketch(df: DataFrame, user: str = "user_id", ts: str = "ts",
 
 def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts",
                             order_id: str = "event_id", window_s: float = 3600,
-                            chunk_us: int = 60 * 1_000_000) -> DataFrame:
+                            chunk_us: int | None = None) -> DataFrame:
     """Distinct users so far, per event, within its tumbling window.
 
     The original fires its window on every element and upserts the running
@@ -98,7 +100,7 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
     (``min`` of ``(ts, id)`` per window and user -- partial aggregation, so a
     hot user is no hot group), and the running count of first events is a
     segmented scan over ``(ts, id)`` within the window, chunked by ``chunk_us``
-    of event time.  Output: ``window_end_ms, event_id, user_id, uv``.
+    of event time (default one minute: all users of a window share the key).  Output: ``window_end_ms, event_id, user_id, uv``.
     """
     base = df.select(order_id, user, F.unix_micros(ts).alias("__ts"),
                      tumbling_index(ts, window_s).alias("__w"))
@@ -111,7 +113,7 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
     scanned = segmented_scan(
         flagged, ["__w"], ["__ts", order_id],
         [ScanAgg("__uv", "sum", F.coalesce(F.col("__new"), F.lit(0)))],
-        time_chunk(F.col("__ts"), chunk_us), inclusive=True)
+        time_chunk(F.col("__ts"), chunk_width(flagged, chunk_us, GLOBAL_CHUNK_US)), inclusive=True)
     size_ms = int(window_s * 1000)
     return scanned.select(((F.col("__w") + 1) * F.lit(size_ms)).cast("bigint").alias("window_end_ms"),
                           order_id, user, F.col("__uv").cast("bigint").alias("uv"))

@@ -20,10 +20,14 @@ FAR = dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
 _ids = itertools.count()
 
 
-def as_stream(spark, df, key_cols, n_files=6):
-    """Write ``df`` as ``n_files`` time-ordered parquet files + a sentinel; read as a stream."""
+def as_stream(spark, df, key_cols, n_files=6, arrival=None):
+    """Write ``df`` as ``n_files`` parquet files + a sentinel; read as a stream.
+
+    Files are cut in event-time order, or in ``arrival`` order (a column
+    expression) to feed rows out of order."""
     path = tempfile.mkdtemp(prefix="tidemark-stream-")
-    tiles = df.withColumn("__t", F.ntile(n_files).over(Window.orderBy("ts", "event_id")))
+    order = [arrival, F.col("event_id")] if arrival is not None else ["ts", "event_id"]
+    tiles = df.withColumn("__t", F.ntile(n_files).over(Window.orderBy(*order)))
     for i in range(1, n_files + 1):
         tiles.filter(F.col("__t") == i).drop("__t").coalesce(1).write.mode("append").parquet(path)
     sentinel = df.limit(1).withColumn("ts", F.lit(FAR).cast("timestamp")).withColumn("event_id", F.lit(-1).cast("long"))
@@ -169,3 +173,19 @@ def test_split_late_stream_tags_against_batch_watermark(spark, ev):
         assert r["is_late"] == expect, r
         n_late += r["is_late"]
     assert got.count() == ev.count() and n_late > 0
+
+
+def test_out_of_order_within_delay(spark, ev):
+    """Rows fed in arrival order (ts + value minutes, up to ~8 h late) with a
+    9 h watermark delay: the processors still give the batch rows."""
+    late_by = F.unix_micros("ts") + F.round(F.col("value") * 60_000_000).cast("bigint")
+    assert ev.select(F.max("value")).first()[0] < 9 * 60
+    ids = ev.select("event_id", late_by.alias("__arr"))
+    logins = T.logins(ev).join(ids, "event_id")
+    got = run_stream(S.stream_login_fail_pattern(
+        as_stream(spark, logins, ["user_id"], 12, F.col("__arr")).drop("__arr"), 6 * 3600, 9 * 3600))
+    assert rows(_no_sentinel(got, "user_id")) == rows(O.login_fail_pattern(T.logins(ev), 6 * 3600))
+    orders = T.order_events(ev).join(ids, "event_id")
+    got = run_stream(S.stream_order_pay_match(
+        as_stream(spark, orders, ["order_id"], 12, F.col("__arr")).drop("__arr"), 86400, 9 * 3600))
+    assert rows(_no_sentinel(got, "order_id")) == rows(O.order_pay_match(T.order_events(ev), 86400))

@@ -62,3 +62,22 @@ def test_size_must_be_multiple_of_slide(spark):
     ev = _events(spark, 10, 1)
     with pytest.raises(ValueError):
         sliding_count(ev, [], "ts", 100, 30)
+
+
+def test_original_defaults_entry_points(spark):
+    from tidemark.operators import channel_counts, hot_items, hot_pages
+    from tidemark.sources import tables as T
+
+    ev = T.events(spark, "/root/testdata/sf0.001")
+    top = hot_items(T.user_behavior(ev))
+    assert top.columns == ["window_end_ms", "item_id", "cnt", "rank_no"]
+    assert top.groupBy("window_end_ms").count().agg(F.max("count")).first()[0] <= 5
+    pages = hot_pages(T.access_log(ev))
+    assert pages.groupBy("window_end_ms").count().agg(F.max("count")).first()[0] <= 3
+    # 1 day every 10 s goes through the delta method; equal to spreading every
+    # pane to its 8,640 windows (native window() is checked at small ratios above)
+    market = T.market_behavior(ev)
+    a = rows(channel_counts(market, "error"))
+    spread = sliding_count(market.filter("behavior = 'error'"), ["channel", "behavior"], "ts",
+                           86400, 10, method="expand", with_start=True)
+    assert a == rows(spread)

@@ -16,7 +16,7 @@ from tidemark.operators.sequences import (
     order_pay_match,
     order_timeout,
 )
-from tidemark.operators.topn import format_top_n_report, top_n
+from tidemark.operators.topn import format_top_n_report, hot_items, hot_pages, top_n
 from tidemark.operators.visitors import (
     page_views,
     page_views_salted,
@@ -27,6 +27,7 @@ from tidemark.operators.visitors import (
     unique_visitors_sketch,
 )
 from tidemark.operators.windows import (
+    channel_counts,
     pane_counts,
     sliding_count,
     sliding_count_runs,
@@ -34,7 +35,7 @@ from tidemark.operators.windows import (
 )
 
 __all__ = [
-    "ScanAgg", "ad_click_filter", "ad_click_warnings", "ad_clicks_by_province",
+    "ScanAgg", "ad_click_filter", "channel_counts", "hot_items", "hot_pages", "ad_click_warnings", "ad_clicks_by_province",
     "format_top_n_report", "login_fail_burst", "login_fail_immediate", "login_fail_pattern",
     "order_pay_match", "order_timeout", "page_views", "page_views_salted", "pane_counts",
     "rank_daily_clicks", "running_unique_visitors", "segmented_scan", "sliding_count",

@@ -157,3 +157,16 @@ def tumbling_index(ts: str | Column, size_s: float) -> Column:
 def tumbling_end_ms(ts: str | Column, size_s: float) -> Column:
     size_ms = seconds_to_us(size_s) // 1000
     return ((pane_index(ts, size_s) + 1) * F.lit(size_ms)).cast("bigint")
+
+
+def channel_counts(market: DataFrame, behavior: str | None = "uninstall", size_s: float = 86400,
+                   slide_s: float = 10) -> DataFrame:
+    """Rows per (channel, behavior) and sliding window (defaults: 1 day every
+    10 s -- 8,640 windows per event, so the delta pane method is used).
+
+    ``behavior`` keeps one behaviour (the original keeps only ``uninstall``);
+    ``None`` counts all of them.
+    Output: ``channel, behavior, window_start_ms, window_end_ms, cnt``.
+    """
+    src = market if behavior is None else market.filter(market["behavior"] == behavior)
+    return sliding_count(src, ["channel", "behavior"], "ts", size_s, slide_s, with_start=True)

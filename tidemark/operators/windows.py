@@ -78,6 +78,13 @@ def _delta_runs(df: DataFrame, keys: list[str], ts: str, slide_s: float, ratio:
     )).alias("__x"))
         .select(*keys, F.col("__x.e").alias("__e"), F.col("__x.d").alias("__d"))
         .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
+    return _runs_from_deltas(deltas, keys, chunk_panes)
+
+
+def _runs_from_deltas(deltas: DataFrame, keys: list[str], chunk_panes: int) -> DataFrame:
+    """Running sum of ``__d`` over window-end index ``__e`` per key, as runs
+    ``[__e, __next)`` with value ``__run`` > 0 (zero sums dropped first)."""
+    deltas = deltas.filter(F.col("__d") != 0)
     chunk = floor_div(F.col("__e"), chunk_panes)
     scanned = segmented_scan(
         deltas, keys, ["__e"],
@@ -135,19 +142,53 @@ def sliding_count(df: DataFrame, keys: list[str], ts: str, size_s: float, slide_
 
 
 def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
-                           size_s: float, slide_s: float, count_col: str = "uv") -> DataFrame:
+                           size_s: float, slide_s: float, count_col: str = "uv",
+                           method: str = "auto", chunk_panes: int = 4096) -> DataFrame:
     """Exact distinct ``value`` per key and sliding window.
 
-    Distinct (key, value, pane) first -- each visitor once per pane -- then each
-    pane is spread to its windows and the distinct count taken per window.
+    Both methods start from the distinct (key, value, pane) rows (each visitor
+    once per pane, partial aggregation map-side).
+
+    * ``expand`` (ratio <= 64 under ``auto``): each such row goes to its
+      size/slide windows and the distinct count is taken per window.
+    * ``delta``: a visitor is in window ``e`` iff one of its panes lies in
+      ``[e - ratio, e - 1]``.  Each pane ``p`` of a visitor covers the window
+      ends ``[p + 1, p + ratio]``; minus the ends already covered by the
+      visitor's previous pane ``q`` it adds ``+1`` at ``max(p + 1, q + ratio + 1)``
+      and ``-1`` at ``p + ratio + 1``.  The ranges of one visitor are disjoint
+      and cover exactly its windows, so the running sum of the deltas per key
+      is the distinct count -- with work proportional to visitor-panes, not
+      to visitor-panes x ratio (17,280 for 1 day / 5 s).
     """
     size_us, slide_us, ratio = _check(size_s, slide_s)
     panes = df.select(*keys, value, pane_index(ts, slide_s).alias("__pane")).distinct()
-    spread = panes.select(
-        *keys, value,
-        F.explode(F.sequence(F.col("__pane") + 1, F.col("__pane") + ratio)).alias("__end"))
-    out = spread.groupBy(*keys, "__end").agg(F.count_distinct(value).alias(count_col))
-    return _finish(out, keys, "__end", slide_us, size_us, count_col, False)
+    if method == "auto":
+        method = "expand" if ratio <= EXPAND_MAX_RATIO else "delta"
+    if method == "expand":
+        spread = panes.select(
+            *keys, value,
+            F.explode(F.sequence(F.col("__pane") + 1, F.col("__pane") + ratio)).alias("__end"))
+        out = spread.groupBy(*keys, "__end").agg(F.count_distinct(value).alias(count_col))
+        return _finish(out, keys, "__end", slide_us, size_us, count_col, False)
+    if method != "delta":
+        raise ValueError(f"unknown method {method!r}")
+    prev = segmented_scan(panes, [*keys, value], ["__pane"],
+                          [ScanAgg("__q", "prev", F.col("__pane"))],
+                          floor_div(F.col("__pane"), chunk_panes))
+    start = F.when(F.col("__q").isNull(), F.col("__pane") + 1).otherwise(
+        F.greatest(F.col("__pane") + 1, F.col("__q") + ratio + 1))
+    deltas = (prev.select(*keys, F.explode(F.array(
+        F.struct(start.alias("e"), F.lit(1).cast("bigint").alias("d")),
+        F.struct((F.col("__pane") + ratio + 1).alias("e"), F.lit(-1).cast("bigint").alias("d")),
+    )).alias("__x"))
+        # an empty range adds +1 and -1 at the same end: they cancel below
+        .select(*keys, F.col("__x.e").alias("__e"), F.col("__x.d").alias("__d"))
+        .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
+    runs = _runs_from_deltas(deltas, keys, chunk_panes)
+    dense = runs.select(
+        *keys, F.explode(F.sequence(F.col("__e"), F.col("__next") - 1)).alias("__end"),
+        F.col("__run").alias(count_col))
+    return _finish(dense, keys, "__end", slide_us, size_us, count_col, False)
 
 
 def tumbling_index(ts: str | Column, size_s: float) -> Column:

@@ -189,3 +189,11 @@ def test_out_of_order_within_delay(spark, ev):
     got = run_stream(S.stream_order_pay_match(
         as_stream(spark, orders, ["order_id"], 12, F.col("__arr")).drop("__arr"), 86400, 9 * 3600))
     assert rows(_no_sentinel(got, "order_id")) == rows(O.order_pay_match(T.order_events(ev), 86400))
+
+
+def test_long_window_ring_stream(spark, ev):
+    market = T.market_behavior(ev).filter("behavior = 'error'").withColumn("k", F.col("channel").cast("long"))
+    out = S.stream_sliding_count(as_stream(spark, market.select("event_id", "k", "ts"), ["k"]), ["k"],
+                                 "ts", 86400, 60)
+    got = _no_sentinel(run_stream(out), "k")
+    assert rows(got) == rows(O.sliding_count(market, ["k"], "ts", 86400, 60))

@@ -22,15 +22,28 @@ def _span(seconds: float) -> str:
 
 def stream_sliding_count(df: DataFrame, keys: list[str], ts: str = "ts", size_s: float = 3600,
                          slide_s: float = 300, delay_s: float = 0, lateness_s: float = 0,
-                         count_col: str = "cnt") -> DataFrame:
+                         count_col: str = "cnt", method: str = "auto") -> DataFrame:
     """Counts per key and sliding window; one final row per window.
 
-    Two chained stateful aggregations, the pane method on a stream: rows are
+    ``method``: ``chain`` (below), ``ring`` (a per-key processor sliding a sum
+    of pane counts; for long windows such as 1 day / 5 s, where the chain's
+    second ``window()`` would copy each pane size/slide times), or ``auto``
+    (ring when size/slide > 64).  The ring form has no ``window`` column.
+
+    Chain: two chained stateful aggregations, the pane method on a stream: rows are
     counted per tumbling pane of ``slide`` (one state row per key and pane),
     then each pane total goes to the windows containing it, keyed by
     ``window(window_time(pane), size, slide)`` so the watermark carries
     through.  State holds panes, not copies of events.
     """
+    if method == "auto":
+        method = "ring" if size_s / slide_s > 64 else "chain"
+    if method == "ring":
+        from tidemark.streaming.processors import stream_sliding_count_ring
+
+        ring = stream_sliding_count_ring(df.withColumnRenamed(ts, "ts") if ts != "ts" else df,
+                                         keys, size_s, slide_s, delay_s + lateness_s)
+        return ring.withColumnRenamed("cnt", count_col) if count_col != "cnt" else ring
     src = df.withWatermark(ts, _delay(delay_s + lateness_s))
     panes = src.groupBy(*keys, F.window(ts, _span(slide_s)).alias("pane")).agg(
         F.count(F.lit(1)).alias("__c"))

@@ -62,3 +62,17 @@ def test_results_do_not_depend_on_session_time_zone(spark, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert other == base
+
+
+def test_sketch_close_to_exact(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import unique_visitors_sketch
+    from tidemark.sources import tables as T
+
+    views = T.events(spark, SF_SMALL).filter("event_type = 'view'")
+    est = unique_visitors_sketch(views).select("window_end_ms", F.col("uv").alias("est"))
+    exact = QUERIES["unique_visitors_bitmap"](spark, SF_SMALL)
+    worst = est.join(exact, "window_end_ms").select(
+        F.max(F.abs(F.col("est") - F.col("uv")) / F.col("uv"))).first()[0]
+    assert worst <= 0.05

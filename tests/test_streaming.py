@@ -197,3 +197,18 @@ def test_long_window_ring_stream(spark, ev):
                                  "ts", 86400, 60)
     got = _no_sentinel(run_stream(out), "k")
     assert rows(got) == rows(O.sliding_count(market, ["k"], "ts", 86400, 60))
+
+
+def test_hll_and_running_uv_streams(spark, ev):
+    views = ev.filter("event_type = 'view'")
+    far = F.unix_millis(F.lit(FAR).cast("timestamp"))
+    got = run_stream(S.stream_unique_visitors_hll(as_stream(spark, views, ["user_id"]), "user_id", "ts", 3600))
+    got = got.filter(F.col("window_end_ms") < far)
+    assert rows(got) == rows(O.unique_visitors_hll(views, "user_id", "ts", 3600))
+    # update mode: the last update of each window is its final estimate
+    upd = run_stream(S.stream_running_unique_visitors(as_stream(spark, views, ["user_id"]), "user_id", "ts", 3600),
+                     output_mode="update")
+    final = (upd.select(F.unix_millis("window.end").alias("window_end_ms"), "uv")
+             .filter(F.col("window_end_ms") < far).groupBy("window_end_ms").agg(F.max("uv").alias("uv")))
+    assert rows(final) == rows(O.unique_visitors_hll(views, "user_id", "ts", 3600))
+    assert upd.count() >= final.count()

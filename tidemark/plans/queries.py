@@ -30,25 +30,35 @@ def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _HOT_ITEMS_SQL = """
+WITH panes AS (  -- one row per item and {slide} s pane (partial aggregation map-side)
+  SELECT item_id, CAST(floor(unix_micros(ts) / {slide_us}) AS BIGINT) AS pane, count(item_id) AS c
+  FROM {view} WHERE behavior = 'pv'
+  GROUP BY item_id, CAST(floor(unix_micros(ts) / {slide_us}) AS BIGINT)
+), windows AS (  -- each pane total goes to the {ratio} windows that contain it
+  SELECT item_id, (pane + m) * {slide_ms} AS window_end_ms, sum(c) AS cnt
+  FROM panes LATERAL VIEW explode(sequence(1, {ratio})) s AS m
+  GROUP BY item_id, (pane + m) * {slide_ms}
+)
 SELECT window_end_ms, item_id, cnt, rank_no FROM (
   SELECT window_end_ms, item_id, cnt,
          CAST(row_number() OVER (PARTITION BY window_end_ms ORDER BY cnt DESC, item_id) AS BIGINT) AS rank_no
-  FROM (
-    SELECT item_id, unix_millis(w.end) AS window_end_ms, count(item_id) AS cnt
-    FROM (SELECT item_id, window(ts, '{size} seconds', '{slide} seconds') AS w
-          FROM {view} WHERE behavior = 'pv')
-    GROUP BY item_id, w
-  )
+  FROM windows
 ) WHERE rank_no <= {n}
 """
 
 
 def hot_items_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The SQL form: a temp view and ``row_number() <= n`` in Spark SQL."""
+    """The SQL form: a temp view and Spark SQL text -- panes, their spread to
+    windows, and ``row_number() <= n`` (planned as a partial WindowGroupLimit).
+
+    ``floor(micros / slide)`` is a double division: exact for epoch
+    microseconds below 2^53 (dates before year 2255)."""
     view = "tidemark_user_behavior"
     T.user_behavior(_ev(spark, sf_dir), P.ITEM_MOD).createOrReplaceTempView(view)
-    return spark.sql(_HOT_ITEMS_SQL.format(size=P.HOT_ITEMS_SIZE_S, slide=P.HOT_ITEMS_SLIDE_S,
-                                           view=view, n=P.HOT_ITEMS_N))
+    slide_us = P.HOT_ITEMS_SLIDE_S * 1_000_000
+    return spark.sql(_HOT_ITEMS_SQL.format(
+        slide=P.HOT_ITEMS_SLIDE_S, slide_us=slide_us, slide_ms=P.HOT_ITEMS_SLIDE_S * 1000,
+        ratio=P.HOT_ITEMS_SIZE_S // P.HOT_ITEMS_SLIDE_S, view=view, n=P.HOT_ITEMS_N))
 
 
 def hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,8 @@ def hot_items_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``floor(micros / slide)`` is a double division: exact for epoch
     microseconds below 2^53 (dates before year 2255)."""
     view = "tidemark_user_behavior"
-    T.user_behavior(_ev(spark, sf_dir), P.ITEM_MOD).createOrReplaceTempView(view)
+    # the view holds the view events only, so their predicate is pushed to the scan
+    T.page_views_input(_ev(spark, sf_dir), P.ITEM_MOD).createOrReplaceTempView(view)
     slide_us = P.HOT_ITEMS_SLIDE_S * 1_000_000
     return spark.sql(_HOT_ITEMS_SQL.format(
         slide=P.HOT_ITEMS_SLIDE_S, slide_us=slide_us, slide_ms=P.HOT_ITEMS_SLIDE_S * 1000,
@@ -62,7 +63,9 @@ def hot_items_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gets = T.access_log(_ev(spark, sf_dir), P.URL_MOD).filter(F.col("method") == "GET")
+    # get_requests filters event_type first so the predicate reaches the scan;
+    # a filter on the mapped ``method`` column alone would not be pushed down
+    gets = T.get_requests(_ev(spark, sf_dir), P.URL_MOD).filter(F.col("method") == "GET")
     counts = windows.sliding_count(gets, ["url"], "ts", P.HOT_PAGES_SIZE_S, P.HOT_PAGES_SLIDE_S)
     return topn.top_n(counts, "window_end_ms", "url", P.HOT_PAGES_N).select(
         "window_end_ms", "url", "cnt", "rank_no")

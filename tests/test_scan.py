@@ -60,3 +60,26 @@ def test_next_prev_match_lead_lag(spark, data, reverse):
     exp = {r["id"]: (r["n"], r["p"], r["nv"]) for r in expect.collect()}
     for r in got.collect():
         assert (r["n"], r["p"], r["nv"]) == exp[r["id"]], r
+
+
+def test_null_keys_scan_separately(spark):
+    data = spark.createDataFrame([(1, None, 1, 5), (2, None, 2, 7), (3, 0, 1, 100), (4, 0, 3, 1)],
+                                 "id long, k long, t long, v long")
+    got = segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v"))],
+                         F.lit(0).cast("long"), inclusive=True)
+    assert {r["id"]: r["s"] for r in got.collect()} == {1: 5, 2: 12, 3: 100, 4: 101}
+
+
+def test_join_back_reuses_window_partitioning(spark, data):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v"))],
+                             (F.col("t") / 500).cast("long"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange under the window, one for the chunk summary, one for the
+    # prefix window, one to co-partition the prefix: the rows themselves shuffle once
+    assert plan.count("Exchange hashpartitioning") == 4, plan

@@ -67,6 +67,17 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
         return df
     ck = "__scan_chunk"
     base = df.withColumn(ck, chunk)
+    # Non-null stand-ins for the keys (value with nulls replaced, plus an
+    # is-null flag): grouping on them equals grouping on the keys, and the
+    # join back below can be a plain equi-join on the very columns the
+    # window partitioned by, so the large side is not shuffled again.
+    norm: list[str] = []
+    for i, k in enumerate(keys):
+        dtype = base.schema[k].dataType
+        base = (base.withColumn(f"__sk{i}v", F.coalesce(F.col(k), F.lit(0).cast(dtype)))
+                .withColumn(f"__sk{i}n", F.col(k).isNull()))
+        norm += [f"__sk{i}v", f"__sk{i}n"]
+    keys = norm
     part = [*keys, ck]
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
     upper = Window.currentRow if inclusive else -1
@@ -118,9 +129,7 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
         *[F.col(c).alias(renamed[c]) for c in part],
         *[across(a).alias(f"__pre_{a.name}") for a in aggs])
 
-    # null-safe so that a null key still finds its own prefix
-    cond = reduce(lambda x, y: x & y,
-                  [F.col(c).eqNullSafe(F.col(renamed[c])) for c in part])
+    cond = reduce(lambda x, y: x & y, [F.col(c) == F.col(renamed[c]) for c in part])
     joined = within.join(prefix, cond, "left").drop(*renamed.values())
 
     out = joined
@@ -140,7 +149,7 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
             val = F.coalesce(cur, pre)
         out = out.withColumn(a.name, val)
     edges = [f"__edge_{a.name}" for a in aggs if a.kind in ("next", "prev")]
-    return out.drop(ck, *edges, *[f"__in_{a.name}" for a in aggs],
+    return out.drop(ck, *norm, *edges, *[f"__in_{a.name}" for a in aggs],
                     *[f"__pre_{a.name}" for a in aggs])
 
 

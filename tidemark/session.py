@@ -37,7 +37,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "4g"))
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -108,3 +108,13 @@ def test_upsert_sink_keeps_latest(spark, tmp_path):
     q.stop()
     latest = read_upserted(spark, out, ["behavior"])
     assert rows(latest, ["behavior", "count"]) == [("pv", 3)]
+
+
+def test_scale_settings():
+    from tidemark.session import scale_settings
+
+    big = scale_settings(100 * 10**12)
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert scale_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_settings(10**12)["spark.sql.shuffle.partitions"] == str(-(-10**12 // (256 << 20)))

@@ -91,3 +91,29 @@ def streaming_checkpoint(spark: SparkSession, name: str) -> str:
     """A per-query streaming checkpoint location under the shared folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/streams/{name}"
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
+                   max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` (e.g. 100 TB).
+
+    * scan splits and AQE's target shuffle partition are ``partition_bytes``,
+      so every task's input fits an executor core's memory share and spills
+      rarely;
+    * the initial shuffle partition count follows the input size (AQE then
+      coalesces small ones), capped so map-output tracking stays manageable;
+    * skew-join splitting for partitions over 4x the target; broadcasts only
+      under 64 MB measured (static estimate or AQE runtime size).
+    """
+    parts = int(min(max(200, -(-input_bytes // partition_bytes)), max_shuffle_partitions))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }

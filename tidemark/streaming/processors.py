@@ -48,9 +48,15 @@ _EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 def _to_us(ts: Any) -> int:
+    """Epoch microseconds of a TIMESTAMP value handed to a Python worker.
+
+    PySpark renders TIMESTAMP as a naive datetime in the worker's local time
+    zone; ``astimezone`` reads a naive value as local time, which inverts
+    that, so the result does not depend on the executors' zone.
+    """
     if isinstance(ts, dt.datetime):
         if ts.tzinfo is None:
-            ts = ts.replace(tzinfo=dt.timezone.utc)
+            ts = ts.astimezone(dt.timezone.utc)
         delta = ts - _EPOCH
         return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
     return int(ts)

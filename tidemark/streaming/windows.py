@@ -27,8 +27,10 @@ def stream_sliding_count(df: DataFrame, keys: list[str], ts: str = "ts", size_s:
 
     ``method``: ``chain`` (below), ``ring`` (a per-key processor sliding a sum
     of pane counts; for long windows such as 1 day / 5 s, where the chain's
-    second ``window()`` would copy each pane size/slide times), or ``auto``
-    (ring when size/slide > 64).  The ring form has no ``window`` column.
+    second ``window()`` would copy each pane size/slide times), ``native``
+    (one ``window()`` aggregation: the form for update mode, i.e. early and
+    corrected results), or ``auto`` (ring when size/slide > 64, else chain).
+    The ring form has no ``window`` column.
 
     Chain: two chained stateful aggregations, the pane method on a stream: rows are
     counted per tumbling pane of ``slide`` (one state row per key and pane),
@@ -38,6 +40,16 @@ def stream_sliding_count(df: DataFrame, keys: list[str], ts: str = "ts", size_s:
     """
     if method == "auto":
         method = "ring" if size_s / slide_s > 64 else "chain"
+    if method == "native":
+        # one aggregation over window(): usable in update mode, where each
+        # micro-batch re-emits the corrected count of every window it changed
+        # (the original's allowed-lateness re-fire); copies each event
+        # size/slide times, so for small ratios only
+        src = df.withWatermark(ts, _delay(delay_s + lateness_s))
+        out = src.groupBy(*keys, F.window(ts, _span(size_s), _span(slide_s)).alias("window")).agg(
+            F.count(F.lit(1)).alias(count_col))
+        return out.select(*keys, F.unix_millis("window.end").alias("window_end_ms"),
+                          F.col(count_col).cast("bigint").alias(count_col), "window")
     if method == "ring":
         from tidemark.streaming.processors import stream_sliding_count_ring
 

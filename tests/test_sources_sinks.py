@@ -87,7 +87,7 @@ def test_top_n_report(spark):
                                    "window_end_ms long, item_id long, cnt long")
     rep = format_top_n_report(top_n(counts, "window_end_ms", "item_id", 3)).first().report
     lines = rep.split("\n")
-    assert lines[0].endswith("1970-01-01 00:59:59.9")
+    assert lines[0] == "窗口结束时间：1970-01-01 00:59:59.999"
     assert lines[1] == "NO. 0: 商品标号:2, 热门度:7"
     assert lines[2] == "NO. 1: 商品标号:3, 热门度:7"
     assert lines[3] == "NO. 2: 商品标号:1, 热门度:5"

@@ -33,7 +33,8 @@ def format_top_n_report(ranked: DataFrame, group_col: str = "window_end_ms",
                            F.col(key_col).cast("long"), F.col(count_col).cast("long"))
     lines = (ranked.groupBy(group_col)
              .agg(F.sort_array(F.collect_list(F.struct(rank_col, line.alias("line")))).alias("__l")))
-    end_text = F.date_format(F.timestamp_millis(F.col(group_col) - 1), "yyyy-MM-dd HH:mm:ss.S")
+    # the text of the instant just before the window end, millisecond digits
+    end_text = F.date_format(F.timestamp_millis(F.col(group_col) - 1), "yyyy-MM-dd HH:mm:ss.SSS")
     return lines.select(
         group_col,
         F.concat_ws("\n", F.concat(F.lit(REPORT_HEADER), end_text),

@@ -227,3 +227,21 @@ def test_update_mode_refires_end_at_batch_counts(spark, ev):
     last = upd.groupBy("window_end_ms").agg(F.max("cnt").alias("cnt"))
     assert upd.count() > last.count()   # some windows were emitted more than once
     assert rows(last) == rows(O.sliding_count(views, [], "ts", 3600, 300))
+
+
+def test_ad_clicks_by_province_two_stage_stream(spark, ev):
+    clicks = T.ad_clicks(ev)
+    sink = tempfile.mkdtemp(prefix="tidemark-pass-")
+    first = S.start_sink(S.stream_ad_click_filter(as_stream(spark, clicks, ["user_id"]), 2),
+                         f"tidemark_t{next(_ids)}", fmt="parquet", path=sink,
+                         checkpoint=tempfile.mkdtemp(), trigger={"availableNow": True})
+    first.awaitTermination(300)
+    # the second query gets its own far-future row to flush its last windows
+    flush = tempfile.mkdtemp(prefix="tidemark-flush-")
+    spark.createDataFrame([(-1, -1, "pass", -1, "-1", int(FAR.timestamp() * 1000), 0)],
+                          S.read_click_sink(spark, sink).drop("ts").schema).write.mode("append").parquet(flush)
+    passed_stream = S.read_click_sink(spark, sink).unionByName(S.read_click_sink(spark, flush))
+    counts = S.stream_ad_clicks_by_province(passed_stream, 86400, 3600)
+    got = run_stream(counts).filter("province != '-1'")
+    passed = O.ad_click_filter(clicks, 2)
+    assert rows(got.drop("window")) == rows(O.ad_clicks_by_province(passed, 86400, 3600))

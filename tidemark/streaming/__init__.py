@@ -4,12 +4,14 @@ from tidemark.streaming.joins import stream_tx_interval_join
 from tidemark.streaming.lateness import stream_split_late
 from tidemark.streaming.processors import (
     stream_ad_click_filter,
+    stream_ad_clicks_by_province,
     stream_login_fail_burst,
     stream_login_fail_immediate,
     stream_login_fail_pattern,
     stream_order_pay_match,
     stream_order_timeout,
     stream_tx_match,
+    read_click_sink,
 )
 from tidemark.streaming.sinks import foreach_batch, read_upserted, start_sink, upsert_sink
 from tidemark.streaming.windows import (
@@ -22,6 +24,7 @@ from tidemark.streaming.windows import (
 
 __all__ = [
     "foreach_batch", "read_upserted", "start_sink", "stream_ad_click_filter",
+    "stream_ad_clicks_by_province", "read_click_sink",
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",
     "stream_order_pay_match", "stream_order_timeout", "stream_running_unique_visitors",
     "stream_sliding_count", "stream_split_late", "stream_top_n", "stream_tx_interval_join", "stream_tx_match", "stream_unique_visitors",

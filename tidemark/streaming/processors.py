@@ -554,3 +554,28 @@ def stream_sliding_count_ring(df: DataFrame, keys: list[str], size_s: float, sli
     fields = [StructField(k, df.schema[k].dataType, True) for k in keys]
     return run_machine(df.select(*keys, "event_id", "ts"), keys,
                        SlidingCountMachine(fields, size_s, slide_s), delay_s)
+
+
+def read_click_sink(spark, path: str) -> DataFrame:
+    """The pass rows the click-filter stream wrote to a parquet sink, as a
+    stream with an event-time column ``ts`` (from the millisecond times)."""
+    schema = ClickLimitMachine(1).output_schema
+    return (spark.readStream.schema(schema).parquet(path)
+            .filter(F.col("kind") == "pass")
+            .withColumn("ts", F.timestamp_millis("ts_ms")))
+
+
+def stream_ad_clicks_by_province(passed: DataFrame, size_s: float = 86400, slide_s: float = 5,
+                                 delay_s: float = 0) -> DataFrame:
+    """Second stage of the click job: counts per province and sliding window
+    over the passed clicks, read back from the filter's sink
+    (``read_click_sink``) in a second query.
+
+    The filter emits a click only once the watermark has passed it, so it
+    cannot feed an event-time aggregation in the same query; a written table
+    between two queries gives the second its own watermark.  Pass rows carry
+    millisecond times; windows align on whole seconds, so no click changes pane.
+    """
+    from tidemark.streaming.windows import stream_sliding_count
+
+    return stream_sliding_count(passed, ["province"], "ts", size_s, slide_s, delay_s)

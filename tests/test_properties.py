@@ -206,3 +206,20 @@ def test_split_late_brute_force(spark, recs):
         mx = ts if mx is None else max(mx, ts)
     out = O.split_late(df, F.col("arr"), "ts", "event_id", 600, None, 60, 30, chunk_us=CHUNK * 100)
     assert [r[0] for r in rows(out.filter("is_late"), ["event_id"])] == sorted(late)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 200), st.integers(0, 7200)), min_size=1, max_size=40))
+def test_salted_equals_plain_and_bitmap_bounds(spark, recs):
+    df = spark.createDataFrame(
+        [(i, u, T0 + dt.timedelta(seconds=s)) for i, (u, s) in enumerate(recs)],
+        "event_id long, user_id long, ts timestamp")
+    assert rows(O.page_views_salted(df, "ts", 1800, 300)) == rows(O.page_views(df, "ts", 1800, 300))
+    exact = {r.window_end_ms: r.uv for r in
+             df.groupBy(((F.floor(F.unix_micros("ts") / 3_600_000_000) + 1) * 3_600_000)
+                        .cast("long").alias("window_end_ms"))
+             .agg(F.count_distinct("user_id").alias("uv")).collect()}
+    full = {r.window_end_ms: r.uv for r in O.unique_visitors_bitmap(df, "user_id", "ts", 3600).collect()}
+    small = {r.window_end_ms: r.uv for r in O.unique_visitors_bitmap(df, "user_id", "ts", 3600, 6).collect()}
+    assert full == exact                      # 2^29 bits: no collisions among these ids
+    assert all(small[w] <= exact[w] and small[w] <= 64 for w in exact)

@@ -51,22 +51,27 @@ def tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3, key: str =
     this equals the original's one-slot state; with repeated keys the original
     overwrites its slot, which is not copied.
 
-    The rank k is a segmented running count (no key sorted whole in one
-    task); the full outer join on ``(key, k)`` is one-to-one, so a hot key
-    spreads over many join keys.
+    Both sides are ranked in one segmented running count over their union,
+    keyed by (key, side), so no key is sorted whole in one task; the k-th pay
+    and the k-th receipt then meet in a ``groupBy(key, k)`` (at most one row of
+    each side per group, partial aggregation map-side) instead of a full outer
+    join, and a hot key spreads over its many k.
     Output: ``tx_id, kind, pay_event_id, receipt_event_id, pay_ms, receipt_ms``
     with kind ``matched`` / ``order_only`` / ``receipt_only``.
     """
+    both = (pays.select(key, F.col(order_id).alias("__id"), F.unix_micros("ts").alias("__ts"),
+                        F.lit(0).alias("__side"))
+            .unionByName(receipts.select(key, F.col(order_id).alias("__id"),
+                                         F.unix_micros("ts").alias("__ts"), F.lit(1).alias("__side"))))
+    ranked = segmented_scan(both, [key, "__side"], ["__ts", "__id"], [ScanAgg("__k", "sum", F.lit(1))],
+                            time_chunk(F.col("__ts"), chunk_width(both, chunk_us)), inclusive=True)
 
-    def ranked(df: DataFrame, prefix: str) -> DataFrame:
-        side = _side(df, key, order_id, prefix)
-        ts = F.col(f"__{prefix}_ts")
-        return segmented_scan(side, [key], [f"__{prefix}_ts", f"{prefix}_event_id"],
-                              [ScanAgg("__k", "sum", F.lit(1))],
-                              time_chunk(ts, chunk_width(side, chunk_us)),
-                              inclusive=True)
+    def pick(side: int, col: str):
+        return F.max(F.when(F.col("__side") == side, F.col(col)))
 
-    j = ranked(pays, "pay").join(ranked(receipts, "receipt"), [key, "__k"], "full_outer")
+    j = ranked.groupBy(key, "__k").agg(
+        pick(0, "__id").alias("pay_event_id"), pick(0, "__ts").alias("__pay_ts"),
+        pick(1, "__id").alias("receipt_event_id"), pick(1, "__ts").alias("__receipt_ts"))
     pay_ts, rec_ts = F.col("__pay_ts"), F.col("__receipt_ts")
     ok = F.coalesce(rec_ts.between(pay_ts, pay_ts + F.lit(seconds_to_us(wait_s))), F.lit(False))
     kinds = F.when(ok, F.array(F.lit("matched"))).otherwise(F.array_compact(F.array(

@@ -46,7 +46,8 @@ def get_session(master: str | None = None, app: str = "tidemark",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    ship_package(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ship_package(spark)   # on a cluster the package is installed on every node
     return spark
 
 

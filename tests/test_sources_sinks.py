@@ -3,8 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.errors import PySparkException
 
 from tests.conftest import rows
 from tidemark.operators import format_top_n_report, top_n

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.constants import BITMAP_LOG2_BITS
 from tidemark.functions.hashing import bitmap_offset
 from tidemark.operators.scan import (
-    DEFAULT_CHUNK_US,
     GLOBAL_CHUNK_US,
     ScanAgg,
     chunk_width,
@@ -120,5 +119,4 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
 
 
 __all__ = ["page_views", "page_views_salted", "running_unique_visitors", "unique_visitors",
-           "unique_visitors_bitmap", "unique_visitors_hll", "unique_visitors_sketch",
-           "DEFAULT_CHUNK_US"]
+           "unique_visitors_bitmap", "unique_visitors_hll", "unique_visitors_sketch"]

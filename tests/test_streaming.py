@@ -245,3 +245,16 @@ def test_ad_clicks_by_province_two_stage_stream(spark, ev):
     got = run_stream(counts).filter("province != '-1'")
     passed = O.ad_click_filter(clicks, 2)
     assert rows(got.drop("window")) == rows(O.ad_clicks_by_province(passed, 86400, 3600))
+
+
+def test_top_n_each_batch(spark, ev):
+    views = T.page_views_input(ev)
+    counts = S.stream_sliding_count(as_stream(spark, views, ["item_id"]), ["item_id"], "ts", 3600, 300)
+    out = tempfile.mkdtemp(prefix="tidemark-topn-")
+    q = S.top_n_each_batch(counts, "item_id", 5, out, f"tidemark_t{next(_ids)}",
+                           checkpoint=tempfile.mkdtemp(), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = spark.read.parquet(out).drop("batch_id").filter("item_id != -1")
+    batch = O.top_n(O.sliding_count(views, ["item_id"], "ts", 3600, 300), "window_end_ms", "item_id", 5)
+    cols = ["window_end_ms", "item_id", "cnt", "rank_no"]
+    assert rows(got, cols) == rows(batch, cols)

@@ -13,7 +13,13 @@ from tidemark.streaming.processors import (
     stream_tx_match,
     read_click_sink,
 )
-from tidemark.streaming.sinks import foreach_batch, read_upserted, start_sink, upsert_sink
+from tidemark.streaming.sinks import (
+    foreach_batch,
+    read_upserted,
+    start_sink,
+    top_n_each_batch,
+    upsert_sink,
+)
 from tidemark.streaming.windows import (
     stream_running_unique_visitors,
     stream_sliding_count,
@@ -28,5 +34,5 @@ __all__ = [
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",
     "stream_order_pay_match", "stream_order_timeout", "stream_running_unique_visitors",
     "stream_sliding_count", "stream_split_late", "stream_top_n", "stream_tx_interval_join", "stream_tx_match", "stream_unique_visitors",
-    "stream_unique_visitors_hll", "upsert_sink",
+    "stream_unique_visitors_hll", "top_n_each_batch", "upsert_sink",
 ]

@@ -56,8 +56,32 @@ def read_upserted(spark: SparkSession, path: str, key_cols: list[str]) -> DataFr
 
 
 def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], name: str,
-                  output_mode: str = "append", checkpoint: str | None = None) -> StreamingQuery:
+                  output_mode: str = "append", checkpoint: str | None = None,
+                  trigger: dict | None = None) -> StreamingQuery:
     """Run a batch operator on every micro-batch (e.g. re-rank changed windows)."""
-    return (df.writeStream.queryName(name).outputMode(output_mode).foreachBatch(fn)
-            .option("checkpointLocation", checkpoint or streaming_checkpoint(df.sparkSession, name))
-            .start())
+    w = (df.writeStream.queryName(name).outputMode(output_mode).foreachBatch(fn)
+         .option("checkpointLocation", checkpoint or streaming_checkpoint(df.sparkSession, name)))
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
+def top_n_each_batch(counts: DataFrame, key_col: str, n: int, path: str, name: str,
+                     count_col: str = "cnt", checkpoint: str | None = None,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Rank an append-mode windowed-count stream per micro-batch and append
+    the top ``n`` of each window to parquet at ``path``.
+
+    In append mode a window's final counts for all keys arrive in the same
+    micro-batch (the one whose watermark passes its end), so ranking each batch
+    with the batch ``top_n`` is exact -- and keeps no per-window list of keys in
+    state, unlike the chained ``stream_top_n``; for windows with very many keys.
+    Batches are written under ``batch_id=<n>`` with overwrite, so a replayed
+    batch replaces its own output.
+    """
+    from tidemark.operators.topn import top_n
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ranked = top_n(batch.drop("window") if "window" in batch.columns else batch,
+                       "window_end_ms", key_col, n, count_col)
+        ranked.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    return foreach_batch(counts, write, name, "append", checkpoint, trigger)

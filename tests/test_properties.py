@@ -190,8 +190,9 @@ def test_sliding_counts_brute_force(spark, recs, shape):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 7200), st.integers(0, 4000)), min_size=1, max_size=30))
-def test_split_late_brute_force(spark, recs):
+@given(st.lists(st.tuples(st.integers(0, 7200), st.integers(0, 4000)), min_size=1, max_size=30),
+       st.sampled_from([None, 200]))
+def test_split_late_brute_force(spark, recs, slide):
     df = spark.createDataFrame(
         [(i, T0 + dt.timedelta(seconds=s), (int(T0.timestamp()) + s + d) * 1_000_000)
          for i, (s, d) in enumerate(recs)], "event_id long, ts timestamp, arr long")
@@ -200,11 +201,12 @@ def test_split_late_brute_force(spark, recs):
     late, mx = [], None
     for i in order:
         ts = base + recs[i][0]
-        end = (ts // 600 + 1) * 600
+        step = slide or 600
+        end = (ts // step) * step + 600            # end of the last window holding ts
         if mx is not None and end + 30 <= mx - 60:
             late.append(i)
         mx = ts if mx is None else max(mx, ts)
-    out = O.split_late(df, F.col("arr"), "ts", "event_id", 600, None, 60, 30, chunk_us=CHUNK * 100)
+    out = O.split_late(df, F.col("arr"), "ts", "event_id", 600, slide, 60, 30, chunk_us=CHUNK * 100)
     assert [r[0] for r in rows(out.filter("is_late"), ["event_id"])] == sorted(late)
 
 

@@ -258,3 +258,12 @@ def test_top_n_each_batch(spark, ev):
     batch = O.top_n(O.sliding_count(views, ["item_id"], "ts", 3600, 300), "window_end_ms", "item_id", 5)
     cols = ["window_end_ms", "item_id", "cnt", "rank_no"]
     assert rows(got, cols) == rows(batch, cols)
+
+
+def test_hot_items_sql_stream(spark, ev):
+    # view rows only: the SQL filter is pushed below the watermark, and the
+    # flushing sentinel must pass it to move the watermark
+    ub = T.page_views_input(ev)
+    got = run_stream(S.stream_hot_items_sql(as_stream(spark, ub, ["item_id"])))
+    got = got.filter(F.col("window_end_ms") < F.unix_millis(F.lit(FAR).cast("timestamp")))
+    assert rows(got) == rows(O.hot_items(ub))

@@ -124,3 +124,20 @@ def stream_running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str
     src = df.withWatermark(ts, _delay(delay_s))
     return (src.groupBy(F.window(ts, _span(window_s)).alias("window"))
             .agg(F.approx_count_distinct(user, rsd).alias("uv")))
+
+
+def stream_hot_items_sql(user_behavior: DataFrame, view: str = "tidemark_stream_user_behavior",
+                         n: int = 5, size_s: float = 3600, slide_s: float = 300,
+                         delay_s: float = 0) -> DataFrame:
+    """The SQL form on a stream: the watermarked stream is registered as a
+    temp view and counted per item and sliding window in Spark SQL; streams
+    refuse ``row_number``, so the ranking is the chained ``stream_top_n``.
+    Output: ``window_end_ms, item_id, cnt, rank_no``."""
+    spark = user_behavior.sparkSession
+    user_behavior.withWatermark("ts", _delay(delay_s)).createOrReplaceTempView(view)
+    counts = spark.sql(f"""
+        SELECT item_id, window(ts, '{_span(size_s)}', '{_span(slide_s)}') AS window,
+               count(item_id) AS cnt
+        FROM {view} WHERE behavior = 'pv'
+        GROUP BY item_id, window(ts, '{_span(size_s)}', '{_span(slide_s)}')""")
+    return stream_top_n(counts, "item_id", n).select("window_end_ms", "item_id", "cnt", "rank_no")

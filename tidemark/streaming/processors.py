@@ -95,6 +95,11 @@ class Machine:
     def to_buffer(self, row: Row) -> tuple:
         raise NotImplementedError
 
+    def idle(self, st: dict) -> bool:
+        """True when the key's state can no longer affect any output (it is
+        then dropped, so keys that go quiet do not keep state)."""
+        return False
+
 
 class ReplayProcessor(StatefulProcessor):
     """Buffer per key, replay in order below the watermark, resolve deadlines."""
@@ -138,7 +143,10 @@ class ReplayProcessor(StatefulProcessor):
             out += self.machine.step(k, st, b)
         flushed, deadline = self.machine.flush(k, st, wm_us)
         out += flushed
-        self.state.update(tuple(st[f.name] for f in self.machine.state_schema.fields))
+        if self.machine.idle(st) and not rest:
+            self.state.clear()
+        else:
+            self.state.update(tuple(st[f.name] for f in self.machine.state_schema.fields))
         if ready:
             self.last.update((ready[-1][0],))
         if rest:
@@ -187,6 +195,16 @@ class LoginPairMachine(Machine):
         st["prev_ts"], st["prev_fail"] = ts, kind == "fail"
         return out
 
+    def flush(self, key, st, wm_us):
+        # a previous event more than ``gap`` before the watermark can pair with nothing
+        if st["prev_ts"] is not None and st["prev_ts"] + self.gap_us < wm_us:
+            st["prev_ts"], st["prev_fail"] = None, None
+            return [], None
+        return [], (st["prev_ts"] + self.gap_us if st["prev_ts"] is not None else None)
+
+    def idle(self, st) -> bool:
+        return st["prev_ts"] is None
+
 
 class LoginBurstMachine(Machine):
     """First fail of a run arms a deadline; a success by then cancels; at the
@@ -269,12 +287,17 @@ class OrderPayMachine(Machine):
         return out
 
     def flush(self, key, st, wm_us):
-        if st["pending"]:
-            if st["last_ts"] + self.lim < wm_us:
-                st["pending"] = False
-                return [(key, _ms(st["last_ts"]), None, MSG_NOT_PAYED)], None
-            return [], st["last_ts"] + self.lim
-        return [], None
+        if st["last_ts"] is None:
+            return [], None
+        if st["last_ts"] + self.lim < wm_us:
+            out = [(key, _ms(st["last_ts"]), None, MSG_NOT_PAYED)] if st["pending"] else []
+            # beyond the limit the last event decides nothing more
+            st.update(last_ts=None, last_kind=None, pending=None)
+            return out, None
+        return [], st["last_ts"] + self.lim
+
+    def idle(self, st) -> bool:
+        return st["last_ts"] is None
 
 
 class OrderTimeoutMachine(Machine):
@@ -327,6 +350,9 @@ class OrderTimeoutMachine(Machine):
         self._set(st, keep)
         return out, (min(t for t, _ in keep) + self.lim if keep else None)
 
+    def idle(self, st) -> bool:
+        return not st["waiting"]
+
 
 # --------------------------------------------------------------------------- clicks
 
@@ -361,14 +387,34 @@ class ClickLimitMachine(Machine):
             return [(user, ad, "warning", eid, province, _ms(ts), day_start)]
         return []
 
+    def flush(self, key, st, wm_us):
+        # the counter resets at local midnight (the original's reset timer)
+        if st["day"] is None:
+            return [], None
+        day_end = (st["day"] + 1) * 86_400_000_000 - self.off_us
+        if day_end <= wm_us:
+            st.update(day=None, cnt=None)
+            return [], None
+        return [], day_end
+
+    def idle(self, st) -> bool:
+        return st["day"] is None
+
 
 # --------------------------------------------------------------------------- tx matching
 
 
 class TxMatchMachine(Machine):
-    """k-th pay with k-th receipt of a key; match iff receipt in [pay, pay + wait]."""
+    """k-th pay with k-th receipt of a key; match iff receipt in [pay, pay + wait].
 
-    state_schema = StructType([_field("pays", StringType()), _field("receipts", StringType())])
+    Each side is a FIFO of rows still waiting for their partner.  Rows that
+    are already reported as unmatched can never match any more, but they still
+    hold their position (the k-th pairs with the k-th), so only their number is
+    kept: they are always the oldest of their queue.
+    """
+
+    state_schema = StructType([_field("pays", StringType()), _field("receipts", StringType()),
+                               _field("pays_done"), _field("receipts_done")])
     output_schema = StructType([_field("tx_id"), _field("kind", StringType()), _field("pay_event_id"),
                                 _field("receipt_event_id"), _field("pay_ms"), _field("receipt_ms")])
 
@@ -380,7 +426,7 @@ class TxMatchMachine(Machine):
 
     @staticmethod
     def _q(s) -> list[list[int]]:
-        # entries: ts, id, reported (0/1)
+        # waiting rows: ts, id
         return [[int(x) for x in e.split(":")] for e in s.split(",")] if s else []
 
     @staticmethod
@@ -388,47 +434,58 @@ class TxMatchMachine(Machine):
         return ",".join(":".join(str(x) for x in e) for e in q) or None
 
     def _pair(self, key, p, r) -> list[tuple]:
-        if p[0] <= r[0] <= p[0] + self.wait:
+        """p / r: a waiting row, or None for a position already reported."""
+        if p is not None and r is not None and p[0] <= r[0] <= p[0] + self.wait:
             return [(key, "matched", p[1], r[1], _ms(p[0]), _ms(r[0]))]
         out = []
-        if not p[2]:
+        if p is not None:
             out.append((key, "order_only", p[1], None, _ms(p[0]), None))
-        if not r[2]:
+        if r is not None:
             out.append((key, "receipt_only", None, r[1], None, _ms(r[0])))
         return out
 
     def step(self, key, st, ev) -> list[tuple]:
         ts, eid, side = ev[0], ev[2], ev[3]
         pays, recs = self._q(st["pays"]), self._q(st["receipts"])
-        me = [ts, eid, 0]
+        p_done, r_done = st["pays_done"] or 0, st["receipts_done"] or 0
+        me = [ts, eid]
         out = []
         if side == "pay":
-            if recs:
+            if r_done:
+                r_done -= 1
+                out = self._pair(key, me, None)
+            elif recs:
                 out = self._pair(key, me, recs.pop(0))
             else:
                 pays.append(me)
         else:
-            if pays:
+            if p_done:
+                p_done -= 1
+                out = self._pair(key, None, me)
+            elif pays:
                 out = self._pair(key, pays.pop(0), me)
             else:
                 recs.append(me)
-        st["pays"], st["receipts"] = self._s(pays), self._s(recs)
+        st.update(pays=self._s(pays), receipts=self._s(recs), pays_done=p_done, receipts_done=r_done)
         return out
 
     def flush(self, key, st, wm_us):
         pays, recs = self._q(st["pays"]), self._q(st["receipts"])
+        p_done, r_done = st["pays_done"] or 0, st["receipts_done"] or 0
         out = []
-        for p in pays:   # no receipt can arrive in time any more
-            if not p[2] and p[0] + self.wait < wm_us:
-                p[2] = 1
-                out.append((key, "order_only", p[1], None, _ms(p[0]), None))
-        for r in recs:   # a later pay would be after the receipt
-            if not r[2] and r[0] < wm_us:
-                r[2] = 1
-                out.append((key, "receipt_only", None, r[1], None, _ms(r[0])))
-        st["pays"], st["receipts"] = self._s(pays), self._s(recs)
-        pending = [p[0] + self.wait for p in pays if not p[2]]
-        return out, (min(pending) if pending else None)
+        while pays and pays[0][0] + self.wait < wm_us:   # no receipt can come in time
+            p = pays.pop(0)
+            p_done += 1
+            out.append((key, "order_only", p[1], None, _ms(p[0]), None))
+        while recs and recs[0][0] < wm_us:                # a later pay would be after it
+            r = recs.pop(0)
+            r_done += 1
+            out.append((key, "receipt_only", None, r[1], None, _ms(r[0])))
+        st.update(pays=self._s(pays), receipts=self._s(recs), pays_done=p_done, receipts_done=r_done)
+        return out, (pays[0][0] + self.wait if pays else None)
+
+    def idle(self, st) -> bool:
+        return not (st["pays"] or st["receipts"] or st["pays_done"] or st["receipts_done"])
 
 
 # --------------------------------------------------------------------------- long sliding windows
@@ -497,6 +554,9 @@ class SlidingCountMachine(Machine):
         out = self._emit_until(key, st, wm_us // self.slide)
         return out, (st["next_e"] * self.slide if st["panes"] else None)
 
+    def idle(self, st) -> bool:
+        return not st["panes"]
+
 
 # --------------------------------------------------------------------------- wiring
 

@@ -143,12 +143,15 @@ class ReplayProcessor(StatefulProcessor):
             out += self.machine.step(k, st, b)
         flushed, deadline = self.machine.flush(k, st, wm_us)
         out += flushed
-        if self.machine.idle(st) and not rest:
+        idle = self.machine.idle(st) and not rest
+        if idle:
+            # nothing left that can affect output: keep no state for the key
             self.state.clear()
+            self.last.clear()
         else:
             self.state.update(tuple(st[f.name] for f in self.machine.state_schema.fields))
-        if ready:
-            self.last.update((ready[-1][0],))
+            if ready:
+                self.last.update((ready[-1][0],))
         if rest:
             self.buf.put(rest)
             self._arm(min(b[0] for b in rest))

@@ -116,3 +116,22 @@ def test_scale_settings():
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert scale_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
     assert scale_settings(10**12)["spark.sql.shuffle.partitions"] == str(-(-10**12 // (256 << 20)))
+
+
+def test_text_jobs_end_to_end(spark, tmp_path):
+    """The original jobs' inputs straight from text: order outcomes (create/pay
+    with 15 min limit) and the k-th order/receipt match."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import order_pay_match, tx_match
+
+    orders = text.load_order_events(spark, _write(tmp_path, "o", [
+        "1,create,,1558430842000", "1,pay,11,1558430900000",
+        "2,create,,1558430842000", "3,pay,33,1558430842000"]), on_bad="keep")
+    got = rows(order_pay_match(orders), ["order_id", "result"])
+    assert got == [(1, "pay success"), (2, "create but not payed"), (3, "payed but not found create")]
+    receipts = text.load_receipts(spark, _write(tmp_path, "r", ["11,alipay,1558430901000",
+                                                                 "99,wechat,1558430901000"]))
+    pays = orders.filter((F.col("event") == "pay") & F.col("tx_id").isNotNull())
+    got = rows(tx_match(pays, receipts, 5), ["tx_id", "kind"])
+    assert got == [(11, "matched"), (33, "order_only"), (99, "receipt_only")]

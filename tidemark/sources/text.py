@@ -61,7 +61,14 @@ def _read_csv(spark: SparkSession, path: str, schema: str, stream: bool, on_bad:
 
 
 def _with_ts(df: DataFrame, unit: str) -> DataFrame:
-    return df.withColumn("ts", epoch_to_ts("timestamp", unit)).filter(F.col("ts").isNotNull())
+    """Add ``ts`` (an instant) and ``event_id``, the tie-break of the ``(ts, id)``
+    order the sequence operators need: a hash of the record's fields, so it is
+    the same on every retry and in streams (identical lines need no tie-break)."""
+    fields = list(df.columns)
+    out = df.withColumn("ts", epoch_to_ts("timestamp", unit)).filter(F.col("ts").isNotNull())
+    if "event_id" not in fields:
+        out = out.withColumn("event_id", F.xxhash64(*[F.col(c) for c in fields]))
+    return out
 
 
 def load_user_behavior(spark: SparkSession, path: str, stream: bool = False, unit: str = "s",

@@ -267,3 +267,25 @@ def test_hot_items_sql_stream(spark, ev):
     got = run_stream(S.stream_hot_items_sql(as_stream(spark, ub, ["item_id"])))
     got = got.filter(F.col("window_end_ms") < F.unix_millis(F.lit(FAR).cast("timestamp")))
     assert rows(got) == rows(O.hot_items(ub))
+
+
+def test_rerank_on_late_updates(spark, ev):
+    """Hot pages with rows out of order: rankings are re-emitted as late rows
+    change a window; the newest version of each window is the batch ranking."""
+    gets = T.get_requests(ev)
+    late_by = F.unix_micros("ts") + F.round(F.col("value") * 60_000_000).cast("bigint")
+    src = gets.join(ev.select("event_id", late_by.alias("__arr")), "event_id")
+    stream = as_stream(spark, src, [], 12, F.col("__arr")).drop("__arr")
+    counts = S.stream_sliding_count(stream, ["url"], "ts", 7200, 600, delay_s=9 * 3600, method="native")
+    out = tempfile.mkdtemp(prefix="tidemark-rank-")
+    q = S.rerank_each_batch(counts, "url", 3, tempfile.mkdtemp(prefix="tidemark-cnt-"), out,
+                            f"tidemark_t{next(_ids)}", checkpoint=tempfile.mkdtemp(),
+                            trigger={"availableNow": True})
+    q.awaitTermination(600)
+    ranks = spark.read.parquet(out).filter(F.col("window_end_ms") < F.unix_millis(F.lit(FAR).cast("timestamp")))
+    newest = ranks.withColumn("__v", F.max("version").over(Window.partitionBy("window_end_ms"))) \
+        .filter("version = __v").drop("__v", "version")
+    assert ranks.select("window_end_ms", "version").distinct().count() > newest.select("window_end_ms").distinct().count()
+    batch = O.hot_pages(T.access_log(ev), 3, 7200, 600)
+    cols = ["window_end_ms", "url", "cnt", "rank_no"]
+    assert rows(newest, cols) == rows(batch, cols)

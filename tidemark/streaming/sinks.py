@@ -85,3 +85,40 @@ def top_n_each_batch(counts: DataFrame, key_col: str, n: int, path: str, name: s
         ranked.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     return foreach_batch(counts, write, name, "append", checkpoint, trigger)
+
+
+def rerank_each_batch(counts: DataFrame, key_col: str, n: int, counts_path: str, out_path: str,
+                      name: str, count_col: str = "cnt", checkpoint: str | None = None,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """Top-N per window that is corrected when late rows change a window.
+
+    ``counts`` is an update-mode windowed count stream (e.g.
+    ``stream_sliding_count(..., method="native")`` with the lateness in its
+    delay): every micro-batch carries the new counts of the (window, key)
+    pairs it changed.  Each batch appends them to ``counts_path`` (parquet,
+    partitioned by window end, tagged with the batch id), reads back only the
+    changed windows (a semi-join, so only their partitions are scanned), keeps
+    the newest count per key and appends a fresh ranking of each changed
+    window to ``out_path`` with ``version`` = batch id.  The newest version of
+    a window is its current ranking.  A replayed batch rewrites rows identical
+    to its first attempt, so the newest version stays right.
+    """
+    from pyspark.sql import Window
+
+    from tidemark.operators.topn import top_n
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = batch.drop("window") if "window" in batch.columns else batch
+        (changed.withColumn("batch_id", F.lit(batch_id))
+         .write.mode("append").partitionBy("window_end_ms").parquet(counts_path))
+        windows = changed.select("window_end_ms").distinct()
+        hist = spark.read.parquet(counts_path).join(windows, "window_end_ms", "left_semi")
+        newest = Window.partitionBy("window_end_ms", key_col).orderBy(F.col("batch_id").desc())
+        latest = (hist.withColumn("__r", F.row_number().over(newest)).filter("__r = 1")
+                  .drop("__r", "batch_id"))
+        (top_n(latest, "window_end_ms", key_col, n, count_col)
+         .withColumn("version", F.lit(batch_id).cast("bigint"))
+         .write.mode("append").parquet(out_path))
+
+    return foreach_batch(counts, write, name, "update", checkpoint, trigger)

@@ -91,17 +91,23 @@ def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
     isl = segmented_scan(base, [user], ["__ts", order_id],
                          [ScanAgg("__island", "sum", (F.col("__type") != "fail").cast("bigint"))],
                          time_chunk(F.col("__ts"), chunk_width(base, chunk_us)), inclusive=True)
-    fails = isl.filter(F.col("__type") == "fail").select(user, "__island", "__ts")
-    runs = fails.groupBy(user, "__island").agg(F.min("__ts").alias("__t0"))
-    hits = (fails.join(runs, [user, "__island"])
+    # a run's fails and the success that closes it (the first row of the next
+    # island) share one group, so one aggregate gives t0 and the close time
+    grp = isl.select(user, "__ts", "__fail",
+                     F.when(F.col("__fail"), F.col("__island"))
+                     .otherwise(F.col("__island") - 1).alias("__g"))
+    runs = (grp.groupBy(user, "__g")
+            .agg(F.min(F.when(F.col("__fail"), F.col("__ts"))).alias("__t0"),
+                 F.min(F.when(~F.col("__fail"), F.col("__ts"))).alias("__close"))
+            .filter(F.col("__t0").isNotNull()
+                    & (F.col("__close").isNull() | (F.col("__close") > F.col("__t0") + w_us)))
+            .select(F.col(user).alias("__ru"), F.col("__g").alias("__rg"), "__t0"))
+    hits = (grp.filter("__fail")
+            .join(runs, (F.col(user) == F.col("__ru")) & (F.col("__g") == F.col("__rg")))
             .filter(F.col("__ts") <= F.col("__t0") + w_us)
-            .groupBy(user, "__island", "__t0")
+            .groupBy(user, "__g", "__t0")
             .agg(F.count(F.lit(1)).alias("fail_count"), F.max("__ts").alias("__last")))
-    closers = (isl.filter(F.col("__type") != "fail")
-               .select(user, (F.col("__island") - 1).alias("__island"), F.col("__ts").alias("__close")))
-    alerts = (hits.join(closers, [user, "__island"], "left")
-              .filter((F.col("fail_count") >= min_fails)
-                      & (F.col("__close").isNull() | (F.col("__close") > F.col("__t0") + w_us))))
+    alerts = hits.filter(F.col("fail_count") >= min_fails)
     return alerts.select(user, _ms(F.col("__t0")).alias("first_fail_ms"),
                          _ms(F.col("__last")).alias("last_fail_ms"), "fail_count")
 

@@ -1,0 +1,2 @@
+"""Registered queries over the driver's tables (``queries``), their parameters
+(``params``) and independent DuckDB twins (``oracle``)."""

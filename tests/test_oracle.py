@@ -76,3 +76,15 @@ def test_sketch_close_to_exact(spark):
     worst = est.join(exact, "window_end_ms").select(
         F.max(F.abs(F.col("est") - F.col("uv")) / F.col("uv"))).first()[0]
     assert worst <= 0.05
+
+
+def test_sketch_rollup_equals_direct(spark):
+    from tests.conftest import rows
+    from tidemark.operators import rollup_visitor_sketches, unique_visitors_sketch
+    from tidemark.sources import tables as T
+
+    views = T.events(spark, SF_SMALL).filter("event_type = 'view'")
+    hourly = unique_visitors_sketch(views, window_s=3600)
+    daily = rollup_visitor_sketches(hourly, 86400).select("window_end_ms", "uv")
+    direct = unique_visitors_sketch(views, window_s=86400).select("window_end_ms", "uv")
+    assert rows(daily) == rows(direct)

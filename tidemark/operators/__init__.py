@@ -20,6 +20,7 @@ from tidemark.operators.topn import format_top_n_report, hot_items, hot_pages, t
 from tidemark.operators.visitors import (
     page_views,
     page_views_salted,
+    rollup_visitor_sketches,
     running_unique_visitors,
     unique_visitors,
     unique_visitors_bitmap,
@@ -38,7 +39,7 @@ __all__ = [
     "ScanAgg", "ad_click_filter", "channel_counts", "hot_items", "hot_pages", "ad_click_warnings", "ad_clicks_by_province",
     "format_top_n_report", "login_fail_burst", "login_fail_immediate", "login_fail_pattern",
     "order_pay_match", "order_timeout", "page_views", "page_views_salted", "pane_counts",
-    "rank_daily_clicks", "running_unique_visitors", "segmented_scan", "sliding_count",
+    "rank_daily_clicks", "rollup_visitor_sketches", "running_unique_visitors", "segmented_scan", "sliding_count",
     "sliding_count_runs", "sliding_distinct_count", "split_late", "top_n", "tx_interval_join",
     "tx_match", "unique_visitors", "unique_visitors_bitmap", "unique_visitors_hll",
     "unique_visitors_sketch",

@@ -120,3 +120,16 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
 
 __all__ = ["page_views", "page_views_salted", "running_unique_visitors", "unique_visitors",
            "unique_visitors_bitmap", "unique_visitors_hll", "unique_visitors_sketch"]
+
+
+def rollup_visitor_sketches(sketches: DataFrame, window_s: float = 86400) -> DataFrame:
+    """Merge per-window sketches (``unique_visitors_sketch``) into coarser
+    tumbling windows (e.g. hours into days) without reading the events again:
+    a union of HLL sketches is exact, so the estimate equals sketching the
+    coarse window directly.  ``window_end_ms, uv, sketch``.
+    """
+    size_ms = int(window_s * 1000)
+    coarse_end = ((F.floor((F.col("window_end_ms") - 1) / F.lit(size_ms)) + 1) * F.lit(size_ms)).cast("bigint")
+    return (sketches.groupBy(coarse_end.alias("window_end_ms"))
+            .agg(F.hll_union_agg("sketch").alias("sketch"))
+            .select("window_end_ms", F.hll_sketch_estimate("sketch").alias("uv"), "sketch"))

@@ -205,6 +205,9 @@ def test_hll_and_running_uv_streams(spark, ev):
     got = run_stream(S.stream_unique_visitors_hll(as_stream(spark, views, ["user_id"]), "user_id", "ts", 3600))
     got = got.filter(F.col("window_end_ms") < far)
     assert rows(got) == rows(O.unique_visitors_hll(views, "user_id", "ts", 3600))
+    bits = run_stream(S.stream_unique_visitors_bitmap(as_stream(spark, views, ["user_id"]), log2_bits=6))
+    bits = bits.filter(F.col("window_end_ms") < far)
+    assert rows(bits) == rows(O.unique_visitors_bitmap(views, "user_id", "ts", 3600, 6))
     # update mode: the last update of each window is its final estimate
     upd = run_stream(S.stream_running_unique_visitors(as_stream(spark, views, ["user_id"]), "user_id", "ts", 3600),
                      output_mode="update")

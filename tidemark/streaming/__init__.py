@@ -27,6 +27,7 @@ from tidemark.streaming.windows import (
     stream_sliding_count,
     stream_top_n,
     stream_unique_visitors,
+    stream_unique_visitors_bitmap,
     stream_unique_visitors_hll,
 )
 
@@ -36,5 +37,5 @@ __all__ = [
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",
     "stream_order_pay_match", "stream_order_timeout", "stream_running_unique_visitors",
     "stream_sliding_count", "stream_split_late", "stream_top_n", "stream_tx_interval_join", "stream_tx_match", "stream_unique_visitors",
-    "stream_unique_visitors_hll", "top_n_each_batch", "upsert_sink",
+    "stream_unique_visitors_bitmap", "stream_unique_visitors_hll", "top_n_each_batch", "upsert_sink",
 ]

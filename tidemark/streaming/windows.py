@@ -141,3 +141,15 @@ def stream_hot_items_sql(user_behavior: DataFrame, view: str = "tidemark_stream_
         FROM {view} WHERE behavior = 'pv'
         GROUP BY item_id, window(ts, '{_span(size_s)}', '{_span(slide_s)}')""")
     return stream_top_n(counts, "item_id", n).select("window_end_ms", "item_id", "cnt", "rank_no")
+
+
+def stream_unique_visitors_bitmap(df: DataFrame, user: str = "user_id", ts: str = "ts",
+                                  window_s: float = 3600, delay_s: float = 0,
+                                  log2_bits: int = 29) -> DataFrame:
+    """Distinct bitmap offsets of the user id per tumbling window on a stream:
+    the bits the original sets in its per-window bitmap, counted by a chained
+    distinct (window, offset) -> count per window.  ``window_end_ms, uv``."""
+    from tidemark.functions.hashing import bitmap_offset
+
+    bits = df.withColumn("__bit", bitmap_offset(F.col(user), log2_bits))
+    return stream_unique_visitors(bits, "__bit", ts, window_s, window_s, delay_s)

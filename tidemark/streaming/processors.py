@@ -615,6 +615,8 @@ def stream_sliding_count_ring(df: DataFrame, keys: list[str], size_s: float, sli
     """Long sliding windows on a stream (e.g. 1 day every 5 s) by a per-key
     ring of pane counts; output ``keys, window_end_ms, cnt``."""
     fields = [StructField(k, df.schema[k].dataType, True) for k in keys]
+    if "event_id" not in df.columns:   # a deterministic tie-break from the row itself
+        df = df.withColumn("event_id", F.xxhash64(*[F.col(c) for c in df.columns]))
     return run_machine(df.select(*keys, "event_id", "ts"), keys,
                        SlidingCountMachine(fields, size_s, slide_s), delay_s)
 

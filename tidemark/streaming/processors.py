@@ -496,10 +496,11 @@ class TxMatchMachine(Machine):
 
 class SlidingCountMachine(Machine):
     """Counts per key and sliding window of ``size`` every ``slide``, emitted
-    once per non-empty window when every event before its end has been
-    replayed.  State: the non-empty panes of the last ``size`` and a running
-    sum, so a 1 day / 5 s window costs O(1) per event and slide, never a copy
-    of the event per window."""
+    once per non-empty window when every row before its end has been
+    replayed.  Rows are events (weight 1) or pane counts (weight ``c``).
+    State: the non-empty panes of the last ``size`` and a running sum, so a
+    1 day / 5 s window costs O(1) per pane and slide, never a copy of a row
+    per window."""
 
     state_schema = StructType([_field("next_e"), _field("running"),
                                StructField("panes", ArrayType(LongType())),
@@ -512,7 +513,10 @@ class SlidingCountMachine(Machine):
         self.output_schema = StructType([*key_fields, _field("window_end_ms"), _field("cnt")])
 
     def to_buffer(self, r: Row) -> tuple:
-        return (_to_us(r["ts"]), 0, r["event_id"], "e", None, None)
+        # an event counts 1; a pre-aggregated pane row carries its count in ``c``
+        fields = r.asDict() if hasattr(r, "asDict") else {}
+        weight = fields.get("c", 1)
+        return (_to_us(r["ts"]), 0, fields.get("event_id", 0), "e", weight, None)
 
     def _key(self, key) -> tuple:
         return tuple(key) if isinstance(key, tuple) else (key,)
@@ -544,10 +548,11 @@ class SlidingCountMachine(Machine):
             out = self._emit_until(key, st, p)
             if st["next_e"] > p + 1 and not st["panes"]:
                 st.update(next_e=p + 1, running=0)
+        w = ev[4] if ev[4] is not None else 1
         panes = dict(zip(st["panes"], st["counts"]))
-        panes[p] = panes.get(p, 0) + 1
+        panes[p] = panes.get(p, 0) + w
         if st["next_e"] - self.ratio <= p <= st["next_e"] - 1:
-            st["running"] += 1
+            st["running"] += w
         st["panes"], st["counts"] = sorted(panes), [panes[q] for q in sorted(panes)]
         return out
 
@@ -612,13 +617,19 @@ def stream_tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3,
 
 def stream_sliding_count_ring(df: DataFrame, keys: list[str], size_s: float, slide_s: float,
                               delay_s: float = 0) -> DataFrame:
-    """Long sliding windows on a stream (e.g. 1 day every 5 s) by a per-key
-    ring of pane counts; output ``keys, window_end_ms, cnt``."""
+    """Long sliding windows on a stream (e.g. 1 day every 5 s): Spark counts
+    rows per key and pane (a tumbling window of ``slide``), and a per-key ring
+    slides the sum over the panes of the last ``size`` -- so the processor sees
+    one row per key and pane, not one per event.  ``keys, window_end_ms, cnt``."""
     fields = [StructField(k, df.schema[k].dataType, True) for k in keys]
-    if "event_id" not in df.columns:   # a deterministic tie-break from the row itself
-        df = df.withColumn("event_id", F.xxhash64(*[F.col(c) for c in df.columns]))
-    return run_machine(df.select(*keys, "event_id", "ts"), keys,
-                       SlidingCountMachine(fields, size_s, slide_s), delay_s)
+    machine = SlidingCountMachine(fields, size_s, slide_s)
+    span = f"{int(round(slide_s * 1_000_000))} microseconds"
+    panes = (df.withWatermark("ts", f"{int(round(delay_s * 1000))} milliseconds")
+             .groupBy(*keys, F.window("ts", span).alias("__pane"))
+             .agg(F.count(F.lit(1)).alias("c"))
+             .select(*keys, F.window_time("__pane").alias("ts"), "c"))
+    return panes.groupBy(*keys).transformWithState(
+        ReplayProcessor(machine), machine.output_schema, "Append", "EventTime")
 
 
 def read_click_sink(spark, path: str) -> DataFrame:

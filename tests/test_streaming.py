@@ -292,3 +292,27 @@ def test_rerank_on_late_updates(spark, ev):
     batch = O.hot_pages(T.access_log(ev), 3, 7200, 600)
     cols = ["window_end_ms", "url", "cnt", "rank_no"]
     assert rows(newest, cols) == rows(batch, cols)
+
+
+def test_out_of_order_other_processors(spark, ev):
+    late_by = F.unix_micros("ts") + F.round(F.col("value") * 60_000_000).cast("bigint")
+    ids = ev.select("event_id", late_by.alias("__arr"))
+    d = 9 * 3600
+
+    def shuffled(df, keys):
+        return as_stream(spark, df.join(ids, "event_id"), keys, 12, F.col("__arr")).drop("__arr")
+
+    logins = T.logins(ev)
+    got = run_stream(S.stream_login_fail_burst(shuffled(logins, ["user_id"]), 2, 86400, d))
+    assert rows(_no_sentinel(got, "user_id")) == rows(O.login_fail_burst(logins, 2, 86400))
+    orders = T.order_events(ev)
+    got = run_stream(S.stream_order_timeout(shuffled(orders, ["order_id"]), 86400, d))
+    assert rows(_no_sentinel(got, "order_id")) == rows(O.order_timeout(orders, 86400))
+    clicks = T.ad_clicks(ev)
+    got = _no_sentinel(run_stream(S.stream_ad_click_filter(shuffled(clicks, ["user_id"]), 2, delay_s=d)),
+                       "user_id")
+    assert rows(got.filter("kind = 'pass'").select("event_id")) == rows(O.ad_click_filter(clicks, 2).select("event_id"))
+    pays, recs = T.payments(ev), T.receipts(ev)
+    out = S.stream_tx_match(shuffled(pays, ["tx_id"]), shuffled(recs.select("event_id", "tx_id", "ts"), ["tx_id"]),
+                            3 * 86400, d)
+    assert rows(_no_sentinel(run_stream(out), "tx_id")) == rows(O.tx_match(pays, recs, 3 * 86400))

@@ -316,3 +316,17 @@ def test_out_of_order_other_processors(spark, ev):
     out = S.stream_tx_match(shuffled(pays, ["tx_id"]), shuffled(recs.select("event_id", "tx_id", "ts"), ["tx_id"]),
                             3 * 86400, d)
     assert rows(_no_sentinel(run_stream(out), "tx_id")) == rows(O.tx_match(pays, recs, 3 * 86400))
+
+
+def test_chained_window_counts_out_of_order(spark, ev):
+    """Append-mode pane chain with rows up to 8 h late and delay + lateness
+    covering it: each window is emitted once, with its batch count."""
+    gets = T.get_requests(ev)
+    late_by = F.unix_micros("ts") + F.round(F.col("value") * 60_000_000).cast("bigint")
+    src = gets.join(ev.select("event_id", late_by.alias("__arr")), "event_id")
+    stream = as_stream(spark, src, [], 12, F.col("__arr")).drop("__arr")
+    out = S.stream_sliding_count(stream, ["url"], "ts", 7200, 600, delay_s=8 * 3600 + 1800,
+                                 lateness_s=1800, method="chain")
+    got = run_stream(out).filter(F.col("window_end_ms") < F.unix_millis(F.lit(FAR).cast("timestamp")))
+    assert got.count() == got.select("url", "window_end_ms").distinct().count()
+    assert rows(got.drop("window")) == rows(O.sliding_count(gets, ["url"], "ts", 7200, 600))

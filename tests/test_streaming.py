@@ -330,3 +330,13 @@ def test_chained_window_counts_out_of_order(spark, ev):
     got = run_stream(out).filter(F.col("window_end_ms") < F.unix_millis(F.lit(FAR).cast("timestamp")))
     assert got.count() == got.select("url", "window_end_ms").distinct().count()
     assert rows(got.drop("window")) == rows(O.sliding_count(gets, ["url"], "ts", 7200, 600))
+
+
+def test_ring_out_of_order(spark, ev):
+    market = T.market_behavior(ev).filter("behavior = 'error'").withColumn("k", F.col("channel").cast("long"))
+    late_by = F.unix_micros("ts") + F.round(F.col("value") * 60_000_000).cast("bigint")
+    src = market.select("event_id", "k", "ts").join(ev.select("event_id", late_by.alias("__arr")), "event_id")
+    stream = as_stream(spark, src, ["k"], 12, F.col("__arr")).drop("__arr")
+    got = _no_sentinel(run_stream(S.stream_sliding_count(stream, ["k"], "ts", 86400, 60,
+                                                         delay_s=9 * 3600, method="ring")), "k")
+    assert rows(got) == rows(O.sliding_count(market, ["k"], "ts", 86400, 60))

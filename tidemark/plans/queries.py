@@ -1,5 +1,31 @@
 """The registered queries: each reads the driver's tables under ``sf_dir``
-and runs one operator with the parameters of ``params`` (FIXTURES.md)."""
+and runs one operator with the parameters of ``params`` (FIXTURES.md).
+
+==========================  ===================================================
+key                         what it returns
+==========================  ===================================================
+windowed_count              views per item and 1 h / 5 min window
+hot_items, hot_items_sql    top 5 items per window (DataFrame API / Spark SQL)
+hot_pages                   top 3 URLs by GET per 2 h / 10 min window
+page_views(_salted)         views per 1 h / 5 min window (plain / two-stage salted)
+unique_visitors             distinct users (all events) per 1 h / 5 min window
+unique_visitors_bitmap      distinct 2^29-bit offsets of the user id per hour
+unique_visitors_hll         HLL++ estimate of distinct viewers per hour
+running_unique_visitors     distinct viewers so far in the hour, per view event
+channel_counts              'error' events per channel, 1 day / 1 h windows
+sliding_count_panes         the same through the delta (running-sum) method
+ad_click_filter / _warnings clicks passed (first 2 per user, ad, UTC+8 day) / warned
+ad_clicks_by_province       passed clicks per province, 1 day / 1 h windows
+login_fail_pattern          fail then next fail < 6 h (first, second time, message)
+login_fail_immediate        the same pairs, reported at the second fail
+login_fail_burst            runs with >= 2 fails in 1 day and no success in it
+order_timeout               each create: first later pay < 1 day, else timeout
+order_pay_match             create/pay outcomes with a 1 day limit
+tx_interval_join            pay/receipt pairs with receipt in [pay - 3 h, pay + 5 h]
+tx_match                    k-th pay with k-th receipt within 3 days, or unmatched
+split_late                  rows behind the watermark (delay 64 s, lateness 1 min)
+==========================  ===================================================
+"""
 
 from __future__ import annotations
 

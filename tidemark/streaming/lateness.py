@@ -58,7 +58,10 @@ def stream_split_late(df: DataFrame, size_s: float = 3600, slide_s: float | None
     """Tag every row of a stream ``is_late`` against the micro-batch watermark.
 
     Rows are spread over ``buckets`` groups by a hash of the row id (the
-    processor keeps no state, the grouping only parallelises it).
+    processor keeps no state, the grouping only parallelises it).  In
+    processing-time mode Spark keeps scheduling micro-batches even without
+    new data, so run the query with a trigger interval, e.g.
+    ``trigger(processingTime="10 seconds")``.
     """
     src = (df.withWatermark(ts, f"{int(round(delay_s * 1000))} milliseconds")
            .withColumn("__bucket", F.pmod(F.xxhash64(order_id), F.lit(buckets)))

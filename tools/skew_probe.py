@@ -1,10 +1,11 @@
 """Skew probe: one user holds a third of all events.
 
 Runs the login-pattern detector two ways -- through ``segmented_scan`` (the
-library) and as a plain ``lead()`` window over the whole user -- and reports,
-from Spark's event log, the largest number of shuffle records any single task
-read.  The hot user lands in one task with the plain window; the segmented
-scan spreads it over (user, hour) groups.
+library) and as a plain ``lead()`` window over the whole user -- and the
+late-data split (a running max in arrival order, no key at all) both ways, and
+reports, from Spark's event log, the largest number of shuffle records any
+single task read.  The hot user (or, without a key, the whole table) lands in
+one task with a plain window; the segmented scan spreads it over chunks.
 
 usage: python tools/skew_probe.py [sf_dir]   (event log goes to a fresh /tmp folder)
 """
@@ -56,7 +57,18 @@ def run(sf_dir: str, variant: str) -> int:
     # every third event belongs to one hot user
     hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
     logins = T.logins(hot)
-    if variant == "segmented":
+    if variant in ("late_segmented", "late_window"):
+        from tidemark.operators import split_late
+
+        arr = T.with_arrival(ev)
+        if variant == "late_segmented":
+            out = split_late(arr, F.col("arrival_us"), "ts", "event_id", 3600, None, 64, 60).filter("is_late")
+        else:   # running max over one global order: every row in one task
+            w = Window.orderBy("arrival_us", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+            mx = F.max(F.unix_micros("ts")).over(w) - F.lit(64_000_000)
+            end = (F.floor(F.unix_micros("ts") / 3_600_000_000) + 1) * 3_600_000_000
+            out = arr.withColumn("__wm", mx).filter(end + F.lit(60_000_000) <= F.col("__wm"))
+    elif variant == "segmented":
         out = login_fail_pattern(logins, 6 * 3600)
     else:
         w = Window.partitionBy("user_id").orderBy("ts", "event_id")
@@ -83,3 +95,5 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     a, b = run(sf, "segmented"), run(sf, "window")
     assert a == b, (a, b)
+    c, d = run(sf, "late_segmented"), run(sf, "late_window")
+    assert c == d, (c, d)

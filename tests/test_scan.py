@@ -83,3 +83,23 @@ def test_join_back_reuses_window_partitioning(spark, data):
     # one exchange under the window, one for the chunk summary, one for the
     # prefix window, one to co-partition the prefix: the rows themselves shuffle once
     assert plan.count("Exchange hashpartitioning") == 4, plan
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_keyless_scan_over_many_chunks(spark, reverse):
+    """More than 1,024 chunks: the prefix over chunk summaries runs as a nested scan."""
+    rnd = random.Random(11)
+    recs = [(i, rnd.randrange(100_000), rnd.choice([None, rnd.randrange(50)])) for i in range(3000)]
+    df = spark.createDataFrame(recs, "id long, t long, v long")
+    order = [F.col("t").desc(), F.col("id").desc()] if reverse else [F.col("t"), F.col("id")]
+    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    wr = Window.orderBy(*order)
+    expect = {r["id"]: (r["s"] or 0, r["mx"], r["near"], r["nx"]) for r in df.select(
+        "id", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("mx"),
+        F.last("v", ignorenulls=True).over(w).alias("near"), F.lead("v").over(wr).alias("nx")).collect()}
+    got = segmented_scan(df, [], ["t", "id"],
+                         [ScanAgg("s", "sum", F.col("v")), ScanAgg("mx", "max", F.col("v")),
+                          ScanAgg("near", "nearest", F.col("v")), ScanAgg("nx", "next", F.col("v"))],
+                         (F.col("t") / 30).cast("long"), reverse=reverse)
+    for r in got.collect():
+        assert (r["s"], r["mx"], r["near"], r["nx"]) == expect[r["id"]], r

@@ -55,7 +55,8 @@ _WINDOW_FN = {
 
 
 def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[ScanAgg],
-                   chunk: Column, reverse: bool = False, inclusive: bool = False) -> DataFrame:
+                   chunk: Column, reverse: bool = False, inclusive: bool = False,
+                   _nested: bool = False) -> DataFrame:
     """Add one column per ``ScanAgg`` holding its running value.
 
     keys: partition columns of the scan (may be empty: one global order).
@@ -125,9 +126,21 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
         return _WINDOW_FN[a.kind](ch).over(w_ch)
 
     renamed = {c: f"__pk{i}" for i, c in enumerate(part)}
-    prefix = summary.select(
-        *[F.col(c).alias(renamed[c]) for c in part],
-        *[across(a).alias(f"__pre_{a.name}") for a in aggs])
+    if not keys and not _nested:
+        # No key: the chunk summaries form one global order too.  Their prefix
+        # is itself a segmented scan (groups of 1,024 chunks), so no task holds
+        # every chunk row -- only the few group rows meet in one window.
+        outer = "__outer_chunk"
+        inner = segmented_scan(
+            summary.withColumnRenamed(ck, outer), [], [outer],
+            [ScanAgg(f"__pre_{a.name}", a.kind, F.col(f"__ch_{a.name}")) for a in aggs],
+            floor_div_int(F.col(outer), 1024), reverse=reverse, inclusive=False, _nested=True)
+        prefix = inner.select(F.col(outer).alias(renamed[ck]),
+                              *[F.col(f"__pre_{a.name}") for a in aggs])
+    else:
+        prefix = summary.select(
+            *[F.col(c).alias(renamed[c]) for c in part],
+            *[across(a).alias(f"__pre_{a.name}") for a in aggs])
 
     cond = reduce(lambda x, y: x & y, [F.col(c) == F.col(renamed[c]) for c in part])
     joined = within.join(prefix, cond, "left").drop(*renamed.values())
@@ -200,6 +213,12 @@ def _row_at(df: DataFrame, expr: Column, key: Column, first: bool) -> Column:
     return pick(expr, key)
 
 
+def floor_div_int(col: Column, den: int) -> Column:
+    from tidemark.functions.time import floor_div
+
+    return floor_div(col, den)
+
+
 def time_chunk(ts_us: Column, width_us: int) -> Column:
     """Chunk id for ``segmented_scan`` from an epoch-microsecond column."""
     from tidemark.functions.time import floor_div

@@ -1,0 +1,84 @@
+"""The filter has no false negatives, predictions match plain sets, held-out accuracy."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemark.llm import langid, queries
+
+SF = "/root/testdata/sf0.01"
+LETTERS = langid.letter_table()
+
+
+def plain_grams(text):
+    s = [c if c.isalpha() else " " for c in (text or "").lower()]
+    s = [" ", *s, " "]
+    return ["".join(s[i - 1:i + 2]) for i in range(1, len(s) - 1) if s[i] != " "]
+
+
+def test_grams():
+    texts = ["Ab c", None, "", "é1ß", "日本 x", "!!", "zZz"]
+    keys, counts = langid.grams(texts, LETTERS)
+    expect = [g for t in texts for g in plain_grams(t)]
+    assert counts.tolist() == [len(plain_grams(t)) for t in texts]
+    cp = lambda c: 0 if c == " " else ord(c)
+    assert keys.tolist() == [cp(a) << 42 | cp(b) << 21 | cp(c) for a, b, c in expect]
+
+
+def test_filter_returns_every_language_of_a_gram(spark):
+    rows = [("aa bb", "x"), ("bb cc", "y"), ("cc aa bb", "z"), ("dd", None), (None, "x")]
+    many = [(f"q{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i:03d}") for i in range(130)]   # more languages than a mask has bits
+    train = spark.createDataFrame(rows + many, "text string, lang string").withColumn("gram", F.lit("clash"))
+    known, table, false, hashes = langid.fit(train, least_share=0.0).value
+    assert known == sorted({lang for _, lang in rows + many if lang})
+    for text, lang in rows + many:
+        if lang is None:
+            continue
+        keys, _ = langid.grams([text], LETTERS)
+        i = known.index(lang)
+        for s in zip(*langid.slots_of(keys, table.shape[1], hashes)):
+            assert all(int(table[i // 64, k]) >> (i % 64) & 1 for k in s)
+
+
+def test_predictions_match_plain_sets(spark):
+    rows = [("le chat est sur la table", "fr"), ("the cat is on the table", "en"), ("der hund ist auf dem tisch", "de")]
+    train = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.fit(train)
+    share = {lang: {g: plain_grams(t).count(g) / len(plain_grams(t)) for g in plain_grams(t)} for t, lang in rows}
+    asked = [(1, "the table"), (2, "LE CHAT!"), (3, "tisch"), (4, None), (5, "12 !?"), (6, ""), (None, "hund"), (7, "xqxq")]
+    df = spark.createDataFrame(asked, "doc_id long, text string").withColumn("lang_pred", F.lit("clash"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model).collect()}
+    for i, text in asked:
+        hits = {lang: sum(share[lang].get(g, 0) >= langid.LEAST_SHARE * max(s.get(g, 0) for s in share.values()) and g in share[lang]
+                          for g in plain_grams(text)) for lang in sorted(share)}
+        total = sum(hits.values())
+        best = max(sorted(hits), key=hits.get)
+        expect = ("und", 0.0) if not plain_grams(text) else (best, hits[best] / total if total else 0.0)
+        assert got[i][0] == expect[0] and abs(got[i][1] - expect[1]) < 1e-6, text
+
+
+def test_held_out_accuracy(spark):
+    lang = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    got = queries.op10_langid(spark, SF)
+    assert got.count() == 1000
+    held = got.join(lang, "doc_id").filter("held_out").collect()
+    assert len(held) > 200 and sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_nothing_to_learn_from(spark):
+    df = spark.createDataFrame([(1, "abc", "x"), (2, None, None)], "doc_id long, text string, lang string")
+    model = langid.fit(df.limit(0))
+    assert {(r.doc_id, r.lang_pred, r.score) for r in langid.predict(df, model).collect()} == {(1, "und", 0.0), (2, "und", 0.0)}
+    assert langid.predict(df.limit(0), langid.fit(df)).collect() == []
+
+
+def test_false_positive_rate_is_corrected():
+    rnd = np.random.default_rng(1)
+    table = np.zeros(1 << 10, np.uint64)
+    inside = rnd.integers(1, 1 << 60, 500)
+    for s in langid.slots_of(inside, 1 << 10, 2):
+        table[s] |= np.uint64(1)
+    fill = np.count_nonzero(table) / len(table)
+    other = rnd.integers(1, 1 << 60, 20_000)
+    a, b = langid.slots_of(other, 1 << 10, 2)
+    assert abs(np.mean(table[a] & table[b]) - fill ** 2) < 0.02

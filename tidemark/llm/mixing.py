@@ -168,12 +168,11 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are matched by id, source and size; rows that agree in all three share one
     number of copies (that of the first), so a repeated row is treated like its twin."""
-    cols = docs.columns
     found = _copies(cut(sized(docs, id_col, text_col, source_col)), weights, budget, most, CHUNK_DOCS)
-    taken = found.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("__copies")) \
-        .select(F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("size").alias("__z"), "__copies")
-    words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    met = docs.join(taken, docs[id_col].cast("long").eqNullSafe(F.col("__i"))
-                    & docs[source_col].cast("string").eqNullSafe(F.col("__s")) & (words == F.col("__z")))
-    times = F.when(F.col("__z") == 0, F.lit(1)).otherwise(F.col("__copies"))
-    return met.withColumn("__k", F.explode(F.array_repeat(F.lit(0), times))).select(*cols)
+    taken = found.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    words = F.coalesce(F.regexp_count(docs[text_col], F.lit(WORD)), F.lit(0)).cast("long")
+    met = docs.join(taken, docs[id_col].cast("long").eqNullSafe(taken["doc_id"])
+                    & docs[source_col].cast("string").eqNullSafe(taken["source"]) & (words == taken["size"]))
+    times = F.when(taken["size"] == 0, F.lit(1)).otherwise(taken["copies"])
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return met.select(F.explode(F.array_repeat(row, times)).alias("row")).select("row.*")

@@ -193,5 +193,5 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = near_duplicates(docs, id_col, text_col, shingle_words, radius)
     keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__keep_id")).distinct()
     named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(keep, named[id_col].cast("long") == F.col("__keep_id"), "left_semi")
+    kept = named.join(keep, named[id_col].cast("long") == keep["__keep_id"], "left_semi")
     return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))

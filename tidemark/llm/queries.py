@@ -61,10 +61,13 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target: documents labelled good and not toxic; background: all documents."""
+    """Target: documents labelled good and not toxic; background: all documents.
+
+    The labels grow with the documents, so both sides are shuffled at every size
+    and never broadcast."""
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
-    return lm.score(docs, lm.fit(docs.join(good, "doc_id", "left_semi"), docs))
+    return lm.score(docs, lm.fit(docs.join(good.hint("merge"), "doc_id", "left_semi"), docs))
 
 
 def op8_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

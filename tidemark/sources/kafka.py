@@ -25,11 +25,14 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = "topic-items",
                  group_id: str | None = "consumer-hotitems", schema: str = USER_BEHAVIOR_SCHEMA,
-                 unit: str = "s", starting_offsets: str = "latest") -> DataFrame:
-    """Stream of parsed records from a topic whose values are CSV lines."""
+                 unit: str = "s", starting_offsets: str = "latest", on_bad: str = "fail",
+                 rejects: str | None = None) -> DataFrame:
+    """Stream of parsed records from a topic whose values are CSV lines; bad values follow the
+    loaders' policy and are counted in the progress events under ``rejects``."""
     raw = (spark.readStream.format("kafka")
            .options(**kafka_options(bootstrap_servers, topic, group_id, starting_offsets)).load())
-    return parse_csv_value(raw.select(F.col("value").cast("string").alias("value")), schema, unit)
+    return parse_csv_value(raw.select(F.col("value").cast("string").alias("value")), schema, unit,
+                           on_bad=on_bad, rejects=rejects)
 
 
 def kafka_sink(lines: DataFrame, bootstrap_servers: str, topic: str,

@@ -62,11 +62,11 @@ def get_requests(ev: DataFrame, url_mod: int = 10) -> DataFrame:
     return access_log(ev.filter(F.col("event_type") == "click"), url_mod)
 
 
-def ad_clicks(ev: DataFrame, ad_id: int = 1, province_mod: int = 5) -> DataFrame:
-    """AdClickLog from click events: adId constant, province = user_id % province_mod."""
+def ad_clicks(ev: DataFrame, ad_mod: int = 7, province_mod: int = 5) -> DataFrame:
+    """AdClickLog from click events: adId = k % ad_mod, province = user_id % province_mod."""
     return ev.filter(F.col("event_type") == "click").select(
         "event_id", "user_id",
-        F.lit(ad_id).cast("bigint").alias("ad_id"),
+        (_k() % ad_mod).alias("ad_id"),
         (F.col("user_id") % province_mod).cast("string").alias("province"),
         F.lit("").alias("city"),
         "ts")

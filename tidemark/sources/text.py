@@ -1,19 +1,25 @@
 """Loaders for the original jobs' text inputs (no header), batch or stream.
 
 Each loader reads with a fixed schema (no inference) and adds ``ts`` (an
-instant) from the input's epoch column; the unit is an argument because the
-original jobs mix seconds and milliseconds.  ``on_bad`` maps the original's
-"throw on a bad number" to an explicit check of the required fields: ``fail``
-(the query raises on the first bad row), ``drop`` (bad rows are skipped) or
-``keep`` (unparsable fields stay null).  The check is a filter over every
-required field, so it holds whichever columns a query reads (Spark's CSV
-column pruning would otherwise only validate the selected columns).  The same
-parsers are used for file streams and for Kafka values (``kafka.py``).
+instant) from the input's time column; the unit is an argument because the
+original jobs mix seconds and milliseconds.
+
+One bad-row policy holds for every loader, the access log and Kafka values
+included.  A row is bad when a required field or its time is missing or does not
+parse.  ``on_bad`` maps the original's "throw on a bad number": ``fail`` (the
+query raises on the first bad row; the default), ``drop`` (bad rows are skipped)
+or ``keep`` (every row stays, unparsable fields are null).  ``rejects`` counts the
+bad rows: pass an ``Observation`` (batch) or a name (stream progress
+events), and read its ``bad_rows`` and ``rows`` after the query ran.  The check
+looks at every required field, so it holds whichever columns a query reads
+(Spark's CSV column pruning would otherwise only validate the selected columns).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 USER_BEHAVIOR_SCHEMA = "user_id BIGINT, item_id BIGINT, category_id INT, behavior STRING, timestamp BIGINT"
@@ -23,7 +29,8 @@ ORDER_EVENT_SCHEMA = "order_id BIGINT, event STRING, tx_id BIGINT, timestamp BIG
 RECEIPT_SCHEMA = "tx_id BIGINT, pay_channel STRING, timestamp BIGINT"
 MARKET_SCHEMA = "user_id STRING, behavior STRING, channel STRING, timestamp BIGINT"
 
-_OPTIONAL = {"tx_id"}   # may be empty in order events (create rows)
+ORDER_OPTIONAL = {"tx_id"}   # empty in the create rows of order events
+ACCESS_TIME_PATTERNS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd:HH:mm:ss")
 
 
 def epoch_to_ts(col: str | Column, unit: str) -> Column:
@@ -37,95 +44,115 @@ def epoch_to_ts(col: str | Column, unit: str) -> Column:
     raise ValueError(f"unknown time unit {unit!r}")
 
 
-def validate(df: DataFrame, on_bad: str, optional: set[str] = _OPTIONAL) -> DataFrame:
-    """Apply the bad-row policy: a row is bad when a required field is null."""
+def validate(df: DataFrame, on_bad: str, optional: set[str] = frozenset(),
+             rejects: Observation | str | None = None) -> DataFrame:
+    """Apply the bad-row policy: a row is bad when a field that is not ``optional`` is null."""
     if on_bad not in ("fail", "drop", "keep"):
         raise ValueError(f"unknown on_bad {on_bad!r}")
-    required = [c for c in df.columns if c not in optional]
-    if on_bad == "keep" or not required:
-        return df
     bad = F.lit(False)
-    for c in required:
-        bad = bad | F.col(c).isNull()
+    for c in df.columns:
+        if c not in optional:
+            bad = bad | F.col(c).isNull()
+    if rejects is not None:
+        df = df.observe(rejects, F.count_if(bad).alias("bad_rows"), F.count(F.lit(1)).alias("rows"))
     if on_bad == "drop":
         return df.filter(~bad)
-    return df.filter(F.when(bad, F.raise_error(F.lit("malformed input row"))).otherwise(F.lit(True)))
+    if on_bad == "fail":
+        return df.filter(F.when(bad, F.raise_error(F.lit("malformed input row"))).otherwise(F.lit(True)))
+    return df
 
 
-def _read_csv(spark: SparkSession, path: str, schema: str, stream: bool, on_bad: str,
-              sep: str = ",") -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    df = (reader.schema(schema).option("sep", sep).option("header", "false")
-          .option("mode", "PERMISSIVE").csv(path))
-    return validate(df, on_bad)
+def _finish(df: DataFrame, on_bad: str, optional: set[str] = frozenset(),
+            rejects: Observation | str | None = None) -> DataFrame:
+    """The policy over all fields and ``ts``; then ``event_id``, the tie-break of the ``(ts, id)``
+    order the sequence operators need: a hash of the record's fields, so it is the
+    same on every retry and in streams.  Equal lines get equal ids; operators that
+    must tell them apart use the order of rows, not the id."""
+    checked = validate(df, on_bad, optional, rejects)
+    if "event_id" in df.columns:
+        return checked
+    return checked.withColumn("event_id", F.xxhash64(*[F.col(c) for c in df.columns]))
 
 
-def _with_ts(df: DataFrame, unit: str) -> DataFrame:
-    """Add ``ts`` (an instant) and ``event_id``, the tie-break of the ``(ts, id)``
-    order the sequence operators need: a hash of the record's fields, so it is
-    the same on every retry and in streams (identical lines need no tie-break)."""
-    fields = list(df.columns)
-    out = df.withColumn("ts", epoch_to_ts("timestamp", unit)).filter(F.col("ts").isNotNull())
-    if "event_id" not in fields:
-        out = out.withColumn("event_id", F.xxhash64(*[F.col(c) for c in fields]))
-    return out
+def _load_csv(spark: SparkSession, path: str, schema: str, stream: bool, unit: str, on_bad: str,
+              optional: set[str] = frozenset(), rejects: Observation | str | None = None) -> DataFrame:
+    reader = spark.readStream if stream else spark.read
+    df = (reader.schema(schema).option("sep", ",").option("header", "false")
+          .option("mode", "PERMISSIVE").csv(path))
+    return _finish(df.withColumn("ts", epoch_to_ts("timestamp", unit)), on_bad, optional, rejects)
 
 
 def load_user_behavior(spark: SparkSession, path: str, stream: bool = False, unit: str = "s",
-                       on_bad: str = "fail") -> DataFrame:
+                       on_bad: str = "fail", rejects: Observation | str | None = None) -> DataFrame:
     """userId, itemId, categoryId, behavior, timestamp (seconds by default)."""
-    return _with_ts(_read_csv(spark, path, USER_BEHAVIOR_SCHEMA, stream, on_bad), unit)
+    return _load_csv(spark, path, USER_BEHAVIOR_SCHEMA, stream, unit, on_bad, rejects=rejects)
 
 
 def load_ad_clicks(spark: SparkSession, path: str, stream: bool = False, unit: str = "ms",
-                   on_bad: str = "fail") -> DataFrame:
+                   on_bad: str = "fail", rejects: Observation | str | None = None) -> DataFrame:
     """userId, adId, province, city, timestamp (milliseconds by default)."""
-    return _with_ts(_read_csv(spark, path, AD_CLICK_SCHEMA, stream, on_bad), unit)
+    return _load_csv(spark, path, AD_CLICK_SCHEMA, stream, unit, on_bad, rejects=rejects)
 
 
 def load_logins(spark: SparkSession, path: str, stream: bool = False, unit: str = "s",
-                on_bad: str = "fail") -> DataFrame:
+                on_bad: str = "fail", rejects: Observation | str | None = None) -> DataFrame:
     """userId, ip, eventType ('fail' or anything else), timestamp (seconds)."""
-    return _with_ts(_read_csv(spark, path, LOGIN_SCHEMA, stream, on_bad), unit)
+    return _load_csv(spark, path, LOGIN_SCHEMA, stream, unit, on_bad, rejects=rejects)
 
 
 def load_order_events(spark: SparkSession, path: str, stream: bool = False, unit: str = "ms",
-                      on_bad: str = "fail") -> DataFrame:
+                      on_bad: str = "fail", rejects: Observation | str | None = None) -> DataFrame:
     """orderId, event ('create'/'pay'), txId (empty allowed -> null), timestamp."""
-    return _with_ts(_read_csv(spark, path, ORDER_EVENT_SCHEMA, stream, on_bad), unit)
+    return _load_csv(spark, path, ORDER_EVENT_SCHEMA, stream, unit, on_bad, ORDER_OPTIONAL, rejects=rejects)
 
 
 def load_receipts(spark: SparkSession, path: str, stream: bool = False, unit: str = "ms",
-                  on_bad: str = "fail") -> DataFrame:
+                  on_bad: str = "fail", rejects: Observation | str | None = None) -> DataFrame:
     """txId, payChannel, timestamp."""
-    return _with_ts(_read_csv(spark, path, RECEIPT_SCHEMA, stream, on_bad), unit)
+    return _load_csv(spark, path, RECEIPT_SCHEMA, stream, unit, on_bad, rejects=rejects)
 
 
 def load_market_behavior(spark: SparkSession, path: str, stream: bool = False, unit: str = "ms",
-                         on_bad: str = "fail") -> DataFrame:
+                         on_bad: str = "fail", rejects: Observation | str | None = None) -> DataFrame:
     """userId, behavior, channel, timestamp (the original generates these rows)."""
-    return _with_ts(_read_csv(spark, path, MARKET_SCHEMA, stream, on_bad), unit)
+    return _load_csv(spark, path, MARKET_SCHEMA, stream, unit, on_bad, rejects=rejects)
+
 
+def parse_access_log(lines: DataFrame, time_pattern: str | Sequence[str] = ACCESS_TIME_PATTERNS,
+                     value: str = "value", on_bad: str = "fail",
+                     rejects: Observation | str | None = None) -> DataFrame:
+    """Space-separated ``ip userId time method url``.
 
-def parse_access_log(lines: DataFrame, time_pattern: str = "dd/MM/yyyy:HH:mm:ss",
-                     value: str = "value") -> DataFrame:
-    """Space-separated ``ip userId time method url``; ``time_pattern`` parses the
-    third token (rows whose time does not parse are dropped)."""
+    A time pattern may contain spaces and then takes as many tokens; of several
+    patterns the first that parses is used (by default year first, with the time
+    of day in a token of its own or behind a colon)."""
+    patterns = [time_pattern] if isinstance(time_pattern, str) else list(time_pattern)
     parts = F.split(F.col(value), " ")
-    return (lines.select(parts.getItem(0).alias("ip"), parts.getItem(1).alias("user_id"),
-                         F.try_to_timestamp(parts.getItem(2), F.lit(time_pattern)).alias("ts"),
-                         parts.getItem(3).alias("method"), parts.getItem(4).alias("url"))
-            .filter(F.col("ts").isNotNull()))
+
+    def record(pattern: str) -> Column:
+        n = pattern.count(" ") + 1
+        text = F.array_join(F.slice(parts, 3, n), " ")
+        return F.struct(F.try_to_timestamp(text, F.lit(pattern)).alias("ts"),
+                        F.get(parts, F.lit(2 + n)).alias("method"), F.get(parts, F.lit(3 + n)).alias("url"))
+    tries = [record(p) for p in patterns]
+    rest = tries[-1]
+    for r in reversed(tries[:-1]):
+        rest = F.when(r["ts"].isNotNull(), r).otherwise(rest)
+    parsed = lines.select(F.get(parts, F.lit(0)).alias("ip"), F.get(parts, F.lit(1)).alias("user_id"), rest.alias("__r"))
+    return _finish(parsed.select("ip", "user_id", "__r.ts", "__r.method", "__r.url"), on_bad, rejects=rejects)
 
 
 def load_access_log(spark: SparkSession, path: str, stream: bool = False,
-                    time_pattern: str = "dd/MM/yyyy:HH:mm:ss") -> DataFrame:
+                    time_pattern: str | Sequence[str] = ACCESS_TIME_PATTERNS, on_bad: str = "fail",
+                    rejects: Observation | str | None = None) -> DataFrame:
+    """ip, userId, time, method, url."""
     reader = spark.readStream if stream else spark.read
-    return parse_access_log(reader.text(path), time_pattern)
+    return parse_access_log(reader.text(path), time_pattern, on_bad=on_bad, rejects=rejects)
 
 
-def parse_csv_value(values: DataFrame, schema: str, unit: str, value: str = "value",
-                    on_bad: str = "drop") -> DataFrame:
+def parse_csv_value(values: DataFrame, schema: str, unit: str, value: str = "value", on_bad: str = "fail",
+                    rejects: Observation | str | None = None) -> DataFrame:
     """Parse a string column of comma-separated records (e.g. Kafka values)."""
     parsed = values.select(F.from_csv(F.col(value).cast("string"), schema).alias("r")).select("r.*")
-    return _with_ts(validate(parsed, on_bad), unit)
+    optional = ORDER_OPTIONAL if schema == ORDER_EVENT_SCHEMA else frozenset()
+    return _finish(parsed.withColumn("ts", epoch_to_ts("timestamp", unit)), on_bad, optional, rejects)

@@ -61,13 +61,56 @@ def test_interval_join_hot_key_many_buckets(spark):
     assert got.count() == 200
 
 
-def test_tx_match_kth_pairs(spark):
-    pays = _side(spark, [(1, (1, 0)), (2, (1, 10)), (3, (2, 0)), (4, (4, 0))])
-    recs = _side(spark, [(11, (1, 2)), (12, (1, 20)), (13, (2, 3.5)), (14, (3, 0))])
+def test_tx_match_slot_rule(spark):
+    pays = _side(spark, [(1, (1, 0)), (2, (1, 10)), (3, (2, 0)), (4, (4, 0)),
+                         (5, (5, 100)), (6, (5, 200)),        # an early unmatched pay, then a match
+                         (7, (6, 0)), (8, (6, 1)),            # a newer pay takes the slot
+                         (9, (None, 0))])
+    recs = _side(spark, [(11, (1, 2)), (12, (1, 20)), (13, (2, 3.5)), (14, (3, 0)), (15, (5, 201)),
+                         (16, (6, 3)), (17, (6, 3.5)), (18, (None, 1)), (19, (4, 3))])
     got = rows(tx_match(pays, recs, 3), ["kind", "pay_event_id", "receipt_event_id"])
-    assert got == [("matched", 1, 11), ("order_only", 2, None), ("order_only", 3, None),
-                   ("order_only", 4, None), ("receipt_only", None, 12),
-                   ("receipt_only", None, 13), ("receipt_only", None, 14)]
+    assert got == [("matched", 1, 11), ("matched", 4, 19), ("matched", 6, 15), ("matched", 8, 16),
+                   ("order_only", 2, None), ("order_only", 3, None), ("order_only", 5, None),
+                   ("order_only", 7, None), ("order_only", 9, None),
+                   ("receipt_only", None, 12), ("receipt_only", None, 13), ("receipt_only", None, 14),
+                   ("receipt_only", None, 17), ("receipt_only", None, 18)]
+
+
+def test_matches_carry_the_records_and_pays_can_be_filtered(spark):
+    pays = _side(spark, [(1, (1, 0)), (2, (2, 0))]).selectExpr("*", "if(event_id = 1, 'pay', 'create') AS event")
+    recs = _side(spark, [(11, (1, 2)), (12, (2, 2))]).selectExpr("*", "'alipay' AS pay_channel")
+    got = {r.kind: r for r in tx_match(pays, recs, 3, pay_filter=F.col("event") == "pay").collect()}
+    assert set(got) == {"matched", "receipt_only"}
+    assert got["matched"].pay.event == "pay" and got["matched"].receipt.pay_channel == "alipay"
+    assert got["receipt_only"].pay is None and got["receipt_only"].receipt.tx_id == 2
+    joined = tx_interval_join(pays, recs, 3, 5).collect()
+    assert {(r.pay.event, r.receipt.pay_channel) for r in joined} == {("pay", "alipay"), ("create", "alipay")}
+
+
+def test_floor_div_is_exact(spark):
+    from tidemark.functions.time import floor_div
+    values = [2**63 - 1, -2**62 - 1, -1, 0, 9, 10, 2**53 + 1]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert {r.v: r.d for r in df.select("v", floor_div(F.col("v"), 10).alias("d")).collect()} == {v: v // 10 for v in values}
+
+
+def test_running_visitors_tell_equal_lines_apart(spark):
+    from tidemark.operators import running_unique_visitors
+    df = spark.createDataFrame([(7, 1, _at(0)), (7, 1, _at(0)), (8, 2, _at(1)), (8, 2, _at(1))],
+                               "event_id long, user_id long, ts timestamp")
+    assert sorted(r.uv for r in running_unique_visitors(df).collect()) == [1, 1, 2, 2]
+    assert sorted(r.uv for r in running_unique_visitors(df, chunk_us=1).collect()) == [1, 1, 2, 2]
+
+
+def test_late_access_log_end_to_end(spark, tmp_path):
+    from tidemark.sources import text
+    lines = ["a u 2020/10/06 12:21:00 GET /x", "a u 2020/10/06:14:00:00 GET /y", "a u 2020/10/06 12:22:00 GET /z"]
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.txt").write_text("\n".join(lines))
+    log = text.load_access_log(spark, str(tmp_path / "log")).withColumn(
+        "arr", F.when(F.col("url") == "/z", 3).when(F.col("url") == "/y", 2).otherwise(1).cast("long"))
+    late = split_late(log, F.col("arr"), size_s=600, slide_s=10)
+    assert [(r.url, r.method) for r in late.filter("is_late").collect()] == [("/z", "GET")] and late.count() == 3
 
 
 def test_split_late(spark):

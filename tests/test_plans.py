@@ -1,20 +1,24 @@
 """Physical-plan guards for every registered query (static plan, AQE off):
 no cartesian or nested-loop joins, no sort-based or Python aggregation, filters
-pushed to the parquet scan wherever the query selects event types, and only
-the needed columns read."""
+pushed to the parquet scan wherever the query selects event types, only the
+needed columns read, and every input read once -- also when keys are cut in chunks."""
 
 import re
 
 import pytest
 
-from __spark_entry__ import queries
 from tests.conftest import SF_SMALL
+from tidemark.operators.scan import CHUNK_CONF
+from tidemark.plans.queries import QUERIES
 
-QUERIES = queries()
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "ObjectHashAggregate",
              "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"]
 # queries over every event type have nothing to push down
 NO_FILTER = {"unique_visitors", "split_late"}
+# how often a query uses an input: two sides of a join, or two results held together
+SCANS = {"tx_interval_join": 2, "tx_match": 2, "unique_visitors_hll": 2}
+SCANNED = ["login_fail_pattern", "login_fail_immediate", "login_fail_burst", "order_timeout", "order_pay_match",
+           "tx_match", "split_late"]
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +42,28 @@ def test_plan_shape(plans, name):
         schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
         assert "props" not in schema or name in {"hot_items", "hot_items_sql", "hot_pages",
                                                   "windowed_count", "channel_counts",
-                                                  "sliding_count_panes"}, schema
+                                                  "sliding_count_panes", "ad_click_filter",
+                                                  "ad_click_warnings", "ad_clicks_by_province"}, schema
         if name not in NO_FILTER:
             assert re.search(r"PushedFilters: \[[^\]]*(EqualTo|In)\(event_type", scan), scan
+    assert len(scans) == SCANS.get(name, 1), plan
+
+
+@pytest.mark.parametrize("name", SCANNED)
+def test_cut_keys_read_their_input_once(spark, name):
+    """With every key over the limit the rows are still scanned once and shuffled once: the
+    chunk rows come from the same exchange."""
+    from tests.conftest import rows
+
+    expect = rows(QUERIES[name](spark, SF_SMALL))
+    spark.conf.set(CHUNK_CONF, "3")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(CHUNK_CONF)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = len(re.findall(r"FileScan parquet .*events[.]parquet", plan))
+    assert scans <= SCANS.get(name, 1) and "ReusedExchange" in plan, plan
+    assert rows(df) == expect

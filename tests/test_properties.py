@@ -129,18 +129,21 @@ def test_tx_joins(spark, pays, recs):
     wait = 4
     out = []
     for k in {x[0] for x in pays} | {x[0] for x in recs}:
-        ps = sorted((s, i) for i, (kk, s) in enumerate(pays) if kk == k)
-        rs = sorted((s, 1000 + j) for j, (kk, s) in enumerate(recs) if kk == k)
-        for n in range(max(len(ps), len(rs))):
-            a = ps[n] if n < len(ps) else None
-            b = rs[n] if n < len(rs) else None
-            if a and b and a[0] <= b[0] <= a[0] + wait:
-                out.append(("matched", a[1], b[1]))
-            else:
-                if a:
-                    out.append(("order_only", a[1], None))
-                if b:
-                    out.append(("receipt_only", None, b[1]))
+        seq = sorted([(s, 0, i) for i, (kk, s) in enumerate(pays) if kk == k]
+                     + [(s, 1, 1000 + j) for j, (kk, s) in enumerate(recs) if kk == k])
+        slot = None                                    # the one waiting pay
+        for s, is_receipt, i in seq:
+            if is_receipt and slot and s - slot[0] <= wait:
+                out.append(("matched", slot[1], i))
+                slot = None
+                continue
+            if slot:
+                out.append(("order_only", slot[1], None))
+            slot = None if is_receipt else (s, i)
+            if is_receipt:
+                out.append(("receipt_only", None, i))
+        if slot:
+            out.append(("order_only", slot[1], None))
     key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
     got = rows(O.tx_match(p, r, wait, chunk_us=CHUNK), ["kind", "pay_event_id", "receipt_event_id"])
     assert got == sorted(out, key=key)

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.operators.scan import ScanAgg, segmented_scan
+from tidemark.operators.scan import ScanAgg, measure, segmented_scan
 
 
 @pytest.fixture(scope="module")
@@ -70,19 +70,67 @@ def test_null_keys_scan_separately(spark):
     assert {r["id"]: r["s"] for r in got.collect()} == {1: 5, 2: 12, 3: 100, 4: 101}
 
 
-def test_join_back_reuses_window_partitioning(spark, data):
+def plan_of(spark, df):
+    """Static plan: AQE off, no broadcast by size."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v"))],
-                             (F.col("t") / 500).cast("long"))
-        plan = out._jdf.queryExecution().executedPlan().toString()
+        return df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # one exchange under the window, one for the chunk summary, one for the
-    # prefix window, one to co-partition the prefix: the rows themselves shuffle once
-    assert plan.count("Exchange hashpartitioning") == 4, plan
+
+
+@pytest.mark.parametrize("carried", [[], ["v"]])
+def test_rows_are_shuffled_once_and_the_exchange_is_reused(spark, tmp_path, data, carried):
+    data.write.parquet(str(tmp_path / "t"))
+    src = spark.read.parquet(str(tmp_path / "t")).select("id", "k", "t", *carried)
+    out = segmented_scan(src, ["k"], ["t", "id"], [ScanAgg("s", "prev", F.col("t"))], (F.col("t") / 500).cast("long"))
+    plan = plan_of(spark, out)
+    # the rows by (key, chunk), the chunk rows by key, their prefix by (key, chunk)
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1, plan
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 3, plan
+
+
+def test_keys_of_ordinary_size_are_one_window(spark, data):
+    plan = plan_of(spark, segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v"))],
+                                         measure(data, ["k"], "t")))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("rows_each", [20, 100, 1000])
+def test_measured_chunks(spark, data, rows_each):
+    """Only the heavy keys are cut, to chunks near the wanted size, and the rows stay the same."""
+    chunks = measure(data, ["k"], "t", rows_each)
+    counts = {r.k: r["count"] for r in data.groupBy("k").count().collect()}
+    heavy = {r.k: r["__width"] for r in chunks.heavy.collect()} if chunks.heavy is not None else {}
+    assert set(heavy) == {k for k, n in counts.items() if n > rows_each}
+    for k, width in heavy.items():
+        most = data.filter(F.col("k") == k).groupBy(F.floor(F.col("t") / width)).count().agg(F.max("count")).first()[0]
+        assert most <= 2 * rows_each
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
+    expect = rows(data.select("id", F.coalesce(F.sum("v").over(w), F.lit(0)).alias("s"), F.last("v", True).over(w).alias("n")))
+    got = segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v")), ScanAgg("n", "nearest", F.col("v"))], chunks)
+    assert rows(got.select("id", "s", "n")) == expect
+
+
+@pytest.mark.parametrize("kind", ["date", "string", "boolean", "timestamp", "int"])
+def test_key_types(spark, kind):
+    values = {"date": "2024-01-0{}", "string": "{}", "boolean": "{}", "timestamp": "2024-01-0{} 00:00:00", "int": "{}"}[kind]
+    recs = [(i, None if i % 3 == 2 else values.format(i % 3 + (kind in ("date", "timestamp"))), i) for i in range(12)]
+    df = spark.createDataFrame(recs, "id long, k string, t long").withColumn("k", F.col("k").cast(kind))
+    got = segmented_scan(df, ["k"], ["t"], [ScanAgg("p", "prev", F.col("t"))], F.floor(F.col("t") / 4))
+    assert {r.id: r.p for r in got.collect()} == {i: i - 3 if i >= 3 else None for i in range(12)}
+
+
+def test_keyless_scan_measured(spark, data):
+    w = Window.orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
+    expect = rows(data.select("id", F.max("t").over(w).alias("m")))
+    for n in (10, 200, 100_000):
+        chunks = measure(data, [], "t", n)
+        assert (chunks.width is None) == (n == 100_000)
+        got = segmented_scan(data, [], ["t", "id"], [ScanAgg("m", "max", F.col("t"))], chunks)
+        assert rows(got.select("id", "m")) == expect
 
 
 @pytest.mark.parametrize("reverse", [False, True])

@@ -53,8 +53,8 @@ def test_burst_rules(spark):
         (2, "fail", 0), (2, "fail", 1), (2, "success", 2),       # success at t0+2 cancels
         (3, "fail", 0), (3, "fail", 3),                          # second fail outside window
         (4, "fail", 10), (4, "success", 20), (4, "fail", 30), (4, "fail", 31)])  # new run after success
-    got = rows(login_fail_burst(df, 2, 2), ["user_id", "first_fail_ms", "last_fail_ms", "fail_count"])
-    assert got == [(1, MS0, MS0 + 2000, 3), (4, MS0 + 30000, MS0 + 31000, 2)]
+    got = rows(login_fail_burst(df, 2, 2), ["user_id", "first_fail_ms", "last_fail_ms", "fail_count", "warning_msg"])
+    assert got == [(1, MS0, MS0 + 2000, 3, "失败3次"), (4, MS0 + 30000, MS0 + 31000, 2, "失败2次")]
 
 
 def test_order_timeout(spark):
@@ -96,14 +96,14 @@ def test_empty_input(spark):
     assert login_fail_burst(df).count() == 0
 
 
-def test_chunk_width_from_session_does_not_change_results(spark):
-    from tidemark.operators.scan import CHUNK_CONF, chunk_width
+def test_chunk_rows_from_session_do_not_change_results(spark):
+    from tidemark.operators.scan import CHUNK_CONF, measure
 
     df = logins(spark, [(1, "fail", s) for s in range(0, 40, 3)] + [(1, "success", 20)])
     base = rows(login_fail_pattern(df, 4))
     spark.conf.set(CHUNK_CONF, "5")
     try:
-        assert chunk_width(df, None) == 5_000_000
+        assert measure(df.selectExpr("user_id", "unix_micros(ts) AS t"), ["user_id"], "t").heavy.count() == 1
         assert rows(login_fail_pattern(df, 4)) == base
         assert rows(login_fail_burst(df, 2, 4)) == rows(login_fail_burst(df, 2, 4, chunk_us=3_600_000_000))
     finally:

@@ -86,8 +86,7 @@ def test_original_defaults_entry_points(spark):
 @pytest.mark.parametrize("size_s,slide_s,seed", [(3600, 300, 21), (7200, 60, 22), (600, 600, 23)])
 def test_distinct_delta_equals_expand(spark, size_s, slide_s, seed):
     ev = _events(spark, 400, seed, span_s=2 * 86400)
-    a = rows(sliding_distinct_count(ev, ["k"], "user_id", "ts", size_s, slide_s, method="delta",
-                                    chunk_panes=16))
+    a = rows(sliding_distinct_count(ev, ["k"], "user_id", "ts", size_s, slide_s, method="delta"))
     b = rows(sliding_distinct_count(ev, ["k"], "user_id", "ts", size_s, slide_s, method="expand"))
     assert a == b
     c = rows(sliding_distinct_count(ev, [], "user_id", "ts", size_s, slide_s, method="delta"))

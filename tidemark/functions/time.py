@@ -17,8 +17,8 @@ DAY_S = 86_400
 
 def floor_div(num: Column, den: int) -> Column:
     """Exact floor division of a BIGINT column by a positive constant."""
-    den_l = F.lit(int(den))
-    return ((num - F.pmod(num, den_l)) / den_l).cast("bigint")
+    den_l = F.lit(int(den)).cast("bigint")
+    return F.call_function("div", num - F.pmod(num, den_l), den_l)
 
 
 def as_event_time(df: DataFrame, col: str) -> Column:

@@ -10,8 +10,7 @@ In batch the watermark an event meets is the running max of event time over
 the events that *arrived* before it.  That global running max is a segmented
 scan in arrival order: a max per arrival chunk, a prefix max over the (few)
 chunks, and a sorted max only within each chunk -- never one task for all rows.
-The arrival chunk defaults to one minute: a keyless chunk holds every row that
-arrived in it, so it is kept short.
+The arrival chunks are sized from the number of rows and their time span.
 """
 
 from __future__ import annotations
@@ -20,13 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import (
-    GLOBAL_CHUNK_US,
-    ScanAgg,
-    chunk_width,
-    segmented_scan,
-    time_chunk,
-)
+from tidemark.operators.scan import ScanAgg, chunks_for, segmented_scan
 
 
 def split_late(df: DataFrame, arrival_us: Column, ts: str = "ts", order_id: str = "event_id",
@@ -44,7 +37,7 @@ def split_late(df: DataFrame, arrival_us: Column, ts: str = "ts", order_id: str
     base = df.withColumn("__arr", arrival_us).withColumn("__ts", F.unix_micros(ts))
     scanned = segmented_scan(base, [], ["__arr", order_id],
                              [ScanAgg("__max", "max", F.col("__ts"))],
-                             time_chunk(F.col("__arr"), chunk_width(base, chunk_us, GLOBAL_CHUNK_US)))
+                             chunks_for(base, [], "__arr", chunk_us))
     last_end = floor_div(F.col("__ts"), slide_us) * F.lit(slide_us) + F.lit(size_us)
     wm = F.col("__max") - F.lit(seconds_to_us(delay_s))
     return (scanned

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import ScanAgg, chunk_width, segmented_scan, time_chunk
+from tidemark.operators.scan import ScanAgg, chunks_for, segmented_scan
 
 
 def _side(df: DataFrame, key: str, order_id: str, prefix: str) -> DataFrame:
+    """key, event id, time, and the whole record as a struct."""
     return df.select(key, F.col(order_id).alias(f"{prefix}_event_id"),
-                     F.unix_micros("ts").alias(f"__{prefix}_ts"))
+                     F.unix_micros("ts").alias(f"__{prefix}_ts"), F.struct(*df.columns).alias(prefix))
 
 
 def tx_interval_join(pays: DataFrame, receipts: DataFrame, before_s: float = 3, after_s: float = 5,
@@ -24,7 +25,9 @@ def tx_interval_join(pays: DataFrame, receipts: DataFrame, before_s: float = 3,
     touches, so the equi-join on ``(key, bucket)`` only meets rows that can be
     within range -- a key with years of events never pairs all its rows.  Each
     pair is produced once (in the receipt's bucket).
-    Output: ``tx_id, pay_event_id, receipt_event_id, pay_ms, receipt_ms``.
+    Rows without a key pair with nothing.
+    Output: ``tx_id, pay_event_id, receipt_event_id, pay_ms, receipt_ms, pay, receipt``;
+    the last two are the whole records.
     """
     b_us, a_us = seconds_to_us(before_s), seconds_to_us(after_s)
     width = max(b_us + a_us, 1)
@@ -37,53 +40,57 @@ def tx_interval_join(pays: DataFrame, receipts: DataFrame, before_s: float = 3,
         F.col("__receipt_ts").between(F.col("__pay_ts") - F.lit(b_us), F.col("__pay_ts") + F.lit(a_us)))
     return j.select(key, "pay_event_id", "receipt_event_id",
                     floor_div(F.col("__pay_ts"), 1000).alias("pay_ms"),
-                    floor_div(F.col("__receipt_ts"), 1000).alias("receipt_ms"))
+                    floor_div(F.col("__receipt_ts"), 1000).alias("receipt_ms"), "pay", "receipt")
 
 
 def tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3, key: str = "tx_id",
-             order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
-    """One-to-one reconciliation of two streams sharing a key.
+             order_id: str = "event_id", chunk_us: int | None = None,
+             pay_filter: Column | None = None) -> DataFrame:
+    """One-to-one reconciliation of two streams sharing a key, one slot per key.
 
-    The k-th pay of a key (in ``(ts, id)`` order) is paired with the k-th
-    receipt; the pair matches when the receipt comes at most ``wait_s`` after
-    the pay (the original waits that long for a receipt).  Unmatched rows of
-    either side are reported once each.  With one pay and one receipt per key
-    this equals the original's one-slot state; with repeated keys the original
-    overwrites its slot, which is not copied.
+    A pay waits in the slot for ``wait_s``; the next event of the key, if it is a receipt
+    that comes in that time (bound included), takes it and both are ``matched``.  A
+    new pay takes the slot of an older one.  Every other row of either side is
+    reported once, unmatched, and so is a row without a key.  At equal times pays
+    come before receipts, then ids decide.  ``pay_filter`` keeps the order events that
+    are pays (e.g. a non-null transaction id).
 
-    Both sides are ranked in one segmented running count over their union,
-    keyed by (key, side), so no key is sorted whole in one task; the k-th pay
-    and the k-th receipt then meet in a ``groupBy(key, k)`` (at most one row of
-    each side per group, partial aggregation map-side) instead of a full outer
-    join, and a hot key spreads over its many k.
-    Output: ``tx_id, kind, pay_event_id, receipt_event_id, pay_ms, receipt_ms``
-    with kind ``matched`` / ``order_only`` / ``receipt_only``.
+    Both sides are scanned once, together, in the order of each key: a row only needs
+    the events before and behind it.
+    Output: ``tx_id, kind, pay_event_id, receipt_event_id, pay_ms, receipt_ms, pay,
+    receipt`` with kind ``matched`` / ``order_only`` / ``receipt_only``; the last two are
+    the whole records.
     """
-    both = (pays.select(key, F.col(order_id).alias("__id"), F.unix_micros("ts").alias("__ts"),
-                        F.lit(0).alias("__side"))
-            .unionByName(receipts.select(key, F.col(order_id).alias("__id"),
-                                         F.unix_micros("ts").alias("__ts"), F.lit(1).alias("__side"))))
-    ranked = segmented_scan(both, [key, "__side"], ["__ts", "__id"], [ScanAgg("__k", "sum", F.lit(1))],
-                            time_chunk(F.col("__ts"), chunk_width(both, chunk_us)), inclusive=True)
+    if pay_filter is not None:
+        pays = pays.filter(pay_filter)
+    kinds = [dict(df.dtypes)[key] for df in (pays, receipts)]
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"{key} is {kinds[0]} in the pays and {kinds[1]} in the receipts")
 
-    def pick(side: int, col: str):
-        return F.max(F.when(F.col("__side") == side, F.col(col)))
+    def side(df: DataFrame, other: DataFrame, receipt: bool) -> DataFrame:
+        own, none = F.struct(*df.columns), F.lit(None).cast(other.select(F.struct(*other.columns).alias("r")).schema["r"].dataType)
+        return df.select(key, F.col(order_id).alias("__id"), F.unix_micros("ts").alias("__ts"),
+                         (F.unix_micros("ts") * 2 + int(receipt)).alias("__ord"), F.lit(receipt).alias("__receipt"),
+                         (none if receipt else own).alias("pay"), (own if receipt else none).alias("receipt"))
+    both = side(pays, receipts, False).unionByName(side(receipts, pays, True))
+    near = F.struct(F.col("__id").alias("id"), F.col("__ts").alias("ts"), F.col("__receipt").alias("receipt"))
+    scanned = segmented_scan(
+        both, [key], ["__ord", "__id"],
+        [ScanAgg("__p", "prev", near.withField("pay", F.col("pay"))), ScanAgg("__n", "next", near)],
+        chunks_for(both, [key], "__ts", chunk_us))
+    wait = F.lit(seconds_to_us(wait_s))
+    named = F.col(key).isNotNull()
 
-    j = ranked.groupBy(key, "__k").agg(
-        pick(0, "__id").alias("pay_event_id"), pick(0, "__ts").alias("__pay_ts"),
-        pick(1, "__id").alias("receipt_event_id"), pick(1, "__ts").alias("__receipt_ts"))
-    pay_ts, rec_ts = F.col("__pay_ts"), F.col("__receipt_ts")
-    ok = F.coalesce(rec_ts.between(pay_ts, pay_ts + F.lit(seconds_to_us(wait_s))), F.lit(False))
-    kinds = F.when(ok, F.array(F.lit("matched"))).otherwise(F.array_compact(F.array(
-        F.when(F.col("pay_event_id").isNotNull(), F.lit("order_only")),
-        F.when(F.col("receipt_event_id").isNotNull(), F.lit("receipt_only")))))
-    rows = j.select(key, "pay_event_id", "receipt_event_id", "__pay_ts", "__receipt_ts",
-                    F.explode(kinds).alias("kind"))
-    keep_pay = F.col("kind") != "receipt_only"
-    keep_rec = F.col("kind") != "order_only"
-    return rows.select(
-        key, "kind",
-        F.when(keep_pay, F.col("pay_event_id")).alias("pay_event_id"),
-        F.when(keep_rec, F.col("receipt_event_id")).alias("receipt_event_id"),
-        F.when(keep_pay, floor_div(pay_ts, 1000)).alias("pay_ms"),
-        F.when(keep_rec, floor_div(rec_ts, 1000)).alias("receipt_ms"))
+    def taken(pay_ts: Column, receipt_ts: Column) -> Column:
+        return named & (receipt_ts - pay_ts <= wait)
+    got = F.coalesce(F.col("__receipt") & ~F.col("__p.receipt") & taken(F.col("__p.ts"), F.col("__ts")), F.lit(False))
+    gone = F.coalesce(~F.col("__receipt") & F.col("__n.receipt") & taken(F.col("__ts"), F.col("__n.ts")), F.lit(False))
+    ms = floor_div(F.col("__ts"), 1000)
+    is_pay = ~F.col("__receipt")
+    return scanned.filter(~gone).select(
+        key, F.when(got, F.lit("matched")).when(is_pay, F.lit("order_only")).otherwise(F.lit("receipt_only")).alias("kind"),
+        F.when(is_pay, F.col("__id")).when(got, F.col("__p.id")).alias("pay_event_id"),
+        F.when(F.col("__receipt"), F.col("__id")).alias("receipt_event_id"),
+        F.when(is_pay, ms).when(got, floor_div(F.col("__p.ts"), 1000)).alias("pay_ms"),
+        F.when(F.col("__receipt"), ms).alias("receipt_ms"),
+        F.when(got, F.col("__p.pay")).otherwise(F.col("pay")).alias("pay"), "receipt")

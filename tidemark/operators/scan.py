@@ -1,33 +1,34 @@
 """Ordered per-key scans (running sum / min / max / nearest row) without hot groups.
 
 A Spark window function sorts a whole ``partitionBy`` group inside one task.
-When one key holds a large share of all rows (one user, one order id, or no key
-at all) that task is the whole job.  ``segmented_scan`` computes the same
-running aggregates while sorting only within ``(key, chunk)`` groups, where
-``chunk`` is a coarse bucket of the ordering column (an hour of event time, a
-block of panes):
+That is the right plan for keys of ordinary size, and ``segmented_scan`` uses it
+for them.  When one key holds a large share of all rows (one user, one order id,
+or no key at all) that task would be the whole job, so such a key is cut in chunks
+along the scan order, sized from the data (``measure``):
 
-1. within each ``(key, chunk)``: the window aggregate over the rows before (or
+1. rows are shuffled once, by ``(key, chunk)``;
+2. within each ``(key, chunk)``: the window aggregate over the rows before (or
    up to) the current one;
-2. per ``(key, chunk)``: one summary row (partial aggregation, so a hot chunk
-   is combined map-side before it shuffles);
-3. per key over the summary rows only: the aggregate of all *earlier* chunks
-   (a key has at most span / chunk-width summary rows);
-4. join the chunk prefix back on ``(key, chunk)`` and combine.
-
-All four steps are plain DataFrame operations; the prefix table is small and
-AQE broadcasts it when its measured size allows.  ``chunk`` must be
-non-decreasing in the scan order.
+3. the running value at the last row of every chunk of a cut key, from the same
+   shuffled rows (the exchange is reused, the input is read once);
+4. per cut key over these chunk rows only: the aggregate of all *earlier* chunks;
+5. that prefix is joined back on ``(key, chunk)`` and combined.
+
+All steps are plain DataFrame operations.  ``chunk`` must be non-decreasing in the
+scan order.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
+
+from tidemark.functions.time import floor_div
+from tidemark.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,66 @@ class ScanAgg:
     expr: Column
 
 
-_WINDOW_FN = {
+# Rows that one task may sort for one key; keys with more are cut in chunks of about so
+# many.  The session setting tunes it at scale without code changes.
+CHUNK_ROWS = 1_000_000
+CHUNK_CONF = "tidemark.scan.chunkRows"
+# A scan without a key over at most so many rows is one sort.
+SMALL_ROWS = 100_000
+# Cut keys that are broadcast at most (their number is counted first); more are joined.
+BROADCAST_KEYS = 100_000
+
+
+@dataclass(frozen=True)
+class Chunks:
+    """How the rows of a scan are cut: ``heavy`` has the cut keys with a chunk width each
+    (None: no key is cut); ``width`` is the chunk width of a scan without a key (None: so
+    few rows that one task sorts them)."""
+
+    along: str
+    heavy: DataFrame | None = None
+    few: bool = True
+    width: int | None = None
+
+
+def measure(df: DataFrame, keys: list[str], along: str, chunk_rows: int | None = None) -> Chunks:
+    """Chunks of about ``chunk_rows`` rows along the bigint column ``along``.
+
+    One aggregation counts the rows of every key (partial sums map-side, only the key
+    and ``along`` are read) and brings one row to the driver; only if a key is over the
+    limit are the cut keys written to the checkpoint folder, at most rows /
+    ``chunk_rows`` of them."""
+    rows = chunk_rows or int(df.sparkSession.conf.get(CHUNK_CONF, str(CHUNK_ROWS)))
+    span = (F.max(along) - F.min(along) + 1).cast("decimal(38,0)")
+    width = F.greatest(F.lit(1), F.ceil(span * rows / F.count(F.lit(1)))).cast("bigint")
+    if not keys:
+        got = df.agg(F.count(F.lit(1)).alias("n"), F.min(along).alias("lo"), F.max(along).alias("hi")).first()
+        if got.n <= min(rows, SMALL_ROWS):
+            return Chunks(along)
+        spread = max(1, df.sparkSession.sparkContext.defaultParallelism)
+        share = min(rows, -(-got.n // spread))   # a scan without a key still uses every core
+        return Chunks(along, width=max(1, -(-(got.hi - got.lo + 1) * share // got.n)))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), width.alias("__width"))
+    cut = per_key.agg(F.count_if(F.col("__n") > rows)).first()[0]
+    if not cut:
+        return Chunks(along)
+    # a written table: unlike a checkpoint its scans compare equal, so exchanges above are reused
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/scan-{uuid.uuid4().hex}"
+    per_key.filter(F.col("__n") > rows).select(*keys, "__width").write.parquet(path)
+    return Chunks(along, df.sparkSession.read.parquet(path), cut <= BROADCAST_KEYS)
+
+
+def time_chunk(ts_us: Column, width_us: int) -> Column:
+    """Chunk id of a fixed width from an epoch-microsecond column."""
+    return floor_div(ts_us, width_us)
+
+
+def chunks_for(df: DataFrame, keys: list[str], along: str, chunk_us: int | None = None) -> Chunks | Column:
+    """Fixed chunks if a width is given, else measured ones."""
+    return time_chunk(F.col(along), chunk_us) if chunk_us else measure(df, keys, along)
+
+
+_RUNNING = {
     "sum": F.sum,
     "min": F.min,
     "max": F.max,
@@ -54,100 +114,127 @@ _WINDOW_FN = {
 }
 
 
+def _over(a: ScanAgg, value: Column, by_row, frame) -> Column:
+    if a.kind == "next":
+        return F.lead(value).over(by_row)
+    if a.kind == "prev":
+        return F.lag(value).over(by_row)
+    return _RUNNING[a.kind](value).over(frame)
+
+
 def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[ScanAgg],
-                   chunk: Column, reverse: bool = False, inclusive: bool = False,
+                   chunk: Chunks | Column | None = None, reverse: bool = False, inclusive: bool = False,
                    _nested: bool = False) -> DataFrame:
     """Add one column per ``ScanAgg`` holding its running value.
 
     keys: partition columns of the scan (may be empty: one global order).
     order: columns giving a total order within a key (e.g. ``ts_us, event_id``).
+    chunk: measured chunks, a chunk column, or None (no key is cut).
     reverse: scan from the last row backwards (``nearest`` then means *next*).
     inclusive: whether the current row is part of its own frame.
+
+    The returned plan reads its input once.  Where keys are cut, all columns of ``df``
+    are shuffled: project before scanning.
     """
     if not aggs:
         return df
-    ck = "__scan_chunk"
-    base = df.withColumn(ck, chunk)
+    direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
+    upper = Window.currentRow if inclusive else -1
+    sort = [direction(c) for c in order]
+    if chunk is None or (isinstance(chunk, Chunks) and chunk.heavy is None and chunk.width is None):
+        by_row = Window.partitionBy(*keys).orderBy(*sort)
+        frame = by_row.rowsBetween(Window.unboundedPreceding, upper)
+        out = df
+        for a in aggs:
+            value = _over(a, a.expr, by_row, frame)
+            out = out.withColumn(a.name, F.coalesce(value, F.lit(0)) if a.kind == "sum" else value)
+        return out
+
+    ck, cut = "__scan_chunk", "__scan_cut"
+    if isinstance(chunk, Column):
+        base = df.withColumn(ck, chunk).withColumn(cut, F.lit(True))
+    elif chunk.heavy is None:
+        base = df.withColumn(ck, floor_div(F.col(chunk.along), chunk.width)).withColumn(cut, F.lit(True))
+    else:
+        heavy = chunk.heavy.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], "__width")
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
+        along = F.col(chunk.along)
+        base = (df.join(F.broadcast(heavy) if chunk.few else heavy, same, "left")
+                .withColumn(cut, F.col("__width").isNotNull())
+                .withColumn(ck, F.when(F.col(cut), F.call_function(
+                    "div", along - F.pmod(along, "__width"), F.col("__width"))).otherwise(F.lit(0).cast("bigint")))
+                .drop("__width", *[f"__h{i}" for i in range(len(keys))]))
     # Non-null stand-ins for the keys (value with nulls replaced, plus an
     # is-null flag): grouping on them equals grouping on the keys, and the
     # join back below can be a plain equi-join on the very columns the
-    # window partitioned by, so the large side is not shuffled again.
+    # rows were shuffled by, so they are not shuffled again.
     norm: list[str] = []
     for i, k in enumerate(keys):
-        dtype = base.schema[k].dataType
-        base = (base.withColumn(f"__sk{i}v", F.coalesce(F.col(k), F.lit(0).cast(dtype)))
+        kind = base.schema[k].dataType.simpleString()
+        stand_in = {"string": F.lit(""), "date": F.lit("1970-01-01").cast("date"), "boolean": F.lit(False),
+                    "timestamp": F.timestamp_micros(F.lit(0).cast("bigint")),
+                    "timestamp_ntz": F.lit("1970-01-01").cast("timestamp_ntz")}.get(kind)
+        stand_in = F.lit(0).cast(kind) if stand_in is None else stand_in
+        base = (base.withColumn(f"__sk{i}v", F.coalesce(F.col(k), stand_in))
                 .withColumn(f"__sk{i}n", F.col(k).isNull()))
         norm += [f"__sk{i}v", f"__sk{i}n"]
-    keys = norm
-    part = [*keys, ck]
-    direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-    upper = Window.currentRow if inclusive else -1
-    w_in = (Window.partitionBy(*part).orderBy(*[direction(c) for c in order])
-            .rowsBetween(Window.unboundedPreceding, upper))
-
-    w_row = Window.partitionBy(*part).orderBy(*[direction(c) for c in order])
-    within = base
-    for a in aggs:
-        if a.kind in ("next", "prev"):
-            shift = F.lead if a.kind == "next" else F.lag
-            col = shift(a.expr).over(w_row)
-            # at the chunk edge the neighbour comes from the adjacent chunk
-            within = within.withColumn(f"__edge_{a.name}",
-                                       shift(F.lit(1)).over(w_row).isNull())
-        else:
-            col = _WINDOW_FN[a.kind](a.expr).over(w_in)
-        within = within.withColumn(f"__in_{a.name}", col)
-
-    # one row per (key, chunk); partial aggregation before the shuffle
-    order_key = _packed_order(base, order)
-    summary_cols = []
-    for a in aggs:
-        if a.kind == "nearest":
-            agg = _nearest_summary(base, a.expr, order_key, reverse)
-        elif a.kind in ("next", "prev"):
-            # first (for next) or last (for prev) row of the chunk in scan order
-            first = (a.kind == "next") != reverse
-            agg = _row_at(base, a.expr, order_key, first)
-        else:
-            agg = {"sum": F.sum, "min": F.min, "max": F.max}[a.kind](a.expr)
-        summary_cols.append(agg.alias(f"__ch_{a.name}"))
-    summary = base.groupBy(*part).agg(*summary_cols)
-
-    w_ch = (Window.partitionBy(*keys).orderBy(direction(ck))
-            .rowsBetween(Window.unboundedPreceding, -1))
-    w_ch_row = Window.partitionBy(*keys).orderBy(direction(ck))
-
-    def across(a: ScanAgg) -> Column:
-        ch = F.col(f"__ch_{a.name}")
-        if a.kind == "next":
-            return F.lead(ch).over(w_ch_row)
-        if a.kind == "prev":
-            return F.lag(ch).over(w_ch_row)
-        return _WINDOW_FN[a.kind](ch).over(w_ch)
+    part = [*norm, ck]
+    names = [f"__a{i}" for i in range(len(aggs))]
+    rows = base.withColumns({n: a.expr for n, a in zip(names, aggs)}).repartition(*part)
+    by_row = Window.partitionBy(*part).orderBy(*sort)
+    frame = by_row.rowsBetween(Window.unboundedPreceding, upper)
+    whole = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    within = rows.withColumns(
+        {f"__in_{n}": _over(a, F.col(n), by_row, frame) for n, a in zip(names, aggs)}
+        # at the chunk's edge the neighbour comes from the adjacent chunk
+        | {"__first": F.lag(F.lit(1)).over(by_row).isNull(), "__last": F.lead(F.lit(1)).over(by_row).isNull()})
+
+    # The condition on the hash is true for every row.  It reads all columns, so that both
+    # uses of the shuffled rows need the same columns, whatever a caller drops
+    # later, and share one exchange.
+    carried = [c for c in base.columns if c not in part and base.schema[c].dataType.typeName() != "map"]
+    every = F.hash(*carried) >= -2**31
+
+    # what a chunk hands on: its running value at its last row, for ``next`` the value at
+    # its first row
+    taken = rows.withColumns({f"__ch_{n}": F.col(n) if a.kind in ("next", "prev") else _over(a, F.col(n), by_row, whole)
+                              for n, a in zip(names, aggs)}
+                             | {"__first": F.lag(F.lit(1)).over(by_row).isNull(),
+                                "__last": F.lead(F.lit(1)).over(by_row).isNull()}) \
+        .filter(F.col(cut) & every)
+    sides = {"__first" if a.kind == "next" else "__last" for a in aggs}
+    if len(sides) == 1:
+        ends = taken.filter(sides.pop())
+    else:   # one row per chunk from its two edge rows
+        ends = taken.filter("__first OR __last").groupBy(*part).agg(*[
+            F.max_by(f"__ch_{n}", F.when(F.col("__first"), F.lit(1)).otherwise(F.lit(0))).alias(f"__ch_{n}")
+            if a.kind == "next" else
+            F.max_by(f"__ch_{n}", F.when(F.col("__last"), F.lit(1)).otherwise(F.lit(0))).alias(f"__ch_{n}")
+            for n, a in zip(names, aggs)])
+    summary = ends.select(*part, *[f"__ch_{n}" for n in names])
 
     renamed = {c: f"__pk{i}" for i, c in enumerate(part)}
     if not keys and not _nested:
-        # No key: the chunk summaries form one global order too.  Their prefix
-        # is itself a segmented scan (groups of 1,024 chunks), so no task holds
-        # every chunk row -- only the few group rows meet in one window.
-        outer = "__outer_chunk"
+        # No key: the chunk rows form one global order too.  Their prefix is itself a
+        # segmented scan (groups of 1,024 chunks), so no task holds every chunk
+        # row -- only the few group rows meet in one window.
         inner = segmented_scan(
-            summary.withColumnRenamed(ck, outer), [], [outer],
-            [ScanAgg(f"__pre_{a.name}", a.kind, F.col(f"__ch_{a.name}")) for a in aggs],
-            floor_div_int(F.col(outer), 1024), reverse=reverse, inclusive=False, _nested=True)
-        prefix = inner.select(F.col(outer).alias(renamed[ck]),
-                              *[F.col(f"__pre_{a.name}") for a in aggs])
+            summary.withColumnRenamed(ck, "__outer_chunk"), [], ["__outer_chunk"],
+            [ScanAgg(f"__out_{n}", a.kind, F.col(f"__ch_{n}")) for n, a in zip(names, aggs)],
+            floor_div(F.col("__outer_chunk"), 1024), reverse=reverse, inclusive=False, _nested=True)
+        prefix = inner.select(F.col("__outer_chunk").alias(renamed[ck]), *[F.col(f"__out_{n}").alias(f"__pre_{n}") for n in names])
     else:
+        by_chunk = Window.partitionBy(*norm).orderBy(direction(ck))
+        before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
         prefix = summary.select(
             *[F.col(c).alias(renamed[c]) for c in part],
-            *[across(a).alias(f"__pre_{a.name}") for a in aggs])
+            *[_over(a, F.col(f"__ch_{n}"), by_chunk, before).alias(f"__pre_{n}") for n, a in zip(names, aggs)])
 
     cond = reduce(lambda x, y: x & y, [F.col(c) == F.col(renamed[c]) for c in part])
-    joined = within.join(prefix, cond, "left").drop(*renamed.values())
-
-    out = joined
-    for a in aggs:
-        cur, pre = F.col(f"__in_{a.name}"), F.col(f"__pre_{a.name}")
+    out = within.filter(every).join(prefix, cond, "left").drop(*renamed.values())
+    for n, a in zip(names, aggs):
+        cur, pre = F.col(f"__in_{n}"), F.col(f"__pre_{n}")
         if a.kind == "sum":
             val = F.coalesce(cur, F.lit(0)) + F.coalesce(pre, F.lit(0))
         elif a.kind == "min":
@@ -155,90 +242,9 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
         elif a.kind == "max":
             val = F.greatest(cur, pre)
         elif a.kind in ("next", "prev"):
-            # the neighbour is in the chunk unless the row is at its edge
-            edge = F.col(f"__edge_{a.name}")
-            val = F.when(edge, pre).otherwise(cur)
+            val = F.when(F.col("__last" if a.kind == "next" else "__first"), pre).otherwise(cur)
         else:
             val = F.coalesce(cur, pre)
         out = out.withColumn(a.name, val)
-    edges = [f"__edge_{a.name}" for a in aggs if a.kind in ("next", "prev")]
-    return out.drop(ck, *norm, *edges, *[f"__in_{a.name}" for a in aggs],
-                    *[f"__pre_{a.name}" for a in aggs])
-
-
-_INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
-_SHIFT = "CAST(9223372036854775808 AS DECIMAL(38,0))"
-_SCALE = "CAST(100000000000000000000 AS DECIMAL(38,0))"
-
-
-def _packed_order(df: DataFrame, order: list[str]) -> Column:
-    """A single orderable value for the ``(o1[, o2])`` order.
-
-    Up to two integral columns pack into one DECIMAL(38,0)
-    (``o1 * 10^20 + o2 + 2^63``, exact while ``|o1| < 10^17``, e.g. epoch
-    microseconds), which keeps ``max_by``/``min_by`` in a hash aggregate; a
-    struct key would force a sort aggregate (a map-side sort of all rows).
-    """
-    types = [df.schema[c].dataType for c in order]
-    if 1 <= len(order) <= 2 and all(isinstance(t, _INTEGRAL) for t in types):
-        first = F.col(order[0]).cast("decimal(38,0)")
-        if len(order) == 1:
-            return first
-        second = F.col(order[1]).cast("decimal(38,0)") + F.expr(_SHIFT)
-        return (first * F.expr(_SCALE) + second).cast("decimal(38,0)")
-    return F.struct(*[F.col(c) for c in order])
-
-
-def _nearest_summary(df: DataFrame, expr: Column, key: Column, reverse: bool) -> Column:
-    """Value of ``expr`` at the first (reverse) or last row of the chunk where it
-    is not null; struct values are taken field by field at the same row so each
-    aggregate keeps a fixed-width buffer."""
-    pick = F.min_by if reverse else F.max_by
-    live = F.when(expr.isNotNull(), key)
-    dtype = df.select(expr.alias("__probe")).schema[0].dataType
-    if isinstance(dtype, StructType):
-        fields = [pick(expr[f.name], live).alias(f.name) for f in dtype.fields]
-        return F.when(F.max(live).isNotNull(), F.struct(*fields))
-    return pick(expr, live)
-
-
-def _row_at(df: DataFrame, expr: Column, key: Column, first: bool) -> Column:
-    """Value of ``expr`` at the chunk's first (or last) row, nulls included."""
-    pick = F.min_by if first else F.max_by
-    dtype = df.select(expr.alias("__probe")).schema[0].dataType
-    if isinstance(dtype, StructType):
-        present = F.when(expr.isNotNull(), F.lit(1))
-        return F.when(pick(present, key).isNotNull(),
-                      F.struct(*[pick(expr[f.name], key).alias(f.name) for f in dtype.fields]))
-    return pick(expr, key)
-
-
-def floor_div_int(col: Column, den: int) -> Column:
-    from tidemark.functions.time import floor_div
-
-    return floor_div(col, den)
-
-
-def time_chunk(ts_us: Column, width_us: int) -> Column:
-    """Chunk id for ``segmented_scan`` from an epoch-microsecond column."""
-    from tidemark.functions.time import floor_div
-
-    return floor_div(ts_us, width_us)
-
-
-# Default chunk width: one hour of event time.  A (key, chunk) group then holds
-# at most one hour of one key's events, whatever the key's share of the data.
-DEFAULT_CHUNK_US = 3600 * 1_000_000
-# Scans without a key (one global order) sort one chunk of *all* rows per task,
-# so they use a finer default.
-GLOBAL_CHUNK_US = 60 * 1_000_000
-CHUNK_CONF = "tidemark.scan.chunkSeconds"
-
-
-def chunk_width(df: DataFrame, chunk_us: int | None, default_us: int = DEFAULT_CHUNK_US) -> int:
-    """Chunk width: the argument, else the session setting ``tidemark.scan.chunkSeconds``
-    (for tuning at scale without code changes), else ``default_us``."""
-    if chunk_us:
-        return int(chunk_us)
-    conf = df.sparkSession.conf.get(CHUNK_CONF, None)
-    return int(float(conf) * 1_000_000) if conf else default_us
+    return out.drop(ck, cut, "__first", "__last", *norm, *names, *[f"__in_{n}" for n in names],
+                    *[f"__pre_{n}" for n in names])

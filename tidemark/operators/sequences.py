@@ -2,9 +2,9 @@
 
 The original jobs keep per-key state and timers (or a pattern automaton).  In
 batch the same answers come from the neighbours of each event in the key's
-``(ts, id)`` order.  The neighbours are found with ``segmented_scan`` (a
-null-skipping lead/lag that sorts only within (key, hour) groups), so a key
-holding a large share of the events is not sorted in one task.
+``(ts, id)`` order.  The neighbours are found with ``segmented_scan`` (a window
+per key, cut in chunks for keys with very many events), so a key holding a large
+share of the events is not sorted in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import (
+    MSG_LOGIN_BURST,
+    MSG_LOGIN_IMMEDIATE,
     MSG_LOGIN_PATTERN,
     MSG_NO_CREATE,
     MSG_NOT_PAYED,
@@ -21,7 +23,7 @@ from tidemark.constants import (
     MSG_PAY_SUCCESS,
 )
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import ScanAgg, chunk_width, segmented_scan, time_chunk
+from tidemark.operators.scan import ScanAgg, chunks_for, segmented_scan
 
 
 def _ms(c):
@@ -38,7 +40,7 @@ def _neighbour(df: DataFrame, keys: list[str], order: list[str], name: str, valu
                kind: str, chunk_us: int | None) -> DataFrame:
     """``kind`` = ``next`` / ``prev``: the key's following / preceding event."""
     return segmented_scan(df, keys, order, [ScanAgg(name, kind, value)],
-                          time_chunk(F.col("__ts"), chunk_width(df, chunk_us)))
+                          chunks_for(df, keys, "__ts", chunk_us))
 
 
 def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id",
@@ -63,7 +65,7 @@ def login_fail_immediate(logins: DataFrame, gap_s: float = 2, user: str = "user_
                          order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
     """Alert at a ``fail`` whose previous event of the user is a ``fail`` less
     than ``gap_s`` earlier; any success in between resets.
-    Output: ``user_id, alert_event_id, first_fail_ms, last_fail_ms``."""
+    Output: ``user_id, alert_event_id, first_fail_ms, last_fail_ms, warning_msg``."""
     base = _logins(logins, user, order_id)
     prv = _neighbour(base, [user], ["__ts", order_id], "__p",
                      F.struct(F.col("__ts").alias("ts"), F.col("__fail").alias("fail")),
@@ -72,7 +74,8 @@ def login_fail_immediate(logins: DataFrame, gap_s: float = 2, user: str = "user_
            & (F.col("__ts") - F.col("__p.ts") < F.lit(seconds_to_us(gap_s))))
     return prv.filter(hit).select(user, F.col(order_id).alias("alert_event_id"),
                                   _ms(F.col("__p.ts")).alias("first_fail_ms"),
-                                  _ms(F.col("__ts")).alias("last_fail_ms"))
+                                  _ms(F.col("__ts")).alias("last_fail_ms"),
+                                  F.lit(MSG_LOGIN_IMMEDIATE).alias("warning_msg"))
 
 
 def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
@@ -83,33 +86,29 @@ def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
     alert if at least ``min_fails`` fails fell in ``[t0, t0 + window_s]``.
     At most one alert per run (the original does not re-arm after firing).
 
-    Runs are gaps-and-islands: island = number of successes so far.
-    Output: ``user_id, first_fail_ms, last_fail_ms, fail_count``.
+    A run starts at a fail whose previous event is none.  Its start is carried down
+    to the later events of the user by a second scan over the same rows, so one
+    aggregation per run start gives the fails in time and the closing success.
+    Output: ``user_id, first_fail_ms, last_fail_ms, fail_count, warning_msg``.
     """
     w_us = F.lit(seconds_to_us(window_s))
-    base = _logins(logins, user, order_id)
-    isl = segmented_scan(base, [user], ["__ts", order_id],
-                         [ScanAgg("__island", "sum", (F.col("__type") != "fail").cast("bigint"))],
-                         time_chunk(F.col("__ts"), chunk_width(base, chunk_us)), inclusive=True)
-    # a run's fails and the success that closes it (the first row of the next
-    # island) share one group, so one aggregate gives t0 and the close time
-    grp = isl.select(user, "__ts", "__fail",
-                     F.when(F.col("__fail"), F.col("__island"))
-                     .otherwise(F.col("__island") - 1).alias("__g"))
-    runs = (grp.groupBy(user, "__g")
-            .agg(F.min(F.when(F.col("__fail"), F.col("__ts"))).alias("__t0"),
-                 F.min(F.when(~F.col("__fail"), F.col("__ts"))).alias("__close"))
-            .filter(F.col("__t0").isNotNull()
-                    & (F.col("__close").isNull() | (F.col("__close") > F.col("__t0") + w_us)))
-            .select(F.col(user).alias("__ru"), F.col("__g").alias("__rg"), "__t0"))
-    hits = (grp.filter("__fail")
-            .join(runs, (F.col(user) == F.col("__ru")) & (F.col("__g") == F.col("__rg")))
-            .filter(F.col("__ts") <= F.col("__t0") + w_us)
-            .groupBy(user, "__g", "__t0")
-            .agg(F.count(F.lit(1)).alias("fail_count"), F.max("__ts").alias("__last")))
-    alerts = hits.filter(F.col("fail_count") >= min_fails)
-    return alerts.select(user, _ms(F.col("__t0")).alias("first_fail_ms"),
-                         _ms(F.col("__last")).alias("last_fail_ms"), "fail_count")
+    base = _logins(logins, user, order_id).select(user, order_id, "__ts", "__fail")
+    order, chunks = ["__ts", order_id], chunks_for(base, [user], "__ts", chunk_us)
+    prev = segmented_scan(base, [user], order, [ScanAgg("__p", "prev", F.col("__fail"))], chunks)
+    start = F.when(F.col("__fail") & ~F.coalesce("__p", F.lit(False)),
+                   F.struct(F.col("__ts").alias("ts"), F.col(order_id).alias("id")))
+    runs = segmented_scan(prev, [user], order, [ScanAgg("__s", "nearest", start)], chunks, inclusive=True)
+    in_time = F.col("__fail") & (F.col("__ts") <= F.col("__s.ts") + w_us)
+    found = (runs.filter(F.col("__s").isNotNull())
+             .select(user, F.col("__s.ts").alias("__t0"), F.col("__s.id").alias("__id0"),
+                     F.when(in_time, F.col("__ts")).alias("__hit"),
+                     F.when(~F.col("__fail"), F.col("__ts")).alias("__done"))
+             .groupBy(user, "__t0", "__id0")
+             .agg(F.count("__hit").alias("fail_count"), F.max("__hit").alias("__last"), F.min("__done").alias("__close")))
+    alerts = found.filter((F.col("fail_count") >= min_fails)
+                          & (F.col("__close").isNull() | (F.col("__close") > F.col("__t0") + w_us)))
+    return alerts.select(user, _ms(F.col("__t0")).alias("first_fail_ms"), _ms(F.col("__last")).alias("last_fail_ms"),
+                         "fail_count", F.format_string(MSG_LOGIN_BURST, F.col("fail_count")).alias("warning_msg"))
 
 
 def _orders(order_events: DataFrame, key: str, order_id: str) -> DataFrame:
@@ -135,7 +134,7 @@ def order_timeout(order_events: DataFrame, limit_s: float = 15 * 60, key: str =
     nxt = segmented_scan(base, [key], [*_ORDER, order_id],
                          [ScanAgg("__next_pay", "nearest",
                                   F.when(F.col("__event") == "pay", F.col("__ts")))],
-                         time_chunk(F.col("__ts"), chunk_width(base, chunk_us)), reverse=True)
+                         chunks_for(base, [key], "__ts", chunk_us), reverse=True)
     in_time = (F.col("__next_pay") - F.col("__ts")) < F.lit(seconds_to_us(limit_s))
     in_time = F.coalesce(in_time, F.lit(False))
     limit_ms = F.lit(seconds_to_us(limit_s) // 1000)
@@ -170,7 +169,7 @@ def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str
     """
     base = _orders(order_events, key, order_id)
     order = [*_ORDER, order_id]
-    chunk = time_chunk(F.col("__ts"), chunk_width(base, chunk_us))
+    chunk = chunks_for(base, [key], "__ts", chunk_us)
     nb = F.struct(F.col("__ts").alias("ts"), F.col("__is_pay").alias("pay"))
     s = segmented_scan(base, [key], order, [ScanAgg("__n", "next", nb), ScanAgg("__p", "prev", nb)],
                        chunk)

@@ -43,26 +43,27 @@ def format_top_n_report(ranked: DataFrame, group_col: str = "window_end_ms",
 
 
 def hot_items(user_behavior: DataFrame, n: int = 5, size_s: float = 3600, slide_s: float = 300,
-              behavior: str = "pv") -> DataFrame:
-    """Top ``n`` items by views per sliding window (defaults: 1 h every 5 min, top 5).
+              behavior: str = "pv", method: str = "expand") -> DataFrame:
+    """Top ``n`` items by views per sliding window (defaults: 1 h every 5 min, top 5; 12 windows
+    per pane, so pane totals are spread to them).
 
     Output: ``window_end_ms, item_id, cnt, rank_no``.
     """
     from tidemark.operators.windows import sliding_count
 
     views = user_behavior.filter(user_behavior["behavior"] == behavior)
-    counts = sliding_count(views, ["item_id"], "ts", size_s, slide_s)
+    counts = sliding_count(views, ["item_id"], "ts", size_s, slide_s, method)
     return top_n(counts, "window_end_ms", "item_id", n).select("window_end_ms", "item_id", "cnt", "rank_no")
 
 
 def hot_pages(access_log: DataFrame, n: int = 3, size_s: float = 600, slide_s: float = 10,
-              method: str = "GET") -> DataFrame:
+              http_method: str = "GET") -> DataFrame:
     """Top ``n`` URLs by requests per sliding window (defaults: 10 min every 10 s, top 3).
 
     Output: ``window_end_ms, url, cnt, rank_no``.
     """
     from tidemark.operators.windows import sliding_count
 
-    gets = access_log.filter(access_log["method"] == method)
+    gets = access_log.filter(access_log["method"] == http_method)
     counts = sliding_count(gets, ["url"], "ts", size_s, slide_s)
     return top_n(counts, "window_end_ms", "url", n).select("window_end_ms", "url", "cnt", "rank_no")

@@ -7,14 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import BITMAP_LOG2_BITS
 from tidemark.functions.hashing import bitmap_offset
-from tidemark.operators.scan import (
-    GLOBAL_CHUNK_US,
-    ScanAgg,
-    chunk_width,
-    _packed_order,
-    segmented_scan,
-    time_chunk,
-)
+from tidemark.operators.scan import ScanAgg, chunks_for, segmented_scan
 from tidemark.operators.windows import (
     _check,
     _finish,
@@ -26,9 +19,10 @@ from tidemark.operators.windows import (
 )
 
 
-def page_views(df: DataFrame, ts: str = "ts", size_s: float = 3600, slide_s: float = 300) -> DataFrame:
+def page_views(df: DataFrame, ts: str = "ts", size_s: float = 3600, slide_s: float = 300,
+               method: str = "expand") -> DataFrame:
     """Total rows per sliding window: ``window_end_ms, cnt``."""
-    return sliding_count(df, [], ts, size_s, slide_s)
+    return sliding_count(df, [], ts, size_s, slide_s, method)
 
 
 def page_views_salted(df: DataFrame, ts: str = "ts", size_s: float = 3600, slide_s: float = 300,
@@ -95,24 +89,18 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
     """Distinct users so far, per event, within its tumbling window.
 
     The original fires its window on every element and upserts the running
-    count.  Here: a user's first event in a window is found by aggregation
-    (``min`` of ``(ts, id)`` per window and user -- partial aggregation, so a
-    hot user is no hot group), and the running count of first events is a
-    segmented scan over ``(ts, id)`` within the window, chunked by ``chunk_us``
-    of event time (default one minute: all users of a window share the key).  Output: ``window_end_ms, event_id, user_id, uv``.
+    count.  Here an event is a user's first in its window if the user has no
+    event before it there (a scan per window and user), and the running count of
+    first events is a scan per window; both are cut in chunks where a key is
+    heavy.  Output: ``window_end_ms, event_id, user_id, uv``.
     """
     base = df.select(order_id, user, F.unix_micros(ts).alias("__ts"),
                      tumbling_index(ts, window_s).alias("__w"))
-    # the (ts, id) order packed into one DECIMAL key keeps this a hash aggregate
-    firsts = (base.groupBy("__w", user)
-              .agg(F.min_by(order_id, _packed_order(base, ["__ts", order_id])).alias("__fid"))
-              .select(F.col("__w").alias("__fw"), "__fid", F.lit(1).alias("__new")))
-    flagged = (base.join(firsts, (F.col("__w") == F.col("__fw")) & (F.col(order_id) == F.col("__fid")),
-                         "left").drop("__fw", "__fid"))
-    scanned = segmented_scan(
-        flagged, ["__w"], ["__ts", order_id],
-        [ScanAgg("__uv", "sum", F.coalesce(F.col("__new"), F.lit(0)))],
-        time_chunk(F.col("__ts"), chunk_width(flagged, chunk_us, GLOBAL_CHUNK_US)), inclusive=True)
+    order = ["__ts", order_id]
+    flagged = segmented_scan(base, ["__w", user], order, [ScanAgg("__p", "prev", F.lit(1))],
+                             chunks_for(base, ["__w", user], "__ts", chunk_us))
+    scanned = segmented_scan(flagged, ["__w"], order, [ScanAgg("__uv", "sum", F.col("__p").isNull().cast("bigint"))],
+                             chunks_for(base, ["__w"], "__ts", chunk_us), inclusive=True)
     size_ms = int(window_s * 1000)
     return scanned.select(((F.col("__w") + 1) * F.lit(size_ms)).cast("bigint").alias("window_end_ms"),
                           order_id, user, F.col("__uv").cast("bigint").alias("uv"))

@@ -8,8 +8,9 @@ event into ``size / slide`` rows before aggregating (12 copies for 1 h / 5 min,
 map-side partial aggregation), and only the pane totals are spread to windows:
 
 * ``expand``: each pane total goes to its ``size / slide`` windows (explode of
-  a short sequence) and is summed per window -- for small ratios;
-* ``delta``: each pane adds ``+c`` at its first window and ``-c`` after its
+  a short sequence) and is summed per window; a caller with few windows per pane
+  may ask for it;
+* ``delta`` (the default, for any ratio): each pane adds ``+c`` at its first window and ``-c`` after its
   last; a running sum over the change points per key (a segmented scan, so no
   key is sorted in one task) gives run-length rows ``[end_from, end_to)`` with
   one count; dense rows are exploded from the runs only when asked for.
@@ -26,9 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import ScanAgg, segmented_scan
-
-EXPAND_MAX_RATIO = 64
+from tidemark.operators.scan import ScanAgg, measure, segmented_scan
 
 
 def _check(size_s: float, slide_s: float) -> tuple[int, int, int]:
@@ -67,34 +66,46 @@ def _finish(df: DataFrame, keys: list[str], end_idx: str, slide_us: int, size_us
     return df.select(*cols)
 
 
-def _delta_runs(df: DataFrame, keys: list[str], ts: str, slide_s: float, ratio: int,
-                chunk_panes: int) -> DataFrame:
+def _delta_runs(df: DataFrame, keys: list[str], ts: str, slide_s: float, ratio: int) -> DataFrame:
     """``keys, __e, __next, __run``: windows ending at slide index in
     ``[__e, __next)`` all hold ``__run`` (> 0) rows."""
-    panes = pane_counts(df, keys, ts, slide_s)
+    return _pane_runs(pane_counts(df, keys, ts, slide_s), keys, ratio)
+
+
+def _pane_runs(panes: DataFrame, keys: list[str], ratio: int) -> DataFrame:
     deltas = (panes.select(*keys, F.explode(F.array(
         F.struct((F.col("__pane") + 1).alias("e"), F.col("__c").alias("d")),
         F.struct((F.col("__pane") + ratio + 1).alias("e"), (-F.col("__c")).alias("d")),
     )).alias("__x"))
         .select(*keys, F.col("__x.e").alias("__e"), F.col("__x.d").alias("__d"))
         .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
-    return _runs_from_deltas(deltas, keys, chunk_panes)
+    return _runs_from_deltas(deltas, keys)
 
 
-def _runs_from_deltas(deltas: DataFrame, keys: list[str], chunk_panes: int) -> DataFrame:
+def _runs_from_deltas(deltas: DataFrame, keys: list[str]) -> DataFrame:
     """Running sum of ``__d`` over window-end index ``__e`` per key, as runs
     ``[__e, __next)`` with value ``__run`` > 0 (zero sums dropped first)."""
     deltas = deltas.filter(F.col("__d") != 0)
-    chunk = floor_div(F.col("__e"), chunk_panes)
+    # the last change of a key brings its count to 0, so every counted run has a next change
     scanned = segmented_scan(
         deltas, keys, ["__e"],
         [ScanAgg("__run", "sum", F.col("__d")), ScanAgg("__next", "next", F.col("__e"))],
-        chunk, inclusive=True)
+        measure(deltas, keys, "__e"), inclusive=True)
     return scanned.filter(F.col("__run") > 0).select(*keys, "__e", "__next", "__run")
 
 
+def sliding_count_from_panes(panes: DataFrame, keys: list[str], size_s: float, slide_s: float,
+                             count_col: str = "cnt") -> DataFrame:
+    """``sliding_count`` from counted panes (``keys, __pane, __c``); a pane may come in parts."""
+    size_us, slide_us, ratio = _check(size_s, slide_s)
+    runs = _pane_runs(panes, keys, ratio)
+    dense = runs.select(*keys, F.explode(F.sequence(F.col("__e"), F.col("__next") - 1)).alias("__end"),
+                        F.col("__run").alias(count_col))
+    return _finish(dense, keys, "__end", slide_us, size_us, count_col, False)
+
+
 def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size_s: float, slide_s: float,
-                       count_col: str = "cnt", chunk_panes: int = 4096) -> DataFrame:
+                       count_col: str = "cnt") -> DataFrame:
     """Run-length sliding counts by the delta method.
 
     Returns ``keys, end_from_ms, end_to_ms, cnt``: every window whose end lies in
@@ -102,7 +113,7 @@ def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size_s: float, s
     """
     _, slide_us, ratio = _check(size_s, slide_s)
     slide_ms = F.lit(slide_us // 1000)
-    runs = _delta_runs(df, keys, ts, slide_s, ratio, chunk_panes)
+    runs = _delta_runs(df, keys, ts, slide_s, ratio)
     return runs.select(*keys,
                        (F.col("__e") * slide_ms).cast("bigint").alias("end_from_ms"),
                        (F.col("__next") * slide_ms).cast("bigint").alias("end_to_ms"),
@@ -110,16 +121,14 @@ def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size_s: float, s
 
 
 def sliding_count(df: DataFrame, keys: list[str], ts: str, size_s: float, slide_s: float,
-                  method: str = "auto", count_col: str = "cnt",
+                  method: str = "delta", count_col: str = "cnt",
                   with_start: bool = False) -> DataFrame:
     """Rows per key and sliding window (one row per non-empty window).
 
-    method: ``auto`` (expand when size/slide <= 64, else delta), ``expand``,
-    ``delta``, or ``native`` (Spark's ``window()``, for comparison).
+    method: ``delta``, ``expand``, or ``native`` (Spark's ``window()``, for comparison); the
+    rows are the same.
     """
     size_us, slide_us, ratio = _check(size_s, slide_s)
-    if method == "auto":
-        method = "expand" if ratio <= EXPAND_MAX_RATIO else "delta"
     if method == "native":
         w = F.window(ts, f"{size_us} microseconds", f"{slide_us} microseconds")
         out = (df.groupBy(*keys, w.alias("__w")).agg(F.count(F.lit(1)).alias(count_col))
@@ -133,7 +142,7 @@ def sliding_count(df: DataFrame, keys: list[str], ts: str, size_s: float, slide_
         out = spread.groupBy(*keys, "__end").agg(F.sum("__c").alias(count_col))
         return _finish(out, keys, "__end", slide_us, size_us, count_col, with_start)
     if method == "delta":
-        runs = _delta_runs(df, keys, ts, slide_s, ratio, 4096)
+        runs = _delta_runs(df, keys, ts, slide_s, ratio)
         dense = runs.select(
             *keys, F.explode(F.sequence(F.col("__e"), F.col("__next") - 1)).alias("__end"),
             F.col("__run").alias(count_col))
@@ -143,15 +152,15 @@ def sliding_count(df: DataFrame, keys: list[str], ts: str, size_s: float, slide_
 
 def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
                            size_s: float, slide_s: float, count_col: str = "uv",
-                           method: str = "auto", chunk_panes: int = 4096) -> DataFrame:
+                           method: str = "delta") -> DataFrame:
     """Exact distinct ``value`` per key and sliding window.
 
     Both methods start from the distinct (key, value, pane) rows (each visitor
     once per pane, partial aggregation map-side).
 
-    * ``expand`` (ratio <= 64 under ``auto``): each such row goes to its
-      size/slide windows and the distinct count is taken per window.
-    * ``delta``: a visitor is in window ``e`` iff one of its panes lies in
+    * ``expand``: each such row goes to its size/slide windows and the distinct
+      count is taken per window.
+    * ``delta`` (the default): a visitor is in window ``e`` iff one of its panes lies in
       ``[e - ratio, e - 1]``.  Each pane ``p`` of a visitor covers the window
       ends ``[p + 1, p + ratio]``; minus the ends already covered by the
       visitor's previous pane ``q`` it adds ``+1`` at ``max(p + 1, q + ratio + 1)``
@@ -162,8 +171,6 @@ def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
     """
     size_us, slide_us, ratio = _check(size_s, slide_s)
     panes = df.select(*keys, value, pane_index(ts, slide_s).alias("__pane")).distinct()
-    if method == "auto":
-        method = "expand" if ratio <= EXPAND_MAX_RATIO else "delta"
     if method == "expand":
         spread = panes.select(
             *keys, value,
@@ -174,7 +181,7 @@ def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
         raise ValueError(f"unknown method {method!r}")
     prev = segmented_scan(panes, [*keys, value], ["__pane"],
                           [ScanAgg("__q", "prev", F.col("__pane"))],
-                          floor_div(F.col("__pane"), chunk_panes))
+                          measure(panes, [*keys, value], "__pane"))
     start = F.when(F.col("__q").isNull(), F.col("__pane") + 1).otherwise(
         F.greatest(F.col("__pane") + 1, F.col("__q") + ratio + 1))
     deltas = (prev.select(*keys, F.explode(F.array(
@@ -184,7 +191,7 @@ def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
         # an empty range adds +1 and -1 at the same end: they cancel below
         .select(*keys, F.col("__x.e").alias("__e"), F.col("__x.d").alias("__d"))
         .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
-    runs = _runs_from_deltas(deltas, keys, chunk_panes)
+    runs = _runs_from_deltas(deltas, keys)
     dense = runs.select(
         *keys, F.explode(F.sequence(F.col("__e"), F.col("__next") - 1)).alias("__end"),
         F.col("__run").alias(count_col))

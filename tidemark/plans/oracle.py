@@ -74,6 +74,12 @@ _BITMAP_OFFSET = (
     f"lambda acc, ch: (acc * {P.BITMAP_SEED} + ch) % {1 << P.BITMAP_LOG2_BITS}, CAST(0 AS BIGINT))"
 )
 
+UNIQUE_VISITORS_HLL = f"""
+SELECT ({_TS_US} // {P.UV_TUMBLE_S * _US} + 1) * {P.UV_TUMBLE_S * _MS} AS window_end_ms,
+       COUNT(DISTINCT user_id) AS exact_uv, TRUE AS within
+FROM events WHERE {_VIEWS}
+GROUP BY ALL"""
+
 UNIQUE_VISITORS_BITMAP = f"""
 SELECT ({_TS_US} // {P.UV_TUMBLE_S * _US} + 1) * {P.UV_TUMBLE_S * _MS} AS window_end_ms,
        COUNT(DISTINCT {_BITMAP_OFFSET}) AS uv
@@ -103,7 +109,7 @@ _LOCAL_DAY = f"({_TS_US} + {P.AD_DAY_OFFSET_S * _US}) // {86400 * _US}"
 
 _AD_RANKED = f"""
 WITH c AS (
-  SELECT event_id, user_id, CAST({P.AD_ID} AS BIGINT) AS ad_id,
+  SELECT event_id, user_id, {_K} % {P.AD_MOD} AS ad_id,
          CAST(user_id % {P.PROVINCE_MOD} AS VARCHAR) AS province, ts, {_TS_MS} AS ts_ms,
          {_LOCAL_DAY} AS local_day
   FROM events WHERE event_type = 'click'
@@ -144,7 +150,8 @@ SELECT user_id, ts_us // 1000 AS first_fail_ms, next_us // 1000 AS last_fail_ms,
 FROM s WHERE login_type = 'fail' AND next_type = 'fail' AND next_us - ts_us < {P.LOGIN_GAP_S * _US}"""
 
 LOGIN_FAIL_IMMEDIATE = _LOGINS + f"""
-SELECT user_id, event_id AS alert_event_id, prev_us // 1000 AS first_fail_ms, ts_us // 1000 AS last_fail_ms
+SELECT user_id, event_id AS alert_event_id, prev_us // 1000 AS first_fail_ms, ts_us // 1000 AS last_fail_ms,
+       '{P.MSG_LOGIN_IMMEDIATE}' AS warning_msg
 FROM s WHERE login_type = 'fail' AND prev_type = 'fail' AND ts_us - prev_us < {P.LOGIN_GAP_S * _US}"""
 
 LOGIN_FAIL_BURST = f"""
@@ -165,7 +172,8 @@ WITH l AS (
                     AND i.ts_us <= r.t0 + {P.BURST_WINDOW_S * _US}
   GROUP BY ALL
 )
-SELECT h.user_id, h.t0 // 1000 AS first_fail_ms, h.last_us // 1000 AS last_fail_ms, h.fail_count
+SELECT h.user_id, h.t0 // 1000 AS first_fail_ms, h.last_us // 1000 AS last_fail_ms, h.fail_count,
+       printf('{P.MSG_LOGIN_BURST}', h.fail_count) AS warning_msg
 FROM hits h LEFT JOIN closers c ON c.user_id = h.user_id AND c.island = h.island
 WHERE h.fail_count >= {P.BURST_MIN_FAILS}
   AND (c.close_us IS NULL OR c.close_us > h.t0 + {P.BURST_WINDOW_S * _US})"""
@@ -216,30 +224,30 @@ WITH p AS (
 
 TX_INTERVAL_JOIN = _TX_SIDES + f"""
 SELECT p.tx_id, p.event_id AS pay_event_id, r.event_id AS receipt_event_id,
-       p.ts_us // 1000 AS pay_ms, r.ts_us // 1000 AS receipt_ms
+       p.ts_us // 1000 AS pay_ms, r.ts_us // 1000 AS receipt_ms, 'app' AS pay_channel
 FROM p JOIN r ON p.tx_id = r.tx_id
  AND r.ts_us BETWEEN p.ts_us - {P.TX_JOIN_BEFORE_S * _US} AND p.ts_us + {P.TX_JOIN_AFTER_S * _US}"""
 
 TX_MATCH = _TX_SIDES + f"""
-, pk AS (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY ts, event_id) AS k FROM p)
-, rk AS (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY ts, event_id) AS k FROM r)
-, j AS (
-  SELECT coalesce(pk.tx_id, rk.tx_id) AS tx_id, pk.event_id AS pay_event_id, rk.event_id AS receipt_event_id,
-         pk.ts_us AS pay_us, rk.ts_us AS receipt_us,
-         coalesce(rk.ts_us BETWEEN pk.ts_us AND pk.ts_us + {P.TX_MATCH_WAIT_S * _US}, FALSE) AS ok
-  FROM pk FULL OUTER JOIN rk ON pk.tx_id = rk.tx_id AND pk.k = rk.k
+, u AS (
+  SELECT tx_id, event_id, ts_us, 0 AS is_receipt FROM p
+  UNION ALL SELECT tx_id, event_id, ts_us, 1 AS is_receipt FROM r
+), s AS (
+  SELECT *, lag(is_receipt) OVER w AS p_receipt, lag(ts_us) OVER w AS p_us, lag(event_id) OVER w AS p_id,
+         lead(is_receipt) OVER w AS n_receipt, lead(ts_us) OVER w AS n_us
+  FROM u WINDOW w AS (PARTITION BY tx_id ORDER BY ts_us, is_receipt, event_id)
 )
-SELECT tx_id, 'matched' AS kind, pay_event_id, receipt_event_id,
-       pay_us // 1000 AS pay_ms, receipt_us // 1000 AS receipt_ms
-FROM j WHERE ok
+SELECT tx_id, 'matched' AS kind, p_id AS pay_event_id, event_id AS receipt_event_id,
+       p_us // 1000 AS pay_ms, ts_us // 1000 AS receipt_ms, 'app' AS pay_channel
+FROM s WHERE is_receipt = 1 AND p_receipt = 0 AND ts_us - p_us <= {P.TX_MATCH_WAIT_S * _US}
 UNION ALL
-SELECT tx_id, 'order_only' AS kind, pay_event_id, CAST(NULL AS BIGINT) AS receipt_event_id,
-       pay_us // 1000 AS pay_ms, CAST(NULL AS BIGINT) AS receipt_ms
-FROM j WHERE NOT ok AND pay_event_id IS NOT NULL
+SELECT tx_id, 'order_only' AS kind, event_id AS pay_event_id, CAST(NULL AS BIGINT) AS receipt_event_id,
+       ts_us // 1000 AS pay_ms, CAST(NULL AS BIGINT) AS receipt_ms, CAST(NULL AS VARCHAR) AS pay_channel
+FROM s WHERE is_receipt = 0 AND NOT coalesce(n_receipt = 1 AND n_us - ts_us <= {P.TX_MATCH_WAIT_S * _US}, FALSE)
 UNION ALL
-SELECT tx_id, 'receipt_only' AS kind, CAST(NULL AS BIGINT) AS pay_event_id, receipt_event_id,
-       CAST(NULL AS BIGINT) AS pay_ms, receipt_us // 1000 AS receipt_ms
-FROM j WHERE NOT ok AND receipt_event_id IS NOT NULL"""
+SELECT tx_id, 'receipt_only' AS kind, CAST(NULL AS BIGINT) AS pay_event_id, event_id AS receipt_event_id,
+       CAST(NULL AS BIGINT) AS pay_ms, ts_us // 1000 AS receipt_ms, 'app' AS pay_channel
+FROM s WHERE is_receipt = 1 AND NOT coalesce(p_receipt = 0 AND ts_us - p_us <= {P.TX_MATCH_WAIT_S * _US}, FALSE)"""
 
 SPLIT_LATE = f"""
 WITH a AS (
@@ -266,6 +274,7 @@ ORACLE_SQL: dict[str, str] = {
     "page_views_salted": PAGE_VIEWS,
     "unique_visitors": UNIQUE_VISITORS,
     "unique_visitors_bitmap": UNIQUE_VISITORS_BITMAP,
+    "unique_visitors_hll": UNIQUE_VISITORS_HLL,
     "running_unique_visitors": RUNNING_UNIQUE_VISITORS,
     "channel_counts": CHANNEL_COUNTS,
     "sliding_count_panes": CHANNEL_COUNTS,

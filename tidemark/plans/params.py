@@ -1,14 +1,17 @@
 """Parameters of the registered queries on the driver's tables.
 
 The driver's ``events`` table is sparse (about 67 events per user over 30
-days), so the limits that are seconds in the original jobs are hours or days
-here; the operators themselves default to the original constants.
+days), so the gaps and deadlines that are seconds in the original jobs are hours or
+days here; window sizes and slides are the original ones.  The operators
+themselves default to the original constants.
 FIXTURES.md lists these values with the row counts they give.
 """
 
 from tidemark.constants import (  # noqa: F401  (re-exported for the oracle)
     BITMAP_LOG2_BITS,
     BITMAP_SEED,
+    MSG_LOGIN_BURST,
+    MSG_LOGIN_IMMEDIATE,
     MSG_LOGIN_PATTERN,
     MSG_NO_CREATE,
     MSG_NOT_PAYED,
@@ -20,16 +23,17 @@ ITEM_MOD = 20          # itemId = k % 20
 URL_MOD = 10           # url = '/p/' || k % 10
 CHANNEL_MOD = 4        # channel = k % 4
 PROVINCE_MOD = 5       # province = user_id % 5
-AD_ID = 1
+AD_MOD = 7             # adId = k % 7
 
 HOT_ITEMS_SIZE_S, HOT_ITEMS_SLIDE_S, HOT_ITEMS_N = 3600, 300, 5
-HOT_PAGES_SIZE_S, HOT_PAGES_SLIDE_S, HOT_PAGES_N = 7200, 600, 3
+HOT_PAGES_SIZE_S, HOT_PAGES_SLIDE_S, HOT_PAGES_N = 600, 10, 3
 PV_SIZE_S, PV_SLIDE_S = 3600, 300
 UV_TUMBLE_S = 3600
-CHANNEL_SIZE_S, CHANNEL_SLIDE_S, CHANNEL_BEHAVIOR = 86400, 3600, "error"
-AD_MAX_CLICKS = 2
+HLL_RSD, HLL_BOUND = 0.01, 0.05   # the estimate lies within 5 standard errors of the exact count
+CHANNEL_SIZE_S, CHANNEL_SLIDE_S, CHANNEL_BEHAVIOR = 86400, 10, "error"
+AD_MAX_CLICKS = 1       # events are sparse: a user's clicks on one ad and day
 AD_DAY_OFFSET_S = 8 * 3600
-PROVINCE_SIZE_S, PROVINCE_SLIDE_S = 86400, 3600
+PROVINCE_SIZE_S, PROVINCE_SLIDE_S = 86400, 5
 LOGIN_GAP_S = 6 * 3600
 BURST_MIN_FAILS, BURST_WINDOW_S = 2, 86400
 ORDER_TIMEOUT_S = 86400

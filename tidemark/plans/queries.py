@@ -6,23 +6,23 @@ key                         what it returns
 ==========================  ===================================================
 windowed_count              views per item and 1 h / 5 min window
 hot_items, hot_items_sql    top 5 items per window (DataFrame API / Spark SQL)
-hot_pages                   top 3 URLs by GET per 2 h / 10 min window
+hot_pages                   top 3 URLs by GET per 10 min / 10 s window
 page_views(_salted)         views per 1 h / 5 min window (plain / two-stage salted)
 unique_visitors             distinct users (all events) per 1 h / 5 min window
 unique_visitors_bitmap      distinct 2^29-bit offsets of the user id per hour
-unique_visitors_hll         HLL++ estimate of distinct viewers per hour
+unique_visitors_hll         exact viewers per hour, and whether the HLL++ estimate is near
 running_unique_visitors     distinct viewers so far in the hour, per view event
-channel_counts              'error' events per channel, 1 day / 1 h windows
-sliding_count_panes         the same through the delta (running-sum) method
-ad_click_filter / _warnings clicks passed (first 2 per user, ad, UTC+8 day) / warned
-ad_clicks_by_province       passed clicks per province, 1 day / 1 h windows
+channel_counts              'error' events per channel, 1 day / 10 s windows
+sliding_count_panes         the same from run-length rows
+ad_click_filter / _warnings clicks passed (first per user, ad, UTC+8 day) / warned
+ad_clicks_by_province       passed clicks per province, 1 day / 5 s windows
 login_fail_pattern          fail then next fail < 6 h (first, second time, message)
 login_fail_immediate        the same pairs, reported at the second fail
 login_fail_burst            runs with >= 2 fails in 1 day and no success in it
 order_timeout               each create: first later pay < 1 day, else timeout
 order_pay_match             create/pay outcomes with a 1 day limit
 tx_interval_join            pay/receipt pairs with receipt in [pay - 3 h, pay + 5 h]
-tx_match                    k-th pay with k-th receipt within 3 days, or unmatched
+tx_match                    pay taken by the next receipt within 3 days, or unmatched
 split_late                  rows behind the watermark (delay 64 s, lateness 1 min)
 ==========================  ===================================================
 """
@@ -46,20 +46,19 @@ def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def windowed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = T.page_views_input(_ev(spark, sf_dir), P.ITEM_MOD)
-    return windows.sliding_count(views, ["item_id"], "ts", P.HOT_ITEMS_SIZE_S, P.HOT_ITEMS_SLIDE_S)
+    return windows.sliding_count(views, ["item_id"], "ts", P.HOT_ITEMS_SIZE_S, P.HOT_ITEMS_SLIDE_S, method="expand")
 
 
 def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = windowed_count(spark, sf_dir)
-    return topn.top_n(counts, "window_end_ms", "item_id", P.HOT_ITEMS_N).select(
-        "window_end_ms", "item_id", "cnt", "rank_no")
+    views = T.page_views_input(_ev(spark, sf_dir), P.ITEM_MOD)
+    return topn.hot_items(views, P.HOT_ITEMS_N, P.HOT_ITEMS_SIZE_S, P.HOT_ITEMS_SLIDE_S)
 
 
 _HOT_ITEMS_SQL = """
 WITH panes AS (  -- one row per item and {slide} s pane (partial aggregation map-side)
-  SELECT item_id, CAST(floor(unix_micros(ts) / {slide_us}) AS BIGINT) AS pane, count(item_id) AS c
+  SELECT item_id, (unix_micros(ts) - pmod(unix_micros(ts), {slide_us})) div {slide_us} AS pane, count(item_id) AS c
   FROM {view} WHERE behavior = 'pv'
-  GROUP BY item_id, CAST(floor(unix_micros(ts) / {slide_us}) AS BIGINT)
+  GROUP BY item_id, (unix_micros(ts) - pmod(unix_micros(ts), {slide_us})) div {slide_us}
 ), windows AS (  -- each pane total goes to the {ratio} windows that contain it
   SELECT item_id, (pane + m) * {slide_ms} AS window_end_ms, sum(c) AS cnt
   FROM panes LATERAL VIEW explode(sequence(1, {ratio})) s AS m
@@ -75,10 +74,7 @@ SELECT window_end_ms, item_id, cnt, rank_no FROM (
 
 def hot_items_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL form: a temp view and Spark SQL text -- panes, their spread to
-    windows, and ``row_number() <= n`` (planned as a partial WindowGroupLimit).
-
-    ``floor(micros / slide)`` is a double division: exact for epoch
-    microseconds below 2^53 (dates before year 2255)."""
+    windows, and ``row_number() <= n`` (planned as a partial WindowGroupLimit)."""
     view = "tidemark_user_behavior"
     # the view holds the view events only, so their predicate is pushed to the scan
     T.page_views_input(_ev(spark, sf_dir), P.ITEM_MOD).createOrReplaceTempView(view)
@@ -89,12 +85,10 @@ def hot_items_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # get_requests filters event_type first so the predicate reaches the scan;
-    # a filter on the mapped ``method`` column alone would not be pushed down
-    gets = T.get_requests(_ev(spark, sf_dir), P.URL_MOD).filter(F.col("method") == "GET")
-    counts = windows.sliding_count(gets, ["url"], "ts", P.HOT_PAGES_SIZE_S, P.HOT_PAGES_SLIDE_S)
-    return topn.top_n(counts, "window_end_ms", "url", P.HOT_PAGES_N).select(
-        "window_end_ms", "url", "cnt", "rank_no")
+    # get_requests filters event_type, which reaches the scan; the operator's own filter on
+    # the mapped ``method`` column alone would not
+    return topn.hot_pages(T.get_requests(_ev(spark, sf_dir), P.URL_MOD), P.HOT_PAGES_N,
+                          P.HOT_PAGES_SIZE_S, P.HOT_PAGES_SLIDE_S)
 
 
 def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +115,15 @@ def unique_visitors_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unique_visitors_hll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visitors.unique_visitors_hll(_views(spark, sf_dir), "user_id", "ts", P.UV_TUMBLE_S)
+    """The estimate held against the exact count, window by window: ``within`` says whether it
+    is as near as the sketch promises (at least one visitor's difference is allowed)."""
+    views = _views(spark, sf_dir)
+    estimate = visitors.unique_visitors_hll(views, "user_id", "ts", P.UV_TUMBLE_S, P.HLL_RSD)
+    exact = (views.groupBy(windows.tumbling_end_ms("ts", P.UV_TUMBLE_S).alias("window_end_ms"))
+             .agg(F.count_distinct("user_id").alias("exact_uv")))
+    off = F.abs(F.col("uv") - F.col("exact_uv"))
+    return exact.join(estimate, "window_end_ms").select(
+        "window_end_ms", "exact_uv", (off <= F.greatest(F.lit(1.0), P.HLL_BOUND * F.col("exact_uv"))).alias("within"))
 
 
 def running_unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,25 +131,26 @@ def running_unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             P.UV_TUMBLE_S)
 
 
-def _market_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    market = T.market_behavior(_ev(spark, sf_dir), P.CHANNEL_MOD)
-    return market.filter(F.col("behavior") == P.CHANNEL_BEHAVIOR)
+def _market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.market_behavior(_ev(spark, sf_dir), P.CHANNEL_MOD)
 
 
 def channel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.sliding_count(_market_filtered(spark, sf_dir), ["channel", "behavior"], "ts",
-                                 P.CHANNEL_SIZE_S, P.CHANNEL_SLIDE_S, with_start=True)
+    return windows.channel_counts(_market(spark, sf_dir), P.CHANNEL_BEHAVIOR, P.CHANNEL_SIZE_S, P.CHANNEL_SLIDE_S)
 
 
 def sliding_count_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``channel_counts`` forced through the delta (running-sum) pane method."""
-    return windows.sliding_count(_market_filtered(spark, sf_dir), ["channel", "behavior"], "ts",
-                                 P.CHANNEL_SIZE_S, P.CHANNEL_SLIDE_S, method="delta",
-                                 with_start=True)
+    """``channel_counts`` as runs of windows with one count, spread to single windows."""
+    errors = _market(spark, sf_dir).filter(F.col("behavior") == P.CHANNEL_BEHAVIOR)
+    runs = windows.sliding_count_runs(errors, ["channel", "behavior"], "ts", P.CHANNEL_SIZE_S, P.CHANNEL_SLIDE_S)
+    slide_ms = P.CHANNEL_SLIDE_S * 1000
+    ends = F.sequence(F.col("end_from_ms"), F.col("end_to_ms") - slide_ms, F.lit(slide_ms).cast("bigint"))
+    return runs.select("channel", "behavior", F.explode(ends).alias("window_end_ms"), "cnt").withColumn(
+        "window_start_ms", F.col("window_end_ms") - P.CHANNEL_SIZE_S * 1000)
 
 
 def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.ad_clicks(_ev(spark, sf_dir), P.AD_ID, P.PROVINCE_MOD)
+    return T.ad_clicks(_ev(spark, sf_dir), P.AD_MOD, P.PROVINCE_MOD)
 
 
 def ad_click_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,16 +198,20 @@ def order_pay_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
     return matching.tx_interval_join(T.payments(ev), T.receipts(ev),
-                                     P.TX_JOIN_BEFORE_S, P.TX_JOIN_AFTER_S)
+                                     P.TX_JOIN_BEFORE_S, P.TX_JOIN_AFTER_S).select(
+        "tx_id", "pay_event_id", "receipt_event_id", "pay_ms", "receipt_ms",
+        F.col("receipt.pay_channel").alias("pay_channel"))
 
 
 def tx_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
-    return matching.tx_match(T.payments(ev), T.receipts(ev), P.TX_MATCH_WAIT_S)
+    matched = matching.tx_match(T.payments(ev), T.receipts(ev), P.TX_MATCH_WAIT_S)
+    return matched.select("tx_id", "kind", "pay_event_id", "receipt_event_id", "pay_ms", "receipt_ms",
+                          F.col("receipt.pay_channel").alias("pay_channel"))
 
 
 def split_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = T.with_arrival(_ev(spark, sf_dir))
+    ev = T.with_arrival(_ev(spark, sf_dir)).select("event_id", "user_id", "ts", "arrival_us")
     tagged = lateness.split_late(ev, F.col("arrival_us"), "ts", "event_id", P.LATE_TUMBLE_S,
                                  None, P.LATE_DELAY_S, P.LATE_LATENESS_S)
     return (tagged.filter("is_late")

@@ -10,16 +10,21 @@ from pyspark.sql import SparkSession
 
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None, input_bytes: int | None = None) -> SparkSession:
     """Return (or create) a session configured the way the operators expect.
 
     * session time zone UTC: the driver's tables hold ``timestamp_ntz`` event
       times, read as UTC wall clock;
     * AQE on (partition coalescing, skew-join splitting, runtime broadcast of
       sides whose *measured* size is under the threshold);
-    * UI off: no server is started.
+    * UI off: no server is started;
+    * with ``input_bytes``: ``scale_settings`` for an input of that size.
+
+    The master is set only if the argument or ``TIDEMARK_MASTER`` names one, since a
+    master set in code would outrank that of ``spark-submit``; under plain
+    ``python`` Spark's own default, ``local[*]``, holds.
     """
-    master = master or os.environ.get("TIDEMARK_MASTER", "local[*]")
+    master = master or os.environ.get("TIDEMARK_MASTER")
     # Python processes started by the JVM (workers, the stateful-processor
     # runner) inherit this; on a cluster the package is installed instead.
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -27,7 +32,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
     if root not in paths:
         os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -39,6 +44,10 @@ def get_session(master: str | None = None, app: str = "tidemark",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "4g"))
     )
+    if master:
+        builder = builder.master(master)
+    for k, v in scale_settings(input_bytes).items() if input_bytes is not None else ():
+        builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -73,8 +82,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a fresh scratch folder made and set.
+    ``spark.checkpoint.dir`` is read from the session.  Only in local mode, where the
+    driver is the one machine, is a fresh scratch folder made if it is unset;
+    elsewhere that is an error, since executors could not see such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
@@ -83,6 +93,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -94,19 +106,19 @@ def streaming_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{base}/streams/{name}"
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
-                   max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings sized for an input of ``input_bytes`` (e.g. 100 TB).
 
     * scan splits and AQE's target shuffle partition are ``partition_bytes``,
       so every task's input fits an executor core's memory share and spills
       rarely;
     * the initial shuffle partition count follows the input size (AQE then
-      coalesces small ones), capped so map-output tracking stays manageable;
+      coalesces small ones); raise ``partition_bytes`` where the driver can not
+      track so many map outputs;
     * skew-join splitting for partitions over 4x the target; broadcasts only
       under 64 MB measured (static estimate or AQE runtime size).
     """
-    parts = int(min(max(200, -(-input_bytes // partition_bytes)), max_shuffle_partitions))
+    parts = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

@@ -28,7 +28,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5             # tokens of the mix for each token of the input
 MOST = 2                 # times a document is taken
-CHUNK_DOCS = 4096
+CHUNK_DOCS = 512
 TOLERANCE = 1e-6         # of a source's target
 OFFSETS = 64             # tried for each source
 STEPS = 60               # a bracket halved so often is exact in double precision

@@ -102,10 +102,14 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
     shards = max(1, -(-rows.count() // shard_rows))
     tiles = packed(rows, [], F.pmod(F.xxhash64("id"), F.lit(shards)))
     asked = rows.filter(is_query(F.col("id")))
-    blocks = packed(asked, [], F.pmod(F.xxhash64("id"), F.lit(max(1, -(-asked.count() // BLOCK_QUERIES)))))
-    met = tiles.join(blocks.select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"),
+    n_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
+    blocks = packed(asked, [], F.pmod(F.xxhash64("id"), F.lit(n_blocks))).withColumnRenamed("slot", "block")
+    met = tiles.join(blocks.select("block", F.col("ids").alias("q_ids"), F.col("x").alias("q_x"),
                                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
                                    .alias("slot")), "slot")
+    # a few MB of packed rows are seconds of work: deal them out by number, not by size
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    met = met.repartition(min(shards * n_blocks, 4 * cores), "slot", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,8 +3,10 @@ state is released once it can no longer affect any output."""
 
 from tidemark.streaming.processors import (
     ClickLimitMachine,
+    LoginBurstMachine,
     LoginPairMachine,
     OrderPayMachine,
+    OrderTimeoutMachine,
     TxMatchMachine,
 )
 
@@ -45,13 +47,38 @@ def test_click_limit_resets_at_local_midnight():
     assert m.idle(st)
 
 
-def test_tx_match_keeps_only_positions_of_reported_rows():
+def test_burst_releases_when_its_run_ends():
+    m = LoginBurstMachine(2, 2)
+    st = m.initial()
+    assert m.idle(st)
+    m.step(1, st, (0, 0, 1, "fail"))
+    m.step(1, st, (S, 0, 2, "fail"))
+    out, _ = m.flush(1, st, 5 * S)
+    assert out == [(1, 0, 1000, 2, "失败2次")] and not m.idle(st)   # the run goes on, without a second alert
+    m.step(1, st, (6 * S, 0, 3, "success"))
+    assert m.idle(st)
+
+
+def test_order_timeout_with_many_waiting_creates_is_linear():
+    import time
+    m = OrderTimeoutMachine(1e9)
+    st = m.initial()
+    t0 = time.perf_counter()
+    for i in range(50_000):
+        m.step(1, st, (i, 0, i, "create"))
+    out = m.step(1, st, (60_000, 1, 7, "pay"))
+    assert len(out) == 50_000 and m.idle(st) and time.perf_counter() - t0 < 5
+
+
+def test_tx_match_slot():
     m = TxMatchMachine(wait_s=1)
     st = m.initial()
-    out = m.step(3, st, (0, 0, 1, "pay")) + m.step(3, st, (S // 2, 0, 2, "pay"))
-    out += m.flush(3, st, 10 * S)[0]
-    assert [o[1] for o in out] == ["order_only", "order_only"]
-    assert st["pays"] is None and st["pays_done"] == 2 and not m.idle(st)
-    # the next two receipts pair with those positions and cannot match them
-    out = m.step(3, st, (11 * S, 1, 3, "receipt")) + m.step(3, st, (12 * S, 1, 4, "receipt"))
-    assert [o[1] for o in out] == ["receipt_only", "receipt_only"] and m.idle(st)
+    out = m.step(3, st, (0, 0, 1, "pay", None, "p1")) + m.step(3, st, (S // 2, 0, 2, "pay", None, "p2"))
+    assert out == [(3, "order_only", 1, None, 0, None, "p1", None)] and not m.idle(st)
+    out = m.step(3, st, (S, 1, 3, "receipt", None, "r3"))
+    assert out == [(3, "matched", 2, 3, 500, 1000, "p2", "r3")] and m.idle(st)
+    m.step(3, st, (2 * S, 0, 4, "pay", None, "p4"))
+    assert m.flush(3, st, 3 * S) == ([], 3 * S)
+    assert m.flush(3, st, 3 * S + 1)[0] == [(3, "order_only", 4, None, 2000, None, "p4", None)] and m.idle(st)
+    assert m.step(None, st, (0, 0, 5, "pay", None, "p5")) == [(None, "order_only", 5, None, 0, None, "p5", None)]
+    assert m.idle(st)

@@ -16,7 +16,9 @@ from tidemark.streaming.processors import (
 from tidemark.streaming.sinks import (
     foreach_batch,
     read_upserted,
+    compact_upserted,
     rerank_each_batch,
+    sliding_counts_each_batch,
     start_sink,
     top_n_each_batch,
     upsert_sink,
@@ -32,7 +34,7 @@ from tidemark.streaming.windows import (
 )
 
 __all__ = [
-    "foreach_batch", "read_upserted", "rerank_each_batch", "start_sink", "stream_hot_items_sql", "stream_ad_click_filter",
+    "compact_upserted", "foreach_batch", "read_upserted", "sliding_counts_each_batch", "rerank_each_batch", "start_sink", "stream_hot_items_sql", "stream_ad_click_filter",
     "stream_ad_clicks_by_province", "read_click_sink",
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",
     "stream_order_pay_match", "stream_order_timeout", "stream_running_unique_visitors",

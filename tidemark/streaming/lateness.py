@@ -1,71 +1,50 @@
 """Late-data side output on a stream.
 
-Spark's windowed aggregations drop rows behind the watermark silently.  This
-processor runs with the watermark defined upstream but in processing-time
-mode, where no row is filtered, and compares each row with the micro-batch's
-watermark itself: a row is late when even its last window ended more than
-``lateness`` before the watermark.  Every row is emitted once with its tag;
-``filter("is_late")`` is the side output, the rest the main stream.
-
-The watermark is the one Spark uses for the micro-batch (max event time of
-the earlier batches minus the delay), so tags depend on batch cuts -- unlike
-the batch form, which uses the running max in arrival order per row.
+Spark's windowed aggregations drop rows behind the watermark silently.  Here every
+micro-batch is split by plain column expressions: a row is late when even its last
+window ended more than ``lateness`` before the watermark, the largest event time of
+the earlier micro-batches minus the delay (Spark's own definition).  Both
+outputs keep the whole rows.
+
+The watermark stands still within a micro-batch, so tags depend on batch cuts --
+unlike the batch form, which uses the running max in arrival order per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
-
-from tidemark.streaming.processors import _to_us
-
-LATE_SCHEMA = StructType([
-    StructField("event_id", LongType()), StructField("ts_ms", LongType()),
-    StructField("window_end_ms", LongType()), StructField("watermark_ms", LongType()),
-    StructField("is_late", BooleanType()),
-])
-
-
-class LateTagger(StatefulProcessor):
-    def __init__(self, size_s: float, slide_s: float, lateness_s: float):
-        self.size_us = int(round(size_s * 1e6))
-        self.slide_us = int(round(slide_s * 1e6))
-        self.lateness_us = int(round(lateness_s * 1e6))
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        for r in rows:
-            ts = _to_us(r["ts"])
-            end = (ts // self.slide_us) * self.slide_us + self.size_us
-            late = wm_ms >= 0 and end + self.lateness_us <= wm_ms * 1000
-            yield Row(event_id=r["event_id"], ts_ms=ts // 1000, window_end_ms=end // 1000,
-                      watermark_ms=wm_ms, is_late=bool(late))
-
-    def close(self) -> None:
-        pass
-
-
-def stream_split_late(df: DataFrame, size_s: float = 3600, slide_s: float | None = None,
-                      delay_s: float = 64, lateness_s: float = 60, buckets: int = 64,
-                      ts: str = "ts", order_id: str = "event_id") -> DataFrame:
-    """Tag every row of a stream ``is_late`` against the micro-batch watermark.
-
-    Rows are spread over ``buckets`` groups by a hash of the row id (the
-    processor keeps no state, the grouping only parallelises it).  In
-    processing-time mode Spark keeps scheduling micro-batches even without
-    new data, so run the query with a trigger interval, e.g.
-    ``trigger(processingTime="10 seconds")``.
-    """
-    src = (df.withWatermark(ts, f"{int(round(delay_s * 1000))} milliseconds")
-           .withColumn("__bucket", F.pmod(F.xxhash64(order_id), F.lit(buckets)))
-           .select("__bucket", order_id, ts))
-    return src.groupBy("__bucket").transformWithState(
-        LateTagger(size_s, slide_s if slide_s is not None else size_s, lateness_s),
-        LATE_SCHEMA, "Append", "ProcessingTime")
+from pyspark.sql.streaming import StreamingQuery
+
+from tidemark.functions.time import floor_div, seconds_to_us
+from tidemark.streaming.sinks import Marks, foreach_batch
+
+
+def stream_split_late(df: DataFrame, path: str, name: str, size_s: float = 3600, slide_s: float | None = None,
+                      delay_s: float = 64, lateness_s: float = 60, ts: str = "ts", checkpoint: str | None = None,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """Write every row of ``df`` to ``path`` as parquet, with ``watermark_ms``, ``window_end_ms``
+    (of its last window), ``is_late`` and the partition column ``batch_id``.
+
+    ``read.parquet(path).filter("is_late")`` is the side output, the rest the main
+    stream.  A replayed batch replaces its own output."""
+    slide_us = seconds_to_us(slide_s if slide_s is not None else size_s)
+    size_us, late_ms = seconds_to_us(size_s), seconds_to_us(lateness_s) // 1000
+    folder = path.rstrip("/")
+    marks = Marks(f"{folder}/_marks")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            seen = marks.before(batch.sparkSession, batch_id)
+            wm = F.lit(None if seen is None else seen - seconds_to_us(delay_s) // 1000).cast("bigint")
+            end = floor_div(floor_div(F.unix_micros(ts), slide_us) * slide_us + size_us, 1000)
+            tagged = batch.withColumn("window_end_ms", end).withColumn("watermark_ms", wm) \
+                .withColumn("is_late", F.coalesce(F.col("window_end_ms") + late_ms <= wm, F.lit(False)))
+            tagged.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+            newest = batch.agg(floor_div(F.max(F.unix_micros(ts)), 1000)).first()[0]
+            marks.put(batch.sparkSession, batch_id, newest if seen is None else seen if newest is None else max(seen, newest))
+        finally:
+            batch.unpersist()
+
+    return foreach_batch(df, write, name, "append", checkpoint, trigger)

@@ -9,12 +9,16 @@ the batch operator, however its input is cut into micro-batches:
   *replayed in (ts, tie-break, id) order* through the key's state machine, and
   deadlines (``t + limit``) are resolved only when every row that could still
   decide them is older than the watermark;
-* rows that arrive behind what was already replayed are late and dropped, as
-  Spark drops rows behind the watermark.
+* rows behind the watermark are dropped before the processor by Spark, which counts
+  them in the progress metric ``numRowsDroppedByWatermark``; ``stream_split_late``
+  keeps them whole.
 
 The per-key state machines are small: they see one key's events in order and
 keep O(1) values (the order-timeout machine keeps the creates still waiting,
-bounded by the creates of one ``limit`` interval).
+bounded by the creates of one ``limit`` interval).  All events of a key pass
+through one task of a micro-batch, and its buffer holds the events of one
+watermark delay: that is how Spark's keyed state works, and a key with a large share
+of a stream needs the batch form or a finer key.
 """
 
 from __future__ import annotations
@@ -23,8 +27,9 @@ import datetime as dt
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     ArrayType,
@@ -37,6 +42,8 @@ from pyspark.sql.types import (
 
 from tidemark.constants import (
     LOCAL_DAY_OFFSET_S,
+    MSG_LOGIN_BURST,
+    MSG_LOGIN_IMMEDIATE,
     MSG_LOGIN_PATTERN,
     MSG_NO_CREATE,
     MSG_NOT_PAYED,
@@ -111,7 +118,6 @@ class ReplayProcessor(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buffer", BUFFER_SCHEMA)
         self.state = handle.getValueState("machine", self.machine.state_schema)
-        self.last = handle.getValueState("last_replayed", StructType([_field("ts_us")]))
 
     def _load_state(self) -> dict:
         if self.state.exists():
@@ -123,9 +129,7 @@ class ReplayProcessor(StatefulProcessor):
         self.handle.registerTimer(at_us // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else None
         new = [self.machine.to_buffer(r) for r in rows]
-        new = [b for b in new if last is None or b[0] >= last]
         if new:
             self.buf.appendList(new)
             self._arm(min(b[0] for b in new))
@@ -147,11 +151,8 @@ class ReplayProcessor(StatefulProcessor):
         if idle:
             # nothing left that can affect output: keep no state for the key
             self.state.clear()
-            self.last.clear()
         else:
             self.state.update(tuple(st[f.name] for f in self.machine.state_schema.fields))
-            if ready:
-                self.last.update((ready[-1][0],))
         if rest:
             self.buf.put(rest)
             self._arm(min(b[0] for b in rest))
@@ -179,7 +180,8 @@ class LoginPairMachine(Machine):
         self.immediate = immediate
         if immediate:
             self.output_schema = StructType([_field("user_id"), _field("alert_event_id"),
-                                             _field("first_fail_ms"), _field("last_fail_ms")])
+                                             _field("first_fail_ms"), _field("last_fail_ms"),
+                                             _field("warning_msg", StringType())])
         else:
             self.output_schema = StructType([_field("user_id"), _field("first_fail_ms"),
                                              _field("last_fail_ms"), _field("warning_msg", StringType())])
@@ -192,7 +194,7 @@ class LoginPairMachine(Machine):
         out = []
         if kind == "fail" and st["prev_fail"] and ts - st["prev_ts"] < self.gap_us:
             if self.immediate:
-                out.append((key, eid, _ms(st["prev_ts"]), _ms(ts)))
+                out.append((key, eid, _ms(st["prev_ts"]), _ms(ts), MSG_LOGIN_IMMEDIATE))
             else:
                 out.append((key, _ms(st["prev_ts"]), _ms(ts), MSG_LOGIN_PATTERN))
         st["prev_ts"], st["prev_fail"] = ts, kind == "fail"
@@ -216,7 +218,7 @@ class LoginBurstMachine(Machine):
     state_schema = StructType([_field("t0"), _field("cnt"), _field("last"),
                                _field("resolved", BooleanType())])
     output_schema = StructType([_field("user_id"), _field("first_fail_ms"), _field("last_fail_ms"),
-                                _field("fail_count")])
+                                _field("fail_count"), _field("warning_msg", StringType())])
 
     def __init__(self, min_fails: int = 2, window_s: float = 2):
         self.n = min_fails
@@ -228,7 +230,7 @@ class LoginBurstMachine(Machine):
     def _resolve(self, key, st) -> list[tuple]:
         st["resolved"] = True
         if st["cnt"] >= self.n:
-            return [(key, _ms(st["t0"]), _ms(st["last"]), st["cnt"])]
+            return [(key, _ms(st["t0"]), _ms(st["last"]), st["cnt"], MSG_LOGIN_BURST % st["cnt"])]
         return []
 
     def step(self, key, st, ev) -> list[tuple]:
@@ -253,6 +255,10 @@ class LoginBurstMachine(Machine):
             return self._resolve(key, st), None
         return [], st["t0"] + self.w_us
 
+    def idle(self, st) -> bool:
+        # an alerted run is remembered until its success, or its next fail would start a new one
+        return st["t0"] is None
+
 
 # --------------------------------------------------------------------------- orders
 
@@ -306,8 +312,8 @@ class OrderPayMachine(Machine):
 class OrderTimeoutMachine(Machine):
     """Each create waits for the first later pay within ``limit`` (exclusive)."""
 
-    # creates still waiting, as parallel comma-joined lists (bounded by one limit interval)
-    state_schema = StructType([_field("waiting", StringType())])
+    # creates still waiting, in order (bounded by one limit interval)
+    state_schema = StructType([StructField("times", ArrayType(LongType())), StructField("ids", ArrayType(LongType()))])
     output_schema = StructType([_field("order_id"), _field("create_event_id"), _field("create_ms"),
                                 _field("result", StringType()), _field("result_ms")])
 
@@ -316,45 +322,32 @@ class OrderTimeoutMachine(Machine):
 
     to_buffer = staticmethod(_order_buffer)
 
-    @staticmethod
-    def _get(st) -> list[tuple[int, int]]:
-        if not st["waiting"]:
-            return []
-        return [tuple(int(x) for x in p.split(":")) for p in st["waiting"].split(",")]
-
-    @staticmethod
-    def _set(st, waiting) -> None:
-        st["waiting"] = ",".join(f"{t}:{i}" for t, i in waiting) or None
+    def _out(self, key, create_us: int, create_id: int, pay_us: int | None) -> tuple:
+        if pay_us is not None and pay_us - create_us < self.lim:
+            return (key, create_id, _ms(create_us), MSG_PATTERN_PAY, _ms(pay_us))
+        return (key, create_id, _ms(create_us), "timeout", _ms(create_us) + self.lim // 1000)
 
     def step(self, key, st, ev) -> list[tuple]:
         ts, kind, eid = ev[0], ev[3], ev[2]
-        waiting = self._get(st)
-        out = []
+        if st["times"] is None:
+            st.update(times=[], ids=[])
         if kind == "create":
-            waiting.append((ts, eid))
-        else:
-            for c_ts, c_id in waiting:
-                if ts - c_ts < self.lim:
-                    out.append((key, c_id, _ms(c_ts), MSG_PATTERN_PAY, _ms(ts)))
-                else:
-                    out.append((key, c_id, _ms(c_ts), "timeout", _ms(c_ts) + self.lim // 1000))
-            waiting = []
-        self._set(st, waiting)
+            st["times"].append(ts)
+            st["ids"].append(eid)
+            return []
+        out = [self._out(key, c, i, ts) for c, i in zip(st["times"], st["ids"])]
+        st.update(times=[], ids=[])
         return out
 
     def flush(self, key, st, wm_us):
-        waiting = self._get(st)
-        out, keep = [], []
-        for c_ts, c_id in waiting:
-            if c_ts + self.lim <= wm_us:
-                out.append((key, c_id, _ms(c_ts), "timeout", _ms(c_ts) + self.lim // 1000))
-            else:
-                keep.append((c_ts, c_id))
-        self._set(st, keep)
-        return out, (min(t for t, _ in keep) + self.lim if keep else None)
+        times, ids = st["times"] or [], st["ids"] or []
+        done = next((k for k, c in enumerate(times) if c + self.lim > wm_us), len(times))   # times ascend
+        out = [self._out(key, c, i, None) for c, i in zip(times[:done], ids[:done])]
+        st.update(times=list(times[done:]), ids=list(ids[done:]))
+        return out, (times[done] + self.lim if done < len(times) else None)
 
     def idle(self, st) -> bool:
-        return not st["waiting"]
+        return not st["times"]
 
 
 # --------------------------------------------------------------------------- clicks
@@ -408,162 +401,48 @@ class ClickLimitMachine(Machine):
 
 
 class TxMatchMachine(Machine):
-    """k-th pay with k-th receipt of a key; match iff receipt in [pay, pay + wait].
+    """One slot per key: a pay waits for the next event; a receipt at most ``wait`` later takes
+    it, anything else leaves it unmatched.  Rows without a key match nothing.  The
+    records travel as JSON."""
 
-    Each side is a FIFO of rows still waiting for their partner.  Rows that
-    are already reported as unmatched can never match any more, but they still
-    hold their position (the k-th pairs with the k-th), so only their number is
-    kept: they are always the oldest of their queue.
-    """
-
-    state_schema = StructType([_field("pays", StringType()), _field("receipts", StringType()),
-                               _field("pays_done"), _field("receipts_done")])
+    state_schema = StructType([_field("pay_ts"), _field("pay_id"), _field("pay", StringType())])
     output_schema = StructType([_field("tx_id"), _field("kind", StringType()), _field("pay_event_id"),
-                                _field("receipt_event_id"), _field("pay_ms"), _field("receipt_ms")])
+                                _field("receipt_event_id"), _field("pay_ms"), _field("receipt_ms"),
+                                _field("pay", StringType()), _field("receipt", StringType())])
 
     def __init__(self, wait_s: float = 3):
         self.wait = int(round(wait_s * 1_000_000))
 
     def to_buffer(self, r: Row) -> tuple:
-        return (_to_us(r["ts"]), 0 if r["side"] == "pay" else 1, r["event_id"], r["side"], None, None)
-
-    @staticmethod
-    def _q(s) -> list[list[int]]:
-        # waiting rows: ts, id
-        return [[int(x) for x in e.split(":")] for e in s.split(",")] if s else []
-
-    @staticmethod
-    def _s(q) -> str | None:
-        return ",".join(":".join(str(x) for x in e) for e in q) or None
-
-    def _pair(self, key, p, r) -> list[tuple]:
-        """p / r: a waiting row, or None for a position already reported."""
-        if p is not None and r is not None and p[0] <= r[0] <= p[0] + self.wait:
-            return [(key, "matched", p[1], r[1], _ms(p[0]), _ms(r[0]))]
-        out = []
-        if p is not None:
-            out.append((key, "order_only", p[1], None, _ms(p[0]), None))
-        if r is not None:
-            out.append((key, "receipt_only", None, r[1], None, _ms(r[0])))
-        return out
-
-    def step(self, key, st, ev) -> list[tuple]:
-        ts, eid, side = ev[0], ev[2], ev[3]
-        pays, recs = self._q(st["pays"]), self._q(st["receipts"])
-        p_done, r_done = st["pays_done"] or 0, st["receipts_done"] or 0
-        me = [ts, eid]
-        out = []
-        if side == "pay":
-            if r_done:
-                r_done -= 1
-                out = self._pair(key, me, None)
-            elif recs:
-                out = self._pair(key, me, recs.pop(0))
-            else:
-                pays.append(me)
-        else:
-            if p_done:
-                p_done -= 1
-                out = self._pair(key, None, me)
-            elif pays:
-                out = self._pair(key, pays.pop(0), me)
-            else:
-                recs.append(me)
-        st.update(pays=self._s(pays), receipts=self._s(recs), pays_done=p_done, receipts_done=r_done)
-        return out
-
-    def flush(self, key, st, wm_us):
-        pays, recs = self._q(st["pays"]), self._q(st["receipts"])
-        p_done, r_done = st["pays_done"] or 0, st["receipts_done"] or 0
-        out = []
-        while pays and pays[0][0] + self.wait < wm_us:   # no receipt can come in time
-            p = pays.pop(0)
-            p_done += 1
-            out.append((key, "order_only", p[1], None, _ms(p[0]), None))
-        while recs and recs[0][0] < wm_us:                # a later pay would be after it
-            r = recs.pop(0)
-            r_done += 1
-            out.append((key, "receipt_only", None, r[1], None, _ms(r[0])))
-        st.update(pays=self._s(pays), receipts=self._s(recs), pays_done=p_done, receipts_done=r_done)
-        return out, (pays[0][0] + self.wait if pays else None)
-
-    def idle(self, st) -> bool:
-        return not (st["pays"] or st["receipts"] or st["pays_done"] or st["receipts_done"])
-
-
-# --------------------------------------------------------------------------- long sliding windows
-
-
-class SlidingCountMachine(Machine):
-    """Counts per key and sliding window of ``size`` every ``slide``, emitted
-    once per non-empty window when every row before its end has been
-    replayed.  Rows are events (weight 1) or pane counts (weight ``c``).
-    State: the non-empty panes of the last ``size`` and a running sum, so a
-    1 day / 5 s window costs O(1) per pane and slide, never a copy of a row
-    per window."""
-
-    state_schema = StructType([_field("next_e"), _field("running"),
-                               StructField("panes", ArrayType(LongType())),
-                               StructField("counts", ArrayType(LongType()))])
-
-    def __init__(self, key_fields: list[StructField], size_s: float, slide_s: float):
-        self.slide = int(round(slide_s * 1_000_000))
-        self.ratio = int(round(size_s * 1_000_000)) // self.slide
-        self.n_keys = len(key_fields)
-        self.output_schema = StructType([*key_fields, _field("window_end_ms"), _field("cnt")])
-
-    def to_buffer(self, r: Row) -> tuple:
-        # an event counts 1; a pre-aggregated pane row carries its count in ``c``
-        fields = r.asDict() if hasattr(r, "asDict") else {}
-        weight = fields.get("c", 1)
-        return (_to_us(r["ts"]), 0, fields.get("event_id", 0), "e", weight, None)
-
-    def _key(self, key) -> tuple:
-        return tuple(key) if isinstance(key, tuple) else (key,)
+        return (_to_us(r["ts"]), 0 if r["side"] == "pay" else 1, r["event_id"], r["side"], None, r["record"])
 
-    def _emit_until(self, key, st, last_e: int) -> list[tuple]:
-        """Emit windows with end index in ``[next_e, last_e]``."""
-        out = []
-        panes = dict(zip(st["panes"] or [], st["counts"] or []))
-        e, running = st["next_e"], st["running"] or 0
-        slide_ms = self.slide // 1000
-        while e is not None and e <= last_e:
-            if not panes:
-                e = last_e + 1
-                break
-            if running > 0:
-                out.append((*self._key(key), e * slide_ms, running))
-            running += panes.get(e, 0) - panes.pop(e - self.ratio, 0)
-            e += 1
-        st["next_e"], st["running"] = e, running
-        st["panes"], st["counts"] = sorted(panes), [panes[p] for p in sorted(panes)]
+    def _unmatched(self, key, st) -> list[tuple]:
+        """The waiting pay, if there is one; the slot is free afterwards."""
+        if st["pay_ts"] is None:
+            return []
+        out = [(key, "order_only", st["pay_id"], None, _ms(st["pay_ts"]), None, st["pay"], None)]
+        st.update(pay_ts=None, pay_id=None, pay=None)
         return out
 
     def step(self, key, st, ev) -> list[tuple]:
-        p = ev[0] // self.slide
-        out = []
-        if st["next_e"] is None or not st["panes"]:
-            st.update(next_e=p + 1, running=0, panes=[], counts=[])
-        else:
-            out = self._emit_until(key, st, p)
-            if st["next_e"] > p + 1 and not st["panes"]:
-                st.update(next_e=p + 1, running=0)
-        w = ev[4] if ev[4] is not None else 1
-        panes = dict(zip(st["panes"], st["counts"]))
-        panes[p] = panes.get(p, 0) + w
-        if st["next_e"] - self.ratio <= p <= st["next_e"] - 1:
-            st["running"] += w
-        st["panes"], st["counts"] = sorted(panes), [panes[q] for q in sorted(panes)]
-        return out
+        ts, eid, side, record = ev[0], ev[2], ev[3], ev[5]
+        if side == "receipt" and st["pay_ts"] is not None and ts - st["pay_ts"] <= self.wait:
+            out = [(key, "matched", st["pay_id"], eid, _ms(st["pay_ts"]), _ms(ts), st["pay"], record)]
+            st.update(pay_ts=None, pay_id=None, pay=None)
+            return out
+        out = self._unmatched(key, st)
+        if side == "receipt":
+            return [*out, (key, "receipt_only", None, eid, None, _ms(ts), None, record)]
+        st.update(pay_ts=ts, pay_id=eid, pay=record)
+        return [*out, *self._unmatched(key, st)] if key is None else out
 
     def flush(self, key, st, wm_us):
-        if not st["panes"]:
-            return [], None
-        out = self._emit_until(key, st, wm_us // self.slide)
-        return out, (st["next_e"] * self.slide if st["panes"] else None)
+        if st["pay_ts"] is not None and st["pay_ts"] + self.wait < wm_us:   # no receipt can come in time
+            return self._unmatched(key, st), None
+        return [], (st["pay_ts"] + self.wait if st["pay_ts"] is not None else None)
 
     def idle(self, st) -> bool:
-        return not st["panes"]
+        return st["pay_ts"] is None
 
 
 # --------------------------------------------------------------------------- wiring
@@ -608,28 +487,18 @@ def stream_ad_click_filter(clicks: DataFrame, max_clicks: int = 100,
 
 
 def stream_tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3,
-                    delay_s: float = 0) -> DataFrame:
-    """Union the two streams (tagged by side) and match per tx id."""
-    both = (pays.select("tx_id", "event_id", "ts", F.lit("pay").alias("side"))
-            .unionByName(receipts.select("tx_id", "event_id", "ts", F.lit("receipt").alias("side"))))
-    return run_machine(both, ["tx_id"], TxMatchMachine(wait_s), delay_s)
-
-
-def stream_sliding_count_ring(df: DataFrame, keys: list[str], size_s: float, slide_s: float,
-                              delay_s: float = 0) -> DataFrame:
-    """Long sliding windows on a stream (e.g. 1 day every 5 s): Spark counts
-    rows per key and pane (a tumbling window of ``slide``), and a per-key ring
-    slides the sum over the panes of the last ``size`` -- so the processor sees
-    one row per key and pane, not one per event.  ``keys, window_end_ms, cnt``."""
-    fields = [StructField(k, df.schema[k].dataType, True) for k in keys]
-    machine = SlidingCountMachine(fields, size_s, slide_s)
-    span = f"{int(round(slide_s * 1_000_000))} microseconds"
-    panes = (df.withWatermark("ts", f"{int(round(delay_s * 1000))} milliseconds")
-             .groupBy(*keys, F.window("ts", span).alias("__pane"))
-             .agg(F.count(F.lit(1)).alias("c"))
-             .select(*keys, F.window_time("__pane").alias("ts"), "c"))
-    return panes.groupBy(*keys).transformWithState(
-        ReplayProcessor(machine), machine.output_schema, "Append", "EventTime")
+                    delay_s: float = 0, pay_filter: Column | None = None) -> DataFrame:
+    """Union the two streams (tagged by side) and match per tx id; columns as in the batch form,
+    ``pay`` and ``receipt`` being the whole records."""
+    if pay_filter is not None:
+        pays = pays.filter(pay_filter)
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("tx_id", "event_id", "ts", F.lit(name).alias("side"),
+                         F.to_json(F.struct(*df.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("record"))
+    found = run_machine(side(pays, "pay").unionByName(side(receipts, "receipt")), ["tx_id"], TxMatchMachine(wait_s), delay_s)
+    return found.withColumns({c: F.from_json(c, df.schema, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+                              for c, df in (("pay", pays), ("receipt", receipts))})
 
 
 def read_click_sink(spark, path: str) -> DataFrame:
@@ -641,17 +510,19 @@ def read_click_sink(spark, path: str) -> DataFrame:
             .withColumn("ts", F.timestamp_millis("ts_ms")))
 
 
-def stream_ad_clicks_by_province(passed: DataFrame, size_s: float = 86400, slide_s: float = 5,
-                                 delay_s: float = 0) -> DataFrame:
+def stream_ad_clicks_by_province(passed: DataFrame, panes_path: str, out_path: str, name: str, size_s: float = 86400,
+                                 slide_s: float = 5, delay_s: float = 0, **sink) -> StreamingQuery:
     """Second stage of the click job: counts per province and sliding window
     over the passed clicks, read back from the filter's sink
-    (``read_click_sink``) in a second query.
+    (``read_click_sink``) in a second query; 17,280 windows per click, so from
+    pane counts (``sinks.sliding_counts_each_batch``).
 
     The filter emits a click only once the watermark has passed it, so it
     cannot feed an event-time aggregation in the same query; a written table
     between two queries gives the second its own watermark.  Pass rows carry
     millisecond times; windows align on whole seconds, so no click changes pane.
     """
-    from tidemark.streaming.windows import stream_sliding_count
+    from tidemark.streaming.sinks import sliding_counts_each_batch
 
-    return stream_sliding_count(passed, ["province"], "ts", size_s, slide_s, delay_s)
+    return sliding_counts_each_batch(passed, ["province"], size_s, slide_s, panes_path, out_path, name,
+                                     delay_s=delay_s, **sink)

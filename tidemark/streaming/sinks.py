@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,29 +30,90 @@ def start_sink(df: DataFrame, name: str, fmt: str = "console", output_mode: str
     return w.start()
 
 
-def upsert_sink(df: DataFrame, path: str, key_cols: list[str], name: str,
-                checkpoint: str | None = None, output_mode: str = "update") -> StreamingQuery:
-    """Keyed upsert of a windowed result (e.g. the count per window end).
+class Marks:
+    """One number per micro-batch, kept in a folder: what the batches up to it have seen.
+    A replayed batch finds the mark of the batch before it, not its own."""
 
-    Each micro-batch is appended under ``batch_id=<n>``; ``read_upserted``
-    keeps the newest row per key.  Replayed batches overwrite their own
-    folder, so a retry does not duplicate rows.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def before(self, spark: SparkSession, batch_id: int) -> int | None:
+        if batch_id == 0:
+            return None
+        return spark.read.schema("mark bigint").json(f"{self.path}/batch_{batch_id - 1}").first().mark
+
+    def put(self, spark: SparkSession, batch_id: int, mark: int | None) -> None:
+        one = spark.range(1).select(F.lit(mark).cast("bigint").alias("mark"))
+        one.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{self.path}/batch_{batch_id}")
 
-    return (df.writeStream.queryName(name).outputMode(output_mode).foreachBatch(write)
-            .option("checkpointLocation", checkpoint or streaming_checkpoint(df.sparkSession, name))
-            .start())
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers n of the complete folders ``<prefix><n>`` under ``path``, ascending."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if name.startswith(prefix) and name[len(prefix):].isdigit() and fs.exists(done):
+            found.append(int(name[len(prefix):]))
+    return sorted(found)
+
+
+def upsert_sink(df: DataFrame, path: str, key_cols: list[str], name: str,
+                checkpoint: str | None = None, output_mode: str = "update",
+                compact_every: int = 100, trigger: dict | None = None) -> StreamingQuery:
+    """Keyed upsert of a windowed result (e.g. the count per window end).
 
-def read_upserted(spark: SparkSession, path: str, key_cols: list[str]) -> DataFrame:
-    """Latest row per key from an ``upsert_sink`` folder."""
-    from pyspark.sql import Window
+    Each micro-batch is written under ``batch_<n>``; ``read_upserted`` keeps the
+    newest row per key.  Replayed batches overwrite their own folder, so a retry
+    does not duplicate rows.  Every ``compact_every`` batches the newest rows are
+    folded into one ``snapshot_<n>`` and the folders it replaces are removed, so
+    neither files nor reads grow with the number of batches.
+    """
+    folder = path.rstrip("/")
 
-    df = spark.read.parquet(path)
-    w = Window.partitionBy(*key_cols).orderBy(F.col("batch_id").desc())
-    return df.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch_{batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            compact_upserted(batch.sparkSession, folder, key_cols, batch_id)
+
+    return foreach_batch(df, write, name, output_mode, checkpoint, trigger)
+
+
+def compact_upserted(spark: SparkSession, path: str, key_cols: list[str], upto: int) -> None:
+    """Fold the snapshot and the batches up to ``upto`` into ``snapshot_<upto>``.  The old folders
+    go only after the new one is complete; a run that broke off is simply repeated."""
+    folder = path.rstrip("/")
+    read_upserted(spark, folder, key_cols, upto).write.mode("overwrite").parquet(f"{folder}/snapshot_{upto}")
+    for n in _folders(spark, folder, "batch_"):
+        if n <= upto:
+            _delete(spark, f"{folder}/batch_{n}")
+    for n in _folders(spark, folder, "snapshot_"):
+        if n < upto:
+            _delete(spark, f"{folder}/snapshot_{n}")
+
+
+def read_upserted(spark: SparkSession, path: str, key_cols: list[str], upto: int | None = None) -> DataFrame:
+    """Latest row per key from an ``upsert_sink`` folder (of the batches up to ``upto``)."""
+    folder = path.rstrip("/")
+    snapshots = [n for n in _folders(spark, folder, "snapshot_") if upto is None or n < upto]
+    base = snapshots[-1] if snapshots else -1
+    batches = [n for n in _folders(spark, folder, "batch_") if n > base and (upto is None or n <= upto)]
+    names = [f"{folder}/snapshot_{base}"] * bool(snapshots) + [f"{folder}/batch_{n}" for n in batches]
+    if not names:
+        raise FileNotFoundError(f"no complete batch in {folder}")
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:batch|snapshot)_(\d+)/[^/]*$", 1).cast("bigint")
+    df = spark.read.parquet(*names).withColumn("__n", number)
+    newest = Window.partitionBy(*key_cols).orderBy(F.col("__n").desc())
+    return df.withColumn("__r", F.row_number().over(newest)).filter("__r = 1").drop("__r", "__n")
 
 
 def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], name: str,
@@ -95,30 +156,83 @@ def rerank_each_batch(counts: DataFrame, key_col: str, n: int, counts_path: str,
     ``counts`` is an update-mode windowed count stream (e.g.
     ``stream_sliding_count(..., method="native")`` with the lateness in its
     delay): every micro-batch carries the new counts of the (window, key)
-    pairs it changed.  Each batch appends them to ``counts_path`` (parquet,
-    partitioned by window end, tagged with the batch id), reads back only the
-    changed windows (a semi-join, so only their partitions are scanned), keeps
-    the newest count per key and appends a fresh ranking of each changed
-    window to ``out_path`` with ``version`` = batch id.  The newest version of
-    a window is its current ranking.  A replayed batch rewrites rows identical
-    to its first attempt, so the newest version stays right.
+    pairs it changed.  Each batch is written to ``counts_path`` (parquet, by batch and
+    window end), the windows it changed are read back -- a range of window ends as a
+    literal partition filter, so no other partition is scanned -- and their newest
+    counts are ranked into ``out_path`` with ``version`` = batch id.  The newest
+    version of a window is its current ranking.  A replayed batch replaces its own
+    folders and reads no later ones, so its rows are the same again.
     """
-    from pyspark.sql import Window
-
     from tidemark.operators.topn import top_n
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = batch.drop("window") if "window" in batch.columns else batch
-        (changed.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").partitionBy("window_end_ms").parquet(counts_path))
-        windows = changed.select("window_end_ms").distinct()
-        hist = spark.read.parquet(counts_path).join(windows, "window_end_ms", "left_semi")
-        newest = Window.partitionBy("window_end_ms", key_col).orderBy(F.col("batch_id").desc())
-        latest = (hist.withColumn("__r", F.row_number().over(newest)).filter("__r = 1")
-                  .drop("__r", "batch_id"))
-        (top_n(latest, "window_end_ms", key_col, n, count_col)
-         .withColumn("version", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").parquet(out_path))
+        changed = (batch.drop("window") if "window" in batch.columns else batch).persist()
+        try:
+            (changed.repartition("window_end_ms").write.mode("overwrite").partitionBy("window_end_ms")
+             .parquet(f"{counts_path.rstrip('/')}/batch_id={batch_id}"))
+            span = changed.agg(F.min("window_end_ms"), F.max("window_end_ms")).first()
+            if span[0] is None:
+                return
+            hist = (spark.read.option("basePath", counts_path).parquet(counts_path)
+                    .filter(F.col("window_end_ms").between(span[0], span[1]) & (F.col("batch_id") <= batch_id))
+                    .join(changed.select("window_end_ms").distinct(), "window_end_ms", "left_semi"))
+            newest = Window.partitionBy("window_end_ms", key_col).orderBy(F.col("batch_id").desc())
+            latest = (hist.withColumn("__r", F.row_number().over(newest)).filter("__r = 1")
+                      .drop("__r", "batch_id"))
+            (top_n(latest, "window_end_ms", key_col, n, count_col)
+             .withColumn("version", F.lit(batch_id).cast("bigint"))
+             .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
+        finally:
+            changed.unpersist()
 
     return foreach_batch(counts, write, name, "update", checkpoint, trigger)
+
+
+def sliding_counts_each_batch(df: DataFrame, keys: list[str], size_s: float, slide_s: float, panes_path: str,
+                              out_path: str, name: str, ts: str = "ts", delay_s: float = 0, count_col: str = "cnt",
+                              checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Long sliding windows on a stream (1 day every 5 s): rows per key and window, each window
+    once, when the watermark has passed its end.
+
+    The stream itself only counts rows per key and pane (a tumbling window of ``slide``,
+    append mode).  Every micro-batch writes its finished panes to ``panes_path`` and
+    computes the windows that end between the newest pane before it and its own newest
+    pane with the batch pane method, from the panes of that span and the
+    ``size`` before it; they go to ``out_path``.  Both are written by batch with
+    overwrite, so a replayed batch replaces its own rows.  Windows after the newest pane
+    follow with a later batch.
+    """
+    from tidemark.operators.windows import sliding_count_from_panes
+
+    slide_us = int(round(slide_s * 1_000_000))
+    ratio = int(round(size_s * 1_000_000)) // slide_us
+    panes = (df.withWatermark(ts, f"{int(round(delay_s * 1000))} milliseconds")
+             .groupBy(*keys, F.window(ts, f"{slide_us} microseconds").alias("__w"))
+             .agg(F.count(F.lit(1)).alias("__c"))
+             .select(*keys, F.call_function("div", F.unix_micros("__w.start"), F.lit(slide_us).cast("bigint")).alias("__pane"),
+                     "__c"))
+    folder = panes_path.rstrip("/")
+    marks = Marks(f"{folder}/_marks")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = f"{folder}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(mine)
+        newest = spark.read.schema(batch.schema).parquet(mine).agg(F.max("__pane")).first()[0]
+        seen = marks.before(spark, batch_id)
+        marks.put(spark, batch_id, seen if newest is None else newest if seen is None else max(seen, newest))
+        if newest is None or (seen is not None and newest <= seen):
+            return
+        low = newest - ratio if seen is None else seen
+        span = (spark.read.option("basePath", folder).schema(batch.schema).parquet(folder)
+                .filter((F.col("__pane") > low - ratio) & (F.col("__pane") <= newest)) if seen is not None
+                else spark.read.schema(batch.schema).parquet(mine))
+        counts = sliding_count_from_panes(span.select(*keys, "__pane", "__c"), keys, size_s, slide_s, count_col)
+        ends = F.col("window_end_ms") * 1000
+        done = counts.filter(ends <= (newest + 1) * slide_us)
+        if seen is not None:
+            done = done.filter(ends > (seen + 1) * slide_us)
+        done.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+
+    return foreach_batch(panes, write, name, "append", checkpoint, trigger)

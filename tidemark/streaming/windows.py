@@ -3,13 +3,18 @@
 Append mode emits each window once, when the watermark passes its end, with
 the final count (the original's allowed lateness re-fires are folded into the
 watermark delay: ``delay = out-of-orderness + lateness``).  Rows behind the
-watermark are dropped by Spark; ``lateness.split_late`` reports them in batch.
+watermark are dropped by Spark; ``lateness.stream_split_late`` keeps them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import heapq
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def _delay(delay_s: float) -> str:
@@ -22,40 +27,32 @@ def _span(seconds: float) -> str:
 
 def stream_sliding_count(df: DataFrame, keys: list[str], ts: str = "ts", size_s: float = 3600,
                          slide_s: float = 300, delay_s: float = 0, lateness_s: float = 0,
-                         count_col: str = "cnt", method: str = "auto") -> DataFrame:
+                         count_col: str = "cnt", method: str = "chain") -> DataFrame:
     """Counts per key and sliding window; one final row per window.
 
-    ``method``: ``chain`` (below), ``ring`` (a per-key processor sliding a sum
-    of pane counts; for long windows such as 1 day / 5 s, where the chain's
-    second ``window()`` would copy each pane size/slide times), ``native``
-    (one ``window()`` aggregation: the form for update mode, i.e. early and
-    corrected results), or ``auto`` (ring when size/slide > 64, else chain).
-    The ring form has no ``window`` column.
+    ``method``: ``chain`` (below) or ``native`` (one ``window()`` aggregation: the form for
+    update mode, i.e. early and corrected results).  Both give the same columns.
 
     Chain: two chained stateful aggregations, the pane method on a stream: rows are
     counted per tumbling pane of ``slide`` (one state row per key and pane),
     then each pane total goes to the windows containing it, keyed by
     ``window(window_time(pane), size, slide)`` so the watermark carries
-    through.  State holds panes, not copies of events.
+    through.  State holds panes, not copies of events.  Each pane total is copied
+    size/slide times; ``sinks.sliding_counts_each_batch`` avoids that for long windows
+    (1 day every 5 s).
     """
-    if method == "auto":
-        method = "ring" if size_s / slide_s > 64 else "chain"
+    if method not in ("chain", "native"):
+        raise ValueError(f"unknown method {method!r}")
     if method == "native":
         # one aggregation over window(): usable in update mode, where each
         # micro-batch re-emits the corrected count of every window it changed
         # (the original's allowed-lateness re-fire); copies each event
-        # size/slide times, so for small ratios only
+        # size/slide times
         src = df.withWatermark(ts, _delay(delay_s + lateness_s))
         out = src.groupBy(*keys, F.window(ts, _span(size_s), _span(slide_s)).alias("window")).agg(
             F.count(F.lit(1)).alias(count_col))
         return out.select(*keys, F.unix_millis("window.end").alias("window_end_ms"),
                           F.col(count_col).cast("bigint").alias(count_col), "window")
-    if method == "ring":
-        from tidemark.streaming.processors import stream_sliding_count_ring
-
-        ring = stream_sliding_count_ring(df.withColumnRenamed(ts, "ts") if ts != "ts" else df,
-                                         keys, size_s, slide_s, delay_s + lateness_s)
-        return ring.withColumnRenamed("cnt", count_col) if count_col != "cnt" else ring
     src = df.withWatermark(ts, _delay(delay_s + lateness_s))
     panes = src.groupBy(*keys, F.window(ts, _span(slide_s)).alias("pane")).agg(
         F.count(F.lit(1)).alias("__c"))
@@ -69,23 +66,35 @@ def stream_sliding_count(df: DataFrame, keys: list[str], ts: str = "ts", size_s:
                       F.col(count_col).cast("bigint").alias(count_col), "window")
 
 
+class TopNProcessor(StatefulProcessor):
+    """The ``n`` best of a window's rows; keeps ``n`` of them in memory and no state."""
+
+    def __init__(self, key_col: str, n: int, count_col: str) -> None:
+        self.key_col, self.n, self.count_col = key_col, n, count_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        best = heapq.nsmallest(self.n, ((-r[self.count_col], r[self.key_col]) for r in rows))
+        for rank, (count, item) in enumerate(best, 1):
+            yield Row(**{"window_end_ms": key[0], self.key_col: item, self.count_col: -count, "rank_no": rank})
+
+    def close(self) -> None:
+        pass
+
+
 def stream_top_n(counts: DataFrame, key_col: str, n: int, count_col: str = "cnt") -> DataFrame:
-    """Top ``n`` per window of a windowed-count stream (chained aggregation).
+    """Top ``n`` per window of a windowed-count stream in append mode, where a window's final
+    counts all come in one micro-batch.  Ties go to the smaller key.  Output one row per rank.
 
-    Per window the (count, key) pairs are collected, sorted by count
-    descending then key ascending, and cut to ``n``; the state per window is
-    bounded by the distinct keys of that window.  Output one row per rank.
-    """
-    pairs = F.collect_list(F.struct(F.col(count_col).alias("c"), F.col(key_col).alias("k")))
-    ordered = F.array_sort(
-        pairs,
-        lambda a, b: F.when(a["c"] > b["c"], -1).when(a["c"] < b["c"], 1)
-        .when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
-    ranked = counts.groupBy("window").agg(F.slice(ordered, 1, n).alias("__top"))
-    return ranked.select(F.unix_millis("window.end").alias("window_end_ms"),
-                         F.posexplode("__top").alias("__pos", "__e")).select(
-        "window_end_ms", F.col("__e.k").alias(key_col), F.col("__e.c").alias(count_col),
-        (F.col("__pos") + 1).cast("bigint").alias("rank_no"))
+    A window's rows pass through one task, ``n`` of them held at a time;
+    ``sinks.top_n_each_batch`` ranks with the batch operator instead, for windows with
+    very many keys."""
+    fields = [StructField("window_end_ms", LongType()), StructField(key_col, counts.schema[key_col].dataType),
+              StructField(count_col, LongType()), StructField("rank_no", LongType())]
+    by_end = counts.select(F.unix_millis("window.end").alias("window_end_ms"), key_col, count_col).groupBy("window_end_ms")
+    return by_end.transformWithState(TopNProcessor(key_col, n, count_col), StructType(fields), "Append", "None")
 
 
 def stream_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts",
@@ -119,7 +128,8 @@ def stream_running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str
     One aggregation with a bounded HLL state per window, like the original's
     per-window bitmap: Spark refuses chained aggregations in update mode, and an
     exact set per window would grow with the window's visitors.  The exact
-    per-event running count is the batch ``running_unique_visitors``.
+    per-event running count is the batch ``running_unique_visitors``: the rows of the
+    two differ, as an estimate per micro-batch does from a count per event.
     """
     src = df.withWatermark(ts, _delay(delay_s))
     return (src.groupBy(F.window(ts, _span(window_s)).alias("window"))

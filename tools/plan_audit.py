@@ -20,13 +20,13 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "Ob
 
 
 def audit(spark, sf_dir: str) -> dict[str, dict]:
-    from __spark_entry__ import queries
+    from tidemark.plans.queries import QUERIES
 
     old = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     out = {}
     try:
-        for name, fn in queries().items():
+        for name, fn in QUERIES.items():
             plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
             scans = re.findall(r"FileScan parquet [^\n]*", plan)
             out[name] = {

@@ -39,6 +39,15 @@ def test_encode_and_decode_match_the_library(library):
         assert decoded == library.decode(expect, skip_special_tokens=False)
 
 
+def test_every_code_point(library):
+    cache = bpe.Cache(bpe.load(queries.tokenizer_path()))
+    for block in range(0, 0x40000, 0x1000):
+        asked = [f"a{chr(c)}b" for c in range(block, block + 0x1000) if not 0xD800 <= c < 0xE000]
+        expect = library.encode_batch(asked, add_special_tokens=False)
+        for text, (ids, _), e in zip(asked, cache.texts(asked), expect):
+            assert ids.tolist() == e.ids, ascii(text)
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 10)
     monkeypatch.setattr(bpe, "GROUP_CELLS", 32)

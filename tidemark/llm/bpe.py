@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -26,6 +27,25 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
 
+#: How the tokenizer library's Unicode tables differ from Python's.  Ranges of letters
+#: that its word pattern takes for symbols (assigned after its tables were made) ...
+LATER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
+    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16EB8),
+    (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF),
+    (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4),
+    (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+    (0x3D000, 0x3FC3F))
+#: ... and upper-case letters it lower-cases though ``str.lower`` does not: (first, last, lower of first)
+CASED = (
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+    (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB))
+
 NONE = np.int64(1) << 62
 GROUP_CELLS = 1 << 18     # leaves of the trees that are merged side by side
 CACHE_WORDS = 200_000     # encoded words that a task remembers
@@ -60,7 +80,10 @@ class Bpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.joined = keys[order], order.astype(np.int64), joined
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.later = {c: 0x378 for a, z in LATER for c in range(a, z + 1)}
+        self.cased = {a + i: low + i for a, z, low in CASED for i in range(z - a + 1)}
+        self.differing = re.compile("[" + "".join(f"{chr(a)}-{chr(z)}" for a, z, *_ in (*LATER, *CASED)) + "]")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -148,7 +171,23 @@ class Bpe:
     def normalize(self, text: str) -> str:
         """NFC and lower case character by character (no final-sigma rule).  White space
         need not be unified: words never contain any."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return (text.translate(self.cased) if self.odd(text) else text).lower()
+
+    def words(self, text: str) -> list[str]:
+        """The words of a normalized text.  Letters that are symbols for the library are
+        split as U+0378 is, which no version assigns."""
+        if not self.odd(text):
+            return self.pattern.findall(text)
+        return [text[m.start():m.end()] for m in self.pattern.finditer(text.translate(self.later))]
+
+    def odd(self, text: str) -> bool:
+        """Whether a character of ``LATER`` or ``CASED`` may be in the text."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.differing.search(text) is not None
+        return False
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens, special ones included, joined by one space."""

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, queries
+from tidemark.llm import chars, langid, queries
 
 SF = "/root/testdata/sf0.01"
 LETTERS = langid.letter_table()
@@ -17,11 +17,16 @@ def plain_grams(text):
 
 def test_grams():
     texts = ["Ab c", None, "", "é1ß", "日本 x", "!!", "zZz"]
-    keys, counts = langid.grams(texts, LETTERS)
     expect = [g for t in texts for g in plain_grams(t)]
-    assert counts.tolist() == [len(plain_grams(t)) for t in texts]
     cp = lambda c: 0 if c == " " else ord(c)
-    assert keys.tolist() == [cp(a) << 42 | cp(b) << 21 | cp(c) for a, b, c in expect]
+    for limit in (1, 2, 3, 1000):     # segments of any length give the same n-grams
+        got, counts = [], np.zeros(len(texts), int)
+        for number, parts in chars.segments(texts, 1, 1, limit):
+            keys, n = langid.grams(parts, LETTERS)
+            got += keys.tolist()
+            np.add.at(counts, number, n)
+        assert counts.tolist() == [len(plain_grams(t)) for t in texts]
+        assert got == [cp(a) << 42 | cp(b) << 21 | cp(c) for a, b, c in expect]
 
 
 def test_filter_returns_every_language_of_a_gram(spark):
@@ -33,7 +38,7 @@ def test_filter_returns_every_language_of_a_gram(spark):
     for text, lang in rows + many:
         if lang is None:
             continue
-        keys, _ = langid.grams([text], LETTERS)
+        keys, _ = langid.grams([f" {text or str()} "], LETTERS)
         i = known.index(lang)
         for s in zip(*langid.slots_of(keys, table.shape[1], hashes)):
             assert all(int(table[i // 64, k]) >> (i % 64) & 1 for k in s)

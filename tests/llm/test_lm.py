@@ -3,13 +3,15 @@
 import math
 from collections import Counter
 
-from tidemark.llm import lm, queries
+import pytest
+
+from tidemark.llm import chars, lm, queries
 
 SF = "/root/testdata/sf0.001"
 
 
 def plain_grams(text):
-    s = "\x01" * lm.LEAD + (text or "").lower()
+    s = "\0" * lm.LEAD + (text or "").lower()
     return [[s[i - n:i + 1] for n in range(lm.LEAD + 1)] for i in range(lm.LEAD, len(s))]
 
 
@@ -35,7 +37,9 @@ def plain_loss(model, tokens, kinds, text):
     return total / max(1, len(text or ""))
 
 
-def test_scores_match_plain_models(spark):
+@pytest.mark.parametrize("segment", [1 << 20, 5])
+def test_scores_match_plain_models(spark, monkeypatch, segment):
+    monkeypatch.setattr(chars, "SEGMENT_CHARS", segment)
     target = ["the cat sat on the mat", "the dog sat", None]
     background = ["zwölf Boxkämpfer jagen Viktor", "the cat sat on the mat", "", "quer über den großen Deich", "THE DOG"]
     asked = ["the mat", "Zwölf Boxer", "", None, "日本 the", "q", "the cat sat on the mat" * 50]

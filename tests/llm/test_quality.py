@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality, queries
@@ -35,7 +36,9 @@ def test_marginals_match_enumeration():
         at += n
 
 
-def test_line_table_matches_plain_counts():
+@pytest.mark.parametrize("group_bytes", [1 << 20, 1, 30])
+def test_line_table_matches_plain_counts(monkeypatch, group_bytes):
+    monkeypatch.setattr(quality, "GROUP_BYTES", group_bytes)
     texts = ["Hello world world foo\nabc!! x\n\n \t \nthe  long-word long-word other long-word.", None, "", "ééé ÀB 12.", "\n\nq", " ! "]
     x, size, counts = quality.line_table(texts)
     lines = [(i, line) for i, t in enumerate(texts) for line in (t or "").split("\n") if line.strip()]

@@ -35,7 +35,9 @@ def found(df):
     return {r.doc_id: (r.fingerprint, r.component_id) for r in df.collect()}
 
 
-def test_fingerprint_cases():
+@pytest.mark.parametrize("list_bytes", [1 << 20, 1, 7])
+def test_fingerprint_cases(monkeypatch, list_bytes):
+    monkeypatch.setattr(simhash, "LIST_BYTES", list_bytes)
     texts = ["", None, " \n\t", "one", "Two words", "THREE word text", "É é É é",
              "a b c a b c a b c", "x y z w v u", "x " * 70_000]
     for t in texts:

@@ -49,6 +49,7 @@ CASED = (
 NONE = np.int64(1) << 62
 GROUP_CELLS = 1 << 18     # leaves of the trees that are merged side by side
 CACHE_WORDS = 200_000     # encoded words that a task remembers
+PART_CHARS = 1 << 22      # a longer text is encoded in parts, cut at spaces
 
 
 def byte_alphabet() -> list[str]:
@@ -220,8 +221,21 @@ class Cache:
         self.starts = np.concatenate([self.starts, starts])
         self.counts = np.concatenate([self.counts, counts])
 
+    def parts(self, text: str) -> Iterator[str]:
+        """Parts of a long text.  Neither a word nor a special token nor a composed character
+        has a space in it, so the parts encode as the whole does."""
+        at = 0
+        while at < len(text):
+            end = text.find(" ", at + PART_CHARS)
+            end = len(text) if end < 0 else end
+            yield text[at:end]
+            at = end
+
     def texts(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """(ids, decoded) of each text."""
+        if len(texts) == 1 and len(texts[0]) > PART_CHARS and texts[0].find(" ", PART_CHARS) >= 0:
+            done = [found for part in self.parts(texts[0]) for found in self.texts([part])]
+            return [(np.concatenate([ids for ids, _ in done]), " ".join(t for ids, t in done if len(ids)))]
         bpe = self.bpe
         if len(self.at) > CACHE_WORDS:
             self.clear()

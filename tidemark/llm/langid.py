@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chars import MIX, code_points, lowered, mixed
+from tidemark.llm.chars import MIX, code_points, mixed, segments
 from tidemark.llm.common import cut, slices
 
 SLOTS = 1 << 20
@@ -36,19 +36,18 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def grams(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams as integers, number of n-grams of each text): one per letter."""
-    cps, counts = code_points(lowered(texts))
-    counts = counts + 1                                     # a space after every text
-    at = np.arange(len(cps)) + np.repeat(np.arange(len(counts)), counts - 1)
-    spaced = np.zeros(len(cps) + len(counts), np.uint64)
-    spaced[at] = np.where(letters[cps], cps, 0)
-    before = np.concatenate([np.zeros(1, np.uint64), spaced[:-1]])
-    behind = np.concatenate([spaced[1:], np.zeros(1, np.uint64)])
+def grams(parts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams as integers, number of n-grams of each segment): one per letter of segments
+    with one more character on each side."""
+    cps, counts = code_points(parts)
+    spaced = np.where(letters[cps], cps, 0).astype(np.uint64)
+    ends = np.cumsum(counts)
     is_gram = spaced > 0
-    of = np.repeat(np.arange(len(counts)), counts)
-    key = (before << np.uint64(42)) | (spaced << np.uint64(21)) | behind
-    return key[is_gram].view(np.int64), np.bincount(of[is_gram], minlength=len(counts))
+    is_gram[ends - counts] = False
+    is_gram[ends - 1] = False
+    at = np.nonzero(is_gram)[0]
+    key = (spaced[at - 1] << np.uint64(42)) | (spaced[at] << np.uint64(21)) | spaced[at + 1]
+    return key.view(np.int64), np.bincount(np.searchsorted(ends, at, "right"), minlength=len(counts))
 
 
 def slots_of(key: np.ndarray, slots: int, hashes: int) -> list[np.ndarray]:
@@ -71,11 +70,11 @@ def _counted(train: DataFrame) -> DataFrame:
             for piece in slices(batch, "t"):
                 texts, langs = np.array(piece.column("t").to_pylist(), object), np.array(piece.column("lang").to_pylist(), object)
                 for lang in dict.fromkeys(langs.tolist()):
-                    found, _ = grams(texts[langs == lang].tolist(), letters)
-                    parts = held.setdefault(lang, [])
-                    parts.append(np.unique(found, return_counts=True))
-                    if sum(len(k) for k, _ in parts) > HELD_GRAMS:
-                        held[lang] = [merged(parts)]
+                    for _, some in segments(texts[langs == lang].tolist(), 1, 1):
+                        parts = held.setdefault(lang, [])
+                        parts.append(np.unique(grams(some, letters)[0], return_counts=True))
+                        if sum(len(k) for k, _ in parts) > HELD_GRAMS:
+                            held[lang] = [merged(parts)]
         for lang, parts in held.items():
             keys, n = merged(parts)
             for at in range(0, len(keys), 1 << 16):
@@ -127,14 +126,17 @@ def predict(docs: DataFrame, model: Broadcast, id_col: str = "doc_id", text_col:
         letters = letter_table()
         for batch in batches:
             for piece in slices(batch, "t"):
-                key, counts = grams(piece.column("t").to_pylist(), letters)
-                at = slots_of(key, table.shape[1], hashes)
-                masks = [np.bitwise_and.reduce([plane[s] for s in at]) for plane in table]
-                of = np.repeat(np.arange(len(counts)), counts)
-                hits = np.zeros((len(counts), max(1, len(known))))
-                for i in range(len(known)):
-                    there = (masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-                    hits[:, i] = np.bincount(of, there, minlength=len(counts))
+                counts = np.zeros(piece.num_rows, np.int64)
+                hits = np.zeros((piece.num_rows, max(1, len(known))))
+                for number, parts in segments(piece.column("t").to_pylist(), 1, 1):
+                    key, n = grams(parts, letters)
+                    at = slots_of(key, table.shape[1], hashes)
+                    masks = [np.bitwise_and.reduce([plane[s] for s in at]) for plane in table]
+                    of = np.repeat(number, n)
+                    counts += np.bincount(of, minlength=len(counts))
+                    for i in range(len(known)):
+                        there = (masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+                        hits[:, i] += np.bincount(of, there, minlength=len(counts))
                 if known:
                     hits = np.maximum(0, (hits - counts[:, None] * false) / np.maximum(1e-9, 1 - false))
                 best = hits.argmax(axis=1)

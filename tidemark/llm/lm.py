@@ -20,26 +20,25 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chars import MIX, code_points, lowered
+from tidemark.llm.chars import MIX, code_points, segments
 from tidemark.llm.common import cut, slices
 
 BITS = (16, 18, 20, 21)        # table size of each order: 3.3 million cells in all
 LEAD = len(BITS) - 1           # characters before a token that count
 MU = 4.0                       # weight of the next lower order
-START = 1                      # stands before the first character of a text
+START = 0                      # stands before the first character of a text
 FOLD = 16                      # bits of a token: the vocabulary is the code points below 2**16,
                                # higher ones share the numbers of their last 16 bits
 HELD_GRAMS = 1 << 21           # counted n-grams that a task holds before it merges them
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens with LEAD start marks before every text, positions of the real ones, tokens of
-    each text)."""
-    cps, counts = code_points(lowered(texts))
-    at = np.arange(len(cps)) + np.repeat((np.arange(len(counts)) + 1) * LEAD, counts)
-    padded = np.full(len(cps) + len(counts) * LEAD, START, np.uint64)
-    padded[at] = cps & np.uint32((1 << FOLD) - 1)
-    return padded, at, counts
+def tokens(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens of segments with LEAD characters in front, positions of the segments' own, their
+    number in each segment)."""
+    cps, counts = code_points(parts)
+    counts = counts - LEAD
+    at = np.arange(counts.sum()) + np.repeat((np.arange(len(counts)) + 1) * LEAD, counts)
+    return (cps & np.uint32((1 << FOLD) - 1)).astype(np.uint64), at, counts
 
 
 def cells(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -86,13 +85,14 @@ def _counts(corpus: DataFrame, text_col: str) -> DataFrame:
             return keys, np.bincount(where, np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
         for batch in batches:
             for piece in slices(batch, "t"):
-                padded, at, _ = tokens(piece.column("t").to_pylist())
-                key = padded.copy()
-                for n in range(1, LEAD + 1):
-                    key[n:] |= padded[:-n] << np.uint64(FOLD * n)
-                held.append(np.unique(key[at], return_counts=True))
-                if sum(len(k) for k, _ in held) > HELD_GRAMS:
-                    held = [merged()]
+                for _, parts in segments(piece.column("t").to_pylist(), LEAD, 0):
+                    padded, at, _ = tokens(parts)
+                    key = padded.copy()
+                    for n in range(1, LEAD + 1):
+                        key[n:] |= padded[:-n] << np.uint64(FOLD * n)
+                    held.append(np.unique(key[at], return_counts=True))
+                    if sum(len(k) for k, _ in held) > HELD_GRAMS:
+                        held = [merged()]
         if held:
             keys, n = merged()
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["gram", "n"])
@@ -148,13 +148,17 @@ def score(docs: DataFrame, models: Broadcast, id_col: str = "doc_id", text_col:
         target, background, kinds = models.value
         for batch in batches:
             for piece in slices(batch, "t"):
-                padded, at, counts = tokens(piece.column("t").to_pylist())
-                columns = [np.concatenate([np.full(n, START, np.uint64), padded[:len(padded) - n]]) for n in range(LEAD + 1)]
-                every = cells(columns)
-                found, ctx = [c[at] for c in every], [c[at - 1] for c in every[:-1]]
-                of = np.repeat(np.arange(len(counts)), counts)
-                means = [np.bincount(of, m.losses(found, ctx, kinds), minlength=len(counts)) / np.maximum(1, counts)
-                         for m in (target, background)]
+                counts, sums = np.zeros(piece.num_rows, np.int64), np.zeros((2, piece.num_rows))
+                for number, parts in segments(piece.column("t").to_pylist(), LEAD, 0):
+                    padded, at, n = tokens(parts)
+                    columns = [np.concatenate([np.full(k, START, np.uint64), padded[:len(padded) - k]]) for k in range(LEAD + 1)]
+                    every = cells(columns)
+                    found, ctx = [c[at] for c in every], [c[at - 1] for c in every[:-1]]
+                    of = np.repeat(number, n)
+                    counts += np.bincount(of, minlength=len(counts))
+                    for k, m in enumerate((target, background)):
+                        sums[k] += np.bincount(of, m.losses(found, ctx, kinds), minlength=len(counts))
+                means = sums / np.maximum(1, counts)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), pa.array(counts), pa.array(means[0]), pa.array(means[1]),
                      pa.array(means[0] - means[1])],

@@ -27,6 +27,7 @@ from tidemark.llm.common import slices
 SAMPLE_DOCS = 1000
 SAMPLE_PIECES = 4000
 PIECE_LINES = 64
+GROUP_BYTES = 1 << 20          # text whose line features are computed at once
 STEPS, RATE, DECAY = 200, 0.2, 2e-4
 
 _UPPER, _LOWER, _DIGIT, _STOP, _MARK, _SPACE, _HIGH = range(7)
@@ -39,24 +40,22 @@ OWN = 13                       # features of a line
 WIDTH = 3 * OWN + 3            # with its neighbours, two edge flags and a constant
 
 
-def line_table(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features (lines, WIDTH), line lengths in bytes, lines of each text).
+def groups_of(ends: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of lines of about ``GROUP_BYTES`` bytes; a longer line is one range."""
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + GROUP_BYTES, GROUP_BYTES)))
+    cuts = np.unique(np.concatenate([[0], cuts, [len(ends)]]))
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
 
-    Lines end at "\\n"; lines without any character but white space are left out, so null,
-    empty and blank texts have no line."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    ends = np.nonzero(data == 10)[0]
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    of = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, "right")
+
+def line_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each line has more than white space, the OWN features of those lines)."""
     kind = _CLASS[data]
     blank = (kind == _SPACE) | (data == 10)
     seen = np.concatenate([[0], np.cumsum(~blank)])
     full = seen[ends] > seen[starts]
-    starts, ends, of = starts[full], ends[full], of[full]
-    counts = np.bincount(of, minlength=len(texts))
+    starts, ends = starts[full], ends[full]
     if not len(starts):
-        return np.zeros((0, WIDTH)), np.zeros(0), counts
+        return full, np.zeros((0, OWN))
     size = (ends - starts).astype(float)
 
     def total(flags: np.ndarray) -> np.ndarray:
@@ -95,6 +94,27 @@ def line_table(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
         by_class[_UPPER] / letters, by_class[_DIGIT] / size, by_class[_STOP] / size, by_class[_MARK] / size,
         by_class[_SPACE] / size, by_class[_HIGH] / size, repeats / words, known / wide, marked / words,
         kind[tail] == _STOP])
+    return full, own
+
+
+def line_table(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features (lines, WIDTH), line lengths in bytes, lines of each text).
+
+    Lines end at "\\n"; lines without any character but white space are left out, so null,
+    empty and blank texts have no line."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    ends = np.nonzero(data == 10)[0]
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    of = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, "right")
+    parts = [line_features(data[starts[i]:ends[j - 1] + 1], starts[i:j] - starts[i], ends[i:j] - starts[i])
+             for i, j in groups_of(ends)]
+    full = np.concatenate([f for f, _ in parts])
+    own = np.concatenate([x for _, x in parts])
+    size, of = (ends - starts)[full].astype(float), of[full]
+    counts = np.bincount(of, minlength=len(texts))
+    if not len(own):
+        return np.zeros((0, WIDTH)), np.zeros(0), counts
     edge = np.zeros((1, OWN))
     begins = np.concatenate([[True], of[1:] != of[:-1]])
     stops = np.concatenate([of[1:] != of[:-1], [True]])

@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,25 +35,39 @@ PARTS, PART_BITS = 4, 16
 TILE_ROWS = 4096
 STRIP_ROWS = 256
 BITS_AT_ONCE = 1 << 15
+LIST_BYTES = 1 << 20       # text whose words are held at once
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_lists(data: bytes, limit: int = 0) -> Iterator[list[bytes]]:
+    """The words of ``data`` in lists of about ``limit`` bytes of text."""
+    at, limit = 0, limit or LIST_BYTES
+    while at < len(data):
+        space = _SPACE.search(data, at + limit)
+        end = space.start() if space else len(data)
+        yield data[at:end].split()      # ASCII white space only
+        at = end
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     """64-bit SimHash of the lower-cased (A-Z) word shingles, repeats included.
     Null, empty or blank text: 0.  Fewer words than a shingle: one shingle of all words."""
-    words = (text or "").encode("utf-8").lower().split()   # ASCII case and white space only
-    if not words:
-        return 0
-    if len(words) < shingle_words:
-        grams = [b" ".join(words)]
-    else:
-        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle_words))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(g, SEED) for g in grams), np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), BITS_AT_ONCE):
-        part = hashes[at:at + BITS_AT_ONCE].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    ones, total, carried = np.zeros(64, np.int64), 0, []
+
+    def add(grams) -> int:
+        hashes = np.fromiter((digest(g, SEED) for g in grams), np.uint64)
+        for at in range(0, len(hashes), BITS_AT_ONCE):
+            part = hashes[at:at + BITS_AT_ONCE].astype("<u8").view(np.uint8).reshape(-1, 8)
+            ones[:] += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        return len(hashes)
+    for words in word_lists((text or "").encode("utf-8").lower()):
+        words = carried + words
+        total += add(map(b" ".join, zip(*(words[i:] for i in range(shingle_words)))))
+        carried = words[max(0, len(words) - shingle_words + 1):] if len(words) >= shingle_words else words
+    if not total and carried:
+        total = add([b" ".join(carried)])
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

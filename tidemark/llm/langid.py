@@ -28,6 +28,7 @@ SLOTS = 1 << 20
 HASHES = 3
 LEAST_SHARE = 0.2
 UNKNOWN = "und"
+MOST_LANGUAGES = 4096          # 64 masks of 64 bits a slot; more is an error, not a cut
 HELD_GRAMS = 1 << 21           # counted n-grams that a task holds before it merges them
 
 
@@ -91,9 +92,12 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", slots:
     rows = train.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL")
     counts = cut(_counted(rows))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    known = [r.lang for r in totals.orderBy("lang").collect()]          # the languages: a short list by nature
+    known = [r.lang for r in totals.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
+    if len(known) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: a filter has a bit for each")
     spark = train.sparkSession
     number = spark.createDataFrame([(lang, i) for i, lang in enumerate(known)], "lang string, number int")
+    # at most MOST_LANGUAGES rows
     share = counts.join(F.broadcast(totals.join(number, "lang")), "lang").withColumn("share", F.col("n") / F.col("total"))
     by_gram = Window.partitionBy("gram")
     inside = share.withColumn("most", F.max("share").over(by_gram)).filter(F.col("share") >= least_share * F.col("most"))

@@ -28,7 +28,7 @@ SAMPLE_DOCS = 1000
 SAMPLE_PIECES = 4000
 PIECE_LINES = 64
 GROUP_BYTES = 1 << 20          # text whose line features are computed at once
-STEPS, RATE, DECAY = 200, 0.2, 2e-4
+STEPS, RATE, DECAY = 120, 0.2, 1e-3
 
 _UPPER, _LOWER, _DIGIT, _STOP, _MARK, _SPACE, _HIGH = range(7)
 _CLASS = np.full(256, _MARK, np.uint8)

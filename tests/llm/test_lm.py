@@ -1,6 +1,7 @@
 """Losses against two models kept in plain dictionaries."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -70,3 +71,28 @@ def test_query_prefers_what_the_target_has(spark):
     assert got.count() == 1000
     by = {(r.quality, r.toxic): r["avg(score)"] for r in got.join(labels, "doc_id").groupBy("quality", "toxic").avg("score").collect()}
     assert by[1, 0] < by[1, 1] < by[0, 0]
+
+
+def test_many_ngrams_stay_apart(spark):
+    """More distinct n-grams than any fixed table of cells keeps apart, and small blocks of documents."""
+    rnd = random.Random(7)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 5000)]
+    write = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    target, background = [write(2000) for _ in range(100)], [write(2000) for _ in range(400)]
+    frame = lambda ts: spark.createDataFrame(list(enumerate(ts)), "doc_id long, text string")
+    asked = [target[0], background[0], write(2000)]
+    plain = [plain_model(ts, 200_000 / sum(map(len, ts))) for ts in (target, background)]
+    kinds = len(set("".join(target + background))) + 1
+    got = {r.doc_id: r for r in lm.score(frame(asked), lm.fit(frame(target), frame(background))).collect()}
+    for i, text in enumerate(asked):
+        assert abs(got[i].loss_target - plain_loss(plain[0], 200_000, kinds, text)) < 1e-4
+        assert abs(got[i].loss_background - plain_loss(plain[1], 200_000, kinds, text)) < 1e-4
+
+
+def test_blocks_and_merges_do_not_show(spark, monkeypatch):
+    texts = ["the cat sat on the mat", None, "", "the dog", "zwölf Boxkämpfer", "the dog"] * 3
+    df = spark.createDataFrame(list(zip([1, None, 2, 3, 4, 3] * 3, texts)), "doc_id long, text string").repartition(3, "text")
+    whole = sorted(map(str, lm.score(df, lm.fit(df.limit(4), df)).collect()))
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 10)
+    monkeypatch.setattr(lm, "HELD_GRAMS", 8)
+    assert len(whole) == 18 and sorted(map(str, lm.score(df, lm.fit(df.limit(4), df)).collect())) == whole

@@ -3,8 +3,10 @@
 A target and a background model (Moore and Lewis, ACL 2010) are matched: the same
 order, smoothing and vocabulary, and counts scaled to the same number of tokens.  Tokens
 are lower-cased characters; n-grams of order 4 are counted exactly over every text of
-both corpora.  They and the orders below are then keyed by a hash in tables of
-fixed size, so the models have a proven size however large the corpora are.  A document's score is its mean
+both corpora, and the orders below are sums of them.  The counts stay a distributed table
+that grows with the corpora: nothing is hashed, folded or broadcast.  To score, documents are
+dealt in blocks of bounded text; the distinct n-grams of a block are joined to their losses,
+which come back to the block.  A document's score is its mean
 loss per token under the target model minus that under the background model:
 the lower, the more it resembles the target.
 """
@@ -16,152 +18,169 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chars import MIX, code_points, segments
+from tidemark.llm.chars import code_points, segments
 from tidemark.llm.common import cut, slices
 
-BITS = (16, 18, 20, 21)        # table size of each order: 3.3 million cells in all
-LEAD = len(BITS) - 1           # characters before a token that count
+ORDER = 4
+LEAD = ORDER - 1               # characters before a token that count
 MU = 4.0                       # weight of the next lower order
-START = 0                      # stands before the first character of a text
 FOLD = 16                      # bits of a token: the vocabulary is the code points below 2**16,
                                # higher ones share the numbers of their last 16 bits
 HELD_GRAMS = 1 << 21           # counted n-grams that a task holds before it merges them
+BLOCK_CHARS = 1 << 22          # text of a block of documents; its distinct n-grams are fewer
+ROW_CHARS = 64                 # what a row counts besides its text, so that blocks of short texts end too
 
 
-def tokens(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens of segments with LEAD characters in front, positions of the segments' own, their
-    number in each segment)."""
+def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(packed n-grams of segments with LEAD characters in front, one for each of the segments' own
+    characters; their number in each segment).  The last token has the lowest bits."""
     cps, counts = code_points(parts)
     counts = counts - LEAD
     at = np.arange(counts.sum()) + np.repeat((np.arange(len(counts)) + 1) * LEAD, counts)
-    return (cps & np.uint32((1 << FOLD) - 1)).astype(np.uint64), at, counts
-
-
-def cells(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """Cell of the n-gram of the first n columns (last token first), for n = 1, 2, ...; the
-    orders' tables lie one after another."""
-    out, key, offset = [], np.uint64(0), 0
-    for column, b in zip(columns, BITS):
-        key = (key + column + np.uint64(1)) * MIX
-        key = key ^ (key >> np.uint64(31))
-        out.append(((key * MIX) >> np.uint64(64 - b)).astype(np.int64) + offset)
-        offset += 1 << b
-    return out
-
-
-def unpacked(grams: np.ndarray) -> list[np.ndarray]:
-    """The tokens of packed n-grams of the highest order, last token first."""
-    g = grams.view(np.uint64)
-    return [(g >> np.uint64(FOLD * n)) & np.uint64((1 << FOLD) - 1) for n in range(LEAD + 1)]
+    padded = (cps & np.uint32((1 << FOLD) - 1)).astype(np.uint64)
+    key = padded.copy()
+    for n in range(1, ORDER):
+        key[n:] |= padded[:-n] << np.uint64(FOLD * n)
+    return key[at].view(np.int64), counts
 
 
 @dataclass
-class Model:
-    """ngrams[c]: how often cell c ended a token; before[c]: how often it was a context; both
-    as float32, scaled to one number of tokens."""
-    ngrams: np.ndarray
-    before: np.ndarray
-    tokens: float
-
-    def losses(self, found: list[np.ndarray], ctx: list[np.ndarray], kinds: int) -> np.ndarray:
-        """-log2 of each token's probability; each order backs off to the next lower one."""
-        p = (self.ngrams[found[0]] + np.float32(1)) / np.float32(self.tokens + kinds)
-        for grams, before in zip(found[1:], ctx):
-            p = (self.ngrams[grams] + np.float32(MU) * p) / (self.before[before] + np.float32(MU))
-        return -np.log2(p)
+class Models:
+    """counts: (gram, tn, bn), how often target and background have each n-gram of the highest
+    order; their tokens, and the size of the shared vocabulary."""
+    counts: DataFrame
+    target: int
+    background: int
+    kinds: int
 
 
 def _counts(corpus: DataFrame, text_col: str) -> DataFrame:
-    """(cell, n, c): over all texts, how often a cell was an n-gram and a context."""
+    """(gram, n): how often each n-gram is in all texts; an n-gram may have several rows."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             return keys, np.bincount(where, np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], ["gram", "n"])
         for batch in batches:
             for piece in slices(batch, "t"):
                 for _, parts in segments(piece.column("t").to_pylist(), LEAD, 0):
-                    padded, at, _ = tokens(parts)
-                    key = padded.copy()
-                    for n in range(1, LEAD + 1):
-                        key[n:] |= padded[:-n] << np.uint64(FOLD * n)
-                    held.append(np.unique(key[at], return_counts=True))
+                    held.append(np.unique(grams(parts)[0], return_counts=True))
                     if sum(len(k) for k, _ in held) > HELD_GRAMS:
                         held = [merged()]
+                        if len(held[0][0]) > HELD_GRAMS // 2:
+                            yield told()
+                            held = []
         if held:
-            keys, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["gram", "n"])
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = sum(1 << b for b in BITS)
-        n, c = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        for batch in batches:
-            times = batch.column("n").to_numpy()
-            columns = unpacked(batch.column("gram").to_numpy())
-            for found in cells(columns):
-                np.add.at(n, found, times)
-            for before in cells(columns[1:]):
-                np.add.at(c, before, times)
-        full = np.nonzero(n | c)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(n[full]), pa.array(c[full])],
-                                         ["cell", "n", "c"])
-    grams = (corpus.select(F.col(text_col).alias("t")).mapInArrow(count, "gram long, n long")
-             .groupBy("gram").agg(F.sum("n").alias("n")))
-    return grams.mapInArrow(placed, "cell int, n long, c long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
-
-
-def fit(target: DataFrame, background: DataFrame, text_col: str = "text") -> Broadcast:
-    """The two matched models over one vocabulary.  What reaches the driver is at most one
-    row per cell (3.3 million); a corpus without text gives the uniform model."""
-    size, first = sum(1 << b for b in BITS), 1 << BITS[0]
-    both = _counts(target, text_col).withColumnsRenamed({"n": "tn", "c": "tc"}).join(
-        _counts(background, text_col).withColumnsRenamed({"n": "bn", "c": "bc"}), "cell", "full")
-    got = cut(both.select("cell", *[F.coalesce(x, F.lit(0)).alias(x) for x in ("tn", "tc", "bn", "bc")])).toArrow()
-    cell = got.column("cell").to_numpy()
-
-    def filled(name: str) -> np.ndarray:
-        out = np.zeros(size, np.float64)
-        out[cell] = got.column(name).to_numpy()
-        return out
-    tn, tc, bn, bc = map(filled, ("tn", "tc", "bn", "bc"))
-    kinds = int(np.count_nonzero(tn[:first] + bn[:first])) + 1      # shared vocabulary, and one unseen token
-    t, b = tn[:first].sum(), bn[:first].sum()
-    matched = min(t, b) or max(t, b)                                # tokens that both models count as
-    made = [Model((n * (matched / all_n if all_n else 0)).astype(np.float32),
-                  (c * (matched / all_n if all_n else 0)).astype(np.float32), float(matched if all_n else 0))
-            for n, c, all_n in ((tn, tc, t), (bn, bc, b))]
-    return target.sparkSession.sparkContext.broadcast((made[0], made[1], kinds))
-
-
-def score(docs: DataFrame, models: Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            held = [merged()]
+            yield told()
+    return corpus.select(F.col(text_col).alias("t")).mapInArrow(count, "gram long, n long")
+
+
+def fit(target: DataFrame, background: DataFrame, text_col: str = "text") -> Models:
+    """The two matched models over one vocabulary.  Only totals reach the driver; a corpus
+    without text gives the uniform model."""
+    none = F.lit(0).cast("long")
+    both = _counts(target, text_col).select("gram", F.col("n").alias("tn"), none.alias("bn")).unionAll(
+        _counts(background, text_col).select("gram", none.alias("tn"), F.col("n").alias("bn")))
+    counts = cut(both.groupBy("gram").agg(F.sum("tn").alias("tn"), F.sum("bn").alias("bn")))
+    tokens = counts.groupBy(_low("gram", 1).alias("token")).agg(F.sum("tn").alias("tn"), F.sum("bn").alias("bn"))
+    got = tokens.agg(F.sum("tn"), F.sum("bn"), F.count("*")).first()
+    return Models(counts, got[0] or 0, got[1] or 0, got[2] + 1)        # and one unseen token
+
+
+def _low(gram: str, n: int):
+    """The last n tokens of a packed n-gram."""
+    return F.col(gram) if n == ORDER else F.col(gram).bitwiseAND(F.lit((1 << FOLD * n) - 1))
+
+
+def _losses(asked: DataFrame, models: Models) -> DataFrame:
+    """(gram, lt, lb): -log2 of the probability of the last token of each asked n-gram in both models;
+    each order backs off to the next lower one.  ``asked`` has one row for each n-gram.
+
+    A context or lower order is shared by at most 2**16 n-grams of the order above."""
+    matched = min(models.target, models.background) or max(models.target, models.background)
+    sides = {"t": models.target, "b": models.background}
+    scale = {x: matched / n if n else 0.0 for x, n in sides.items()}
+    some = {x: F.coalesce(F.col(f"{x}n"), F.lit(0)) * scale[x] for x in sides}
+    sums = [F.sum(f"{x}n").alias(f"{x}n") for x in sides]
+    found = None
+    for n in range(1, ORDER + 1):
+        keys = asked if n == ORDER else asked.select(_low("gram", n).alias("gram")).distinct()
+        seen = models.counts if n == ORDER else models.counts.groupBy(_low("gram", n).alias("gram")).agg(*sums)
+        keys = keys.join(seen, "gram", "left")
+        if found is None:
+            p = {x: (some[x] + 1) / F.lit(float((matched if sides[x] else 0) + models.kinds)) for x in sides}
+        else:
+            context = F.shiftrightunsigned("gram", FOLD)
+            before = models.counts.withColumn("gram", context).groupBy(_low("gram", n - 1).alias("context")) \
+                .agg(*[(F.sum(f"{x}n") * scale[x]).alias(f"{x}c") for x in sides])
+            keys = keys.withColumn("context", context).withColumn("low", _low("gram", n - 1)) \
+                .join(before, "context", "left").join(found.withColumnRenamed("gram", "low"), "low")
+            p = {x: (some[x] + MU * F.col(f"{x}p")) / (F.coalesce(F.col(f"{x}c"), F.lit(0.0)) + MU) for x in sides}
+        found = keys.select("gram", *[p[x].alias(f"{x}p") for x in sides])
+    return found.select("gram", *[(-F.log2(f"{x}p")).alias(f"l{x}") for x in sides])
+
+
+def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_tokens, loss_target, loss_background, score),
     losses in bits per token over the whole text.
 
     Null and empty texts have 0 tokens and 0.0 everywhere; a repeated row gets a
     repeated result; an empty table gives no row.  Other columns are not read."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background, kinds = models.value
+    two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
+    blocks = max(1, -(-(two.agg(F.sum(F.coalesce(F.length("t"), F.lit(0)).cast("long") + ROW_CHARS)).first()[0] or 0) // BLOCK_CHARS))
+    # the input partition spreads copies of a row; a rerun of its task deals the same
+    dealt = two.withColumn("block", F.pmod(F.xxhash64("doc_id", "t", F.spark_partition_id()), F.lit(blocks))) \
+        .repartition("block")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for piece in slices(batch, "t"):
-                counts, sums = np.zeros(piece.num_rows, np.int64), np.zeros((2, piece.num_rows))
+                of = piece.column("block").to_numpy()
+                texts = np.array(piece.column("t").to_pylist(), object)
+                for block in np.unique(of).tolist():
+                    for _, parts in segments(texts[of == block].tolist(), LEAD, 0):
+                        seen = held.setdefault(block, [])
+                        seen.append(np.unique(grams(parts)[0]))
+                        if sum(map(len, seen)) > HELD_GRAMS:
+                            held[block] = [np.unique(np.concatenate(seen))]
+        for block, seen in held.items():
+            keys = np.unique(np.concatenate(seen))
+            for at in range(0, len(keys), 1 << 16):
+                k = keys[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block)), pa.array(k)], ["block", "gram"])
+
+    def answer(rows: pa.Table, known: pa.Table) -> pa.Table:
+        by = np.argsort(known.column("gram").to_numpy())
+        keys = known.column("gram").to_numpy()[by]
+        losses = [known.column(c).to_numpy()[by] for c in ("lt", "lb")]
+        counts, sums = np.zeros(rows.num_rows, np.int64), np.zeros((2, rows.num_rows))
+        first = 0
+        for batch in rows.select(["t"]).combine_chunks().to_batches():
+            for piece in slices(batch, "t"):
                 for number, parts in segments(piece.column("t").to_pylist(), LEAD, 0):
-                    padded, at, n = tokens(parts)
-                    columns = [np.concatenate([np.full(k, START, np.uint64), padded[:len(padded) - k]]) for k in range(LEAD + 1)]
-                    every = cells(columns)
-                    found, ctx = [c[at] for c in every], [c[at - 1] for c in every[:-1]]
-                    of = np.repeat(number, n)
+                    key, n = grams(parts)
+                    at, of = np.searchsorted(keys, key), np.repeat(number + first, n)
                     counts += np.bincount(of, minlength=len(counts))
-                    for k, m in enumerate((target, background)):
-                        sums[k] += np.bincount(of, m.losses(found, ctx, kinds), minlength=len(counts))
-                means = sums / np.maximum(1, counts)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(counts), pa.array(means[0]), pa.array(means[1]),
-                     pa.array(means[0] - means[1])],
-                    ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
-    two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
-    return two.mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+                    for k, loss in enumerate(losses):
+                        sums[k] += np.bincount(of, loss[at], minlength=len(counts))
+                first += piece.num_rows
+        means = sums / np.maximum(1, counts)
+        return pa.table([rows.column("doc_id"), pa.array(counts), pa.array(means[0]), pa.array(means[1]),
+                         pa.array(means[0] - means[1])],
+                        ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+    # an n-gram has at most one row for each block, so none is a large part of them
+    asked = dealt.mapInArrow(ask, "block long, gram long").repartition("gram")
+    # the filter holds always; it keeps both uses of the n-grams on one exchange
+    each = asked.groupBy("gram").agg(F.count("block").alias("blocks")).filter("blocks > 0").select("gram")
+    answers = asked.join(_losses(each, models), "gram").select("block", "gram", "lt", "lb")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        answer, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")

@@ -87,3 +87,26 @@ def test_false_positive_rate_is_corrected():
     other = rnd.integers(1, 1 << 60, 20_000)
     a, b = langid.slots_of(other, 1 << 10, 2)
     assert abs(np.mean(table[a] & table[b]) - fill ** 2) < 0.02
+
+
+def test_slots_follow_the_ngrams(spark, monkeypatch):
+    """A language with more n-grams than a filter of the least size can hold does not take other
+    languages' texts; a filter that is not broadcast predicts the same."""
+    rnd = np.random.default_rng(3)
+    many = "".join(map(chr, rnd.integers(0x4E00, 0x4E00 + 5000, 3000)))
+    train = spark.createDataFrame([(many, "zh"), ("der hund ist auf dem tisch", "de")] +
+                                  [(f"q{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i:03d}") for i in range(70)], "text string, lang string")
+    model = langid.fit(train, slots=1 << 10)
+    known, table, false, hashes = model.value
+    assert table.shape[1] == langid.slots_for(3000, 1 << 10, langid.HASHES) > 1 << 10 and false.max() <= langid.MOST_FALSE
+    asked = spark.createDataFrame([(1, "der hund"), (2, many[:50]), (3, None), (4, "12"), (None, "qab"), (1, "der hund"), (5, "Њ")] * 3,
+                                  "doc_id long, text string")
+    got = sorted(map(str, langid.predict(asked, model).collect()))
+    assert {(r.doc_id, r.lang_pred) for r in langid.predict(asked, model).collect() if r.doc_id in (1, 2, 3, 4)} == \
+        {(1, "de"), (2, "zh"), (3, "und"), (4, "und")}
+    monkeypatch.setattr(langid, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(langid, "BLOCK_CHARS", 300)
+    joined = langid.fit(train, slots=1 << 10)
+    assert isinstance(joined, langid.Slots) and joined.slots == table.shape[1] and (joined.false == false).all()
+    assert sorted(map(str, langid.predict(asked, joined).collect())) == got
+    assert langid.predict(asked.limit(0), joined).collect() == []

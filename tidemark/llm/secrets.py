@@ -30,8 +30,9 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = ("password", "passwd", "passphrase", "pwd", "secret", "token", "api_key", "apikey", "api-key",
              "credential", "bearer", "authorization", "private_key", "private key", "access_key",
              "access key", "client_id", "signature")
-REACH = 48
+REACH = 48               # of the start of a candidate behind the word
 NOVEL_MIN = 16           # shortest candidate
+RUN = r"A-Za-z0-9+/_.~\-"   # what a candidate consists of, with '=' as trailing padding only
 CONTEXT = 256            # code points of surrounding text on each side
 NOVEL_BYTES = 10         # least marginal bytes ...
 NOVEL_RATIO = 0.5        # ... and least marginal bytes for each byte of the candidate
@@ -56,6 +57,13 @@ IDENTIFIERS = (
 )
 
 
+#: a private key in armour: optional headers, whole lines (or ``\\n`` for line ends), a short last one before the end mark
+_GAP = r"(?:\s|\\[nr])+"
+PEM = (rf"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:\s|\\[nr])*(?:[A-Za-z-]+: [^\n\\]*{_GAP})*"
+       rf"((?:[A-Za-z0-9+/]{{16,}}={{0,2}}{_GAP})*[A-Za-z0-9+/]{{16,}}={{0,2}}"
+       rf"(?:{_GAP}[A-Za-z0-9+/=]{{1,76}}(?=(?:\s|\\[nr])*-----))*)")
+
+
 def _marginal(packer: zstandard.ZstdCompressor, before: str, token: str, after: str) -> int:
     with_it = packer.compress((before + token + after).encode("utf-8"))
     without = packer.compress((before + after).encode("utf-8"))
@@ -71,8 +79,12 @@ class Scanner:
         self.access = re.compile(f"AKIA[A-Z0-9]{{{ACCESS_MIN - 4},}}")    # a run that is too short has no longer suffix
         self.hex = re.compile(f"[0-9a-f]{{{HEX_MIN},}}")
         words = "|".join(re.escape(w) for w in sorted(SENSITIVE, key=len, reverse=True))
-        self.sensitive = re.compile(words)
-        self.candidate = re.compile(rf"(?<![A-Za-z0-9+/_.=~-])[A-Za-z0-9+/_.=~-]{{{NOVEL_MIN},}}")
+        self.sensitive = re.compile(words, re.IGNORECASE | re.ASCII)
+        padding = rf"(?![{RUN}=])"
+        self.candidate = re.compile(rf"(?<![{RUN}])(?:[{RUN}]{{{NOVEL_MIN},}}(?:={{1,2}}{padding})?|"
+                                    rf"[{RUN}]{{{NOVEL_MIN - 1}}}={{1,2}}{padding}|[{RUN}]{{{NOVEL_MIN - 2}}}=={padding})")
+        self.begins = re.compile(rf"(?<![{RUN}])[{RUN}]")
+        self.pem = re.compile(PEM)
         known = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.packer = zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False,
                                                write_dict_id=False)
@@ -87,25 +99,26 @@ class Scanner:
         found += [("hex", *m.span()) for m in self.hex.finditer(text)]
         return found
 
-    def novel(self, text: str, low: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    def adds(self, text: str, start: int, end: int) -> bool:
+        """Whether the text around it does not explain a candidate."""
+        added = _marginal(self.packer, text[max(0, start - CONTEXT):start], text[start:end], text[end:end + CONTEXT])
+        return added >= NOVEL_BYTES and added >= NOVEL_RATIO * (end - start)
+
+    def novel(self, text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         """Candidates that no base span overlaps and that the text around them does not explain."""
-        found, seen = [], set()
-        same_length = len(low) == len(text)   # else lower-casing moved offsets; look in the text itself
-        for word in self.sensitive.finditer(low if same_length else text):
-            for m in self.candidate.finditer(text, word.end(), min(len(text), word.end() + REACH)):
-                start = m.start()
-                end = start
-                while end < len(text) and (c := text[end]) < "\x7f" and (c.isalnum() or c in "+/_.=~-"):
-                    end += 1
-                token = text[start:end]
-                if start in seen or "\n" in text[word.end():start]:
-                    continue
-                seen.add(start)
-                if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)) or \
-                        any(s < end and start < e for _, s, e in taken):
+        found = []
+        if "PRIVATE KEY" in text:
+            found += [("novel", *m.span(1)) for m in self.pem.finditer(text) if self.adds(text, *m.span(1))]
+        taken, upto = taken + found, -1
+        for word in self.sensitive.finditer(text):
+            for run in self.begins.finditer(text, word.end(), min(len(text), word.end() + REACH + 1)):
+                start = run.start()
+                if "\n" in text[word.end():start]:
+                    break
+                if start <= upto or not (m := self.candidate.match(text, start)):
                     continue
-                added = _marginal(self.packer, text[max(0, start - CONTEXT):start], token, text[end:end + CONTEXT])
-                if added >= NOVEL_BYTES and added >= NOVEL_RATIO * len(token):
+                upto, end = start, m.end()
+                if not any(s < end and start < e for _, s, e in taken) and self.adds(text, start, end):
                     found.append(("novel", start, end))
         return found
 
@@ -114,7 +127,7 @@ class Scanner:
             return []
         low = text.lower()
         found = self.base(text, low)
-        found += self.novel(text, low, found)
+        found += self.novel(text, found)
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

@@ -61,3 +61,23 @@ def test_query(spark, tmp_path):
     assert got == sorted([(1, "u", "é x", 3), (1, "u", "é x", 3), (2, None, "", 0), (None, "v", "", 0)], key=str)
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert html.extract(empty).collect() == []
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<body class='post has-sidebar'>", "</body>"), ("<body class='comments-open'>", "</body>"),
+    ("<html class=search><body class='admin-bar search'>", "</body></html>"), ("<div class='article no-sidebar'>", "</div>"),
+    ("<div id='content-with-sidebar'>", "</div>"), ("<div class='search widget'>", "</div>"), ("<form id=aspnetForm>", "</form>"),
+])
+def test_names_do_not_empty_a_page(tree, before, after):
+    text = "The first paragraph says what happened and gives a reader more than ten words of it."
+    menu, foot = "<nav><a href=1>Home</a></nav>", "<div class=sidebar>Popular things</div><footer>All rights reserved</footer>"
+    for open_, close in (("<article>", "</article>"), ("<main>", "</main>")):
+        page = f"{before}{menu}{open_}<header class='entry-header'><h1>Title</h1></header><p>{text}</p>{close}{foot}{after}"
+        assert html.main_text(page, tree) == f"Title {text}"
+    assert html.main_text(f"{before}<p>{text}</p>{after}", tree) == text
+
+
+def test_aside_names_still_count(tree):
+    page = ("<article><p>Text</p></article><div class='comments'><article><p>I say that this is a long comment of many words.</p>"
+            "</article></div><div class='post-meta'>Filed under things</div><div class=site-header>Site</div>")
+    assert html.main_text(page, tree) == "Text"

@@ -45,6 +45,9 @@ ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
 MAIN_TAGS = {"article", "main"}
 MAIN_ROLES = {"main", "article"}
 MAIN_WORDS = {"article", "post", "entry", "story", "content", "main", "articlebody", "body", "prose"}
+#: parts of a name after which it says what the page has or lacks, and ends that name a state, not a container
+MARKERS = {"has", "no", "not", "with", "without", "show", "hide"}
+STATES = {"open", "opened", "closed", "enabled", "disabled", "on", "off", "active", "inactive", "visible"}
 FEATURES = ("words", "words before", "words behind", "link density", "link density before", "link density behind",
             "in a main container", "in an aside container")
 
@@ -95,50 +98,84 @@ class Block:
     aside: bool
 
 
-def _zone(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(opens a main container, opens an aside container)."""
-    role, names = "", set()
+@dataclass
+class Box:
+    """An open element: what it is by its tag, role and names."""
+    tag: str
+    main: bool = False
+    aside: bool = False
+    named: bool = False      # aside by a name, or a form: not if it turns out to hold the page
+    sure: bool = False       # main by its tag or role
+
+
+def _kind(token: str, tag: str) -> str:
+    """"aside", "main" or "" for one class or id."""
+    parts = re.split(r"[_-]+", token)
+    for k, part in enumerate(parts):
+        if part in MARKERS:
+            parts = parts[:k]
+            break
+    if not parts or len(parts) > 1 and parts[-1] in STATES:
+        return ""
+    main = bool(MAIN_WORDS.intersection(parts))
+    if "header" in parts and (main or tag == "header"):     # the header of a text; a header's place decides about it
+        parts = [x for x in parts if x != "header"]
+    return "aside" if ASIDE_WORDS.intersection(parts) else "main" if main else ""
+
+
+def _box(tag: str, attributes: str) -> Box:
+    if tag in ("html", "body"):          # names there tell the kind of page
+        return Box(tag)
+    role, kinds, hidden = "", set(), False
     if attributes and ("class" in (low := attributes.lower()) or "id" in low or "role" in low or "hidden" in low or "style" in low):
         for m in _ATTRIBUTE.finditer(low):
             key, value = m[1], m[2] or m[3] or m[4] or ""
             if key == "role":
                 role = value.strip()
             elif key in ("class", "id"):
-                names.update(re.split(r"[\s_-]+", value))
+                kinds.update(_kind(x, tag) for x in value.split())
+                hidden = hidden or "hidden" in value.split()
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                names.add("hidden")
-        if re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(_ATTRIBUTE, " ", low)):
-            names.add("hidden")
-    aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or bool(names & ASIDE_WORDS)
-    main = not aside and (tag in MAIN_TAGS or role in MAIN_ROLES or bool(names & MAIN_WORDS))
-    return main, aside
+                hidden = True
+        hidden = hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(_ATTRIBUTE, " ", low)))
+    fixed = hidden or tag in ASIDE_TAGS - {"form"} or role in ASIDE_ROLES - {"form"}
+    aside = fixed or tag == "form" or role == "form" or "aside" in kinds
+    sure = not aside and (tag in MAIN_TAGS or role in MAIN_ROLES)
+    return Box(tag, sure or not aside and "main" in kinds, aside, aside and not fixed, sure)
 
 
 def blocks(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in page order; null and empty pages have none.
 
     Unclosed elements end with the element around them, a paragraph also with the next
-    one; a page that breaks off ends all of them."""
+    one; a page that breaks off ends all of them.  An element that is aside by name only is not
+    if it holds the page's main element, or all of its articles, or all of its text."""
     found: list[Block] = []
     page = page or ""
-    stack: list[tuple[str, bool, bool]] = []        # open containers: tag, main, aside; nearest last
+    stack: list[Box] = []                           # open elements, nearest last
+    around: list[tuple[Box, ...]] = []              # those of each block
+    sure: list[tuple[Box, ...]] = []                # main elements and articles with those around them
     pieces: list[str] = []
     linked: list[str] = []
     in_link = False
 
-    def state() -> tuple[bool, bool]:
+    def state(boxes: tuple[Box, ...]) -> tuple[bool, bool]:
         """Whether a main or an aside container is around; the innermost of both decides
         about a header: a page's header is aside, an article's is not."""
         main = aside = False
-        for tag, m, a in stack:
-            main, aside = main or m, aside or a or (tag == "header" and not main)
+        for box in boxes:
+            main, aside = main or box.main, aside or box.aside or (box.tag == "header" and not main)
         return main, aside
 
+    def clear(boxes: tuple[Box, ...]) -> None:
+        for box in boxes:
+            box.aside = box.aside and not box.named
+
     def flush() -> None:
         text = " ".join("".join(pieces).split())
         if text:
-            main, aside = state()
-            found.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), main, aside))
+            around.append(tuple(stack))
+            found.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), False, False))
         pieces.clear()
         linked.clear()
 
@@ -176,24 +213,37 @@ def blocks(page: str | None) -> list[Block]:
             if tag not in INLINE:
                 flush()
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+                if stack[k].tag == tag:
                     flush()
                     del stack[k:]
                     in_link = in_link and tag in INLINE
                     break
         else:
-            main, aside = _zone(tag, m[3])
-            if tag in INLINE and not aside:
+            box = _box(tag, m[3])
+            if tag in INLINE and not box.aside:
                 continue
             flush()
             if tag not in INLINE:
                 in_link = False
-                if stack and stack[-1][0] == "p":
+                if stack and stack[-1].tag == "p":
                     stack.pop()
-                if tag in ("li", "dd", "dt", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
+                if tag in ("li", "dd", "dt", "tr", "td", "th", "option") and stack and stack[-1].tag == tag:
                     stack.pop()
-            stack.append((tag, main, aside))
+            stack.append(box)
+            if box.sure:
+                sure.append(tuple(stack))
     flush()
+    for boxes in sure:
+        if boxes[-1].tag == "main":
+            clear(boxes)
+    if all(any(box.aside for box in boxes) for boxes in sure):
+        for boxes in sure:
+            clear(boxes)
+    if all(any(box.aside for box in boxes) for boxes in around):
+        for boxes in around:
+            clear(boxes)
+    for block, boxes in zip(found, around):
+        block.main, block.aside = state(boxes)
     return found
 
 

@@ -66,6 +66,6 @@ def test_stages_take_odd_rows(spark):
 
 def test_registered():
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and "op8_maxscore_topk" in oracle_sql()
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

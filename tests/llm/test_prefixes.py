@@ -62,7 +62,7 @@ def test_last_token_is_the_only_one_that_holds(table):
     """Exactly one token that ends at a prefix's end holds behind the last token in front of it."""
     rnd = random.Random(2)
     for _ in range(200):
-        word = "".join(rnd.choice("aeinorst dhl") for _ in range(rnd.randrange(1, 12))).encode()
+        word = "".join(rnd.choice("aeinorst dhl") for _ in range(rnd.randrange(1, 12)))
         last = [-1]
         for end in range(1, len(word) + 1):
             found = [i for b in range(end) if (i := table.ids.get(word[b:end])) is not None and table.holds(last[b], i)]
@@ -70,6 +70,16 @@ def test_last_token_is_the_only_one_that_holds(table):
             last.append(found[0])
 
 
+def test_pairs_hold_as_merging_their_bytes_says(table):
+    rnd = random.Random(1)
+    runs = [i for i, t in table.bytes.items() if len(set(t)) == 1]
+    every = sorted(table.bytes)
+    for n in range(30_000):
+        pool = (every, runs)[n % 2]
+        a, b = rnd.choice(pool), rnd.choice(pool)
+        assert table.holds(a, b) == (table.merged(table.bytes[a] + table.bytes[b]) == [table.bytes[a], table.bytes[b]])
+
+
 def test_query_and_odd_rows(spark, count, tmp_path):
     rows = [(1, "Hello world", 3), (2, None, 3), (3, "", 3), (None, "x", None), (1, "Hello world", 3), (4, "word é " * 1000, 0),
             (5, "a" * 30_000, 0)]

@@ -18,7 +18,6 @@ import json
 import re
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import LATER, byte_alphabet
 from tidemark.llm.common import slices
 
-CACHE_WORDS = 200_000     # words whose counts a task remembers
+CACHE_WORDS = 300_000     # words whose counts a task remembers
 CACHE_PAIRS = 1_000_000   # pairs of tokens of which it remembers whether they hold
 PART_CHARS = 1 << 20      # a longer text is counted in parts, cut in front of white space
 
@@ -42,26 +41,23 @@ class Prefixes:
     """Counts for a byte-level BPE file such as ``byte_bpe_50k.json``."""
 
     def __init__(self, spec: dict) -> None:
-        byte_of = {c: b for b, c in enumerate(byte_alphabet())}
-
-        def raw(token: str) -> bytes:
-            return bytes([byte_of[c] for c in token])
+        as_bytes = str.maketrans({c: chr(b) for b, c in enumerate(byte_alphabet())})     # bytes are written as Latin-1
         model = spec["model"]
-        self.ids = {raw(t): i for t, i in model["vocab"].items()}
+        self.ids = {t.translate(as_bytes): i for t, i in model["vocab"].items()}
         self.bytes = {i: t for t, i in self.ids.items()}
-        self.rank: dict[tuple[bytes, bytes], int] = {}
+        self.rank: dict[tuple[str, str], int] = {}
         for r, m in enumerate(model["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
-            self.rank[raw(a), raw(b)] = r
-        self.ending = ahocorasick.Automaton()     # the tokens that end at each byte, bytes written as Latin-1
-        for t, i in self.ids.items():
-            self.ending.add_word(t.decode("latin-1"), (i, len(t)))
-        self.ending.make_automaton()
+            self.rank[a.translate(as_bytes), b.translate(as_bytes)] = r
+        self.made = {a + b: (a, b, r) for (a, b), r in self.rank.items()}
+        self.edges: tuple[dict, dict] = {}, {}
+        self.longest = {chr(b): 1 for b in range(256)}      # bytes of the longest token that ends in each byte
+        for t in self.ids:
+            self.longest[t[-1]] = max(self.longest[t[-1]], len(t))
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.ascii = re.compile(_WORDS.format(letter="[A-Za-z]", number="[0-9]", both="A-Za-z0-9", space=r"\t-\r "))
         self.any = regex.compile(_WORDS.format(letter=r"\p{L}", number=r"\p{N}", both=r"\p{L}\p{N}", space=_SPACE))
-        self.runs = re.compile(f"[{_SPACE}]{{2,}}(?=[^{_SPACE}])")
         self.parts_at = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
         self.blank = re.compile(f"[{_SPACE}]*")
         self.later = {c: 0x378 for a, z in LATER for c in range(a, z + 1)}
@@ -75,9 +71,9 @@ class Prefixes:
         self.starts, self.chars, self.totals = (np.empty(0, np.int64) for _ in range(3))
         self.is_blank, self.led = np.empty(0, bool), np.empty(0, bool)     # only white space; starts with it
 
-    def merged(self, data: bytes) -> list[bytes]:
+    def merged(self, data: str) -> list[str]:
         """The tokens of a few bytes, merge by merge (lowest rank first, leftmost of equals)."""
-        parts = [data[i:i + 1] for i in range(len(data))]
+        parts = list(data)
         while len(parts) > 1:
             found = [self.rank.get(p, 1 << 30) for p in zip(parts, parts[1:])]
             least = min(found)
@@ -87,44 +83,84 @@ class Prefixes:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def edge(self, token: int, side: int) -> list[tuple[str, int]]:
+        """The tokens that stand at the right (1) or left (0) end of a token while it is merged,
+        each with the rank of the merge that takes it up."""
+        found = self.edges[side].get(token)
+        if found is None:
+            at, taken, found = self.bytes[token], 1 << 30, []
+            while True:
+                found.append((at, taken))
+                if at not in self.made:
+                    break
+                taken = self.made[at][2]
+                at = self.made[at][side]
+            self.edges[side][token] = found
+        return found
+
     def holds(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens are encoded as these two (``left`` -1: of ``right`` alone, as it)."""
+        """Whether the bytes of two tokens are encoded as these two (``left`` -1: of ``right`` alone, as it).
+
+        They are not if some merge across joins an end of the left to an end of the right before
+        both are taken up by their own tokens; of equal ranks the leftmost is merged first."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) > CACHE_PAIRS:
                 self.pairs.clear()
-            b = self.bytes[right]
-            a = self.bytes[left] if left >= 0 else b""
-            known = (a, b) not in self.rank and self.merged(a + b) == ([a, b] if a else [b])
-            self.pairs[left, right] = known
+            known = self.pairs[left, right] = (not self.crossed(self.edge(left, 1), self.edge(right, 0)) if left >= 0
+                                               else self.merged(self.bytes[right]) == [self.bytes[right]])
         return known
 
-    def counts(self, word: bytes) -> list[int]:
-        """Tokens of every prefix of one word, the empty one first."""
-        last, count, pairs = [-1], [0], self.pairs
-        for end, (token, size) in self.ending.iter(word.decode("latin-1")):     # by end, longest first
-            if end + 1 == len(last):
-                left = last[end + 1 - size]
-                good = pairs.get((left, token))
-                if good or good is None and self.holds(left, token):
-                    last.append(token)
-                    count.append(count[end + 1 - size] + 1)
-        return count
+    def crossed(self, left: list[tuple[str, int]], right: list[tuple[str, int]]) -> bool:
+        rank = self.rank.get
+        for x, x_taken in left:
+            for y, y_taken in right:
+                r = rank((x, y))
+                if r is not None and r < x_taken and r <= y_taken:
+                    return True
+        return False
+
+    def counts(self, words: list[str]) -> Iterator[list[int]]:
+        """Tokens of every prefix of each word, the empty one first; bytes are written as
+        Latin-1 and the words sorted, so that a word goes on from the prefix it shares with
+        the one before it."""
+        last, count, before = [-1], [0], ""
+        pairs, token_of, longest = self.pairs, self.ids.get, self.longest
+        for word in words:
+            shared = 0
+            for x, y in zip(word, before):
+                if x != y:
+                    break
+                shared += 1
+            del last[shared + 1:], count[shared + 1:]
+            for end in range(shared + 1, len(word) + 1):
+                for begin in range(end - 1, end - 1 - longest[word[end - 1]], -1):
+                    token = token_of(word[begin:end])
+                    if token is not None:
+                        good = pairs.get((last[begin], token))
+                        if good or good is None and self.holds(last[begin], token):
+                            break
+                last.append(token)
+                count.append(count[begin] + 1)
+            before = word
+            yield count
 
     def add(self, words: list[str]) -> None:
         """Remember the counts of new words at the end of each of their characters."""
         if not words:
             return
+        raw = [w if w.isascii() else w.encode("utf-8").decode("latin-1") for w in words]
+        order = sorted(range(len(words)), key=raw.__getitem__)
+        words, raw = [words[i] for i in order], [raw[i] for i in order]
         every, sizes, totals = [], [], []
-        for word in words:
-            raw = word.encode("utf-8")
-            found = self.counts(raw)
-            if len(raw) != len(word):
-                ends = [i for i in range(1, len(raw)) if raw[i] & 0xC0 != 0x80] + [len(raw)]
-                found = [0, *[found[i] for i in ends]]
-            if word in _CUT_SHORT:
-                found[2] = 2
-            every += found[1:]
+        for word, written, found in zip(words, raw, self.counts(raw)):
+            if len(written) != len(word):
+                ends = [i for i in range(1, len(written)) if ord(written[i]) & 0xC0 != 0x80] + [len(written)]
+                every += [found[i] for i in ends]
+            elif word in _CUT_SHORT:
+                every += [found[1], 2, found[3]]
+            else:
+                every += found[1:]
             sizes.append(len(word))
             totals.append(found[-1])
         sizes = np.array(sizes, np.int64)
@@ -134,7 +170,7 @@ class Prefixes:
         self.starts, self.chars = np.concatenate([self.starts, starts]), np.concatenate([self.chars, sizes])
         self.totals = np.concatenate([self.totals, np.array(totals, np.int64)])
         self.is_blank = np.concatenate([self.is_blank, [self.blank.fullmatch(w) is not None for w in words]])
-        self.led = np.concatenate([self.led, [self.blank.fullmatch(w[0]) is not None for w in words]])
+        self.led = np.concatenate([self.led, [self.blank.match(w).end() > 0 for w in words]])
 
     def words(self, text: str) -> list[str]:
         if text.isascii():
@@ -148,19 +184,21 @@ class Prefixes:
         if len(self.at) > CACHE_WORDS:
             self.clear()
         split = [self.words(t) for t in texts]
-        runs = [self.runs.findall(t) for t in texts]
-        self.add(list(set().union(*split, *runs).difference(self.at)))
-        out, at = [], self.at
-        for words, blanks in zip(split, runs):
-            k = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+        self.add(list(set().union(*split).difference(self.at)))
+        found = [np.fromiter(map(self.at.__getitem__, words), np.int64, len(words)) for words in split]
+        # a text that ends behind a run of white space has the run as one word
+        cut = [np.flatnonzero(self.is_blank[k[:-1]] & self.led[k[1:]]) for k in found]
+        runs = [[words[i] + words[i + 1][0] for i in at.tolist()] for words, at in zip(split, cut)]
+        self.add(list(set().union(*runs).difference(self.at)))
+        out = []
+        for k, at, blanks in zip(found, cut, runs):
             n, totals = self.chars[k], self.totals[k]
             ends, base = np.cumsum(n), np.cumsum(totals) - totals
             size = int(ends[-1]) if len(k) else 0
-            found = self.flat[np.arange(size) + np.repeat(self.starts[k] - ends + n, n)] + np.repeat(base, n)
-            if blanks:    # a text that ends behind a run of white space has the run as one word
-                i = np.flatnonzero(self.is_blank[k[:-1]] & self.led[k[1:]])
-                found[ends[i]] = base[i] + self.totals[[at[b] for b in blanks]]
-            out.append(found)
+            counts = self.flat[np.arange(size) + np.repeat(self.starts[k] - ends + n, n)] + np.repeat(base, n)
+            if blanks:
+                counts[ends[at]] = base[at] + self.totals[[self.at[b] for b in blanks]]
+            out.append(counts)
         return out
 
     def parts(self, text: str, limit: int = 0) -> Iterator[str]:

@@ -139,3 +139,31 @@ def test_bitmap_offset_matches_32bit_hash(spark):
     assert got == {v: _py_offset(v) for v in vals}
     small = {r.v: r.o for r in df.select("v", bitmap_offset(F.col("v"), 6).alias("o")).collect()}
     assert small == {v: _py_offset(v, 6) for v in vals}
+
+
+def test_bitmaps_merge_roll_up_and_answer(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import (
+        count_visitor_bitmaps, merge_visitor_bitmaps, rollup_visitor_bitmaps, unique_visitors_bitmap, visitor_bitmaps,
+        visitor_bits)
+
+    ev = spark.range(4000).selectExpr("id AS event_id", "if(id % 50 = 0, null, id * 7919 % 1000) AS user_id",
+                                      "timestamp_seconds(id * 60) AS ts").repartition(5)
+    for bits in (6, 16, 29):      # 6: users share bits
+        table = visitor_bitmaps(ev, log2_bits=bits)
+        expect = rows(unique_visitors_bitmap(ev.filter("user_id IS NOT NULL"), log2_bits=bits))
+        assert rows(count_visitor_bitmaps(table)) == expect
+        parts = [visitor_bitmaps(ev.filter(F.col("event_id") % 3 == i), log2_bits=bits) for i in range(3)]
+        assert rows(count_visitor_bitmaps(merge_visitor_bitmaps(*parts, parts[0]))) == expect
+        days = rollup_visitor_bitmaps(table)
+        assert rows(count_visitor_bitmaps(days)) == rows(
+            unique_visitors_bitmap(ev.filter("user_id IS NOT NULL"), window_s=86400, log2_bits=bits))
+        longest = table.agg(F.max(F.length("bits")), F.max("bucket")).first()
+        assert longest[0] == 4096 and longest[1] <= max(1, (1 << bits) // 32768)
+    first = 3_600_000
+    probes = spark.createDataFrame([(first, 7919 % 1000), (first, 7919 * 59 % 1000), (first, 7919 * 60 % 1000), (1, 5)],
+                                   "window_end_ms long, user_id long")
+    assert rows(visitor_bits(visitor_bitmaps(ev), probes)) == sorted(
+        [(first, 919, True), (first, 7919 * 59 % 1000, True), (first, 7919 * 60 % 1000, False), (1, 5, False)])
+    assert rows(count_visitor_bitmaps(visitor_bitmaps(ev.limit(0)))) == []

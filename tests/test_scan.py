@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.operators.scan import ScanAgg, measure, segmented_scan
+from tidemark.operators import scan
+from tidemark.operators.scan import Chunks, ScanAgg, chunks_for, heavy_keys, segmented_scan
 
 
 @pytest.fixture(scope="module")
@@ -92,28 +93,44 @@ def test_rows_are_shuffled_once_and_the_exchange_is_reused(spark, tmp_path, data
     assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 3, plan
 
 
-def test_keys_of_ordinary_size_are_one_window(spark, data):
-    plan = plan_of(spark, segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v"))],
-                                         measure(data, ["k"], "t")))
-    assert plan.count("Exchange") == 1 and "Join" not in plan
+def test_small_inputs_are_one_window(spark, data, tmp_path, monkeypatch):
+    data.write.parquet(str(tmp_path / "t"))
+    src = spark.read.parquet(str(tmp_path / "t"))
+
+    def plan():
+        return plan_of(spark, segmented_scan(src, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v"))], chunks_for(src, "t")))
+    assert plan().count("Exchange") == 1 and "Join" not in plan()
+    monkeypatch.setattr(scan, "SMALL_BYTES", 100)      # by its size alone: the rows are not counted
+    assert "approx_top_k_combine" in plan()
 
 
 @pytest.mark.parametrize("rows_each", [20, 100, 1000])
-def test_measured_chunks(spark, data, rows_each):
-    """Only the heavy keys are cut, to chunks near the wanted size, and the rows stay the same."""
-    chunks = measure(data, ["k"], "t", rows_each)
+def test_heavy_keys_are_cut(spark, data, rows_each):
+    """All keys over the limit and only they are cut, to chunks near the wanted size, and the rows stay the same."""
     counts = {r.k: r["count"] for r in data.groupBy("k").count().collect()}
-    heavy = {r.k: r["__width"] for r in chunks.heavy.collect()} if chunks.heavy is not None else {}
-    assert set(heavy) == {k for k, n in counts.items() if n > rows_each}
-    for k, width in heavy.items():
-        most = data.filter(F.col("k") == k).groupBy(F.floor(F.col("t") / width)).count().agg(F.max("count")).first()[0]
-        assert most <= 2 * rows_each
+    named = {r.k: r.h for r in data.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    heavy = {r["__h"]: r["__width"] for r in heavy_keys(data, ["k"], "t", rows_each).collect()}
+    assert set(heavy) == {named[k] for k, n in counts.items() if n > rows_each}
+    for k in named:
+        if named[k] in heavy:
+            chunks = data.filter(F.col("k").eqNullSafe(F.lit(k))).groupBy(F.floor(F.col("t") / heavy[named[k]])).count()
+            assert chunks.agg(F.max("count")).first()[0] <= 2 * rows_each
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
     expect = rows(data.select("id", F.coalesce(F.sum("v").over(w), F.lit(0)).alias("s"), F.last("v", True).over(w).alias("n")))
-    got = segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v")), ScanAgg("n", "nearest", F.col("v"))], chunks)
+    got = segmented_scan(data, ["k"], ["t", "id"], [ScanAgg("s", "sum", F.col("v")), ScanAgg("n", "nearest", F.col("v"))],
+                         Chunks("t", rows_each))
     assert rows(got.select("id", "s", "n")) == expect
 
 
+def test_no_heavy_key_is_missed_among_many(spark, monkeypatch):
+    """With far more keys than the sketch tracks, every key above its stated bound is named."""
+    monkeypatch.setattr(scan, "TRACKED", 1 << 10)      # bound: 2 x 3.5 / 1,024 of the rows
+    many = spark.range(100_000).select(F.when(F.col("id") % 20 == 0, F.col("id") % 60).otherwise(F.col("id") + 1000).alias("k"),
+                                       F.col("id").alias("t")).repartition(7)
+    found = {r["__h"] for r in heavy_keys(many, ["k"], "t", 1000).collect()}
+    assert found == {r.h for r in spark.createDataFrame([(0,), (20,), (40,)], "k long").select(F.xxhash64("k").alias("h")).collect()}
+
+
 @pytest.mark.parametrize("kind", ["date", "string", "boolean", "timestamp", "int"])
 def test_key_types(spark, kind):
     values = {"date": "2024-01-0{}", "string": "{}", "boolean": "{}", "timestamp": "2024-01-0{} 00:00:00", "int": "{}"}[kind]
@@ -123,13 +140,11 @@ def test_key_types(spark, kind):
     assert {r.id: r.p for r in got.collect()} == {i: i - 3 if i >= 3 else None for i in range(12)}
 
 
-def test_keyless_scan_measured(spark, data):
+def test_keyless_scan_sized_by_a_subquery(spark, data):
     w = Window.orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
     expect = rows(data.select("id", F.max("t").over(w).alias("m")))
     for n in (10, 200, 100_000):
-        chunks = measure(data, [], "t", n)
-        assert (chunks.width is None) == (n == 100_000)
-        got = segmented_scan(data, [], ["t", "id"], [ScanAgg("m", "max", F.col("t"))], chunks)
+        got = segmented_scan(data, [], ["t", "id"], [ScanAgg("m", "max", F.col("t"))], Chunks("t", n))
         assert rows(got.select("id", "m")) == expect
 
 

@@ -97,14 +97,29 @@ def test_empty_input(spark):
 
 
 def test_chunk_rows_from_session_do_not_change_results(spark):
-    from tidemark.operators.scan import CHUNK_CONF, measure
+    from tidemark.operators.scan import CHUNK_CONF, heavy_keys
 
     df = logins(spark, [(1, "fail", s) for s in range(0, 40, 3)] + [(1, "success", 20)])
     base = rows(login_fail_pattern(df, 4))
     spark.conf.set(CHUNK_CONF, "5")
     try:
-        assert measure(df.selectExpr("user_id", "unix_micros(ts) AS t"), ["user_id"], "t").heavy.count() == 1
+        assert heavy_keys(df.selectExpr("user_id", "unix_micros(ts) AS t"), ["user_id"], "t", 5).count() == 1
         assert rows(login_fail_pattern(df, 4)) == base
         assert rows(login_fail_burst(df, 2, 4)) == rows(login_fail_burst(df, 2, 4, chunk_us=3_600_000_000))
     finally:
         spark.conf.unset(CHUNK_CONF)
+
+
+def test_other_order_events_decide_nothing(spark):
+    """A create, a cancel, its pay; a refund alone; other kinds between any two events."""
+    def orders(recs):
+        return spark.createDataFrame([(o, e, i) for i, (o, e, _) in enumerate(recs)], "order_id long, event string, event_id long").join(
+            spark.createDataFrame([(i, t) for i, (*_, t) in enumerate(recs)], "event_id long, s long"), "event_id") \
+            .selectExpr("order_id", "event", "event_id", "timestamp_seconds(s) AS ts")
+    recs = [(1, "create", 0), (1, "cancel", 60), (1, "pay", 120), (2, "refund", 5), (3, "create", 0), (3, "cancel", 10),
+            (4, "pay", 7), (4, "audit", 8), (5, "create", 0), (5, "audit", 2000), (5, "pay", 3000)]
+    base = [r for r in recs if r[1] in ("create", "pay")]
+    got = rows(order_pay_match(orders(recs)))
+    assert got == rows(order_pay_match(orders(base)))
+    assert (1, 0, 120_000, "pay success") in got and all(r[0] != 2 for r in got)
+    assert rows(order_timeout(orders(recs)).drop("create_event_id")) == rows(order_timeout(orders(base)).drop("create_event_id"))

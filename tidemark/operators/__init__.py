@@ -18,14 +18,19 @@ from tidemark.operators.sequences import (
 )
 from tidemark.operators.topn import format_top_n_report, hot_items, hot_pages, top_n
 from tidemark.operators.visitors import (
+    count_visitor_bitmaps,
+    merge_visitor_bitmaps,
     page_views,
     page_views_salted,
+    rollup_visitor_bitmaps,
     rollup_visitor_sketches,
     running_unique_visitors,
     unique_visitors,
     unique_visitors_bitmap,
     unique_visitors_hll,
     unique_visitors_sketch,
+    visitor_bitmaps,
+    visitor_bits,
 )
 from tidemark.operators.windows import (
     channel_counts,
@@ -36,7 +41,8 @@ from tidemark.operators.windows import (
 )
 
 __all__ = [
-    "ScanAgg", "ad_click_filter", "channel_counts", "hot_items", "hot_pages", "ad_click_warnings", "ad_clicks_by_province",
+    "ScanAgg", "count_visitor_bitmaps", "merge_visitor_bitmaps", "rollup_visitor_bitmaps", "visitor_bitmaps",
+    "visitor_bits", "ad_click_filter", "channel_counts", "hot_items", "hot_pages", "ad_click_warnings", "ad_clicks_by_province",
     "format_top_n_report", "login_fail_burst", "login_fail_immediate", "login_fail_pattern",
     "order_pay_match", "order_timeout", "page_views", "page_views_salted", "pane_counts",
     "rank_daily_clicks", "rollup_visitor_sketches", "running_unique_visitors", "segmented_scan", "sliding_count",

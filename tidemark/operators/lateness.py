@@ -24,7 +24,7 @@ from tidemark.operators.scan import ScanAgg, chunks_for, segmented_scan
 
 def split_late(df: DataFrame, arrival_us: Column, ts: str = "ts", order_id: str = "event_id",
                size_s: float = 3600, slide_s: float | None = None, delay_s: float = 64,
-               lateness_s: float = 60, chunk_us: int | None = None) -> DataFrame:
+               lateness_s: float = 60, chunk_us: int | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Add ``watermark_us``, ``last_window_end_us`` and ``is_late`` to every row.
 
     arrival_us: arrival time (epoch us) giving the order the stream saw rows in.
@@ -37,7 +37,7 @@ def split_late(df: DataFrame, arrival_us: Column, ts: str = "ts", order_id: str
     base = df.withColumn("__arr", arrival_us).withColumn("__ts", F.unix_micros(ts))
     scanned = segmented_scan(base, [], ["__arr", order_id],
                              [ScanAgg("__max", "max", F.col("__ts"))],
-                             chunks_for(base, [], "__arr", chunk_us))
+                             chunks_for(base, "__arr", chunk_us, chunk_rows))
     last_end = floor_div(F.col("__ts"), slide_us) * F.lit(slide_us) + F.lit(size_us)
     wm = F.col("__max") - F.lit(seconds_to_us(delay_s))
     return (scanned

@@ -77,7 +77,7 @@ def tx_match(pays: DataFrame, receipts: DataFrame, wait_s: float = 3, key: str =
     scanned = segmented_scan(
         both, [key], ["__ord", "__id"],
         [ScanAgg("__p", "prev", near.withField("pay", F.col("pay"))), ScanAgg("__n", "next", near)],
-        chunks_for(both, [key], "__ts", chunk_us))
+        chunks_for(both, "__ts", chunk_us))
     wait = F.lit(seconds_to_us(wait_s))
     named = F.col(key).isNotNull()
 

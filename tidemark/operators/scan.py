@@ -1,16 +1,17 @@
 """Ordered per-key scans (running sum / min / max / nearest row) without hot groups.
 
 A Spark window function sorts a whole ``partitionBy`` group inside one task.
-That is the right plan for keys of ordinary size, and ``segmented_scan`` uses it
-for them.  When one key holds a large share of all rows (one user, one order id,
-or no key at all) that task would be the whole job, so such a key is cut in chunks
-along the scan order, sized from the data (``measure``):
+That is the right plan for keys of ordinary size.  When one key holds a large share of all
+rows (one user, one order id, or no key at all) that task would be the whole job, so such
+a key is cut in chunks along the scan order.  Which keys these are is part of the query
+(``heavy_keys``): nothing runs while a query is built.  Only an input that Spark's own
+statistics put at so few bytes that one task can sort all of it is scanned by a plain window.
 
 1. rows are shuffled once, by ``(key, chunk)``;
 2. within each ``(key, chunk)``: the window aggregate over the rows before (or
    up to) the current one;
 3. the running value at the last row of every chunk of a cut key, from the same
-   shuffled rows (the exchange is reused, the input is read once);
+   shuffled rows (the exchange is reused);
 4. per cut key over these chunk rows only: the aggregate of all *earlier* chunks;
 5. that prefix is joined back on ``(key, chunk)`` and combined.
 
@@ -20,7 +21,6 @@ scan order.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import floor_div
-from tidemark.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -51,49 +50,65 @@ class ScanAgg:
 # many.  The session setting tunes it at scale without code changes.
 CHUNK_ROWS = 1_000_000
 CHUNK_CONF = "tidemark.scan.chunkRows"
-# A scan without a key over at most so many rows is one sort.
-SMALL_ROWS = 100_000
-# Cut keys that are broadcast at most (their number is counted first); more are joined.
-BROADCAST_KEYS = 100_000
+# An input of at most so many bytes by Spark's statistics (of files: their size) is not cut: one
+# task can sort it whole, whatever its keys.
+SMALL_BYTES = 64 << 20
+# A scan without a key is dealt over the cores in chunks of so many rows at least.
+LEAST_ROWS = 1_000
+# Keys that a frequent-items sketch tracks.  A sketch errs by at most 3.5 / TRACKED of its rows and
+# names every key above twice that, so a key is found if it has over CHUNK_ROWS rows
+# and over 1 / 9,362 of all rows.
+TRACKED = 1 << 16
+# Sketches are merged in so many groups of tasks first, then these.
+MERGED = 256
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """How the rows of a scan are cut: ``heavy`` has the cut keys with a chunk width each
-    (None: no key is cut); ``width`` is the chunk width of a scan without a key (None: so
-    few rows that one task sorts them)."""
+    """How the rows of a scan are cut: in chunks of about ``rows`` rows along a bigint column,
+    ``always`` also where the input is small."""
 
     along: str
-    heavy: DataFrame | None = None
-    few: bool = True
-    width: int | None = None
-
-
-def measure(df: DataFrame, keys: list[str], along: str, chunk_rows: int | None = None) -> Chunks:
-    """Chunks of about ``chunk_rows`` rows along the bigint column ``along``.
-
-    One aggregation counts the rows of every key (partial sums map-side, only the key
-    and ``along`` are read) and brings one row to the driver; only if a key is over the
-    limit are the cut keys written to the checkpoint folder, at most rows /
-    ``chunk_rows`` of them."""
-    rows = chunk_rows or int(df.sparkSession.conf.get(CHUNK_CONF, str(CHUNK_ROWS)))
-    span = (F.max(along) - F.min(along) + 1).cast("decimal(38,0)")
-    width = F.greatest(F.lit(1), F.ceil(span * rows / F.count(F.lit(1)))).cast("bigint")
-    if not keys:
-        got = df.agg(F.count(F.lit(1)).alias("n"), F.min(along).alias("lo"), F.max(along).alias("hi")).first()
-        if got.n <= min(rows, SMALL_ROWS):
-            return Chunks(along)
-        spread = max(1, df.sparkSession.sparkContext.defaultParallelism)
-        share = min(rows, -(-got.n // spread))   # a scan without a key still uses every core
-        return Chunks(along, width=max(1, -(-(got.hi - got.lo + 1) * share // got.n)))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), width.alias("__width"))
-    cut = per_key.agg(F.count_if(F.col("__n") > rows)).first()[0]
-    if not cut:
-        return Chunks(along)
-    # a written table: unlike a checkpoint its scans compare equal, so exchanges above are reused
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/scan-{uuid.uuid4().hex}"
-    per_key.filter(F.col("__n") > rows).select(*keys, "__width").write.parquet(path)
-    return Chunks(along, df.sparkSession.read.parquet(path), cut <= BROADCAST_KEYS)
+    rows: int
+    always: bool = True
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark's statistics bound the input by ``SMALL_BYTES``; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES
+
+
+def heavy_keys(df: DataFrame, keys: list[str], along: str, rows: int) -> DataFrame:
+    """(hash of the key, chunk width) of every key with over ``rows`` rows, as part of the query.
+
+    Each task makes a frequent-items sketch of its keys' hashes, sketches are merged in two
+    steps, and no row is shuffled by its key.  The keys so named are then counted exactly,
+    with the span of ``along`` that they cover: a filter against the broadcast names
+    (of 8 bytes; over 7 / TRACKED of all rows each, so at most TRACKED / 7) and partial sums.  Two keys of one hash count as one
+    and are cut together, which changes no result."""
+    named = df.select(F.xxhash64(*keys).alias("__h"), F.col(along).alias("__along"))
+    sketches = (named.select("__h", (F.spark_partition_id() % MERGED).alias("__g")).groupBy("__g")
+                .agg(F.expr(f"approx_top_k_accumulate(__h, {TRACKED})").alias("__s")))
+    # (grouped by a constant, an empty input has no group and so no sketch)
+    top = sketches.groupBy(F.lit("all")).agg(F.expr("approx_top_k_combine(__s)").alias("__s")) \
+        .select(F.explode(F.expr(f"approx_top_k_estimate(__s, {TRACKED // 7})")).alias("__t"))
+    names = top.filter(F.col("__t.count") > rows).select(F.col("__t.item").alias("__name"))
+    counted = (named.join(F.broadcast(names), F.col("__h") == F.col("__name"), "left_semi").groupBy("__h")
+               .agg(F.count(F.lit(1)).alias("__n"), F.min("__along").alias("__lo"), F.max("__along").alias("__hi")))
+    return counted.filter(F.col("__n") > rows).select("__h", _width("__n", "__lo", "__hi", F.lit(rows)).alias("__width"))
+
+
+def _width(n: str, low: str, high: str, rows: Column) -> Column:
+    span = (F.col(high) - F.col(low) + 1).cast("decimal(38,0)")
+    return F.greatest(F.lit(1), F.ceil(span * rows / F.col(n))).cast("bigint")
+
+
+def _whole_width(df: DataFrame, along: str, rows: int) -> Column:
+    """Chunk width of a scan without a key, from one row of totals (a scalar subquery)."""
+    spread = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    each = F.least(F.lit(rows), F.greatest(F.lit(LEAST_ROWS), F.ceil(F.col("n") / spread)))
+    totals = df.agg(F.count(F.lit(1)).alias("n"), F.min(along).alias("lo"), F.max(along).alias("hi"))
+    return F.coalesce(totals.select(_width("n", "lo", "hi", each)).scalar(), F.lit(1).cast("bigint"))
 
 
 def time_chunk(ts_us: Column, width_us: int) -> Column:
@@ -101,9 +116,14 @@ def time_chunk(ts_us: Column, width_us: int) -> Column:
     return floor_div(ts_us, width_us)
 
 
-def chunks_for(df: DataFrame, keys: list[str], along: str, chunk_us: int | None = None) -> Chunks | Column:
-    """Fixed chunks if a width is given, else measured ones."""
-    return time_chunk(F.col(along), chunk_us) if chunk_us else measure(df, keys, along)
+def chunks_for(df: DataFrame, along: str, chunk_us: int | None = None,
+               chunk_rows: int | None = None) -> Chunks | Column:
+    """Fixed chunks if a width is given, else chunks of ``chunk_rows`` rows.  By default they have the
+    session's number of rows, or a million if the input is not small."""
+    if chunk_us:
+        return time_chunk(F.col(along), chunk_us)
+    rows = chunk_rows or df.sparkSession.conf.get(CHUNK_CONF, None)
+    return Chunks(along, int(rows or CHUNK_ROWS), rows is not None)
 
 
 _RUNNING = {
@@ -129,19 +149,19 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
 
     keys: partition columns of the scan (may be empty: one global order).
     order: columns giving a total order within a key (e.g. ``ts_us, event_id``).
-    chunk: measured chunks, a chunk column, or None (no key is cut).
+    chunk: chunks of a number of rows for keys with more, a chunk column, or None (no key is cut).
     reverse: scan from the last row backwards (``nearest`` then means *next*).
     inclusive: whether the current row is part of its own frame.
 
-    The returned plan reads its input once.  Where keys are cut, all columns of ``df``
-    are shuffled: project before scanning.
+    The rows are read and shuffled once; with ``Chunks``, the keys and ``along`` are read for
+    the heavy keys besides.  All columns of ``df`` are shuffled: project before scanning.
     """
     if not aggs:
         return df
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
     upper = Window.currentRow if inclusive else -1
     sort = [direction(c) for c in order]
-    if chunk is None or (isinstance(chunk, Chunks) and chunk.heavy is None and chunk.width is None):
+    if chunk is None or isinstance(chunk, Chunks) and not chunk.always and is_small(df):
         by_row = Window.partitionBy(*keys).orderBy(*sort)
         frame = by_row.rowsBetween(Window.unboundedPreceding, upper)
         out = df
@@ -153,17 +173,20 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
     ck, cut = "__scan_chunk", "__scan_cut"
     if isinstance(chunk, Column):
         base = df.withColumn(ck, chunk).withColumn(cut, F.lit(True))
-    elif chunk.heavy is None:
-        base = df.withColumn(ck, floor_div(F.col(chunk.along), chunk.width)).withColumn(cut, F.lit(True))
+    elif not keys:
+        along = F.col(chunk.along)
+        width = _whole_width(df, chunk.along, chunk.rows)
+        base = (df.withColumn("__width", width)
+                .withColumn(ck, F.call_function("div", along - F.pmod(along, "__width"), F.col("__width")))
+                .withColumn(cut, F.lit(True)).drop("__width"))
     else:
-        heavy = chunk.heavy.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], "__width")
-        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
+        heavy = heavy_keys(df, keys, chunk.along, chunk.rows)
         along = F.col(chunk.along)
-        base = (df.join(F.broadcast(heavy) if chunk.few else heavy, same, "left")
+        base = (df.join(F.broadcast(heavy), F.xxhash64(*keys) == F.col("__h"), "left")
                 .withColumn(cut, F.col("__width").isNotNull())
                 .withColumn(ck, F.when(F.col(cut), F.call_function(
                     "div", along - F.pmod(along, "__width"), F.col("__width"))).otherwise(F.lit(0).cast("bigint")))
-                .drop("__width", *[f"__h{i}" for i in range(len(keys))]))
+                .drop("__width", "__h"))
     # Non-null stand-ins for the keys (value with nulls replaced, plus an
     # is-null flag): grouping on them equals grouping on the keys, and the
     # join back below can be a plain equi-join on the very columns the
@@ -198,11 +221,13 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[
 
     # what a chunk hands on: its running value at its last row, for ``next`` the value at
     # its first row
-    taken = rows.withColumns({f"__ch_{n}": F.col(n) if a.kind in ("next", "prev") else _over(a, F.col(n), by_row, whole)
+    # (only rows of cut keys; the condition is not pushed below the shuffle, which both uses share)
+    of_cut = F.rand(0) + F.col(cut).cast("double") >= 1      # rand() is below 1: just ``cut``
+    taken = rows.filter(of_cut).withColumns({f"__ch_{n}": F.col(n) if a.kind in ("next", "prev") else _over(a, F.col(n), by_row, whole)
                               for n, a in zip(names, aggs)}
                              | {"__first": F.lag(F.lit(1)).over(by_row).isNull(),
                                 "__last": F.lead(F.lit(1)).over(by_row).isNull()}) \
-        .filter(F.col(cut) & every)
+        .filter(every)
     sides = {"__first" if a.kind == "next" else "__last" for a in aggs}
     if len(sides) == 1:
         ends = taken.filter(sides.pop())

@@ -37,14 +37,15 @@ def _logins(logins: DataFrame, user: str, order_id: str) -> DataFrame:
 
 
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], name: str, value,
-               kind: str, chunk_us: int | None) -> DataFrame:
+               kind: str, chunk_us: int | None, chunk_rows: int | None = None) -> DataFrame:
     """``kind`` = ``next`` / ``prev``: the key's following / preceding event."""
     return segmented_scan(df, keys, order, [ScanAgg(name, kind, value)],
-                          chunks_for(df, keys, "__ts", chunk_us))
+                          chunks_for(df, "__ts", chunk_us, chunk_rows))
 
 
 def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id",
-                       order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
+                       order_id: str = "event_id", chunk_us: int | None = None,
+                       chunk_rows: int | None = None) -> DataFrame:
     """Pattern ``fail`` then strictly next ``fail`` within ``gap_s`` (exclusive).
 
     Every such adjacent pair matches (overlapping pairs too).
@@ -53,7 +54,7 @@ def login_fail_pattern(logins: DataFrame, gap_s: float = 2, user: str = "user_id
     base = _logins(logins, user, order_id)
     nxt = _neighbour(base, [user], ["__ts", order_id], "__n",
                      F.struct(F.col("__ts").alias("ts"), F.col("__fail").alias("fail")),
-                     kind="next", chunk_us=chunk_us)
+                     kind="next", chunk_us=chunk_us, chunk_rows=chunk_rows)
     hit = (F.col("__fail") & F.col("__n.fail")
            & (F.col("__n.ts") - F.col("__ts") < F.lit(seconds_to_us(gap_s))))
     return nxt.filter(hit).select(user, _ms(F.col("__ts")).alias("first_fail_ms"),
@@ -93,7 +94,7 @@ def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
     """
     w_us = F.lit(seconds_to_us(window_s))
     base = _logins(logins, user, order_id).select(user, order_id, "__ts", "__fail")
-    order, chunks = ["__ts", order_id], chunks_for(base, [user], "__ts", chunk_us)
+    order, chunks = ["__ts", order_id], chunks_for(base, "__ts", chunk_us)
     prev = segmented_scan(base, [user], order, [ScanAgg("__p", "prev", F.col("__fail"))], chunks)
     start = F.when(F.col("__fail") & ~F.coalesce("__p", F.lit(False)),
                    F.struct(F.col("__ts").alias("ts"), F.col(order_id).alias("id")))
@@ -112,10 +113,10 @@ def login_fail_burst(logins: DataFrame, min_fails: int = 2, window_s: float = 2,
 
 
 def _orders(order_events: DataFrame, key: str, order_id: str) -> DataFrame:
-    """Order events with ``__ord = 2 * ts + is_pay``: time order, creates before
+    """The creates and pays (other kinds of events decide nothing) with ``__ord = 2 * ts + is_pay``: time order, creates before
     pays at equal times (one integral column, so scans pack their order key)."""
     is_pay = F.col("event") == "pay"
-    return order_events.select(key, order_id, F.col("event").alias("__event"),
+    return order_events.filter(F.col("event").isin("create", "pay")).select(key, order_id, F.col("event").alias("__event"),
                                F.unix_micros("ts").alias("__ts"), is_pay.alias("__is_pay"),
                                (F.unix_micros("ts") * 2 + is_pay.cast("bigint")).alias("__ord"))
 
@@ -134,7 +135,7 @@ def order_timeout(order_events: DataFrame, limit_s: float = 15 * 60, key: str =
     nxt = segmented_scan(base, [key], [*_ORDER, order_id],
                          [ScanAgg("__next_pay", "nearest",
                                   F.when(F.col("__event") == "pay", F.col("__ts")))],
-                         chunks_for(base, [key], "__ts", chunk_us), reverse=True)
+                         chunks_for(base, "__ts", chunk_us), reverse=True)
     in_time = (F.col("__next_pay") - F.col("__ts")) < F.lit(seconds_to_us(limit_s))
     in_time = F.coalesce(in_time, F.lit(False))
     limit_ms = F.lit(seconds_to_us(limit_s) // 1000)
@@ -156,7 +157,8 @@ def order_timeout_messages(result: DataFrame) -> DataFrame:
 
 def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str = "order_id",
                     order_id: str = "event_id", chunk_us: int | None = None) -> DataFrame:
-    """Create/pay state machine with three outcomes, in ``(ts, create first, id)`` order:
+    """Create/pay state machine with three outcomes, in ``(ts, create first, id)`` order
+    of the creates and pays (order events of other kinds are as if they were not there):
 
     * a create whose next event is a pay at most ``limit_s`` later -> ``pay success``;
     * a create whose next event is another create at most ``limit_s`` later -> no
@@ -169,7 +171,7 @@ def order_pay_match(order_events: DataFrame, limit_s: float = 15 * 60, key: str
     """
     base = _orders(order_events, key, order_id)
     order = [*_ORDER, order_id]
-    chunk = chunks_for(base, [key], "__ts", chunk_us)
+    chunk = chunks_for(base, "__ts", chunk_us)
     nb = F.struct(F.col("__ts").alias("ts"), F.col("__is_pay").alias("pay"))
     s = segmented_scan(base, [key], order, [ScanAgg("__n", "next", nb), ScanAgg("__p", "prev", nb)],
                        chunk)

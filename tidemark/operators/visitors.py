@@ -66,6 +66,57 @@ def unique_visitors_bitmap(df: DataFrame, user: str = "user_id", ts: str = "ts",
             .groupBy("window_end_ms").agg(F.count_distinct("__bit").alias("uv")))
 
 
+def visitor_bitmaps(df: DataFrame, user: str = "user_id", ts: str = "ts", window_s: float = 3600,
+                    log2_bits: int = BITMAP_LOG2_BITS) -> DataFrame:
+    """The bitmaps themselves, a table to store: ``window_end_ms, bucket, bits``.
+
+    A window's bitmap is kept in buckets of 32,768 bits (4 KB), only those with a bit set.
+    Tasks set bits before the shuffle, so what is shuffled is buckets, never offsets:
+    2^29 bits are at most 16,384 buckets a window whatever the number of events."""
+    offset = bitmap_offset(F.col(user), log2_bits) + 1
+    return (df.filter(F.col(user).isNotNull())
+            .select(tumbling_end_ms(ts, window_s).alias("window_end_ms"), offset.alias("__bit"))
+            .select("window_end_ms", F.bitmap_bucket_number("__bit").alias("bucket"),
+                    F.bitmap_bit_position("__bit").alias("__at"))
+            .groupBy("window_end_ms", "bucket").agg(F.bitmap_construct_agg("__at").alias("bits")))
+
+
+def merge_visitor_bitmaps(*bitmaps: DataFrame) -> DataFrame:
+    """One table of bitmaps from several (e.g. the stored one and that of new events): bitwise or."""
+    merged = bitmaps[0]
+    for more in bitmaps[1:]:
+        merged = merged.unionByName(more)
+    return merged.groupBy("window_end_ms", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def rollup_visitor_bitmaps(bitmaps: DataFrame, window_s: float = 86400) -> DataFrame:
+    """Bitmaps of coarser windows (hours into days) by bitwise or; the events are not read again."""
+    return merge_visitor_bitmaps(bitmaps.withColumn("window_end_ms", _coarse_end_ms(window_s)))
+
+
+def count_visitor_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """Bits set per window: ``window_end_ms, uv``."""
+    return (bitmaps.select("window_end_ms", F.bitmap_count("bits").alias("__n"))
+            .groupBy("window_end_ms").agg(F.sum("__n").alias("uv")))
+
+
+def visitor_bits(bitmaps: DataFrame, probes: DataFrame, user: str = "user_id",
+                 log2_bits: int = BITMAP_LOG2_BITS) -> DataFrame:
+    """``probes`` (``window_end_ms`` and a user, other columns kept) with ``seen``: whether the
+    user's bit is set in the window's bitmap.  One join on (window, bucket)."""
+    at = bitmap_offset(F.col(user), log2_bits) + 1
+    asked = probes.withColumns({"bucket": F.bitmap_bucket_number(at), "__at": F.bitmap_bit_position(at)})
+    found = asked.join(bitmaps.select("window_end_ms", "bucket", "bits"), ["window_end_ms", "bucket"], "left")
+    byte = F.conv(F.hex(F.substring("bits", (F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (F.col("__at") % 8).cast("int"))
+    return found.withColumn("seen", F.coalesce(bit == 1, F.lit(False))).select(*probes.columns, "seen")
+
+
+def _coarse_end_ms(window_s: float) -> Column:
+    size_ms = int(window_s * 1000)
+    return ((F.floor((F.col("window_end_ms") - 1) / F.lit(size_ms)) + 1) * F.lit(size_ms)).cast("bigint")
+
+
 def unique_visitors_hll(df: DataFrame, user: str = "user_id", ts: str = "ts",
                         window_s: float = 3600, rsd: float = 0.01) -> DataFrame:
     """HyperLogLog++ estimate of distinct users per tumbling window (bounded state)."""
@@ -98,16 +149,17 @@ def running_unique_visitors(df: DataFrame, user: str = "user_id", ts: str = "ts"
                      tumbling_index(ts, window_s).alias("__w"))
     order = ["__ts", order_id]
     flagged = segmented_scan(base, ["__w", user], order, [ScanAgg("__p", "prev", F.lit(1))],
-                             chunks_for(base, ["__w", user], "__ts", chunk_us))
+                             chunks_for(base, "__ts", chunk_us))
     scanned = segmented_scan(flagged, ["__w"], order, [ScanAgg("__uv", "sum", F.col("__p").isNull().cast("bigint"))],
-                             chunks_for(base, ["__w"], "__ts", chunk_us), inclusive=True)
+                             chunks_for(base, "__ts", chunk_us), inclusive=True)
     size_ms = int(window_s * 1000)
     return scanned.select(((F.col("__w") + 1) * F.lit(size_ms)).cast("bigint").alias("window_end_ms"),
                           order_id, user, F.col("__uv").cast("bigint").alias("uv"))
 
 
-__all__ = ["page_views", "page_views_salted", "running_unique_visitors", "unique_visitors",
-           "unique_visitors_bitmap", "unique_visitors_hll", "unique_visitors_sketch"]
+__all__ = ["count_visitor_bitmaps", "merge_visitor_bitmaps", "page_views", "page_views_salted",
+           "rollup_visitor_bitmaps", "running_unique_visitors", "unique_visitors", "unique_visitors_bitmap",
+           "unique_visitors_hll", "unique_visitors_sketch", "visitor_bitmaps", "visitor_bits"]
 
 
 def rollup_visitor_sketches(sketches: DataFrame, window_s: float = 86400) -> DataFrame:
@@ -116,8 +168,6 @@ def rollup_visitor_sketches(sketches: DataFrame, window_s: float = 86400) -> Dat
     a union of HLL sketches is exact, so the estimate equals sketching the
     coarse window directly.  ``window_end_ms, uv, sketch``.
     """
-    size_ms = int(window_s * 1000)
-    coarse_end = ((F.floor((F.col("window_end_ms") - 1) / F.lit(size_ms)) + 1) * F.lit(size_ms)).cast("bigint")
-    return (sketches.groupBy(coarse_end.alias("window_end_ms"))
+    return (sketches.groupBy(_coarse_end_ms(window_s).alias("window_end_ms"))
             .agg(F.hll_union_agg("sketch").alias("sketch"))
             .select("window_end_ms", F.hll_sketch_estimate("sketch").alias("uv"), "sketch"))

@@ -11,8 +11,7 @@ map-side partial aggregation), and only the pane totals are spread to windows:
   a short sequence) and is summed per window; a caller with few windows per pane
   may ask for it;
 * ``delta`` (the default, for any ratio): each pane adds ``+c`` at its first window and ``-c`` after its
-  last; a running sum over the change points per key (a segmented scan, so no
-  key is sorted in one task) gives run-length rows ``[end_from, end_to)`` with
+  last; a running sum over the change points per key (one a slide at most) gives run-length rows ``[end_from, end_to)`` with
   one count; dense rows are exploded from the runs only when asked for.
   Cost is proportional to panes, not to panes x ratio.
 
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import floor_div, seconds_to_us
-from tidemark.operators.scan import ScanAgg, measure, segmented_scan
+from tidemark.operators.scan import ScanAgg, segmented_scan
 
 
 def _check(size_s: float, slide_s: float) -> tuple[int, int, int]:
@@ -84,13 +83,14 @@ def _pane_runs(panes: DataFrame, keys: list[str], ratio: int) -> DataFrame:
 
 def _runs_from_deltas(deltas: DataFrame, keys: list[str]) -> DataFrame:
     """Running sum of ``__d`` over window-end index ``__e`` per key, as runs
-    ``[__e, __next)`` with value ``__run`` > 0 (zero sums dropped first)."""
+    ``[__e, __next)`` with value ``__run`` > 0 (zero sums dropped first).  A key has at most
+    one change a slide of the time covered, whatever its events, so no key is cut."""
     deltas = deltas.filter(F.col("__d") != 0)
     # the last change of a key brings its count to 0, so every counted run has a next change
     scanned = segmented_scan(
         deltas, keys, ["__e"],
         [ScanAgg("__run", "sum", F.col("__d")), ScanAgg("__next", "next", F.col("__e"))],
-        measure(deltas, keys, "__e"), inclusive=True)
+        inclusive=True)
     return scanned.filter(F.col("__run") > 0).select(*keys, "__e", "__next", "__run")
 
 
@@ -179,9 +179,8 @@ def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
         return _finish(out, keys, "__end", slide_us, size_us, count_col, False)
     if method != "delta":
         raise ValueError(f"unknown method {method!r}")
-    prev = segmented_scan(panes, [*keys, value], ["__pane"],
-                          [ScanAgg("__q", "prev", F.col("__pane"))],
-                          measure(panes, [*keys, value], "__pane"))
+    # a visitor has one row a pane at most: as many as slides in the time covered
+    prev = segmented_scan(panes, [*keys, value], ["__pane"], [ScanAgg("__q", "prev", F.col("__pane"))])
     start = F.when(F.col("__q").isNull(), F.col("__pane") + 1).otherwise(
         F.greatest(F.col("__pane") + 1, F.col("__q") + ratio + 1))
     deltas = (prev.select(*keys, F.explode(F.array(

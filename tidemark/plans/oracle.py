@@ -86,6 +86,12 @@ SELECT ({_TS_US} // {P.UV_TUMBLE_S * _US} + 1) * {P.UV_TUMBLE_S * _MS} AS window
 FROM events WHERE {_VIEWS}
 GROUP BY ALL"""
 
+UNIQUE_VISITORS_BITMAP_DAILY = f"""
+SELECT ({_TS_US} // {P.UV_DAY_S * _US} + 1) * {P.UV_DAY_S * _MS} AS window_end_ms,
+       COUNT(DISTINCT {_BITMAP_OFFSET}) AS uv
+FROM events WHERE {_VIEWS}
+GROUP BY ALL"""
+
 RUNNING_UNIQUE_VISITORS = f"""
 WITH v AS (
   SELECT event_id, user_id, ts, {_TS_US} // {P.UV_TUMBLE_S * _US} AS w
@@ -274,6 +280,8 @@ ORACLE_SQL: dict[str, str] = {
     "page_views_salted": PAGE_VIEWS,
     "unique_visitors": UNIQUE_VISITORS,
     "unique_visitors_bitmap": UNIQUE_VISITORS_BITMAP,
+    "unique_visitors_bitmap_stored": UNIQUE_VISITORS_BITMAP,
+    "unique_visitors_bitmap_daily": UNIQUE_VISITORS_BITMAP_DAILY,
     "unique_visitors_hll": UNIQUE_VISITORS_HLL,
     "running_unique_visitors": RUNNING_UNIQUE_VISITORS,
     "channel_counts": CHANNEL_COUNTS,
@@ -282,6 +290,7 @@ ORACLE_SQL: dict[str, str] = {
     "ad_click_warnings": AD_CLICK_WARNINGS,
     "ad_clicks_by_province": AD_CLICKS_BY_PROVINCE,
     "login_fail_pattern": LOGIN_FAIL_PATTERN,
+    "login_fail_pattern_cut": LOGIN_FAIL_PATTERN,
     "login_fail_burst": LOGIN_FAIL_BURST,
     "login_fail_immediate": LOGIN_FAIL_IMMEDIATE,
     "order_timeout": ORDER_TIMEOUT,
@@ -289,4 +298,5 @@ ORACLE_SQL: dict[str, str] = {
     "tx_interval_join": TX_INTERVAL_JOIN,
     "tx_match": TX_MATCH,
     "split_late": SPLIT_LATE,
+    "split_late_cut": SPLIT_LATE,
 }

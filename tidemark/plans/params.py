@@ -35,9 +35,12 @@ AD_MAX_CLICKS = 1       # events are sparse: a user's clicks on one ad and day
 AD_DAY_OFFSET_S = 8 * 3600
 PROVINCE_SIZE_S, PROVINCE_SLIDE_S = 86400, 5
 LOGIN_GAP_S = 6 * 3600
+LOGIN_CUT_ROWS = 20      # users with more logins are cut, in the query that shows it
+UV_DAY_S = 86400
 BURST_MIN_FAILS, BURST_WINDOW_S = 2, 86400
 ORDER_TIMEOUT_S = 86400
 ORDER_MATCH_S = 86400
 TX_JOIN_BEFORE_S, TX_JOIN_AFTER_S = 3 * 3600, 5 * 3600
 TX_MATCH_WAIT_S = 3 * 86400
 LATE_TUMBLE_S, LATE_DELAY_S, LATE_LATENESS_S = 3600, 64, 60
+LATE_CUT_ROWS = 1000    # rows a chunk, in the query that shows the cut scan without a key

@@ -114,6 +114,18 @@ def unique_visitors_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            P.BITMAP_LOG2_BITS)
 
 
+def unique_visitors_bitmap_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts read from the bitmap table."""
+    return visitors.count_visitor_bitmaps(visitors.visitor_bitmaps(
+        _views(spark, sf_dir), "user_id", "ts", P.UV_TUMBLE_S, P.BITMAP_LOG2_BITS))
+
+
+def unique_visitors_bitmap_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts from the hourly bitmaps, or-ed together."""
+    hours = visitors.visitor_bitmaps(_views(spark, sf_dir), "user_id", "ts", P.UV_TUMBLE_S, P.BITMAP_LOG2_BITS)
+    return visitors.count_visitor_bitmaps(visitors.rollup_visitor_bitmaps(hours, P.UV_DAY_S))
+
+
 def unique_visitors_hll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The estimate held against the exact count, window by window: ``within`` says whether it
     is as near as the sketch promises (at least one visitor's difference is allowed)."""
@@ -179,6 +191,12 @@ def login_fail_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.login_fail_pattern(_logins(spark, sf_dir), P.LOGIN_GAP_S)
 
 
+def login_fail_pattern_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``login_fail_pattern`` where every user with over 20 logins is cut in chunks, as users with
+    over a million are by default."""
+    return sequences.login_fail_pattern(_logins(spark, sf_dir), P.LOGIN_GAP_S, chunk_rows=P.LOGIN_CUT_ROWS)
+
+
 def login_fail_immediate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.login_fail_immediate(_logins(spark, sf_dir), P.LOGIN_GAP_S)
 
@@ -210,10 +228,10 @@ def tx_match(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("receipt.pay_channel").alias("pay_channel"))
 
 
-def split_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_late(spark: SparkSession, sf_dir: str, chunk_rows: int | None = None) -> DataFrame:
     ev = T.with_arrival(_ev(spark, sf_dir)).select("event_id", "user_id", "ts", "arrival_us")
     tagged = lateness.split_late(ev, F.col("arrival_us"), "ts", "event_id", P.LATE_TUMBLE_S,
-                                 None, P.LATE_DELAY_S, P.LATE_LATENESS_S)
+                                 None, P.LATE_DELAY_S, P.LATE_LATENESS_S, chunk_rows=chunk_rows)
     return (tagged.filter("is_late")
             .select("event_id", "user_id",
                     floor_div(F.unix_micros("ts"), 1000).alias("ts_ms"),
@@ -222,6 +240,11 @@ def split_late(spark: SparkSession, sf_dir: str) -> DataFrame:
                     floor_div(F.col("watermark_us"), 1000).alias("watermark_ms")))
 
 
+def split_late_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``split_late`` with arrival order cut in chunks of about 1,000 rows, as a large input is."""
+    return split_late(spark, sf_dir, P.LATE_CUT_ROWS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items": hot_items,
     "hot_items_sql": hot_items_sql,
@@ -231,6 +254,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_views_salted": page_views_salted,
     "unique_visitors": unique_visitors,
     "unique_visitors_bitmap": unique_visitors_bitmap,
+    "unique_visitors_bitmap_stored": unique_visitors_bitmap_stored,
+    "unique_visitors_bitmap_daily": unique_visitors_bitmap_daily,
     "unique_visitors_hll": unique_visitors_hll,
     "running_unique_visitors": running_unique_visitors,
     "channel_counts": channel_counts,
@@ -239,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_click_warnings": ad_click_warnings,
     "ad_clicks_by_province": ad_clicks_by_province,
     "login_fail_pattern": login_fail_pattern,
+    "login_fail_pattern_cut": login_fail_pattern_cut,
     "login_fail_burst": login_fail_burst,
     "login_fail_immediate": login_fail_immediate,
     "order_timeout": order_timeout,
@@ -246,4 +272,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tx_interval_join": tx_interval_join,
     "tx_match": tx_match,
     "split_late": split_late,
+    "split_late_cut": split_late_cut,
 }

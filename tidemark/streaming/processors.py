@@ -283,6 +283,8 @@ class OrderPayMachine(Machine):
     def step(self, key, st, ev) -> list[tuple]:
         ts, kind = ev[0], ev[3]
         out = []
+        if kind not in ("create", "pay"):     # decides nothing, as in the batch form
+            return out
         close = st["last_ts"] is not None and ts - st["last_ts"] <= self.lim
         if st["pending"]:
             if close and kind == "pay":

@@ -122,3 +122,36 @@ def test_maxscore_query_matches_its_sql(spark):
     df = queries.op8_maxscore_topk(spark, SF)
     assert df.columns == names
     assert sorted(tuple(map(_norm, r)) for r in df.collect()) == sorted(rel.fetchall())
+
+
+def brute(rows, is_query, k, measure):
+    """Each query row's answers among the other rows of its length; repeated rows count once."""
+    rows = sorted({(i, tuple(v)) for i, v in rows})
+    out = []
+    for r, (q, v) in enumerate(rows):
+        if is_query(q):
+            found = sorted((-measure(v, w), j) for s, (j, w) in enumerate(rows) if s != r and len(w) == len(v))[:k]
+            out += [(q, n, j, -c) for n, (c, j) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def test_lengths_and_repeated_ids(spark):
+    """Every length is searched; an id's different vectors are rows of their own."""
+    rnd = np.random.default_rng(7)
+    rows = [(int(i), rnd.integers(-4, 5, int(n)).astype(float).tolist()) for i, n in zip(rnd.integers(0, 40, 150), rnd.integers(1, 5, 150))]
+    rows = [(i, v) for i, v in rows if any(v)] + rows[:5] + [(100, [1.0, 2.0, 0.0]), (3, [1.0, 1.0, 1.0]), (200, [5.0] * 9)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in maxscore.top_k(df, lambda i: i % 2 == 0, k=4, shard_rows=16).collect())
+    assert got == brute(rows, lambda i: i % 2 == 0, 4, lambda a, b: sum(int(256 * x) * int(256 * y) for x, y in zip(a, b)))
+    got = sorted(tuple(r) for r in ann.nearest(df, lambda i: i % 2 == 0, k=4, probes=27, tile_rows=16).collect())
+    expect = brute(rows, lambda i: i % 2 == 0, 4, lambda a, b: sum(x * y for x, y in zip(a, b)))
+    assert len(got) == len(expect) and len(set(got) & set(expect)) >= 0.9 * len(expect)
+    assert {r[0] for r in got} == {r[0] for r in expect} and not any(r[0] == 200 for r in got)
+
+
+def test_maxscore_shards_are_sent_once():
+    """Building a shard and asking it with variants of one id."""
+    x = np.array([[3, 0], [2, 1], [5, 5]])
+    shard = maxscore.Shard(np.array([7, 7, 9]), x, np.array([1, 2, 3]))
+    assert [a.tolist() for a in shard.top(7, x[0], 2, v=1)] == [[9, 7], [15, 6]]

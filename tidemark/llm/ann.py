@@ -35,6 +35,7 @@ BLOCK_QUERIES = 512
 
 
 def planes(dim: int, tables: int, hashes: int, width: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Projections and offsets for vectors of one length."""
     rng = np.random.default_rng(seed)
     return rng.standard_normal((tables, hashes, dim + 1)), rng.uniform(0, width, (tables, hashes))
 
@@ -59,16 +60,20 @@ def probe_keys(f: np.ndarray, width: float, probes: int) -> np.ndarray:
 
 
 def _compare(joined: DataFrame, k: int) -> DataFrame:
-    """Rows of (q_ids, q_x, ids, x) -> (query, id, score): each query's best k rows of the tile."""
+    """Rows of (q_ids, q_vs, q_x, ids, vs, x) -> (query, qv, id, v, score): each query's best k rows of the tile."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for (q_ids, q), (ids, x) in zip(matrices(batch, "q_ids", "q_x"), matrices(batch, "ids", "x")):
+            pairs = zip(matrices(batch, "q_ids", "q_x"), matrices(batch, "ids", "x"))
+            for i, ((q_ids, q), (ids, x)) in enumerate(pairs):
+                q_vs, vs = (batch.column(c)[i].values.to_numpy() for c in ("q_vs", "vs"))
                 best = leaders(q @ x.T, ids, k)
                 exact = (x[best] * q[:, None, :]).sum(axis=2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_ids, best.shape[1])), pa.array(ids[best].ravel()), pa.array(exact.ravel())],
-                    ["query", "id", "score"])
-    return joined.select("q_ids", "q_x", "ids", "x").mapInArrow(run, "query long, id long, score double")
+                    [pa.array(np.repeat(q_ids, best.shape[1])), pa.array(np.repeat(q_vs, best.shape[1])),
+                     pa.array(ids[best].ravel()), pa.array(vs[best].ravel()), pa.array(exact.ravel())],
+                    ["query", "qv", "id", "v", "score"])
+    return joined.select("q_ids", "q_vs", "q_x", "ids", "vs", "x").mapInArrow(
+        run, "query long, qv long, id long, v long, score double")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -78,81 +83,93 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     fulfils ``is_query`` (a function of the id column), its own row excluded.
 
     Rows whose vector is null, zero or has a null or non-finite component, and rows
-    without an id, take no part.  Ties go to the smaller id; with fewer than k
-    candidates all are returned; a repeated row is one candidate.  Only the
-    two named columns are read.  An empty table gives no row."""
-    rows = cut(usable(vectors, id_col, vec_col, allow_zero=False).dropDuplicates(["id"]))
-    shape = rows.agg(F.max(F.size("x")).alias("dim"),
-                     F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))).alias("norm")).first()
-    spark = vectors.sparkSession
-    if shape.dim is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, norm = shape.dim, shape.norm
-    a, b = planes(dim, tables, hashes, width, seed)
-
-    # equal vectors: one entry with the k + 1 smallest ids, enough for any query's answer
+    without an id, take no part.  A vector's candidates are those of its length.  Ties go
+    to the smaller id; with fewer than k candidates all are returned; a repeated row is
+    one candidate; different vectors of one id are rows of their own, as queries and as
+    candidates.  Only the two named columns are read.  An empty table gives no row."""
+    rows = cut(usable(vectors, id_col, vec_col, allow_zero=False).drop("v"))
+    norms = rows.groupBy("n").agg(F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))).alias("norm"))
+
+    # equal vectors: one entry with the k + 1 smallest ids, enough for any query's answer; named by
+    # its smallest id and, since an id may have several vectors, the vector's hash
     first = Window.partitionBy("x").orderBy("id")
-    entries = cut(rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1)
-                  .groupBy("x").agg(F.min("id").alias("id"), F.sort_array(F.collect_list("id")).alias("same")))
+    entries = cut(rows.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= k + 1)
+                  .groupBy("n", "x").agg(F.min("id").alias("id"), F.sort_array(F.collect_list("id")).alias("same"))
+                  .withColumn("v", F.xxhash64("x")))
     asked = rows.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), "x")
-    queries = cut(asked.join(entries.select("x", F.col("id").alias("query")), "x").select("query_id", "query", "x"))
-    probing = queries.groupBy("query").agg(F.any_value("x").alias("x")).withColumnRenamed("query", "id")
+    queries = cut(asked.join(entries.select("x", "n", "v", F.col("id").alias("query")), "x"))
+    probing = queries.groupBy("n", "query", "v").agg(F.any_value("x").alias("x")).withColumnRenamed("query", "id")
 
     def hashed(probe: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for batch in batches:
                 for at in range(0, batch.num_rows, 512):
-                    part = batch.slice(at, 512)
-                    x = part.column("x").flatten().to_numpy().reshape(part.num_rows, -1)
-                    if probe:
-                        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                        extra = np.zeros(len(x))
-                    else:
-                        x = x / norm
-                        extra = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
-                    f = np.einsum("nd,thd->tnh", np.column_stack([x, extra]), a) + b[:, None, :]
-                    for t in range(tables):
-                        keys = probe_keys(f[t], width, probes) if probe else \
-                            bucket_key(np.floor(f[t] / width).astype(np.int64))[:, None]
-                        who = np.repeat(np.arange(len(x)), keys.shape[1])
-                        named = part.take(pa.array(who))
-                        yield pa.RecordBatch.from_arrays(
-                            [named.column("id"), named.column("x"), pa.array(np.full(len(who), t, np.int32)),
-                             pa.array(keys.ravel())], ["id", "x", "tab", "bucket"])
+                    some = batch.slice(at, 512)
+                    lengths = some.column("n").to_numpy()
+                    for dim in np.unique(lengths).tolist():
+                        part = some.filter(pa.array(lengths == dim))
+                        if dim not in made:
+                            if len(made) > 64:
+                                made.clear()
+                            made[dim] = planes(dim, tables, hashes, width, seed)
+                        a, b = made[dim]
+                        x = part.column("x").flatten().to_numpy().reshape(part.num_rows, -1)
+                        if probe:
+                            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                            extra = np.zeros(len(x))
+                        else:
+                            x = x / part.column("norm").to_numpy()[:, None]
+                            extra = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
+                        f = np.einsum("nd,thd->tnh", np.column_stack([x, extra]), a) + b[:, None, :]
+                        for t in range(tables):
+                            keys = probe_keys(f[t], width, probes) if probe else \
+                                bucket_key(np.floor(f[t] / width).astype(np.int64))[:, None]
+                            who = np.repeat(np.arange(len(x)), keys.shape[1])
+                            named = part.take(pa.array(who))
+                            yield pa.RecordBatch.from_arrays(
+                                [*(named.column(c) for c in ("n", "id", "v", "x")), pa.array(np.full(len(who), t, np.int32)),
+                                 pa.array(keys.ravel())], ["n", "id", "v", "x", "tab", "bucket"])
         return run
 
-    as_hashed = "id long, x array<double>, tab int, bucket long"
-    keys = ["tab", "bucket"]
+    as_hashed = "n int, id long, v long, x array<double>, tab int, bucket long"
+    keys = ["n", "tab", "bucket"]
 
     def tiled(found: DataFrame, size: int) -> DataFrame:
         """Buckets cut in tiles of about ``size`` rows."""
         counts = found.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / size).alias("slots"))
-        return packed(found.join(counts, keys), keys, F.pmod(F.xxhash64("id"), F.col("slots")))
+        return packed(found.join(counts, keys), keys, F.pmod(F.xxhash64("id", "v"), F.col("slots")))
 
-    index = tiled(entries.select("id", "x").mapInArrow(hashed(False), as_hashed), tile_rows)
+    index = tiled(entries.select("n", "id", "v", "x").join(norms, "n").mapInArrow(hashed(False), as_hashed), tile_rows)
     visits = tiled(probing.mapInArrow(hashed(True), as_hashed), BLOCK_QUERIES)
-    met = index.select(*keys, "ids", "x").join(
-        visits.select(*keys, F.col("ids").alias("q_ids"), F.col("x").alias("q_x")), keys)
-    found = cut(_compare(met, k + 1).groupBy("query", "id").agg(F.max("score").alias("score")))
+    asks = [F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"), F.col("x").alias("q_x")]
+    met = index.select(*keys, "ids", "vs", "x").join(visits.select(*keys, *asks), keys)
+    who, what = ["query", "qv"], ["id", "v"]
+    found = cut(_compare(met, k + 1).groupBy(*who, *what).agg(F.max("score").alias("score")))
 
     # queries that found too little meet every tile, in blocks
-    total = entries.count()
-    enough = found.groupBy("query").count().filter(F.col("count") >= min(k + 1, total)).select(F.col("query").alias("id"))
-    short = probing.join(enough, "id", "left_anti")
-    n_tiles = -(-total // tile_rows)
-    all_tiles = packed(entries.select("id", "x"), [], F.pmod(F.xxhash64("id"), F.lit(n_tiles)))
-    blocks = packed(short, [], F.pmod(F.xxhash64("id"), F.lit(n_tiles))).select(
-        F.col("ids").alias("q_ids"), F.col("x").alias("q_x"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_tiles - 1).cast("long"))).alias("slot"))
-    rest = _compare(all_tiles.join(blocks, "slot"), k + 1)
-    merged = found.join(enough.withColumnRenamed("id", "query"), "query", "left_semi").unionByName(rest)
-
-    per_query = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    best = merged.withColumn("n", F.row_number().over(per_query)).filter(F.col("n") <= k + 1)
-    spread = best.join(entries.select("id", "same"), "id").select("query", "score", F.explode("same").alias("vec_id"))
-    by_id = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    top = spread.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1).drop("n")
-    answer = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (queries.select("query_id", "query").join(top, "query").filter("query_id != vec_id")
+    totals = entries.groupBy("n").agg(F.count(F.lit(1)).alias("total"))
+    counts = found.groupBy(*who).count().withColumnsRenamed({"query": "id", "qv": "v"})
+    counted = probing.join(counts, what, "left").join(totals, "n")
+    is_short = F.coalesce("count", F.lit(0)) < F.least(F.lit(k + 1), F.col("total"))
+    counted = counted.withColumn("tiles", F.ceil(F.col("total") / tile_rows))
+    short = counted.filter(is_short).select("n", "id", "v", "x", "tiles")
+    sized = entries.select("n", "id", "v", "x").join(totals.withColumn("tiles", F.ceil(F.col("total") / tile_rows)), "n")
+    slot = F.pmod(F.xxhash64("id", "v"), F.col("tiles"))
+    all_tiles = packed(sized, ["n"], slot)
+    blocks = packed(short, ["n", "tiles"], slot).select(
+        "n", *asks, F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("slot"))
+    rest = _compare(all_tiles.join(blocks, ["n", "slot"]), k + 1)
+    enough = counted.filter(~is_short).select(F.col("id").alias("query"), F.col("v").alias("qv"))
+    merged = found.join(enough, who, "left_semi").unionByName(rest)
+
+    per_query = Window.partitionBy(*who).orderBy(F.desc("score"), "id")
+    best = merged.withColumn("i", F.row_number().over(per_query)).filter(F.col("i") <= k + 1)
+    spread = best.join(entries.select(*what, "same"), what).select(*who, "v", "score", F.explode("same").alias("vec_id"))
+    by_id = Window.partitionBy(*who).orderBy(F.desc("score"), "vec_id")
+    top = spread.withColumn("i", F.row_number().over(by_id)).filter(F.col("i") <= k + 1).drop("i")
+    answer = Window.partitionBy("query_id", "qv").orderBy(F.desc("score"), "vec_id")
+    own = (F.col("query_id") == F.col("vec_id")) & (F.col("qv") == F.col("v"))
+    return (queries.select("query_id", "query", F.col("v").alias("qv")).join(top, who).filter(~own)
             .withColumn("rank", F.row_number().over(answer)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -40,9 +40,10 @@ SCALE = 256
 class Shard:
     """Postings of one shard: per dimension and sign the rows by falling impact."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, x: np.ndarray, vs: np.ndarray | None = None) -> None:
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[by_id], x[by_id]
+        self.vs = np.zeros(len(ids), np.int64) if vs is None else vs[by_id]
         self.columns = np.ascontiguousarray(self.x.T)
         self.most = {1: np.maximum(self.x.max(axis=0), 0), -1: np.maximum(-self.x.min(axis=0), 0)}
         self.postings = {}
@@ -51,13 +52,13 @@ class Shard:
             self.postings[d, 1] = order[:np.count_nonzero(column > 0)]
             self.postings[d, -1] = order[::-1][:np.count_nonzero(column < 0)]
 
-    def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query_id: int, q: np.ndarray, k: int, v: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows, the query's own row excluded."""
         sign = np.sign(q)
         bound = np.abs(q) * np.where(sign > 0, self.most[1], self.most[-1])
         terms = np.argsort(bound, kind="stable")              # weakest first
         terms = terms[bound[terms] > 0]
-        own = np.nonzero(self.ids == query_id)[0]
+        own = np.nonzero((self.ids == query_id) & (self.vs == v))[0]
         sums = np.cumsum(bound[terms])
         threshold = None
         if len(terms):
@@ -94,34 +95,48 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
     for every row whose id fulfils ``is_query``; components are floor(scale * x).
 
     Rows whose vector is null or has a null or non-finite component, and rows without
-    an id, take no part; zero vectors do.  Ties go to the smaller id; with fewer
-    than k candidates all are returned; a repeated row is one candidate.  Only
-    the two named columns are read.  An empty table gives no row."""
-    rows = usable(vectors, id_col, vec_col, allow_zero=True).dropDuplicates(["id"])
-    rows = cut(rows.select("id", F.transform("x", lambda c: F.floor(scale * c).cast("long")).alias("x")))
-    shards = max(1, -(-rows.count() // shard_rows))
-    tiles = packed(rows, [], F.pmod(F.xxhash64("id"), F.lit(shards)))
-    asked = rows.filter(is_query(F.col("id")))
-    n_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    blocks = packed(asked, [], F.pmod(F.xxhash64("id"), F.lit(n_blocks))).withColumnRenamed("slot", "block")
-    met = tiles.join(blocks.select("block", F.col("ids").alias("q_ids"), F.col("x").alias("q_x"),
-                                   F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-                                   .alias("slot")), "slot")
-    # a few MB of packed rows are seconds of work: deal them out by number, not by size
+    an id, take no part; zero vectors do.  A vector's candidates are those of its length.  Ties
+    go to the smaller id; with fewer than k candidates all are returned; a repeated row is
+    one candidate; different vectors of one id are rows of their own, as queries and as
+    candidates.  Only the two named columns are read.  An empty table gives no row.
+
+    Every shard is sent once, and every query to each shard; only where there are fewer
+    shards than cores keep busy is a shard sent a few times, with a part of the queries each."""
+    rows = usable(vectors, id_col, vec_col, allow_zero=True)
+    rows = cut(rows.select("id", "v", "n", F.transform("x", lambda c: F.floor(scale * c).cast("long")).alias("x")))
+    asked = is_query(F.col("id"))
+    by_length = rows.groupBy("n").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"),
+                                      F.greatest(F.lit(1), F.ceil(F.count_if(asked) / BLOCK_QUERIES)).alias("blocks"))
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    met = met.repartition(min(shards * n_blocks, 4 * cores), "slot", "block")
+    shards = by_length.agg(F.sum("shards")).first()[0] or 1
+    parts = max(1, -(-4 * cores // shards))
+    sized = rows.join(by_length, "n")
+    tiles = packed(sized, ["n"], F.pmod(F.xxhash64("id", "v"), F.col("shards"))) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("kind", F.lit(0))
+    spread = max(1, -(-parts // 4))     # small blocks, so that every part has some
+    blocks = packed(sized.filter(asked), ["n", "shards"], F.pmod(F.xxhash64("v", "id"), F.col("blocks") * parts * spread)) \
+        .withColumn("part", F.pmod("slot", F.lit(parts)).cast("int")) \
+        .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).withColumn("kind", F.lit(1))
+    place = ["n", "slot", "part"]
+    columns = [*place, "kind", "ids", "vs", "x"]
+    met = (tiles.select(columns).unionByName(blocks.select(columns))
+           .repartition(min(shards * parts, 8 * cores), *place).sortWithinPartitions(*place, "kind"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = None
         for batch in batches:
-            for (q_ids, qs), (ids, x) in zip(matrices(batch, "q_ids", "q_x", np.int64),
-                                             matrices(batch, "ids", "x", np.int64)):
-                shard = Shard(ids, x)
-                found = [shard.top(i, q, k) for i, q in zip(q_ids.tolist(), qs)]
+            for i, (ids, x) in enumerate(matrices(batch, "ids", "x", np.int64)):
+                vs = batch.column("vs")[i].values.to_numpy()
+                if batch.column("kind")[i].as_py() == 0:
+                    shard = Shard(ids, x, vs)
+                    continue
+                found = [shard.top(i, q, k, v) for i, q, v in zip(ids.tolist(), x, vs.tolist())]
+                times = [len(f[0]) for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_ids, [len(f[0]) for f in found])),
+                    [pa.array(np.repeat(ids, times)), pa.array(np.repeat(vs, times)),
                      pa.array(np.concatenate([f[0] for f in found])),
-                     pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "vec_id", "score"])
-    parts = met.select("q_ids", "q_x", "ids", "x").mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (parts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+                     pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "v", "vec_id", "score"])
+    found = met.mapInArrow(run, "query_id long, v long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "v").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -105,15 +105,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op8_maxscore_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS z
-  FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS z
+  FROM (SELECT DISTINCT vec_id, embedding FROM embeddings)
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.z, v.z) AS BIGINT) AS score
-  FROM v AS q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+  SELECT q.r, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.z, v.z) AS BIGINT) AS score
+  FROM v AS q JOIN v ON len(q.z) = len(v.z) AND q.r <> v.r WHERE q.vec_id % 50 = 0
 ), r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY s.r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
          vec_id, score FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5

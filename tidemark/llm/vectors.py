@@ -7,26 +7,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MATRIX = "ids array<long>, x array<double>"
-
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, allow_zero: bool) -> DataFrame:
-    """(id, x) with x an array of doubles: rows with an id and a vector of finite components,
-    of the length that most rows have (a shorter or longer vector has no inner
-    product with the others)."""
+    """(id, v, n, x): rows with an id and a vector of finite components, x as doubles and n its
+    length.  Repeated rows count once; different vectors of one id are told apart by v, their hash.
+    Vectors of different lengths have no inner product: each length is a search of its own."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("x"))
     bad = F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     v = v.filter(F.col("id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & ~bad)
     if not allow_zero:
         v = v.filter(F.exists("x", lambda c: c != 0))
-    length = v.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return v.filter(F.size("x") == (length.n if length else 0))
+    # rows are dealt by id and vector, so not even one id's vectors meet in one task
+    rows = v.dropDuplicates(["id", "x"]).withColumn("n", F.size("x"))
+    return rows.select("id", F.xxhash64("x").alias("v"), "n", "x")
 
 
-def packed(rows: DataFrame, keys: list[str], slot, extra: tuple = ()) -> DataFrame:
-    """One row per (keys, slot): ``ids`` and ``x``, the vectors one after another."""
-    made = rows.withColumn("slot", slot).groupBy(*keys, "slot").agg(F.collect_list(F.struct("id", "x")).alias("r"))
-    return made.select(*keys, "slot", F.col("r.id").alias("ids"), F.flatten("r.x").alias("x"), *extra)
+def packed(rows: DataFrame, keys: list[str], slot) -> DataFrame:
+    """One row per (keys, slot): ``ids``, ``vs`` and ``x``, the vectors one after another."""
+    made = rows.withColumn("slot", slot).groupBy(*keys, "slot").agg(F.collect_list(F.struct("id", "v", "x")).alias("r"))
+    return made.select(*keys, "slot", F.col("r.id").alias("ids"), F.col("r.v").alias("vs"), F.flatten("r.x").alias("x"))
 
 
 def matrices(batch: pa.RecordBatch, ids: str, x: str, dtype=np.float64):

@@ -2,7 +2,8 @@
 
 Base kinds are patterns with a fixed meaning (``assign``, ``access``, ``hex``).
 The ``novel`` kind needs no pattern of the secret itself: every token that
-follows a sensitive word closely is a candidate, and its novelty is what it
+follows a sensitive word closely, and every value that is assigned to one, is a
+candidate, also where a base span covers it, and its novelty is what it
 adds to the zstandard size of the text around it.  The compressor is primed
 with a dictionary of code and identifier words, and the surrounding text is in
 the same frame, so ordinary names, paths and repeated words add a few bytes
@@ -30,8 +31,11 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = ("password", "passwd", "passphrase", "pwd", "secret", "token", "api_key", "apikey", "api-key",
              "credential", "bearer", "authorization", "private_key", "private key", "access_key",
              "access key", "client_id", "signature")
-REACH = 48               # of the start of a candidate behind the word
-NOVEL_MIN = 16           # shortest candidate
+NEAR = 48                # of the start of a candidate behind the word, on its line ...
+REACH = 128              # ... and of one of FAR_MIN characters or more: numbers of every kind are shorter
+FAR_MIN = 24
+NOVEL_MIN = 16           # shortest candidate ...
+VALUE_MIN = 10           # ... and shortest one that is assigned to the word
 RUN = r"A-Za-z0-9+/_.~\-"   # what a candidate consists of, with '=' as trailing padding only
 CONTEXT = 256            # code points of surrounding text on each side
 NOVEL_BYTES = 10         # least marginal bytes ...
@@ -84,6 +88,9 @@ class Scanner:
         self.candidate = re.compile(rf"(?<![{RUN}])(?:[{RUN}]{{{NOVEL_MIN},}}(?:={{1,2}}{padding})?|"
                                     rf"[{RUN}]{{{NOVEL_MIN - 1}}}={{1,2}}{padding}|[{RUN}]{{{NOVEL_MIN - 2}}}=={padding})")
         self.begins = re.compile(rf"(?<![{RUN}])[{RUN}]")
+        # a value right behind the word, over at most one line end, of any characters but space and quotes
+        self.value = re.compile(rf"""["'\])]{{0,2}}[ \t]{{0,8}}[:=]>?[ \t]{{0,8}}(?:\r?\n[ \t]{{0,16}})?["']?([^\s"'`<>]{{{VALUE_MIN},}})""")
+        self.parameter = re.compile(r"&[A-Za-z_][\w.-]*=")
         self.pem = re.compile(PEM)
         known = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.packer = zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False,
@@ -104,21 +111,35 @@ class Scanner:
         added = _marginal(self.packer, text[max(0, start - CONTEXT):start], text[start:end], text[end:end + CONTEXT])
         return added >= NOVEL_BYTES and added >= NOVEL_RATIO * (end - start)
 
-    def novel(self, text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Candidates that no base span overlaps and that the text around them does not explain."""
+    def novel(self, text: str) -> list[tuple[str, int, int]]:
+        """Candidates that the text around them does not explain.  Each is measured once, base spans
+        or none; a value that begins with a measured candidate is one with it."""
         found = []
         if "PRIVATE KEY" in text:
             found += [("novel", *m.span(1)) for m in self.pem.finditer(text) if self.adds(text, *m.span(1))]
-        taken, upto = taken + found, -1
+        armour, at, upto = found.copy(), 0, -1
         for word in self.sensitive.finditer(text):
+            value = self.value.match(text, word.end())
+            candidates = []
+            if value:
+                parameter = self.parameter.split(value[1], maxsplit=1)[0]      # of a URL, up to the next one
+                end = value.start(1) + len(parameter.rstrip(".,;:!?)]}"))
+                if end - value.start(1) >= VALUE_MIN:
+                    candidates.append((value.start(1), end))
             for run in self.begins.finditer(text, word.end(), min(len(text), word.end() + REACH + 1)):
                 start = run.start()
                 if "\n" in text[word.end():start]:
                     break
-                if start <= upto or not (m := self.candidate.match(text, start)):
+                m = self.candidate.match(text, start)
+                if m and (start - word.end() <= NEAR or m.end() - start >= FAR_MIN):
+                    candidates.append((start, m.end()))
+            for start, end in sorted(candidates, key=lambda c: (c[0], -c[1])):
+                if start < upto:
                     continue
-                upto, end = start, m.end()
-                if not any(s < end and start < e for _, s, e in taken) and self.adds(text, start, end):
+                while at < len(armour) and armour[at][2] <= start:
+                    at += 1
+                upto = end
+                if (at == len(armour) or armour[at][1] >= end) and self.adds(text, start, end):
                     found.append(("novel", start, end))
         return found
 
@@ -127,7 +148,7 @@ class Scanner:
             return []
         low = text.lower()
         found = self.base(text, low)
-        found += self.novel(text, found)
+        found += self.novel(text)
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

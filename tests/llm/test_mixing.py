@@ -96,3 +96,17 @@ def test_mixed_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = queries.op9_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_mixed_rows_without_ids_take_what_the_mix_takes(spark):
+    """Rows that agree in id, source and size, with other texts or the very same one."""
+    rows = [(None, f"w{i % 40} b c d e f g h i", "a") for i in range(100)] + [(7, "x y z", "b")] * 30 + [(None, None, "a")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r.source: r.taken for r in mixing.mix(df).withColumn("source", mixing.F.when(mixing.F.col("size") == 3, "b").otherwise("a"))
+            .groupBy("source").agg(mixing.F.sum("taken").alias("taken")).collect()}
+    got, times = {"a": 0, "b": 0}, {}
+    for r in mixing.mixed_rows(df).collect():
+        got[r.source] += len((r.text or "").split())
+        times[r.text] = times.get(r.text, 0) + 1
+    assert got == want and times[None] == 3
+    assert all(n <= 2 * sum(t == text for _, t, _ in rows) for text, n in times.items())

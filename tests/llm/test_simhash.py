@@ -87,7 +87,7 @@ def test_odd_rows_and_columns(spark):
     assert got == sorted([(5, 3), (5, 3), (3, 3), (None, 3), (9, 8), (8, 8), (None, 8)], key=str)
     kept = simhash.one_per_group(df)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 8, None, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 8]
     empty = spark.createDataFrame([], schema)
     assert simhash.near_duplicates(empty).collect() == [] and simhash.one_per_group(empty).collect() == []
 
@@ -104,3 +104,15 @@ def test_components_of_a_long_chain_and_a_star(spark):
     df = spark.createDataFrame(chain + star, "u long, v long")
     got = {r.node: r.root for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(200)}}
+
+
+def test_every_group_keeps_one_row(spark):
+    """Ids repeated with unrelated texts or missing: one row of each group, the same on a rerun."""
+    one, two, three = ("one text of some words that is long enough to be itself", "quite another text with other words in it",
+                       "a third text of which nobody has an id but several have a copy")
+    rows = [(5, one, "a"), (5, two, "a"), (7, two, "b"), (3, one, "b"), (None, three, "a"), (None, three, "a"), (None, three, "b"),
+            (None, one, "c"), (3, one, "b"), (9, None, "a"), (None, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted(map(tuple, simhash.one_per_group(df).collect()), key=str)
+    assert {(r[0], r[1] or "") for r in kept} == {(3, one), (5, two), (None, three), (9, "")} and len(kept) == 4
+    assert kept == sorted(map(tuple, simhash.one_per_group(df.repartition(5)).collect()), key=str)

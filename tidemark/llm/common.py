@@ -41,3 +41,10 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 def doc_bucket(doc_id, n: int):
     """crc32 of the id's decimal text, modulo ``n`` (null ids: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+def row_hashes(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__h1`` and ``__h2``, 128 bits of hash of the whole row: rows that agree in
+    every column, and only they, share them."""
+    parts = [F.col(f"`{c}`") for c in docs.columns] + [F.col(f"`{c}`").isNull() for c in docs.columns]
+    return docs.withColumns({"__h1": F.xxhash64(*parts), "__h2": F.xxhash64(F.lit("second"), *parts)})

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, row_hashes
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -166,13 +166,18 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The mix itself: every row of ``docs`` as often as it is taken, all columns as they were.
     Documents of size 0 are taken once, since they cost nothing.
 
-    Rows are matched by id, source and size; rows that agree in all three share one
-    number of copies (that of the first), so a repeated row is treated like its twin."""
-    found = _copies(cut(sized(docs, id_col, text_col, source_col)), weights, budget, most, CHUNK_DOCS)
-    taken = found.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    words = F.coalesce(F.regexp_count(docs[text_col], F.lit(WORD)), F.lit(0)).cast("long")
-    met = docs.join(taken, docs[id_col].cast("long").eqNullSafe(taken["doc_id"])
-                    & docs[source_col].cast("string").eqNullSafe(taken["source"]) & (words == taken["size"]))
-    times = F.when(taken["size"] == 0, F.lit(1)).otherwise(taken["copies"])
-    row = F.struct(*[docs[c] for c in docs.columns])
-    return met.select(F.explode(F.array_repeat(row, times)).alias("row")).select("row.*")
+    Rows are told apart by 128 bits of hash over all their columns.  Rows that agree in every
+    column are one row here with the sum of their copies, so ids may repeat or be missing."""
+    keyed = row_hashes(docs)
+    hashes = ["__h1", "__h2"]
+    words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    measured = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                            words.alias("size"), *hashes)
+    found = _copies(cut(measured), weights, budget, most, CHUNK_DOCS)
+    times = F.when(F.first("size") == 0, F.count(F.lit(1))).otherwise(F.sum("copies"))
+    taken = found.groupBy(*hashes).agg(times.cast("long").alias("__times")).filter("__times > 0")
+    # equal rows are brought together before they are shuffled, and multiplied in steps of 1,000
+    met = keyed.dropDuplicates(hashes).join(taken.hint("merge"), hashes)
+    steps = met.withColumn("__step", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("__times") - 1, F.lit(1000)))))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col("__times") - 1000 * F.col("__step"))))
+    return steps.withColumn("__each", each).select(*[F.col(f"`{c}`") for c in docs.columns])

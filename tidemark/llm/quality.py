@@ -212,9 +212,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "quality", sample_docs: int = SAMPLE_DOCS, sample_pieces: int = SAMPLE_PIECES,
         piece_lines: int = PIECE_LINES) -> Field:
     """A field fitted on at most ``sample_docs`` labelled documents of each label, chosen by the
-    hash of their id.  Labels other than 0 and 1, and rows without an id, are not used."""
+    hash of their id.  Labels other than 0 and 1, rows without an id, and documents labelled both
+    0 and 1 are not used."""
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-             .filter("doc_id IS NOT NULL AND y IN (0, 1)").dropDuplicates(["doc_id"]))
+             .filter("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("high"))
+             .filter("y = high").drop("high"))
     picked = known.filter("y = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).unionByName(
         known.filter("y = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
     two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))

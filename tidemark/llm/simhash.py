@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, slices
+from tidemark.llm.common import cut, row_hashes, slices
 from tidemark.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -71,17 +71,18 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): ``fp`` is the fingerprint as a signed bigint."""
+                 shingle_words: int = SHINGLE_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the bigint columns ``carry``: ``fp`` is the fingerprint as a signed bigint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "t"):
                 fps = np.array([fingerprint(t, shingle_words) for t in piece.column("t").to_pylist()],
                                np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id").cast(pa.int64()), pa.array(fps)],
-                                                 ["doc_id", "fp"])
-    two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
-    return two.mapInArrow(run, "doc_id long, fp long")
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id").cast(pa.int64()), pa.array(fps), *(piece.column(c) for c in carry)],
+                    ["doc_id", "fp", *carry])
+    two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"), *carry)
+    return two.mapInArrow(run, ", ".join(["doc_id long", "fp long", *(f"{c} long" for c in carry)]))
 
 
 def forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,14 +176,15 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
 
 
 def groups(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, fp) -> (fp, component_id): the smallest doc_id that links of at
-    most ``radius`` bits reach (null when no document there has an id)."""
+    """(doc_id, fp) -> (fp, root, component_id): the smallest doc_id that links of at most
+    ``radius`` bits reach (null when no document there has an id); ``root`` names the
+    component in any case."""
     firsts = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     found = components(links(firsts.select("fp"), radius, tile_rows))
     rooted = firsts.join(found.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -202,11 +204,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest id of its group, all
-    columns as they were.  Rows without an id are kept: no group can name them.
-    A document whose row is repeated is kept once."""
-    found = near_duplicates(docs, id_col, text_col, shingle_words, radius)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__keep_id")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(keep, named[id_col].cast("long") == keep["__keep_id"], "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    """One row of every group, all columns as they were: the one of smallest id, rows without an id
+    last; of several such rows the one whose hash over all columns is smallest.  So every group
+    keeps exactly one row, also where ids repeat or are missing, and a rerun keeps the same."""
+    keyed = row_hashes(docs)
+    fps = cut(fingerprints(keyed, id_col, text_col, shingle_words, ("__h1", "__h2")))
+    found = groups(fps.select("doc_id", "fp"), radius, tile_rows=TILE_ROWS)
+    row = F.struct(F.col("doc_id").isNull(), "doc_id", "__h1", "__h2")
+    keep = (fps.join(found.select("fp", "root"), "fp").groupBy("root").agg(F.min(row).alias("r"))
+            .select(F.col("r.__h1").alias("__k1"), F.col("r.__h2").alias("__k2")))
+    kept = keyed.join(keep.hint("merge"), (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2")), "left_semi")
+    return kept.dropDuplicates(["__h1", "__h2"]).select(*[F.col(f"`{c}`") for c in docs.columns])     # equal rows

@@ -81,3 +81,23 @@ def test_aside_names_still_count(tree):
     page = ("<article><p>Text</p></article><div class='comments'><article><p>I say that this is a long comment of many words.</p>"
             "</article></div><div class='post-meta'>Filed under things</div><div class=site-header>Site</div>")
     assert html.main_text(page, tree) == "Text"
+
+
+def test_apostrophes_in_unquoted_values():
+    tree = html.train()
+    long = "and then it goes on for a while with many words that make it a paragraph of some length"
+    page = f"<article><p title=it's>First {long}.</p><p class='x' data-a=\"b's\">Second one, don't {long}.</p></article>"
+    assert html.main_text(page, tree) == f"First {long}. Second one, don't {long}."
+    assert [b.text for b in html.blocks("<p a = 'x>y' b=\"c>d\" e>one</p><p =x>two")] == ["one", "two"]
+
+
+def test_unclosed_pages_take_linear_time():
+    import time
+
+    def seconds(page):
+        begin = time.process_time()
+        html.blocks(page)
+        return time.process_time() - begin
+    for part in ("<div>a", "<svg>", "<select>b", "<div>a</i></section>", "<p x='", "<div class=nav>a"):
+        seconds(part * 100)
+        assert seconds(part * 40_000) < 10 * max(seconds(part * 10_000), 0.05), part

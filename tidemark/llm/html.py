@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
 
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# a quote opens only behind "=": an apostrophe in an unquoted value is a character of it
+_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                  r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 #: elements whose content is no text of the page
@@ -100,12 +103,17 @@ class Block:
 
 @dataclass
 class Box:
-    """An open element: what it is by its tag, role and names."""
+    """An element: what it is by its tag, role and names, and the one around it."""
     tag: str
     main: bool = False
     aside: bool = False
     named: bool = False      # aside by a name, or a form: not if it turns out to hold the page
     sure: bool = False       # main by its tag or role
+    around: Box | None = None
+    known: bool = False      # not aside by its name after all, nor any around it
+    in_main: bool = False    # with those around it
+    in_aside: bool = False
+    any_aside: bool = False
 
 
 def _kind(token: str, tag: str) -> str:
@@ -153,28 +161,38 @@ def blocks(page: str | None) -> list[Block]:
     found: list[Block] = []
     page = page or ""
     stack: list[Box] = []                           # open elements, nearest last
-    around: list[tuple[Box, ...]] = []              # those of each block
-    sure: list[tuple[Box, ...]] = []                # main elements and articles with those around them
+    opened: Counter[str] = Counter()                # by tag
+    boxes: list[Box] = []                           # all elements, each behind the one around it
+    around: list[Box | None] = []                   # the innermost of each block
+    sure: list[Box] = []                            # main elements and articles
+    endless: set[str] = set()                       # silent tags of which no end follows
     pieces: list[str] = []
     linked: list[str] = []
     in_link = False
 
-    def state(boxes: tuple[Box, ...]) -> tuple[bool, bool]:
-        """Whether a main or an aside container is around; the innermost of both decides
-        about a header: a page's header is aside, an article's is not."""
-        main = aside = False
-        for box in boxes:
-            main, aside = main or box.main, aside or box.aside or (box.tag == "header" and not main)
-        return main, aside
+    def clear(box: Box | None) -> None:
+        while box and not box.known:
+            box.aside, box.known = box.aside and not box.named, True
+            box = box.around
 
-    def clear(boxes: tuple[Box, ...]) -> None:
+    def sum_up() -> None:
+        """What is around each element.  The innermost of main and aside decides about a
+        header: a page's header is aside, an article's is not."""
+        outer = Box("")
         for box in boxes:
-            box.aside = box.aside and not box.named
+            up = box.around or outer
+            box.any_aside = up.any_aside or box.aside
+            box.in_main = up.in_main or box.main
+            box.in_aside = up.in_aside or box.aside or (box.tag == "header" and not up.in_main)
+
+    def drop(k: int) -> None:
+        opened.subtract(box.tag for box in stack[k:])
+        del stack[k:]
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
         if text:
-            around.append(tuple(stack))
+            around.append(stack[-1] if stack else None)
             found.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), False, False))
         pieces.clear()
         linked.clear()
@@ -203,7 +221,9 @@ def blocks(page: str | None) -> list[Block]:
             in_link = not closing
         elif tag in SILENT:
             if not closing and not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                if not end:
+                    endless.add(tag)
                 if end or tag in RAW:
                     at = end.end() if end else len(page)
         elif tag in VOID:
@@ -212,10 +232,10 @@ def blocks(page: str | None) -> list[Block]:
         elif closing:
             if tag not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[k].tag == tag:
                     flush()
-                    del stack[k:]
+                    drop(k)
                     in_link = in_link and tag in INLINE
                     break
         else:
@@ -226,24 +246,27 @@ def blocks(page: str | None) -> list[Block]:
             if tag not in INLINE:
                 in_link = False
                 if stack and stack[-1].tag == "p":
-                    stack.pop()
+                    drop(-1)
                 if tag in ("li", "dd", "dt", "tr", "td", "th", "option") and stack and stack[-1].tag == tag:
-                    stack.pop()
+                    drop(-1)
+            box.around = stack[-1] if stack else None
             stack.append(box)
+            boxes.append(box)
+            opened[tag] += 1
             if box.sure:
-                sure.append(tuple(stack))
+                sure.append(box)
     flush()
-    for boxes in sure:
-        if boxes[-1].tag == "main":
-            clear(boxes)
-    if all(any(box.aside for box in boxes) for boxes in sure):
-        for boxes in sure:
-            clear(boxes)
-    if all(any(box.aside for box in boxes) for boxes in around):
-        for boxes in around:
-            clear(boxes)
-    for block, boxes in zip(found, around):
-        block.main, block.aside = state(boxes)
+    for box in sure:
+        if box.tag == "main":
+            clear(box)
+    for those in (sure, around):
+        sum_up()
+        if all(box is not None and box.any_aside for box in those):
+            for box in those:
+                clear(box)
+    sum_up()
+    for block, box in zip(found, around):
+        block.main, block.aside = (box.in_main, box.in_aside) if box else (False, False)
     return found
 
 

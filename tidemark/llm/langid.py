@@ -10,7 +10,7 @@ The number of slots follows from the largest number of n-grams of a language, so
 language has more than ``MOST_FALSE`` false positives.  A filter of up to ``BROADCAST_BYTES`` is
 broadcast; a larger one stays a distributed table to which n-grams are joined.
 
-With ``least_share`` above 0, a language contains an n-gram only if the n-gram's share of its text is at
+A language contains an n-gram if the n-gram's share of that language's text is at
 least ``least_share`` of its largest share in any language; shares are counted over
 every training text.
 """
@@ -36,7 +36,7 @@ MOST_FALSE = 0.01              # expected false positives of the fullest languag
 BROADCAST_BYTES = 1 << 25      # largest filter that is broadcast: 4 million slots for 64 languages
 BLOCK_CHARS = 1 << 22          # text of a block of documents whose n-grams are joined to the filter
 ROW_CHARS = 64                 # what a row counts besides its text
-LEAST_SHARE = 0.0       # every language that has an n-gram keeps its bit
+LEAST_SHARE = 0.2
 UNKNOWN = "und"
 MOST_LANGUAGES = 4096          # 64 masks of 64 bits a slot; more is an error, not a cut
 HELD_GRAMS = 1 << 21           # counted n-grams that a task holds before it merges them

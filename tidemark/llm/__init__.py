@@ -13,6 +13,9 @@ lm              cross-entropy difference of two n-gram models
 maxscore        exact top-k search by MaxScore
 mixing          entropy-balanced mixing of sources
 langid          language identification by language-bitmask Bloom filters
+repair          cheapest conversation repairs by a checkpointed dynamic program
+prefixes        token counts at every prefix by dynamic programming
+filters         filter interactions by path counts over the subset lattice
 queries         the registered ``opN_*`` queries
 ==============  ==============================================================
 

@@ -102,3 +102,13 @@ def test_odd_tables(spark):
     none = quality.fit(docs.limit(0), labels.limit(0))
     assert quality.score(docs.limit(0), none).collect() == []
     assert {r.score for r in quality.score(docs.filter("doc_id = 1"), none).collect()} == {1.0}
+
+
+def test_contradicting_labels_teach_nothing(spark):
+    """A document labelled both ways is left out, whatever the order of the rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").limit(150).select("doc_id", "quality")
+    some = [r.doc_id for r in labels.limit(20).collect()]
+    both = labels.unionByName(labels.filter(labels.doc_id.isin(some)).selectExpr("doc_id", "1 - quality AS quality"))
+    a, b = quality.fit(docs, both), quality.fit(docs, labels.filter(~labels.doc_id.isin(some)))
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.stay, b.stay)

@@ -19,9 +19,11 @@ NO_FILTER = {"unique_visitors", "split_late", "split_late_cut"}
 SCANS = {"tx_interval_join": 2, "tx_match": 2, "unique_visitors_hll": 2}
 # bitmaps and sketches are objects: their aggregates are sorted, over a row a task and bucket or a task
 OBJECTS = {"unique_visitors_bitmap_stored": ["SortAggregate"], "unique_visitors_bitmap_daily": ["SortAggregate"],
+           "hot_items_summaries": ["SortAggregate", "ObjectHashAggregate"],
            "login_fail_pattern_cut": ["SortAggregate", "ObjectHashAggregate"]}
 # the heavy keys of a cut scan are sketched, then counted; a cut scan without a key reads its totals
-EXTRA_SCANS = {"login_fail_pattern_cut": 2, "split_late_cut": 1}
+# (the summaries of panes, then the panes' counts)
+EXTRA_SCANS = {"hot_items_summaries": 1, "login_fail_pattern_cut": 2, "split_late_cut": 1}
 SCANNED = ["login_fail_pattern", "login_fail_immediate", "login_fail_burst", "order_timeout", "order_pay_match",
            "tx_match", "split_late"]
 
@@ -45,7 +47,7 @@ def test_plan_shape(plans, name):
     assert scans
     for scan in scans:
         schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
-        assert "props" not in schema or name in {"hot_items", "hot_items_sql", "hot_pages",
+        assert "props" not in schema or name in {"hot_items", "hot_items_sql", "hot_items_summaries", "hot_pages",
                                                   "windowed_count", "channel_counts",
                                                   "sliding_count_panes", "ad_click_filter",
                                                   "ad_click_warnings", "ad_clicks_by_province"}, schema

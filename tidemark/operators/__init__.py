@@ -16,7 +16,7 @@ from tidemark.operators.sequences import (
     order_pay_match,
     order_timeout,
 )
-from tidemark.operators.topn import format_top_n_report, hot_items, hot_pages, top_n
+from tidemark.operators.topn import format_top_n_report, hot_items, hot_pages, sliding_top_n, top_n
 from tidemark.operators.visitors import (
     count_visitor_bitmaps,
     merge_visitor_bitmaps,
@@ -42,7 +42,7 @@ from tidemark.operators.windows import (
 
 __all__ = [
     "ScanAgg", "count_visitor_bitmaps", "merge_visitor_bitmaps", "rollup_visitor_bitmaps", "visitor_bitmaps",
-    "visitor_bits", "ad_click_filter", "channel_counts", "hot_items", "hot_pages", "ad_click_warnings", "ad_clicks_by_province",
+    "visitor_bits", "ad_click_filter", "channel_counts", "hot_items", "hot_pages", "sliding_top_n", "ad_click_warnings", "ad_clicks_by_province",
     "format_top_n_report", "login_fail_burst", "login_fail_immediate", "login_fail_pattern",
     "order_pay_match", "order_timeout", "page_views", "page_views_salted", "pane_counts",
     "rank_daily_clicks", "rollup_visitor_sketches", "running_unique_visitors", "segmented_scan", "sliding_count",

@@ -38,6 +38,11 @@ def _check(size_s: float, slide_s: float) -> tuple[int, int, int]:
     return size_us, slide_us, size_us // slide_us
 
 
+def window_ratio(size_s: float, slide_s: float) -> int:
+    """Panes of a window (``size / slide``)."""
+    return _check(size_s, slide_s)[2]
+
+
 def pane_index(ts: str | Column, slide_s: float) -> Column:
     """Index of the epoch-aligned pane (tumbling window of ``slide_s``) of ``ts``."""
     c = F.col(ts) if isinstance(ts, str) else ts

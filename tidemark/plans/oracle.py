@@ -274,6 +274,7 @@ FROM m WHERE end_us + {P.LATE_LATENESS_S * _US} <= wm_us"""
 ORACLE_SQL: dict[str, str] = {
     "hot_items": HOT_ITEMS,
     "hot_items_sql": HOT_ITEMS,
+    "hot_items_summaries": HOT_ITEMS,
     "hot_pages": HOT_PAGES,
     "windowed_count": WINDOWED_COUNT,
     "page_views": PAGE_VIEWS,

@@ -26,6 +26,7 @@ PROVINCE_MOD = 5       # province = user_id % 5
 AD_MOD = 7             # adId = k % 7
 
 HOT_ITEMS_SIZE_S, HOT_ITEMS_SLIDE_S, HOT_ITEMS_N = 3600, 300, 5
+SUMMARY_ITEMS, SUMMARY_KEPT = 16, 10   # fewer than the 20 items, so that some windows need the count of all keys
 HOT_PAGES_SIZE_S, HOT_PAGES_SLIDE_S, HOT_PAGES_N = 600, 10, 3
 PV_SIZE_S, PV_SLIDE_S = 3600, 300
 UV_TUMBLE_S = 3600

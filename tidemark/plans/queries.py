@@ -6,6 +6,7 @@ key                         what it returns
 ==========================  ===================================================
 windowed_count              views per item and 1 h / 5 min window
 hot_items, hot_items_sql    top 5 items per window (DataFrame API / Spark SQL)
+hot_items_summaries         the same by summaries of panes and exact counts of the surviving items
 hot_pages                   top 3 URLs by GET per 10 min / 10 s window
 page_views(_salted)         views per 1 h / 5 min window (plain / two-stage salted)
 unique_visitors             distinct users (all events) per 1 h / 5 min window
@@ -84,6 +85,13 @@ def hot_items_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         ratio=P.HOT_ITEMS_SIZE_S // P.HOT_ITEMS_SLIDE_S, view=view, n=P.HOT_ITEMS_N))
 
 
+def hot_items_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hot_items`` from frequent-items summaries of the panes and an exact second pass."""
+    views = T.page_views_input(_ev(spark, sf_dir), P.ITEM_MOD)
+    return topn.sliding_top_n(views, "item_id", P.HOT_ITEMS_N, P.HOT_ITEMS_SIZE_S, P.HOT_ITEMS_SLIDE_S,
+                              tracked=P.SUMMARY_ITEMS, kept=P.SUMMARY_KEPT)
+
+
 def hot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # get_requests filters event_type, which reaches the scan; the operator's own filter on
     # the mapped ``method`` column alone would not
@@ -248,6 +256,7 @@ def split_late_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items": hot_items,
     "hot_items_sql": hot_items_sql,
+    "hot_items_summaries": hot_items_summaries,
     "hot_pages": hot_pages,
     "windowed_count": windowed_count,
     "page_views": page_views,

@@ -83,10 +83,10 @@ def _pane_runs(panes: DataFrame, keys: list[str], ratio: int) -> DataFrame:
     )).alias("__x"))
         .select(*keys, F.col("__x.e").alias("__e"), F.col("__x.d").alias("__d"))
         .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
-    return _runs_from_deltas(deltas, keys)
+    return runs_from_deltas(deltas, keys)
 
 
-def _runs_from_deltas(deltas: DataFrame, keys: list[str]) -> DataFrame:
+def runs_from_deltas(deltas: DataFrame, keys: list[str]) -> DataFrame:
     """Running sum of ``__d`` over window-end index ``__e`` per key, as runs
     ``[__e, __next)`` with value ``__run`` > 0 (zero sums dropped first).  A key has at most
     one change a slide of the time covered, whatever its events, so no key is cut."""
@@ -195,7 +195,7 @@ def sliding_distinct_count(df: DataFrame, keys: list[str], value: str, ts: str,
         # an empty range adds +1 and -1 at the same end: they cancel below
         .select(*keys, F.col("__x.e").alias("__e"), F.col("__x.d").alias("__d"))
         .groupBy(*keys, "__e").agg(F.sum("__d").alias("__d")))
-    runs = _runs_from_deltas(deltas, keys)
+    runs = runs_from_deltas(deltas, keys)
     dense = runs.select(
         *keys, F.explode(F.sequence(F.col("__e"), F.col("__next") - 1)).alias("__end"),
         F.col("__run").alias(count_col))

@@ -18,6 +18,7 @@ from tidemark.streaming.sinks import (
     read_upserted,
     compact_upserted,
     rerank_each_batch,
+    finish_sliding_counts,
     sliding_counts_each_batch,
     start_sink,
     top_n_each_batch,
@@ -34,7 +35,7 @@ from tidemark.streaming.windows import (
 )
 
 __all__ = [
-    "compact_upserted", "foreach_batch", "read_upserted", "sliding_counts_each_batch", "rerank_each_batch", "start_sink", "stream_hot_items_sql", "stream_ad_click_filter",
+    "compact_upserted", "finish_sliding_counts", "foreach_batch", "read_upserted", "sliding_counts_each_batch", "rerank_each_batch", "start_sink", "stream_hot_items_sql", "stream_ad_click_filter",
     "stream_ad_clicks_by_province", "read_click_sink",
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",
     "stream_order_pay_match", "stream_order_timeout", "stream_running_unique_visitors",

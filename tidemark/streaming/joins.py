@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 def stream_tx_interval_join(pays: DataFrame, receipts: DataFrame, before_s: float = 3,
                             after_s: float = 5, delay_s: float = 0, key: str = "tx_id",
-                            order_id: str = "event_id") -> DataFrame:
-    """Inner join with ``pay.ts - before <= receipt.ts <= pay.ts + after``.
+                            order_id: str = "event_id", how: str = "inner") -> DataFrame:
+    """Join with ``pay.ts - before <= receipt.ts <= pay.ts + after``, ``how``: ``inner`` or an outer
+    join (``full_outer`` also gives the payments without receipt and the receipts without payment,
+    those without a key included).
 
     Both sides carry a watermark; the time-range condition lets Spark drop a
     row's join state once the other side's watermark has passed its range, so
-    state stays bounded by the rows of one interval.  ``pay`` and ``receipt`` are the
+    state stays bounded by the rows of one interval; then a row that found no partner is
+    given with nulls on the other side, once.  ``pay`` and ``receipt`` are the
     whole records.
     """
     wm = f"{int(round(delay_s * 1000))} milliseconds"
@@ -27,6 +30,6 @@ def stream_tx_interval_join(pays: DataFrame, receipts: DataFrame, before_s: floa
     cond = ((F.col("__pk") == F.col("__rk"))
             & (F.col("__rts") >= F.col("__pts") - F.expr(f"INTERVAL {b_us} MICROSECONDS"))
             & (F.col("__rts") <= F.col("__pts") + F.expr(f"INTERVAL {a_us} MICROSECONDS")))
-    return p.join(r, cond, "inner").select(
-        F.col("__pk").alias(key), "pay_event_id", "receipt_event_id",
+    return p.join(r, cond, how).select(
+        F.coalesce("__pk", "__rk").alias(key), "pay_event_id", "receipt_event_id",
         F.unix_millis("__pts").alias("pay_ms"), F.unix_millis("__rts").alias("receipt_ms"), "pay", "receipt")

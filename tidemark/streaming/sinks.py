@@ -62,7 +62,7 @@ def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(prefix) and name[len(prefix):].isdigit() and fs.exists(done):
+        if name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit() and fs.exists(done):
             found.append(int(name[len(prefix):]))
     return sorted(found)
 
@@ -196,43 +196,105 @@ def sliding_counts_each_batch(df: DataFrame, keys: list[str], size_s: float, sli
     once, when the watermark has passed its end.
 
     The stream itself only counts rows per key and pane (a tumbling window of ``slide``,
-    append mode).  Every micro-batch writes its finished panes to ``panes_path`` and
-    computes the windows that end between the newest pane before it and its own newest
-    pane with the batch pane method, from the panes of that span and the
-    ``size`` before it; they go to ``out_path``.  Both are written by batch with
-    overwrite, so a replayed batch replaces its own rows.  Windows after the newest pane
-    follow with a later batch.
+    append mode: the panes of a batch are all newer than those of the batches before).  Every
+    micro-batch with finished panes writes them to ``<panes_path>/panes_<newest>`` and its windows, up to the
+    one that ends with its newest pane, to ``<out_path>/batch_id=<n>``.  For these it needs the counts
+    of the last window before it (``carry_<newest>``, a row per key), its own panes, and the folders of
+    the panes that leave the window: what it reads does not grow with the stream.  Panes
+    that no later or repeated batch can need are removed.  A replayed batch replaces its own
+    folders.  Windows after the newest pane follow with a later batch, or with
+    ``finish_sliding_counts``.
     """
-    from tidemark.operators.windows import sliding_count_from_panes
-
     slide_us = int(round(slide_s * 1_000_000))
-    ratio = int(round(size_s * 1_000_000)) // slide_us
     panes = (df.withWatermark(ts, f"{int(round(delay_s * 1000))} milliseconds")
              .groupBy(*keys, F.window(ts, f"{slide_us} microseconds").alias("__w"))
              .agg(F.count(F.lit(1)).alias("__c"))
              .select(*keys, F.call_function("div", F.unix_micros("__w.start"), F.lit(slide_us).cast("bigint")).alias("__pane"),
                      "__c"))
-    folder = panes_path.rstrip("/")
-    marks = Marks(f"{folder}/_marks")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mine = f"{folder}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(mine)
-        newest = spark.read.schema(batch.schema).parquet(mine).agg(F.max("__pane")).first()[0]
-        seen = marks.before(spark, batch_id)
-        marks.put(spark, batch_id, seen if newest is None else newest if seen is None else max(seen, newest))
-        if newest is None or (seen is not None and newest <= seen):
-            return
-        low = newest - ratio if seen is None else seen
-        span = (spark.read.option("basePath", folder).schema(batch.schema).parquet(folder)
-                .filter((F.col("__pane") > low - ratio) & (F.col("__pane") <= newest)) if seen is not None
-                else spark.read.schema(batch.schema).parquet(mine))
-        counts = sliding_count_from_panes(span.select(*keys, "__pane", "__c"), keys, size_s, slide_s, count_col)
-        ends = F.col("window_end_ms") * 1000
-        done = counts.filter(ends <= (newest + 1) * slide_us)
-        if seen is not None:
-            done = done.filter(ends > (seen + 1) * slide_us)
-        done.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            newest = batch.agg(F.max("__pane")).first()[0]
+            if newest is not None:
+                _slide(batch, newest, keys, size_s, slide_s, panes_path.rstrip("/"),
+                       f"{out_path.rstrip('/')}/batch_id={batch_id}", count_col)
+        finally:
+            batch.unpersist()
 
     return foreach_batch(panes, write, name, "append", checkpoint, trigger)
+
+
+def _slide(batch: DataFrame, newest: int, keys: list[str], size_s: float, slide_s: float, folder: str, out: str,
+           count_col: str) -> None:
+    """The windows behind those of the batch before, up to the one that ends with pane ``newest``."""
+    from tidemark.operators.windows import window_ratio
+
+    spark, ratio = batch.sparkSession, window_ratio(size_s, slide_s)
+    batch.write.mode("overwrite").parquet(f"{folder}/panes_{newest}")
+    before = [n for n in _folders(spark, folder, "panes_") if n < newest]
+    seen = before[-1] if before else None
+    runs = _runs_behind(batch, before, newest + 1, keys, ratio, folder).persist()
+    try:
+        _write_windows(runs, seen, keys, slide_s, out, count_col)
+        runs.filter(F.col("__next") == newest + 2).select(*keys, F.col("__run").cast("bigint").alias("__c")) \
+            .write.mode("overwrite").parquet(f"{folder}/carry_{newest}")
+    finally:
+        runs.unpersist()
+    if before:
+        # this batch, if repeated, reads the panes from seen + 1 - ratio on and the carry of seen
+        for n in before:
+            if n < seen + 1 - ratio:
+                _delete(spark, f"{folder}/panes_{n}")
+        for n in _folders(spark, folder, "carry_"):
+            if n < seen:
+                _delete(spark, f"{folder}/carry_{n}")
+
+
+def _runs_behind(fresh: DataFrame, before: list[int], last_end: int, keys: list[str], ratio: int, folder: str) -> DataFrame:
+    """Runs ``keys, __e, __next, __run`` of windows that end at a slide up to ``last_end``, from the
+    carry of the newest folder in ``before``, the panes that leave and the ``fresh`` ones.  Folder n holds
+    the panes after those of the folder before it."""
+    from tidemark.operators.windows import runs_from_deltas
+
+    spark, end = fresh.sparkSession, F.lit(last_end).cast("bigint")
+    arrive = fresh.select(*keys, (F.col("__pane") + 1).alias("__e"), F.col("__c").alias("__d"))
+    leave = fresh
+    if before:
+        seen = before[-1]
+        files = [f"{folder}/panes_{n}" for i, n in enumerate(before)
+                 if n > seen - ratio and (i == 0 or before[i - 1] + 1 < last_end - ratio)]
+        if files:
+            old = spark.read.schema(fresh.schema).parquet(*files)
+            leave = fresh.unionByName(old.filter(F.col("__pane") > seen - ratio))
+        carry = spark.read.schema(fresh.drop("__pane").schema).parquet(f"{folder}/carry_{seen}")
+        arrive = arrive.unionByName(carry.select(*keys, F.lit(seen + 1).cast("bigint").alias("__e"), F.col("__c").alias("__d")))
+    deltas = arrive.unionByName(leave.select(*keys, (F.col("__pane") + ratio + 1).alias("__e"), (-F.col("__c")).alias("__d")))
+    changes = deltas.filter(F.col("__e") <= end).groupBy(*keys, "__e").agg(F.sum("__d").alias("__d"))
+    # a count that nothing changes any more holds up to last_end
+    return runs_from_deltas(changes, keys).withColumn("__next", F.coalesce("__next", end + 1))
+
+
+def _write_windows(runs: DataFrame, seen: int | None, keys: list[str], slide_s: float, out: str, count_col: str) -> None:
+    first = F.col("__e") if seen is None else F.greatest(F.col("__e"), F.lit(seen + 2).cast("bigint"))
+    ends = F.when(first < F.col("__next"), F.sequence(first, F.col("__next") - 1))
+    (runs.select(*keys, F.explode(ends).alias("__end"), F.col("__run").cast("bigint").alias(count_col))
+     .select(*keys, (F.col("__end") * F.lit(int(round(slide_s * 1000)))).cast("bigint").alias("window_end_ms"), count_col)
+     .write.mode("overwrite").parquet(out))
+
+
+def finish_sliding_counts(spark: SparkSession, keys: list[str], size_s: float, slide_s: float, panes_path: str,
+                          out_path: str, count_col: str = "cnt") -> None:
+    """The closing mark of a stopped ``sliding_counts_each_batch``: write the windows that end behind
+    its newest pane to ``<out_path>/batch_id=-1``.  What is stored stays; a stream that is resumed
+    writes these windows itself, so remove that folder first."""
+    from tidemark.operators.windows import window_ratio
+
+    folder = panes_path.rstrip("/")
+    stored = _folders(spark, folder, "panes_")
+    if not stored:
+        return
+    ratio = window_ratio(size_s, slide_s)
+    none = spark.read.parquet(f"{folder}/panes_{stored[-1]}").limit(0)
+    runs = _runs_behind(none, stored, stored[-1] + ratio + 1, keys, ratio, folder)
+    _write_windows(runs, stored[-1], keys, slide_s, f"{out_path.rstrip('/')}/batch_id=-1", count_col)

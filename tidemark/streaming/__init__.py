@@ -13,7 +13,13 @@ from tidemark.streaming.processors import (
     stream_tx_match,
     read_click_sink,
 )
+from tidemark.streaming.ranking import (
+    current_ranking,
+    stream_ranking_changes,
+    stream_running_unique_visitors_exact,
+)
 from tidemark.streaming.sinks import (
+    dead_letter_sink,
     foreach_batch,
     read_upserted,
     compact_upserted,
@@ -35,6 +41,7 @@ from tidemark.streaming.windows import (
 )
 
 __all__ = [
+    "current_ranking", "dead_letter_sink", "stream_ranking_changes", "stream_running_unique_visitors_exact",
     "compact_upserted", "finish_sliding_counts", "foreach_batch", "read_upserted", "sliding_counts_each_batch", "rerank_each_batch", "start_sink", "stream_hot_items_sql", "stream_ad_click_filter",
     "stream_ad_clicks_by_province", "read_click_sink",
     "stream_login_fail_burst", "stream_login_fail_immediate", "stream_login_fail_pattern",

@@ -125,6 +125,25 @@ def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], name: str
     return (w.trigger(**trigger) if trigger else w).start()
 
 
+def dead_letter_sink(lines: DataFrame, parse: Callable[[DataFrame], DataFrame], out_path: str, rejects_path: str,
+                     name: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Good rows and dead letters of a stream of ``sources.text.raw_lines`` in one pass per micro-batch.
+
+    ``parse`` takes numbered lines and parses them with ``on_bad="tag", carry=RAW``.  Both tables are
+    written by batch with overwrite, so a replayed batch replaces its rows."""
+    from tidemark.sources.text import numbered_lines, split_rejects
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tagged = parse(numbered_lines(batch)).persist()
+        try:
+            for part, path in zip(split_rejects(tagged), (out_path, rejects_path)):
+                part.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            tagged.unpersist()
+
+    return foreach_batch(lines, write, name, "append", checkpoint, trigger)
+
+
 def top_n_each_batch(counts: DataFrame, key_col: str, n: int, path: str, name: str,
                      count_col: str = "cnt", checkpoint: str | None = None,
                      trigger: dict | None = None) -> StreamingQuery:

@@ -11,8 +11,14 @@ from tidemark.llm import chars, lm, queries
 SF = "/root/testdata/sf0.001"
 
 
+def units(text):
+    """The UTF-16 units of a lower-cased text, one character each."""
+    raw = (text or "").lower().encode("utf-16-be")
+    return "".join(chr(int.from_bytes(raw[i:i + 2], "big")) for i in range(0, len(raw), 2))
+
+
 def plain_grams(text):
-    s = "\0" * lm.LEAD + (text or "").lower()
+    s = "\0" * lm.LEAD + units(text)
     return [[s[i - n:i + 1] for n in range(lm.LEAD + 1)] for i in range(lm.LEAD, len(s))]
 
 
@@ -35,23 +41,24 @@ def plain_loss(model, tokens, kinds, text):
         for n, g in enumerate(by_order[1:], 1):
             p = (grams[n, g] + lm.MU * p) / (before[n, g[:-1]] + lm.MU)
         total -= math.log2(p)
-    return total / max(1, len(text or ""))
+    return total / max(1, len(units(text)))
 
 
 @pytest.mark.parametrize("segment", [1 << 20, 5])
 def test_scores_match_plain_models(spark, monkeypatch, segment):
     monkeypatch.setattr(chars, "SEGMENT_CHARS", segment)
     target = ["the cat sat on the mat", "the dog sat", None]
-    background = ["zwölf Boxkämpfer jagen Viktor", "the cat sat on the mat", "", "quer über den großen Deich", "THE DOG"]
-    asked = ["the mat", "Zwölf Boxer", "", None, "日本 the", "q", "the cat sat on the mat" * 50]
+    background = ["zwölf Boxkämpfer jagen Viktor", "the cat sat on the mat", "", "quer über den großen Deich", "THE DOG",
+                  "\U0001F600\U0001F601 the \U0002F600"]
+    asked = ["the mat", "\U0001F601\U0001F600 the \U0001F600", "\U0002F601", "a\U00010428\U00010400b", "Zwölf Boxer", "", None, "日本 the", "q", "the cat sat on the mat" * 50]
     frame = lambda ts: spark.createDataFrame([(i, t, 7) for i, t in enumerate(ts)], "doc_id long, text string, cell int")
     models = lm.fit(frame(target), frame(background))
     got = {r.doc_id: r for r in lm.score(frame(asked), models).collect()}
-    t, b = (sum(len(x or "") for x in ts) for ts in (target, background))
-    matched, kinds = min(t, b), len(set("".join(x or "" for x in target + background).lower())) + 1
+    t, b = (sum(len(units(x)) for x in ts) for ts in (target, background))
+    matched, kinds = min(t, b), len(set("".join(map(units, target + background)))) + 1
     plain_t, plain_b = plain_model(target, matched / t), plain_model(background, matched / b)
     for i, text in enumerate(asked):
-        assert got[i].n_tokens == len(text or "")
+        assert got[i].n_tokens == len(units(text))
         lt, lb = plain_loss(plain_t, matched, kinds, text), plain_loss(plain_b, matched, kinds, text)
         assert abs(got[i].loss_target - lt) < 1e-4 and abs(got[i].loss_background - lb) < 1e-4
         assert abs(got[i].score - (lt - lb)) < 1e-4

@@ -2,8 +2,8 @@
 
 A target and a background model (Moore and Lewis, ACL 2010) are matched: the same
 order, smoothing and vocabulary, and counts scaled to the same number of tokens.  Tokens
-are lower-cased characters; n-grams of order 4 are counted exactly over every text of
-both corpora, and the orders below are sums of them.  The counts stay a distributed table
+are the UTF-16 units of the lower-cased text (a character above U+FFFF is two); n-grams of
+order 4 are counted exactly over every text of both corpora, and the orders below are sums of them.  The counts stay a distributed table
 that grows with the corpora: nothing is hashed, folded or broadcast.  To score, documents are
 dealt in blocks of bounded text; the distinct n-grams of a block are joined to their losses,
 which come back to the block.  A document's score is its mean
@@ -27,24 +27,32 @@ from tidemark.llm.common import cut, slices
 ORDER = 4
 LEAD = ORDER - 1               # characters before a token that count
 MU = 4.0                       # weight of the next lower order
-FOLD = 16                      # bits of a token: the vocabulary is the code points below 2**16,
-                               # higher ones share the numbers of their last 16 bits
+UNIT_BITS = 16                 # of a token: four fill a bigint
 HELD_GRAMS = 1 << 21           # counted n-grams that a task holds before it merges them
 BLOCK_CHARS = 1 << 22          # text of a block of documents; its distinct n-grams are fewer
 ROW_CHARS = 64                 # what a row counts besides its text, so that blocks of short texts end too
 
 
 def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(packed n-grams of segments with LEAD characters in front, one for each of the segments' own
-    characters; their number in each segment).  The last token has the lowest bits."""
-    cps, counts = code_points(parts)
-    counts = counts - LEAD
-    at = np.arange(counts.sum()) + np.repeat((np.arange(len(counts)) + 1) * LEAD, counts)
-    padded = (cps & np.uint32((1 << FOLD) - 1)).astype(np.uint64)
-    key = padded.copy()
+    """(packed n-grams of segments with LEAD characters in front, one for each unit of the segments'
+    own characters; their number in each segment).  The last token has the lowest bits."""
+    cps, chars = code_points(parts)
+    own = np.ones(len(cps), bool)
+    starts = np.cumsum(chars) - chars
+    own[(starts[:, None] + np.arange(LEAD)).ravel()] = False
+    units, counts = cps.astype(np.uint64), chars - LEAD
+    pairs = cps > 0xFFFF
+    if pairs.any():
+        first = np.arange(len(cps)) + np.cumsum(pairs) - pairs      # place of each character's first unit
+        above = cps[pairs].astype(np.uint64) - np.uint64(0x10000)
+        counts = counts + np.add.reduceat((pairs & own).astype(np.int64), starts)
+        units[pairs] = np.uint64(0xD800) + (above >> np.uint64(10))
+        units, own = np.repeat(units, 1 + pairs), np.repeat(own, 1 + pairs)
+        units[first[pairs] + 1] = np.uint64(0xDC00) + (above & np.uint64(0x3FF))
+    key = units.copy()
     for n in range(1, ORDER):
-        key[n:] |= padded[:-n] << np.uint64(FOLD * n)
-    return key[at].view(np.int64), counts
+        key[n:] |= units[:-n] << np.uint64(UNIT_BITS * n)
+    return key[own].view(np.int64), counts
 
 
 @dataclass
@@ -97,7 +105,7 @@ def fit(target: DataFrame, background: DataFrame, text_col: str = "text") -> Mod
 
 def _low(gram: str, n: int):
     """The last n tokens of a packed n-gram."""
-    return F.col(gram) if n == ORDER else F.col(gram).bitwiseAND(F.lit((1 << FOLD * n) - 1))
+    return F.col(gram) if n == ORDER else F.col(gram).bitwiseAND(F.lit((1 << UNIT_BITS * n) - 1))
 
 
 def _losses(asked: DataFrame, models: Models) -> DataFrame:
@@ -118,7 +126,7 @@ def _losses(asked: DataFrame, models: Models) -> DataFrame:
         if found is None:
             p = {x: (some[x] + 1) / F.lit(float((matched if sides[x] else 0) + models.kinds)) for x in sides}
         else:
-            context = F.shiftrightunsigned("gram", FOLD)
+            context = F.shiftrightunsigned("gram", UNIT_BITS)
             before = models.counts.withColumn("gram", context).groupBy(_low("gram", n - 1).alias("context")) \
                 .agg(*[(F.sum(f"{x}n") * scale[x]).alias(f"{x}c") for x in sides])
             keys = keys.withColumn("context", context).withColumn("low", _low("gram", n - 1)) \

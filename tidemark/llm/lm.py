@@ -3,8 +3,9 @@
 A target and a background model (Moore and Lewis, ACL 2010) are matched: the same
 order, smoothing and vocabulary, and counts scaled to the same number of tokens.  Tokens
 are the UTF-16 units of the lower-cased text (a character above U+FFFF is two); n-grams of
-order 4 are counted exactly over every text of both corpora, and the orders below are sums of them.  The counts stay a distributed table
-that grows with the corpora: nothing is hashed, folded or broadcast.  To score, documents are
+order 4 are counted exactly over every text of both corpora, and each order below is summed
+from the one above it.  The counts stay distributed tables
+that grow with the corpora: nothing is hashed, folded or broadcast.  To score, documents are
 dealt in blocks of bounded text; the distinct n-grams of a block are joined to their losses,
 which come back to the block.  A document's score is its mean
 loss per token under the target model minus that under the background model:
@@ -57,9 +58,9 @@ def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Models:
-    """counts: (gram, tn, bn), how often target and background have each n-gram of the highest
-    order; their tokens, and the size of the shared vocabulary."""
-    counts: DataFrame
+    """counts: for each order (gram, tn, bn), how often target and background have each n-gram;
+    their tokens, and the size of the shared vocabulary."""
+    counts: dict[int, DataFrame]
     target: int
     background: int
     kinds: int
@@ -97,9 +98,11 @@ def fit(target: DataFrame, background: DataFrame, text_col: str = "text") -> Mod
     none = F.lit(0).cast("long")
     both = _counts(target, text_col).select("gram", F.col("n").alias("tn"), none.alias("bn")).unionAll(
         _counts(background, text_col).select("gram", none.alias("tn"), F.col("n").alias("bn")))
-    counts = cut(both.groupBy("gram").agg(F.sum("tn").alias("tn"), F.sum("bn").alias("bn")))
-    tokens = counts.groupBy(_low("gram", 1).alias("token")).agg(F.sum("tn").alias("tn"), F.sum("bn").alias("bn"))
-    got = tokens.agg(F.sum("tn"), F.sum("bn"), F.count("*")).first()
+    sums = [F.sum("tn").alias("tn"), F.sum("bn").alias("bn")]
+    counts = {ORDER: cut(both.groupBy("gram").agg(*sums))}
+    for n in range(ORDER - 1, 0, -1):
+        counts[n] = cut(counts[n + 1].groupBy(_low("gram", n).alias("gram")).agg(*sums))
+    got = counts[1].agg(F.sum("tn"), F.sum("bn"), F.count("*")).first()
     return Models(counts, got[0] or 0, got[1] or 0, got[2] + 1)        # and one unseen token
 
 
@@ -117,17 +120,15 @@ def _losses(asked: DataFrame, models: Models) -> DataFrame:
     sides = {"t": models.target, "b": models.background}
     scale = {x: matched / n if n else 0.0 for x, n in sides.items()}
     some = {x: F.coalesce(F.col(f"{x}n"), F.lit(0)) * scale[x] for x in sides}
-    sums = [F.sum(f"{x}n").alias(f"{x}n") for x in sides]
     found = None
     for n in range(1, ORDER + 1):
         keys = asked if n == ORDER else asked.select(_low("gram", n).alias("gram")).distinct()
-        seen = models.counts if n == ORDER else models.counts.groupBy(_low("gram", n).alias("gram")).agg(*sums)
-        keys = keys.join(seen, "gram", "left")
+        keys = keys.join(models.counts[n], "gram", "left")
         if found is None:
             p = {x: (some[x] + 1) / F.lit(float((matched if sides[x] else 0) + models.kinds)) for x in sides}
         else:
             context = F.shiftrightunsigned("gram", UNIT_BITS)
-            before = models.counts.withColumn("gram", context).groupBy(_low("gram", n - 1).alias("context")) \
+            before = models.counts[n].groupBy(context.alias("context")) \
                 .agg(*[(F.sum(f"{x}n") * scale[x]).alias(f"{x}c") for x in sides])
             keys = keys.withColumn("context", context).withColumn("low", _low("gram", n - 1)) \
                 .join(before, "context", "left").join(found.withColumnRenamed("gram", "low"), "low")

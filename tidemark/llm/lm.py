@@ -186,10 +186,10 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
         return pa.table([rows.column("doc_id"), pa.array(counts), pa.array(means[0]), pa.array(means[1]),
                          pa.array(means[0] - means[1])],
                         ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
-    # an n-gram has at most one row for each block, so none is a large part of them
-    asked = dealt.mapInArrow(ask, "block long, gram long").repartition("gram")
-    # the filter holds always; it keeps both uses of the n-grams on one exchange
-    each = asked.groupBy("gram").agg(F.count("block").alias("blocks")).filter("blocks > 0").select("gram")
+    # an n-gram has at most one row for each block, so none is a large part of them; written, since
+    # every order's losses and the answers read them
+    asked = cut(dealt.mapInArrow(ask, "block long, gram long"))
+    each = asked.select("gram").distinct()
     answers = asked.join(_losses(each, models), "gram").select("block", "gram", "lt", "lb")
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         answer, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")

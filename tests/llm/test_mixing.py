@@ -110,3 +110,18 @@ def test_mixed_rows_without_ids_take_what_the_mix_takes(spark):
         times[r.text] = times.get(r.text, 0) + 1
     assert got == want and times[None] == 3
     assert all(n <= 2 * sum(t == text for _, t, _ in rows) for text, n in times.items())
+
+
+def test_rows_alike_are_one_row_of_a_window(spark):
+    """Many rows of one id, and of none, of one size: each gets its copies, the total meets the target."""
+    rows = [(None, "a b c", "s")] * 2500 + [(5, "d e f", "s")] * 1200 + [(i, "g h i", "s") for i in range(10, 40)] + [(1, "x y", "t")] * 9
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(df, chunk_docs=8)
+    got = found.collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _, _ in rows)
+    assert all(0 <= r.copies <= 2 and r.taken == r.copies * r.size for r in got)
+    s = [r for r in got if r.size == 3]
+    assert abs(sum(r.taken for r in s) - s[0].target) <= 3
+    assert sorted(map(str, mixing.mix(df.repartition(3), chunk_docs=8).collect())) == sorted(map(str, got))
+    assert sum(len(r.text.split()) for r in mixing.mixed_rows(df).filter("source = 's'").collect()) == \
+        sum(r.taken for r in mixing.mix(df).collect() if r.size == 3)

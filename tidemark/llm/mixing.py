@@ -14,7 +14,8 @@ before and after it, moved by an offset below 1.  A source then differs from
 its target by less than its longest document whatever the offset, and copies are
 0, 1 or 2; of ``OFFSETS`` offsets each source gets the one that comes nearest.  Running totals come from three levels
 (sizes, chunks of documents of equal size, documents of a chunk), so a size that
-very many documents have is no single window.
+very many documents have is no single window; rows that agree in everything read here are one
+row of a window with their number.
 """
 
 from __future__ import annotations
@@ -110,7 +111,8 @@ def tilt(histogram: DataFrame, goals: DataFrame, most: int = MOST, tolerance: fl
 
 
 def _copies(docs: DataFrame, weights: tuple[int, ...], budget: float, most: int, chunk_docs: int) -> DataFrame:
-    """``docs``: (doc_id, source, size) and any other columns; with source_size, target and copies."""
+    """``docs``: (doc_id, source, size) and any other columns that tell rows apart -> those with source_size,
+    target, ``m``, the number of rows alike, and ``w``, ``from``, of which ``_upto`` makes their copies."""
     histogram = cut(docs.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     by_source = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"),
                                                 F.sum("n").alias("docs"))
@@ -132,21 +134,35 @@ def _copies(docs: DataFrame, weights: tuple[int, ...], budget: float, most: int,
     nearest = sums.groupBy("s").agg(F.min(F.struct(F.abs(F.col("got") - F.col("target")).alias("off"), "k", "offset")).alias("best")) \
         .select(F.col("s").alias("s2"), F.col("best.offset").alias("offset"))
     rated = cut(rated.drop("n").join(nearest, F.col("s").eqNullSafe(F.col("s2"))).drop("s2"))
-    named = docs.join(rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))) \
-        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks"))).drop("s", "z", "chunks")
-    in_chunk = named.groupBy("source", "size", "chunk").agg(F.count(F.lit(1)).alias("m"))
+    # rows alike are one row with their number, however many have one id or none
+    alike = docs.groupBy(*docs.columns).agg(F.count(F.lit(1)).alias("m"))
+    ids = [c for c in docs.columns if c not in ("source", "size")]
+    named = alike.join(rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))) \
+        .withColumn("chunk", F.pmod(F.xxhash64(*ids), F.col("chunks"))).drop("s", "z", "chunks")
+    in_chunk = named.groupBy("source", "size", "chunk").agg(F.sum("m").alias("m"))
     earlier = Window.partitionBy("source", "size").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = in_chunk.withColumn("start", F.coalesce(F.sum("m").over(earlier), F.lit(0))) \
         .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("chunk").alias("c"), "start")
     placed = named.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
                         & (F.col("chunk") == F.col("c"))).drop("s", "z", "c")
-    place = F.row_number().over(Window.partitionBy("source", "size", "chunk").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # the running totals of rates before this document and with it
-    total = F.col("upto") + F.col("offset") + F.col("w") * (F.col("start") + F.col("place"))
-    copies = F.floor(total) - F.floor(total - F.col("w"))
-    return (placed.withColumn("place", place)
-            .withColumn("copies", F.least(F.lit(most), F.greatest(F.lit(0), copies)).cast("int"))
-            .drop("w", "upto", "offset", "chunk", "start", "place"))
+    earlier = Window.partitionBy("source", "size", "chunk").orderBy(F.xxhash64(*ids), *ids) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    return (placed.withColumn("from", F.col("start") + F.coalesce(F.sum("m").over(earlier), F.lit(0)))
+            .withColumn("base", F.col("upto") + F.col("offset")).drop("upto", "offset", "chunk", "start"))
+
+
+def _between(first, last, most: int):
+    """The whole numbers between the running totals of rates behind ``first`` and behind ``last`` rows of a source and size."""
+    got = F.floor(F.col("base") + F.col("w") * last) - F.floor(F.col("base") + F.col("w") * first)
+    return F.least(most * (last - first), F.greatest(F.lit(0), got))
+
+
+def _repeated(rows: DataFrame, times: str, number: str) -> DataFrame:
+    """Every row as often as ``times`` says, numbered from 1; multiplied in steps of 1,000."""
+    steps = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col(times) - 1, F.lit(1000)))
+    each = F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col(times) - 1000 * F.col("__step")))
+    return rows.withColumn("__step", F.explode(steps)).withColumn(number, F.explode(each)) \
+        .withColumn(number, F.col(number) + 1000 * F.col("__step")).drop("__step")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -157,7 +173,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Null texts have size 0 and null sources are one source, the last; documents of size
     0 take nothing whatever their copies; repeated rows are documents of their
     own; an empty table gives no row.  Other columns are not read."""
-    found = _copies(cut(sized(docs, id_col, text_col, source_col)), weights, budget, most, chunk_docs)
+    found = _repeated(_copies(cut(sized(docs, id_col, text_col, source_col)), weights, budget, most, chunk_docs), "m", "j")
+    last = F.col("from") + F.col("j")
+    found = found.withColumn("copies", _between(last - 1, last, most).cast("int"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
@@ -174,10 +192,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     measured = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                             words.alias("size"), *hashes)
     found = _copies(cut(measured), weights, budget, most, CHUNK_DOCS)
-    times = F.when(F.first("size") == 0, F.count(F.lit(1))).otherwise(F.sum("copies"))
-    taken = found.groupBy(*hashes).agg(times.cast("long").alias("__times")).filter("__times > 0")
+    times = F.when(F.col("size") == 0, F.col("m")).otherwise(_between(F.col("from"), F.col("from") + F.col("m"), most))
+    taken = found.select(*hashes, times.cast("long").alias("__times")).filter("__times > 0")
     # equal rows are brought together before they are shuffled, and multiplied in steps of 1,000
     met = keyed.dropDuplicates(hashes).join(taken.hint("merge"), hashes)
-    steps = met.withColumn("__step", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("__times") - 1, F.lit(1000)))))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col("__times") - 1000 * F.col("__step"))))
-    return steps.withColumn("__each", each).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _repeated(met, "__times", "__each").select(*[F.col(f"`{c}`") for c in docs.columns])
